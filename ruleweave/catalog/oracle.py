@@ -269,7 +269,7 @@ def oracle_sql() -> dict[str, str]:
     pseudo_source = "(select * from comments where rule_violation is null)"
     scores = "round(sv, 6) as violating_score, round(sn, 6) as non_violating_score"
     loss = "avg(greatest(0.0, {p} - {n} + 0.25::double))"
-    hashed_members = HASHED.replace("SOURCE", "select distinct text from candidate_texts")
+    hashed_members = HASHED.replace("SOURCE", "select distinct text from candidate_texts where text is not null")
     return {
         "scan_comments": COMMENTS,
         "normalize_missing": f"""

@@ -20,7 +20,7 @@ from ruleweave.plans import inference as inf
 from ruleweave.plans import models as mo
 from ruleweave.plans import training as tr
 from ruleweave.sources import files as fi
-from ruleweave.sources.tables import base_comments, document_vectors, full_comments, table
+from ruleweave.sources.tables import base_comments, document_vectors, full_comments, plain_comments, table
 
 DIM = 64
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,7 +100,7 @@ def drawn_comments(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def scan_comments(spark: SparkSession, folder: str) -> DataFrame:
-    return full_comments(spark, folder)
+    return full_comments(spark, folder, labelled=True)
 
 
 @query
@@ -242,12 +242,12 @@ def filter_not_missing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def filter_rule(spark: SparkSession, folder: str) -> DataFrame:
-    return st.filter_rule(base_comments(spark, folder), "en").select("row_id", "body")
+    return st.filter_rule(plain_comments(spark, folder), "en").select("row_id", "body")
 
 
 @query
 def filter_known_text(spark: SparkSession, folder: str) -> DataFrame:
-    known = st.filter_known_text(base_comments(spark, folder), document_vectors(spark, folder), text_col="body")
+    known = st.filter_known_text(plain_comments(spark, folder), document_vectors(spark, folder), text_col="body")
     return known.select("row_id")
 
 
@@ -289,7 +289,7 @@ def join_negative(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def join_text_embedding(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = ce.keyed_comments(base_comments(spark, folder))
+    keyed = ce.keyed_comments(plain_comments(spark, folder))
     rows = ce.join_text_embedding(keyed, document_vectors(spark, folder))
     return rows.select("row_id", vector_text("embedding").alias("embedding"))
 
@@ -323,7 +323,7 @@ def distinct_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def distinct_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return st.distinct_rules(base_comments(spark, folder))
+    return st.distinct_rules(plain_comments(spark, folder))
 
 
 @query
@@ -348,7 +348,7 @@ def drop_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stage_counts(spark: SparkSession, folder: str) -> DataFrame:
-    comments = base_comments(spark, folder)
+    comments = plain_comments(spark, folder)
     return st.stage_counts(
         loaded=comments,
         train=train_rows(spark, folder),
@@ -373,22 +373,22 @@ def union_slices(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def sample_stratified(spark: SparkSession, folder: str) -> DataFrame:
-    return sa.stratified_sample(base_comments(spark, folder)).select("row_id", "rule")
+    return sa.stratified_sample(plain_comments(spark, folder)).select("row_id", "rule")
 
 
 @query
 def sample_n(spark: SparkSession, folder: str) -> DataFrame:
-    return sa.sample_n(base_comments(spark, folder), 100).select("row_id", "rule")
+    return sa.sample_n(plain_comments(spark, folder), 100).select("row_id", "rule")
 
 
 @query
 def head_n(spark: SparkSession, folder: str) -> DataFrame:
-    return sa.head_n(base_comments(spark, folder), 100).select("row_id", "rule")
+    return sa.head_n(plain_comments(spark, folder), 100).select("row_id", "rule")
 
 
 @query
 def shuffle_batches(spark: SparkSession, folder: str) -> DataFrame:
-    rows = base_comments(spark, folder).select("row_id")
+    rows = plain_comments(spark, folder).select("row_id")
     return sa.shuffle_batches(rows, id_cols=["row_id"])
 
 
@@ -407,7 +407,7 @@ def pseudo_training_set(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def prompt_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    comments = full_comments(spark, folder)
+    comments = full_comments(spark, folder, labelled=True)
     train = comments.filter(F.col("rule_violation").isNotNull())
     test = comments.filter(F.col("rule_violation").isNull()).drop("rule_violation")
     return tr.prompt_dataset(train, test)
@@ -446,19 +446,20 @@ def _letter_share():
 
 @query
 def score_batches(spark: SparkSession, folder: str) -> DataFrame:
-    rows = base_comments(spark, folder).select("row_id", "body")
+    rows = plain_comments(spark, folder).select("row_id", "body")
     return mo.score_batches(rows, _letter_share, "double", text_col="body").select("row_id", "value")
 
 
 @query
 def embed_texts(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = mo.embed_texts(base_comments(spark, folder), text_col="body", dim=DIM)
+    vectors = mo.embed_texts(plain_comments(spark, folder), text_col="body", dim=DIM)
     return vectors.select("text_key", vector_text("embedding").alias("embedding"))
 
 
 @query
 def text_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    prompts = drawn_comments(spark, folder).select("row_id", "rule_violation", tx.build_prompt().alias("prompt"))
+    comments = tr.with_drawn_examples(full_comments(spark, folder, labelled=True))
+    prompts = comments.select("row_id", "rule_violation", tx.build_prompt().alias("prompt"))
     model = mo.fit_text_classifier(prompts.filter(F.col("rule_violation").isNotNull()))
     return mo.score_text_classifier(model, prompts).select("row_id", "score", "reply")
 

@@ -7,23 +7,18 @@ from pyspark.sql import functions as F
 
 from ruleweave.functions.text import clean_urls, digest, str_or_nan
 from ruleweave.functions.vectors import cosine_similarity, euclidean_distance, nearest_side, zero_vector
-from ruleweave.operators.sets import side_texts
+from ruleweave.operators.sets import side_rows, side_texts
 from ruleweave.operators.stages import lookup_join
 
 
-def one_vector_per_text(
-    df: DataFrame, *, key: str, text_col: str = "text", vector_col: str = "embedding"
-) -> DataFrame:
-    """(text_key, embedding): for each distinct text the vector of its smallest ``key``.
+def one_vector_per_text(df: DataFrame, *, key: str) -> DataFrame:
+    """(text_key, embedding): for each distinct ``text_key`` the vector of its smallest ``key``.
 
     Copies of a text meet in the map-side part of the aggregate, so a text that makes up a third of the rows does
     not pile up in one task.
     """
-    return (
-        df.filter(F.col(text_col).isNotNull())
-        .groupBy(digest(text_col).alias("text_key"))
-        .agg(F.min_by(vector_col, key).alias("embedding"))
-    )
+    known = df.filter(F.col("text_key").isNotNull())
+    return known.groupBy("text_key").agg(F.min_by("embedding", key).alias("embedding"))
 
 
 def centroid_members(comments: DataFrame, *, with_text: bool = False) -> DataFrame:
@@ -35,9 +30,11 @@ def centroid_members(comments: DataFrame, *, with_text: bool = False) -> DataFra
         comments.filter(F.col("rule").isNotNull()).select(clean_urls(str_or_nan("rule")).alias("rule_key")).distinct()
     )
     own = rules.select("rule_key", F.lit(False).alias("violating"), F.col("rule_key").alias("text"))
-    members = side_texts(comments).unionAll(own)
-    columns = ["rule_key", "violating", digest("text").alias("text_key")]
-    return members.select(*columns, "text") if with_text else members.select(*columns)
+    if with_text:
+        return side_texts(comments).unionAll(own).withColumn("text_key", digest("text"))
+    # Without the text the digest is taken before the distinct, which then shuffles keys only.
+    keys = ["rule_key", "violating", digest("text").alias("text_key")]
+    return side_rows(comments).select(*keys).distinct().unionAll(own.select(*keys))
 
 
 def rule_centroids(comments: DataFrame, vectors: DataFrame, *, dim: int) -> DataFrame:

@@ -39,24 +39,27 @@ def distinct_rules(df: DataFrame, *, rule_col: str = "rule") -> DataFrame:
     return df.select(rule_col).distinct()
 
 
-def side_texts(comments: DataFrame) -> DataFrame:
-    """Distinct (rule_key, violating, text) over the worked examples, URLs cleaned.
+def side_rows(comments: DataFrame) -> DataFrame:
+    """(rule_key, violating, text), one row per worked example, URLs cleaned.
 
     Positive examples are the ones that break the rule. Rows without a rule belong to no set.
     """
     sides = [
-        F.struct(F.lit(c.startswith("positive")).alias("violating"), clean_urls(F.col(c)).alias("text"))
-        for c in EXAMPLE_COLUMNS
+        F.struct(F.lit(c.startswith("positive")).alias("violating"), F.col(c).alias("text")) for c in EXAMPLE_COLUMNS
     ]
     return (
         comments.filter(F.col("rule").isNotNull())
         .select(clean_urls(str_or_nan("rule")).alias("rule_key"), F.explode(F.array(*sides)).alias("e"))
-        .select("rule_key", "e.violating", "e.text")
-        .filter(F.col("text").isNotNull())
-        .distinct()
+        .filter(F.col("e.text").isNotNull())
+        .select("rule_key", "e.violating", clean_urls("e.text").alias("text"))
     )
 
 
+def side_texts(comments: DataFrame) -> DataFrame:
+    """Distinct (rule_key, violating, text) over the worked examples."""
+    return side_rows(comments).distinct()
+
+
 def union_with_missing(first: DataFrame, second: DataFrame) -> DataFrame:
     """All rows of both; a column that one side lacks is missing there."""
     return first.unionByName(second, allowMissingColumns=True)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ruleweave.defaults import NEGATIVE_TOKEN, POSITIVE_TOKEN, PSEUDO_FRACTION, SEED
-from ruleweave.functions.text import build_prompt, clean_urls, label_to_token, pick_example
+from ruleweave.defaults import EXAMPLE_COLUMNS, NEGATIVE_TOKEN, POSITIVE_TOKEN, PSEUDO_FRACTION, SEED
+from ruleweave.functions.text import build_prompt, clean_urls, digest, label_to_token, pick_example
 from ruleweave.operators.indexing import build_pool_index, pick_partners
 from ruleweave.operators.sampling import head_n, sample_fraction, sample_n, stratified_sample
 from ruleweave.operators.sets import union_with_missing
@@ -67,20 +67,32 @@ def prompt_dataset(
 ) -> DataFrame:
     """(prompt, completion) from the train rows and, if ``comments`` is given, its pseudo-labelled rows.
 
-    ``sample_size`` keeps the first rows: train rows by id, then pseudo rows, which have none, by content.
+    ``sample_size`` keeps the first rows: train rows by id, then pseudo rows, which have none, in a random order.
     """
-    rows = train
-    if comments is not None:
-        rows = union_with_missing(train, pseudo_training_set(comments, frac=frac, seed=seed))
-    rows = with_drawn_examples(rows, seed=seed)
     completion = label_to_token("rule_violation", positive_token=positive_token, negative_token=negative_token)
-    built = rows.select("row_id", build_prompt().alias("prompt"), completion.alias("completion"))
-    if sample_size:
-        if comments is None:
-            built = head_n(built, sample_size)
-        else:
-            built = built.orderBy(F.col("row_id").asc_nulls_last(), "prompt", "completion").limit(sample_size)
-    return built.select("prompt", "completion")
+
+    def prompts(rows: DataFrame) -> DataFrame:
+        return with_drawn_examples(rows, seed=seed).select(
+            "row_id", build_prompt().alias("prompt"), completion.alias("completion")
+        )
+
+    if comments is None:
+        return head_n(prompts(train), sample_size).select("prompt", "completion")
+    pseudo = pseudo_training_set(comments, frac=frac, seed=seed)
+    if not sample_size:
+        return prompts(union_with_missing(train, pseudo)).select("prompt", "completion")
+    first = head_n(prompts(train), sample_size).select("prompt", "completion")
+    left = sample_size - train.count()
+    if left <= 0:
+        return first
+    # Pseudo rows have no id, so their order is a draw on their content.
+    more = prompts(pseudo.withColumn("row_id", F.lit(None).cast("long")).select("*", *_no_examples()))
+    keyed = more.withColumn("_content", digest(F.concat("prompt", "completion")))
+    return first.unionAll(sample_n(keyed, left, id_col="_content", tag="head", seed=seed).select("prompt", "completion"))
+
+
+def _no_examples() -> list[Column]:
+    return [F.lit(None).cast("string").alias(c) for c in EXAMPLE_COLUMNS]
 
 
 def triplet_rows(
@@ -115,8 +127,9 @@ def triplet_rows(
     def role(name: str) -> Column:
         return F.first(F.when(F.col("role") == name, F.struct("_text")), ignorenulls=True)["_text"].alias(name)
 
-    # Two picks per anchor and draw, brought together by id; anchors join on the leading id.
-    pairs = picks.join(pool_texts, "pool_id").groupBy(*ids).agg(role("positive"), role("negative"))
+    # Spread by the leading id alone: that serves both the grouping and the join with the anchors' own texts.
+    texts = picks.join(pool_texts, "pool_id").repartition("row_id")
+    pairs = texts.groupBy(*ids).agg(role("positive"), role("negative"))
     return anchors.select("row_id", clean_urls("body").alias("anchor")).join(pairs, "row_id").select(
         *ids, "anchor", "positive", "negative"
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ruleweave.functions.text import digest
 from ruleweave.operators.centroids import one_vector_per_text
 from ruleweave.operators.stages import lookup_join, materialize
 
@@ -18,36 +19,41 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def base_comments(spark: SparkSession, folder: str) -> DataFrame:
-    """(row_id, body, rule, subreddit, rule_violation); the label is null for test rows."""
-    docs = table(spark, folder, "documents")
-    labels = table(spark, folder, "labels").select("doc_id", "toxic")
-    return docs.join(labels, "doc_id", "left").select(
+def plain_comments(spark: SparkSession, folder: str) -> DataFrame:
+    """(row_id, body, rule, subreddit), straight from the scan."""
+    return table(spark, folder, "documents").select(
         F.col("doc_id").alias("row_id"),
         F.col("text").alias("body"),
         F.col("lang").alias("rule"),
         F.col("source").alias("subreddit"),
-        F.col("toxic").cast("int").alias("rule_violation"),
     )
 
 
+def base_comments(spark: SparkSession, folder: str) -> DataFrame:
+    """``plain_comments`` with ``rule_violation``, which is null for test rows."""
+    labels = table(spark, folder, "labels").select(
+        F.col("doc_id").alias("row_id"), F.col("toxic").cast("int").alias("rule_violation")
+    )
+    return plain_comments(spark, folder).join(labels, "row_id", "left")
+
+
 def document_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """(text_key, embedding), one row per distinct text: that of its smallest document id."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    # The digest is taken in the scan, so the texts themselves are not shuffled.
+    docs = table(spark, folder, "documents").select("doc_id", digest("text").alias("text_key"))
     vectors = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     return one_vector_per_text(docs.join(vectors, "doc_id"), key="doc_id")
 
 
-def full_comments(spark: SparkSession, folder: str) -> DataFrame:
-    """``base_comments`` with the four worked examples.
+def full_comments(spark: SparkSession, folder: str, *, labelled: bool = False) -> DataFrame:
+    """Comments with the four worked examples and, if ``labelled``, the label.
 
     The labelled documents of each (language, side) are numbered by id; a comment takes those at its own id modulo
     their count and the next one. Numbering ranks within ranges of 65,536 ids and adds the counts before them.
     """
-    base = base_comments(spark, folder)
-    # Through both inputs of the join again, so that a row without a label cannot reach the examples.
-    labelled = base.filter(F.col("rule_violation").isNotNull() & F.col("rule").isNotNull())
-    keyed = labelled.select(
+    base = base_comments(spark, folder) if labelled else plain_comments(spark, folder)
+    examples = base_comments(spark, folder).filter(F.col("rule_violation").isNotNull() & F.col("rule").isNotNull())
+    keyed = examples.select(
         "rule",
         F.col("rule_violation").alias("side"),
         F.col("row_id").alias("example_id"),
@@ -67,8 +73,8 @@ def full_comments(spark: SparkSession, folder: str) -> DataFrame:
         .join(starts, [*side, "_range"])
         .select(*side, "example_id", (F.col("_start") + F.col("_rank") - 1).alias("_ix"))
     )
-    texts = labelled.select(F.col("row_id").alias("example_id"), F.col("body").alias("_text"))
-    examples = numbered.join(texts, "example_id").select(*side, "_ix", "_text")
+    texts = examples.select(F.col("row_id").alias("example_id"), F.col("body").alias("_text"))
+    numbered_texts = numbered.join(texts, "example_id").select(*side, "_ix", "_text")
 
     # Long form: one join for the four examples of a comment, then back to one row per comment.
     slots = [
@@ -79,7 +85,7 @@ def full_comments(spark: SparkSession, folder: str) -> DataFrame:
     wanted = lookup_join(
         base.select("row_id", "rule"), sizes, ["rule"], "inner", spread_by="row_id", stored=True
     ).select("row_id", "rule", F.explode(F.array(*slots)).alias("s"))
-    found = wanted.select("row_id", "rule", "s.*").join(examples, [*side, "_ix"])
+    found = wanted.select("row_id", "rule", "s.*").join(numbered_texts, [*side, "_ix"])
     names = [f"{name}_example_{i}" for name in ("positive", "negative") for i in (1, 2)]
     chosen = found.groupBy("row_id").agg(
         *[F.first(F.when(F.col("slot") == name, F.col("_text")), ignorenulls=True).alias(name) for name in names]
