@@ -439,15 +439,15 @@ def full_inference(spark: SparkSession, folder: str) -> DataFrame:
     return inf.full_inference(full_comments(spark, folder), label_replies(spark, folder), dim=DIM)
 
 
-def _letter_share():
-    """A small stand-in for a model: share of the letter e in a text."""
-    return lambda texts: [round(t.count("e") / len(t), 6) if t else 0.0 for t in texts]
-
-
 @query
 def score_batches(spark: SparkSession, folder: str) -> DataFrame:
+    # Defined in here, so that workers get it by value and need not import this package.
+    def load_letter_share():
+        """A small stand-in for a model: share of the letter e in a text."""
+        return lambda texts: [round(t.count("e") / len(t), 6) if t else 0.0 for t in texts]
+
     rows = plain_comments(spark, folder).select("row_id", "body")
-    return mo.score_batches(rows, _letter_share, "double", text_col="body").select("row_id", "value")
+    return mo.score_batches(rows, load_letter_share, "double", text_col="body").select("row_id", "value")
 
 
 @query

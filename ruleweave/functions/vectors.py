@@ -79,7 +79,8 @@ def hashed_embedding(text: Column | str, dim: int = 64, max_tokens: int | None =
 
     ``max_tokens`` cuts a text to its first words; by default the whole text counts.
     """
-    words = F.regexp_extract_all(F.lower(_col(text)), F.lit(WORD_PATTERN), F.lit(0))
+    text = _col(text)
+    words = F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
     if max_tokens is not None:
         words = F.slice(words, 1, max_tokens)
     buckets = F.transform(
@@ -87,7 +88,7 @@ def hashed_embedding(text: Column | str, dim: int = 64, max_tokens: int | None =
         lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim).cast("int"),
     )
     counts = _bind(buckets, lambda b: _histogram(b, dim))
-    return _bind(counts, l2_normalize)
+    return F.when(text.isNotNull(), _bind(counts, l2_normalize))
 
 
 def _histogram(buckets: Column, dim: int) -> Column:

@@ -56,17 +56,17 @@ def lookup_join(
     *,
     spread_by: str,
     stored: bool = False,
-    limit: int = BROADCAST_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Join a large frame with a side table that holds one row per key.
 
-    The side table is computed once and measured. Up to ``limit`` bytes it is broadcast, so ``left`` is not shuffled.
-    Beyond that both sides are hashed on the key and a salt taken from ``spread_by``, so a key that holds a third of
+    The side table is computed once and measured. Up to ``limit`` bytes (by default ``BROADCAST_LIMIT``) it is
+    broadcast, so ``left`` is not shuffled. Beyond that both sides are hashed on the key and a salt taken from ``spread_by``, so a key that holds a third of
     the rows is still spread over many tasks. Pass ``stored=True`` if the side table is cheap to read again.
     """
     if not stored:
         side = materialize(side)
-    if measured_bytes(side) <= limit:
+    if measured_bytes(side) <= (BROADCAST_LIMIT if limit is None else limit):
         return left.join(F.broadcast(side), on, how)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
     salted_side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -1,0 +1,142 @@
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import comments, py_draw, sha
+from ruleweave.operators import indexing as ix
+
+
+def pool_rows():
+    rows = [{"row_id": i, "rule": "hot", "subreddit": f"s{i % 5}", "body": f"hot {i}"} for i in range(300)]
+    rows += [{"row_id": 300 + i, "rule": "small", "subreddit": "s0", "body": f"small {i}"} for i in range(4)]
+    rows += [{"row_id": 310 + i, "rule": None, "subreddit": "s1", "body": f"ruleless {i}"} for i in range(3)]
+    rows += [{"row_id": 320 + i, "rule": "hot", "subreddit": None, "body": f"homeless {i}"} for i in range(6)]
+    return rows
+
+
+def anchor_rows():
+    return [
+        {"row_id": 1000, "rule": "hot", "subreddit": "s1"},
+        {"row_id": 1001, "rule": "hot", "subreddit": "elsewhere"},
+        {"row_id": 1002, "rule": "hot", "subreddit": None},
+        {"row_id": 1003, "rule": "small", "subreddit": "s0"},
+        {"row_id": 1004, "rule": "small", "subreddit": "s9"},
+        {"row_id": 1005, "rule": "absent", "subreddit": "s0"},
+        {"row_id": 1006, "rule": None, "subreddit": "s0"},
+    ] + [{"row_id": 2000 + i, "rule": "hot", "subreddit": f"s{i % 7}"} for i in range(200)]
+
+
+def key(value):
+    return "" if value is None else sha(value)
+
+
+def ordered_pool():
+    return sorted(
+        pool_rows(), key=lambda r: (key(r["rule"]), key(r["subreddit"]), py_draw("pool", r["row_id"]), r["row_id"])
+    )
+
+
+def candidates(anchor, role):
+    """The pool by definition: missing equals nothing, and differs from everything."""
+    pool = ordered_pool()
+    differs = lambda a, b: a is None or b is None or a != b
+    if role == "negative":
+        return [r for r in pool if differs(r["rule"], anchor["rule"])]
+    return [
+        r
+        for r in pool
+        if r["rule"] is not None
+        and r["rule"] == anchor["rule"]
+        and differs(r["subreddit"], anchor["subreddit"])
+    ]
+
+
+def brute_pick(anchor, role):
+    pool = candidates(anchor, role)
+    return pool[py_draw(role, anchor["row_id"]) % len(pool)]["row_id"] if pool else None
+
+
+@pytest.mark.parametrize("bits", [0, 4, 12])
+def test_numbers_are_dense_and_ordered(spark, bits):
+    index = ix.build_pool_index(comments(spark, pool_rows()), bits=bits)
+    got = {r.ix: r.pool_id for r in index.rows.collect()}
+    assert got == {i: r["row_id"] for i, r in enumerate(ordered_pool())}
+    assert index.total == len(pool_rows())
+
+
+def check_picks(spark, role):
+    index = ix.build_pool_index(comments(spark, pool_rows()))
+    picks = ix.pick_partners(
+        comments(spark, anchor_rows()),
+        index,
+        positive=role == "positive",
+        negative=role == "negative",
+        id_cols=["row_id"],
+    )
+    got = {r.row_id: r.pool_id for r in picks.collect()}
+    expected = {a["row_id"]: brute_pick(a, role) for a in anchor_rows()}
+    assert got == {a: p for a, p in expected.items() if p is not None}
+
+
+@pytest.mark.parametrize("role", ["positive", "negative"])
+def test_picks(spark, role):
+    check_picks(spark, role)
+
+
+@pytest.mark.parametrize("role", ["positive", "negative"])
+def test_picks_salted(spark, no_broadcast, role):
+    check_picks(spark, role)
+
+
+def test_every_candidate_can_be_picked(spark):
+    pool = comments(spark, [{"row_id": i, "rule": "r" if i < 6 else "q", "subreddit": f"s{i % 3}"} for i in range(9)])
+    anchors = comments(spark, [{"row_id": i, "rule": "r", "subreddit": "s0"} for i in range(400)])
+    picks = ix.pick_partners(
+        anchors, ix.build_pool_index(pool), positive=True, negative=True, id_cols=["row_id"]
+    ).collect()
+    assert {r.pool_id for r in picks if r.role == "positive"} == {1, 2, 4, 5}
+    assert {r.pool_id for r in picks if r.role == "negative"} == {6, 7, 8}
+    assert len(picks) == 800
+
+
+def test_no_nested_loops(spark):
+    index = ix.build_pool_index(comments(spark, pool_rows()))
+    picks = ix.pick_partners(
+        comments(spark, anchor_rows()), index, positive=True, negative=True, id_cols=["row_id"]
+    )
+    plan = picks._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_nonempty_pool(spark, salted, request):
+    if salted:
+        request.getfixturevalue("no_broadcast")
+    kept = ix.filter_nonempty_pool(comments(spark, anchor_rows()), comments(spark, pool_rows())).collect()
+    expected = {
+        a["row_id"]: (len(candidates(a, "positive")), len(candidates(a, "negative"))) for a in anchor_rows()
+    }
+    assert {r.row_id: (r.positive_pool, r.negative_pool) for r in kept} == {
+        a: sizes for a, sizes in expected.items() if min(sizes) > 0
+    }
+
+
+def test_empty_pool(spark):
+    empty = comments(spark, [])
+    picks = ix.pick_partners(
+        comments(spark, anchor_rows()), ix.build_pool_index(empty), positive=False, negative=True, id_cols=["row_id"]
+    )
+    assert picks.count() == 0
+
+
+def test_lookup_join_paths_agree(spark):
+    from ruleweave.operators.stages import lookup_join
+
+    left = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("k"))
+    side = spark.createDataFrame([("hot", 1), ("1", 2), ("2", 3), (None, 4)], "k string, v int")
+    for how in ("left", "inner"):
+        direct = lookup_join(left, side, ["k"], how, spread_by="id")
+        salted = lookup_join(left, side, ["k"], how, spread_by="id", limit=-1)
+        plain = left.join(side, ["k"], how)
+        assert sorted(map(repr, direct.collect())) == sorted(map(repr, plain.collect()))
+        assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
+        assert "BroadcastHashJoin" in direct._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,122 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ruleweave.defaults import SYSTEM_PROMPT
+from ruleweave.functions import text as tx
+
+
+def evaluate(spark, values, fn, kind="string"):
+    rows = spark.createDataFrame(list(enumerate(values)), f"i int, v {kind}")
+    return [r.o for r in rows.select("i", fn(F.col("v")).alias("o")).orderBy("i").collect()]
+
+
+URLS = {
+    "https://WWW.Ex.com/A/b/c?q=1 tail": "<url>: (ex.com/A/b) tail",
+    "x http://a.com": "x <url>: (a.com)",
+    "(http://a.com/x/y/z) https://a.com/x": "(<url>: (a.com/x/y) <url>: (a.com/x)",
+    "http://a.com http://a.com/b#f": "<url>: (a.com) <url>: (a.com/b)",
+    "http://h.com/p;v=1": "<url>: (h.com/p)",
+    "http://h.com/p;v=1/q": "<url>: (h.com/p;v=1/q)",
+    "https://ex.com/<b>": "<url>: (ex.com)<b>",
+    "http:///a/b/c": "<url>: (/a/b)",
+    "http://?q": "<url>: ()",
+    "http://www.a.www.b.com//x//y/": "<url>: (a.b.com/x/y)",
+    "see http://x.com/a, then": "see <url>: (x.com/a,) then",
+    "http://x＃y.com/a z": "<url>: (unknown) z",
+    "http://u℀.com": "<url>: (unknown)",
+    "http://a.com/＃": "<url>: (a.com/＃)",
+    "ftp://a.com/b": "ftp://a.com/b",
+    "http://[::1]/x": "http://[::1]/x",
+    "line1\nhttp://a.com/b\nline3": "line1\n<url>: (a.com/b)\nline3",
+    "cost $1 \\1 http://a.com/$1/\\x": "cost $1 \\1 <url>: (a.com/$1)\\x",
+    "none": "none",
+    "://": "://",
+    "": "",
+    None: None,
+}
+
+
+def test_clean_urls(spark):
+    assert dict(zip(URLS, evaluate(spark, list(URLS), tx.clean_urls))) == URLS
+
+
+def test_refused_host_characters():
+    # Their compatibility form holds a character that ends or splits a host name.
+    import unicodedata
+
+    expected = {
+        chr(c)
+        for c in range(0x80, 0x110000)
+        if not 0xD800 <= c < 0xE000 and set("/?#@:") & set(unicodedata.normalize("NFKC", chr(c)))
+    }
+    assert set(tx.REFUSED_HOST_PATTERN[1:-1]) == expected
+
+
+def test_clean_urls_on_long_text(spark):
+    text = " ".join(f"word{i} https://www.site{i}.org/a{i}/b/c?x={i}" for i in range(3000))
+    expected = " ".join(f"word{i} <url>: (site{i}.org/a{i}/b)" for i in range(3000))
+    assert evaluate(spark, [text], tx.clean_urls) == [expected]
+
+
+def test_normalize_missing(spark):
+    values = ["NA", "None", "n/a", "", "na", "NULL", "text", "-1.#IND", None, " NA"]
+    assert evaluate(spark, values, tx.normalize_missing) == [None] * 4 + ["na", None, "text", None, None, " NA"]
+
+
+def test_label_to_token(spark):
+    assert evaluate(spark, [1, 0, 2, None], tx.label_to_token, "int") == ["Yes", "No", None, None]
+    custom = lambda c: tx.label_to_token(c, positive_token="1", negative_token="0")
+    assert evaluate(spark, [1, 0], custom, "int") == ["1", "0"]
+
+
+def test_reply_to_label(spark):
+    assert evaluate(spark, ["Yes", "yes", "Yes ", None], tx.reply_to_label) == [True, False, False, False]
+
+
+def test_str_or_nan(spark):
+    assert evaluate(spark, [1, None], tx.str_or_nan, "int") == ["1", "nan"]
+
+
+def test_digest_of_null_is_null(spark):
+    import hashlib
+
+    assert evaluate(spark, ["é", None], tx.digest) == [hashlib.sha256("é".encode()).hexdigest(), None]
+
+
+def test_build_prompt(spark):
+    row = spark.createDataFrame(
+        [("s", "be nice", "bad", "good", "hello"), (None, None, None, None, None)],
+        "subreddit string, rule string, positive_example string, negative_example string, body string",
+    )
+    full, empty = [r[0] for r in row.select(tx.build_prompt()).collect()]
+    assert full == (
+        SYSTEM_PROMPT
+        + "\nSubreddit: r/s\nRule: be nice\nExamples:\n1) bad\nViolation: Yes\n2) good\nViolation: No\n"
+        + "Comment: hello\nViolation:"
+    )
+    assert SYSTEM_PROMPT.endswith("Only respond Yes/No.\n") and "\n" not in SYSTEM_PROMPT[:-1]
+    assert empty.count("nan") == 5
+
+
+def test_sft_text_and_strip_prompt(spark):
+    df = spark.createDataFrame([("é😀 prompt", " Yes"), ("", "x"), ("p", "")], "prompt string, completion string")
+    back = df.withColumn("full", tx.sft_text()).select("completion", tx.strip_prompt("full", "prompt").alias("reply"))
+    assert all(r.completion == r.reply for r in back.collect())
+
+
+def test_pick_example_is_a_fair_fixed_coin(spark):
+    ids = spark.range(4000).select(F.lit("a").alias("a"), F.lit("b").alias("b"), "id")
+    picked = [r[0] for r in ids.select(tx.pick_example("a", "b", "t", "id")).collect()]
+    assert 1850 < picked.count("a") < 2150
+    again = [r[0] for r in ids.repartition(7).orderBy("id").select(tx.pick_example("a", "b", "t", "id")).collect()]
+    assert again == picked
+    other = [r[0] for r in ids.select(tx.pick_example("a", "b", "other", "id")).collect()]
+    assert other != picked
+
+
+@pytest.mark.parametrize("tag,key", [("t", 1), ("t", "x|y"), ("pseudo", 12345678901)])
+def test_draw_matches_python(spark, tag, key):
+    from helpers import py_draw
+    from ruleweave.functions.draws import draw
+
+    assert spark.range(1).select(draw(tag, F.lit(key))).first()[0] == py_draw(tag, key)
