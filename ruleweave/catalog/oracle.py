@@ -276,6 +276,10 @@ def oracle_sql() -> dict[str, str]:
             select doc_id as row_id, case when cell not in ({tokens}) then cell end as cell
             from (select doc_id, {cells}[doc_id % {len(MISSING_TOKENS) + 5} + 1] as cell from documents)""",
         "write_submission": base_then("select row_id, rule_violation from base where rule_violation is not null"),
+        "read_predictions_pair": """
+            with l as (select nullif(doc_id, 0) as row_id, toxic::double as toxic, quality::double as quality from labels)
+            select a.row_id, a.toxic as rule_violation_llm, b.quality as rule_violation_gte
+            from l a join l b on a.row_id is not distinct from b.row_id""",
         "load_clean": f"""
             select row_id, {clean('body')} as body
             from (select row_id, case when row_id % 10 != 0 then body end as body from ({LINKED}))""",
@@ -422,5 +426,5 @@ def oracle_sql() -> dict[str, str]:
             union all
             select 'euclidean', count(*),
                    round({loss.format(p='list_distance(a, p)', n='list_distance(a, n)')}, 6) from found""",
-        "draw_parity": f"select doc_id, {draw('parity', 'doc_id', 'lang')} as draw from documents",
+        "keyed_draw": f"select doc_id, {draw('check', 'doc_id', 'lang')} as draw from documents",
     }

@@ -15,6 +15,7 @@ from ruleweave.operators import indexing as ix
 from ruleweave.operators import joins as jn
 from ruleweave.operators import sampling as sa
 from ruleweave.operators import sets as st
+from ruleweave.operators.stages import staging_path
 from ruleweave.plans import ensemble as en
 from ruleweave.plans import inference as inf
 from ruleweave.plans import models as mo
@@ -117,6 +118,16 @@ def write_submission(spark: SparkSession, folder: str) -> DataFrame:
     return fi.submission_columns(train_rows(spark, folder))
 
 
+@query
+def read_predictions_pair(spark: SparkSession, folder: str) -> DataFrame:
+    """Two prediction tables written as CSV to the shared folder and read back as a pair."""
+    paths = []
+    for column in ("toxic", "quality"):
+        paths.append(staging_path(spark, f"predictions-{column}"))
+        fi.write_submission(label_scores(spark, folder, column), paths[-1])
+    return jn.join_predictions(*fi.read_predictions_pair(spark, *paths))
+
+
 @query
 def load_clean(spark: SparkSession, folder: str) -> DataFrame:
     pages = linked_text(spark, folder)
@@ -457,7 +468,7 @@ def embed_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def text_classifier(spark: SparkSession, folder: str) -> DataFrame:
+def score_text_classifier(spark: SparkSession, folder: str) -> DataFrame:
     comments = tr.with_drawn_examples(full_comments(spark, folder, labelled=True))
     prompts = comments.select("row_id", "rule_violation", tx.build_prompt().alias("prompt"))
     model = mo.fit_text_classifier(prompts.filter(F.col("rule_violation").isNotNull()))
@@ -478,6 +489,6 @@ def triplet_margin_loss(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def draw_parity(spark: SparkSession, folder: str) -> DataFrame:
+def keyed_draw(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return docs.select("doc_id", draw("parity", "doc_id", "lang").alias("draw"))
+    return docs.select("doc_id", draw("check", "doc_id", "lang").alias("draw"))

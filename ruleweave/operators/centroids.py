@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ruleweave.functions.text import clean_urls, digest, str_or_nan
 from ruleweave.functions.vectors import cosine_similarity, euclidean_distance, nearest_side, zero_vector
 from ruleweave.operators.sets import side_rows, side_texts
-from ruleweave.operators.stages import lookup_join
+from ruleweave.operators.stages import lookup_join, skew_join
 
 
 def one_vector_per_text(df: DataFrame, *, key: str) -> DataFrame:
@@ -72,8 +72,11 @@ def keyed_comments(comments: DataFrame) -> DataFrame:
 
 
 def join_text_embedding(keyed: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Add each row's vector; a text without one stays missing. Only keys and vectors are shuffled."""
-    return keyed.join(vectors.select("text_key", "embedding"), "text_key", "left")
+    """Add each row's vector; a text without one stays missing.
+
+    Only keys and vectors are shuffled, and a text with very many copies is spread over several tasks.
+    """
+    return skew_join(keyed, vectors.select("text_key", "embedding"), ["text_key"], spread_by="row_id")
 
 
 def join_rule_centroid(

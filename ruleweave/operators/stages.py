@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 BROADCAST_LIMIT = 64 * 1024 * 1024
 # Pieces a key is cut into when its side table is too big to broadcast.
 SALTS = 32
+# Rows of one key that a single task may join.
+ROWS_PER_PIECE = 1_000_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -33,6 +36,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for a table that is written and read again."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of the rows as counted by Spark, in one aggregate."""
 
@@ -71,3 +80,40 @@ def lookup_join(
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
     salted_side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted_left.join(salted_side, [*on, "_salt"], how).drop("_salt")
+
+
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "left",
+    *,
+    spread_by: str,
+    rows_per_piece: int | None = None,
+) -> DataFrame:
+    """Join a narrow frame, in which a key may repeat without limit, with a large one that holds it once.
+
+    Keys with more than ``rows_per_piece`` rows (by default ``ROWS_PER_PIECE``) are cut into pieces by a hash of
+    ``spread_by``, and only their rows on the right are repeated, once per piece. All other keys join as they are. The
+    table of such keys has at most one row per ``rows_per_piece`` rows of ``left``.
+    """
+    if left.isStreaming:
+        return left.join(right, on, how)
+    size = rows_per_piece or ROWS_PER_PIECE
+    left = materialize(left)
+    hot = materialize(
+        left.groupBy(*on)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > size)
+        .select(*on, F.ceil(F.col("_n") / size).cast("int").alias("_pieces"))
+    )
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+    cut_left = lookup_join(left, hot, on, "left", spread_by=spread_by, stored=True).withColumn(
+        "_piece", F.pmod(F.xxhash64(spread_by), pieces).cast("int")
+    )
+    cut_right = lookup_join(right, hot, on, "left", spread_by=on[0], stored=True).withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), pieces - 1))
+    )
+    return cut_left.drop("_pieces").join(cut_right.drop("_pieces"), [*on, "_piece"], how).drop("_piece")

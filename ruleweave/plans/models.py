@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ruleweave.defaults import EMBED_BATCH_SIZE, NEGATIVE_TOKEN, POSITIVE_TOKEN, TRIPLET_MARGIN
 from ruleweave.functions.text import digest
 from ruleweave.functions.vectors import WORD_PATTERN, cosine_similarity, euclidean_distance, hashed_embedding
+from ruleweave.operators.stages import materialize, skew_join
 
 Scorer = Callable[[Sequence[str]], Sequence]
 
@@ -60,6 +61,7 @@ def score_batches(
     """Add a scorer's value to each row. Every distinct text is scored once; a missing text has no value."""
     values = score_texts(df, load_scorer, value_type, text_col=text_col, batch_size=batch_size)
     keyed = df.withColumn("text_key", digest(text_col))
+    # Both inputs are shuffled for this join alone, so the adaptive planner can split a text with very many copies.
     return keyed.join(values.withColumnRenamed("value", value_col), "text_key", "left").drop("text_key")
 
 
@@ -82,14 +84,21 @@ def fit_text_classifier(
     max_iter: int = 20,
     reg: float = 0.01,
 ) -> PipelineModel:
-    """Learn a 0/1 label from text."""
-    stages = [
-        RegexTokenizer(inputCol=text_col, outputCol="_words", gaps=False, pattern=WORD_PATTERN),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=num_features),
-        IDF(inputCol="_counts", outputCol="_features"),
-        LogisticRegression(featuresCol="_features", labelCol=label_col, maxIter=max_iter, regParam=reg),
-    ]
-    return Pipeline(stages=stages).fit(labelled.select(text_col, F.col(label_col).cast("double").alias(label_col)))
+    """Learn a 0/1 label from text.
+
+    The texts are read and tokenised once; term weights and coefficients are then fitted on the stored word counts.
+    """
+    words = RegexTokenizer(inputCol=text_col, outputCol="_words", gaps=False, pattern=WORD_PATTERN)
+    hashing = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=num_features)
+    label = F.col(label_col).cast("double").alias(label_col)
+    counted = materialize(
+        hashing.transform(words.transform(labelled.select(text_col, label))).select(label_col, "_counts")
+    )
+    weights = IDF(inputCol="_counts", outputCol="_features").fit(counted)
+    regression = LogisticRegression(
+        featuresCol="_features", labelCol=label_col, maxIter=max_iter, regParam=reg
+    ).fit(weights.transform(counted))
+    return PipelineModel([words, hashing, weights, regression])
 
 
 def score_text_classifier(
@@ -120,7 +129,7 @@ def triplet_margin_loss(
         *id_cols,
         F.explode(F.array(*[F.struct(F.lit(r).alias("role"), digest(r).alias("text_key")) for r in roles])).alias("t"),
     ).select(*id_cols, "t.role", "t.text_key")
-    found = long.join(vectors.select("text_key", "embedding"), "text_key")
+    found = skew_join(long, vectors.select("text_key", "embedding"), ["text_key"], "inner", spread_by=id_cols[0])
     wide = found.groupBy(*id_cols).agg(
         *[F.first(F.when(F.col("role") == r, F.col("embedding")), ignorenulls=True).alias(r) for r in roles]
     )

@@ -10,6 +10,7 @@ from ruleweave.functions.text import build_prompt, clean_urls, digest, label_to_
 from ruleweave.operators.indexing import build_pool_index, pick_partners
 from ruleweave.operators.sampling import head_n, sample_fraction, sample_n, stratified_sample
 from ruleweave.operators.sets import union_with_missing
+from ruleweave.operators.stages import skew_join
 
 PSEUDO_COLUMNS = ["rule", "subreddit", "body", "positive_example", "negative_example", "rule_violation"]
 
@@ -127,8 +128,10 @@ def triplet_rows(
     def role(name: str) -> Column:
         return F.first(F.when(F.col("role") == name, F.struct("_text")), ignorenulls=True)["_text"].alias(name)
 
+    # A small pool is picked from by many anchors, so its rows may be hot.
+    texts = skew_join(picks, pool_texts, ["pool_id"], "inner", spread_by="row_id")
     # Spread by the leading id alone: that serves both the grouping and the join with the anchors' own texts.
-    texts = picks.join(pool_texts, "pool_id").repartition("row_id")
+    texts = texts.repartition("row_id")
     pairs = texts.groupBy(*ids).agg(role("positive"), role("negative"))
     return anchors.select("row_id", clean_urls("body").alias("anchor")).join(pairs, "row_id").select(
         *ids, "anchor", "positive", "negative"

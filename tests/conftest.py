@@ -22,3 +22,11 @@ def no_broadcast(monkeypatch):
     from ruleweave.operators import stages
 
     monkeypatch.setattr(stages, "BROADCAST_LIMIT", -1)
+
+
+@pytest.fixture
+def small_pieces(monkeypatch):
+    """Take every repeated key as a hot one."""
+    from ruleweave.operators import stages
+
+    monkeypatch.setattr(stages, "ROWS_PER_PIECE", 1)

@@ -30,7 +30,7 @@ def canonical(rows, columns):
 
 def test_names():
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
-    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"text_classifier"}
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"score_text_classifier"}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
@@ -43,5 +43,5 @@ def test_query_matches_sql(spark, database, name):
 
 
 def test_text_classifier(spark):
-    rows = catalog.queries()["text_classifier"](spark, FOLDER).collect()
+    rows = catalog.queries()["score_text_classifier"](spark, FOLDER).collect()
     assert len(rows) == 200 and {r.reply for r in rows} <= {"Yes", "No"}

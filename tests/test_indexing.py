@@ -140,3 +140,33 @@ def test_lookup_join_paths_agree(spark):
         assert sorted(map(repr, direct.collect())) == sorted(map(repr, plain.collect()))
         assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
         assert "BroadcastHashJoin" in direct._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("size", [7, 500, 10**6])
+def test_skew_join(spark, how, size):
+    from ruleweave.operators.stages import skew_join
+
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 11 != 0, (F.col("id") % 200).cast("string"))
+    left = spark.range(6000).select("id", key.alias("k"))
+    right = spark.range(150).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    right = right.union(spark.createDataFrame([("hot", -1), (None, -2), ("unused", -3)], "k string, v long"))
+    got = skew_join(left, right, ["k"], how, spread_by="id", rows_per_piece=size)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, left.join(right, ["k"], how).collect()))
+
+
+def test_skew_join_cuts_hot_keys(spark):
+    from ruleweave.operators.stages import skew_join
+
+    left = spark.range(10000).select("id", F.lit("hot").alias("k"))
+    right = spark.createDataFrame([("hot", 1)], "k string, v int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skew_join(left, right, ["k"], spread_by="id", rows_per_piece=100)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 4000

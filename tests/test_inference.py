@@ -82,10 +82,14 @@ def test_classify_salted(spark, no_broadcast):
     assert classify(spark) == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0}
 
 
-def test_copies_keep_their_rows(spark):
-    hot = sample(spark).filter("row_id = 1").drop("row_id").crossJoin(spark.range(3000).withColumnRenamed("id", "row_id"))
+def test_classify_in_pieces(spark, small_pieces):
+    assert classify(spark) == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0}
+
+
+def test_copies_keep_their_rows(spark, small_pieces):
+    hot = sample(spark).filter("row_id = 1").drop("row_id").crossJoin(spark.range(300).withColumnRenamed("id", "row_id"))
     got = inf.centroid_classify(hot, vectors(spark, VECTORS), dim=2)
-    assert got.agg(F.count("*"), F.sum("rule_violation"), F.countDistinct("row_id")).first() == (3000, 3000, 3000)
+    assert got.agg(F.count("*"), F.sum("rule_violation"), F.countDistinct("row_id")).first() == (300, 300, 300)
 
 
 def test_one_vector_per_text(spark):

@@ -114,7 +114,7 @@ def triplet_inputs(spark):
 
 
 @pytest.mark.parametrize("draws", [1, 3])
-def test_triplets_keep_their_promises(spark, draws):
+def test_triplets_keep_their_promises(spark, small_pieces, draws):
     anchors, train, by_text, rows = triplet_inputs(spark)
     got = tr.triplet_rows(anchors, train, draws_per_anchor=draws).collect()
     assert Counter((r.row_id, r.draw_no) for r in got) == Counter(
