@@ -35,6 +35,33 @@ def _before(window: Window, column: str) -> Column:
     return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
+def _with_starts(table: DataFrame, group: list[str], key: str, size: str, name: str) -> DataFrame:
+    """Add the sum of ``size`` over the smaller keys of the same group.
+
+    It is summed in two steps, so that no task sees a whole group: over the 4,096 leading digits of the keys, then
+    within each.
+    """
+    cut = table.withColumn("_shard", F.substring(key, 1, 3))
+    shards = (
+        cut.groupBy(*group, "_shard")
+        .agg(F.sum(size).alias("_shard_rows"))
+        .select(
+            *group,
+            "_shard",
+            _before(Window.partitionBy(*group).orderBy("_shard"), "_shard_rows").alias("_shard_start"),
+        )
+    )
+    if not group:
+        # At most 4,097 rows of a few bytes.
+        shards = F.broadcast(shards)
+    within = Window.partitionBy(*group, "_shard").orderBy(key)
+    return (
+        cut.join(shards, [*group, "_shard"])
+        .withColumn(name, F.col("_shard_start") + _before(within, size))
+        .drop("_shard", "_shard_start")
+    )
+
+
 @dataclass(frozen=True)
 class PoolIndex:
     """A numbered pool.
@@ -72,34 +99,13 @@ def build_pool_index(
     counts = materialize(keyed.groupBy("rule_key", "community_key", "_bucket").agg(F.count(F.lit(1)).alias("_n")))
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
 
-    # Rules are prefix-summed in two steps, so that no task sees them all: first over the 4,096 leading digits
-    # of their keys, then within each.
-    per_rule = counts.groupBy("rule_key").agg(F.sum("_n").alias("rule_rows")).withColumn(
-        "_shard", F.substring("rule_key", 1, 3)
-    )
-    shards = per_rule.groupBy("_shard").agg(F.sum("rule_rows").alias("_shard_rows")).select(
-        "_shard", _before(Window.orderBy("_shard"), "_shard_rows").alias("_shard_start")
-    )
-    rules = materialize(
-        # At most 4,097 rows of a few bytes.
-        per_rule.join(F.broadcast(shards), "_shard").select(
-            "rule_key",
-            (F.col("_shard_start") + _before(Window.partitionBy("_shard").orderBy("rule_key"), "rule_rows")).alias(
-                "rule_start"
-            ),
-            "rule_rows",
-        )
-    )
+    per_rule = counts.groupBy("rule_key").agg(F.sum("_n").alias("rule_rows"))
+    rules = materialize(_with_starts(per_rule, [], "rule_key", "rule_rows", "rule_start"))
 
-    per_community = (
-        counts.groupBy("rule_key", "community_key")
-        .agg(F.sum("_n").alias("community_rows"))
-        .withColumn(
-            "_offset", _before(Window.partitionBy("rule_key").orderBy("community_key"), "community_rows")
-        )
-    )
+    per_community = counts.groupBy("rule_key", "community_key").agg(F.sum("_n").alias("community_rows"))
+    placed = _with_starts(per_community, ["rule_key"], "community_key", "community_rows", "_offset")
     communities = materialize(
-        per_community.join(rules, "rule_key").select(
+        placed.join(rules, "rule_key").select(
             "rule_key",
             "community_key",
             (F.col("rule_start") + F.col("_offset")).alias("community_start"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ruleweave.defaults import EXAMPLE_COLUMNS
 from ruleweave.functions.text import clean_urls, digest, str_or_nan
+from ruleweave.operators.stages import materialize
 
 
 def filter_not_missing(df: DataFrame, column: str) -> DataFrame:
@@ -20,7 +21,10 @@ def filter_rule(df: DataFrame, rule: str, *, rule_col: str = "rule") -> DataFram
 def filter_known_text(df: DataFrame, vectors: DataFrame, *, text_col: str) -> DataFrame:
     """Rows whose text has a vector. ``vectors`` has a ``text_key`` column."""
     keyed = df.withColumn("text_key", digest(text_col))
-    return keyed.join(vectors.select("text_key"), "text_key", "left_semi").drop("text_key")
+    # With the keys stored, both inputs are shuffled for this join alone, and the adaptive planner can split a text
+    # with very many copies.
+    known = materialize(vectors.select("text_key"))
+    return keyed.join(known, "text_key", "left_semi").drop("text_key")
 
 
 def clean_text_columns(df: DataFrame, columns: list[str]) -> Column:

@@ -17,6 +17,7 @@ from ruleweave.operators.centroids import (
     predict_side,
     rule_centroids,
 )
+from ruleweave.operators.stages import materialize
 from ruleweave.plans.ensemble import ensemble_override
 from ruleweave.plans.models import embed_texts
 
@@ -31,11 +32,16 @@ def score_comments(
     )
 
 
-def centroid_classify(comments: DataFrame, vectors: DataFrame, *, dim: int, metric: str = "cosine") -> DataFrame:
+def centroid_classify(
+    comments: DataFrame, vectors: DataFrame, *, dim: int, metric: str = "cosine", stored: bool = False
+) -> DataFrame:
     """(row_id, rule_violation): one label per comment by the nearer centroid of its rule.
 
-    ``vectors`` is (text_key, embedding), one row per text.
+    ``vectors`` is (text_key, embedding), one row per text. It is used twice, for the centroids and for the comments,
+    so it is computed once and stored; pass ``stored=True`` if it is a table already.
     """
+    if not stored:
+        vectors = materialize(vectors)
     centroids = rule_centroids(comments, vectors, dim=dim)
     return score_comments(comments, vectors, centroids, metric=metric).select("row_id", "rule_violation")
 
