@@ -275,7 +275,9 @@ def oracle_sql() -> dict[str, str]:
         "normalize_missing": f"""
             select doc_id as row_id, case when cell not in ({tokens}) then cell end as cell
             from (select doc_id, {cells}[doc_id % {len(MISSING_TOKENS) + 5} + 1] as cell from documents)""",
-        "write_submission": base_then("select row_id, rule_violation from base where rule_violation is not null"),
+        "write_submission": base_then(
+            "select row_id, rule_violation::double as rule_violation from base where rule_violation is not null"
+        ),
         "read_predictions_pair": """
             with l as (select nullif(doc_id, 0) as row_id, toxic::double as toxic, quality::double as quality from labels)
             select a.row_id, a.toxic as rule_violation_llm, b.quality as rule_violation_gte

@@ -115,7 +115,10 @@ def normalize_missing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def write_submission(spark: SparkSession, folder: str) -> DataFrame:
-    return fi.submission_columns(train_rows(spark, folder))
+    """A submission written as CSV to the shared folder and read back."""
+    path = staging_path(spark, "submission")
+    fi.write_submission(train_rows(spark, folder), path)
+    return fi.read_predictions(spark, path)
 
 
 @query

@@ -87,12 +87,30 @@ def hashed_embedding(text: Column | str, dim: int = 64, max_tokens: int | None =
         words,
         lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim).cast("int"),
     )
-    counts = _bind(buckets, lambda b: _histogram(b, dim))
+    counts = _bind(F.sort_array(buckets), lambda ordered: _run_lengths(ordered, dim))
     return F.when(text.isNotNull(), _bind(counts, l2_normalize))
 
 
-def _histogram(buckets: Column, dim: int) -> Column:
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: (F.size(buckets) - F.size(F.array_remove(buckets, i))).cast("double"),
+def _run_lengths(ordered: Column, dim: int) -> Column:
+    """How often each of 0 .. dim-1 occurs in a sorted array.
+
+    Lengths are differences of the places where runs end, so the work does not grow with length times dimension.
+    """
+    n = F.size(ordered)
+    ends = F.filter(
+        F.sequence(F.lit(0), n),
+        lambda k: (k > 0) & ((k == n) | (F.get(ordered, k - 1) != F.get(ordered, k))),
+    )
+
+    def spread(ends: Column, found: Column) -> Column:
+        def length(place: Column) -> Column:
+            before = F.coalesce(F.get(ends, (place - 2).cast("int")), F.lit(0))
+            return F.when(place > 0, F.get(ends, (place - 1).cast("int")) - before).otherwise(0).cast("double")
+
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(dim - 1)), lambda bucket: _bind(F.array_position(found, bucket), length)
+        )
+
+    return _bind(
+        ends, lambda e: _bind(F.transform(e, lambda k: F.get(ordered, k - 1)), lambda found: spread(e, found))
     )
