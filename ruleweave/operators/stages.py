@@ -74,8 +74,9 @@ def lookup_join(
     """Join a large frame with a side table that holds one row per key.
 
     The side table is computed once and measured. Up to ``limit`` bytes (by default ``BROADCAST_LIMIT``) it is
-    broadcast, so ``left`` is not shuffled. Beyond that both sides are hashed on the key and a salt taken from ``spread_by``, so a key that holds a third of
-    the rows is still spread over many tasks. Pass ``stored=True`` if the side table is cheap to read again.
+    broadcast, so ``left`` is not shuffled. Beyond that both sides are hashed on the key and a salt taken from
+    ``spread_by``, so a key that holds a third of the rows is still spread over many tasks. Pass ``stored=True`` if the
+    side table is cheap to read again.
     """
     if not stored:
         side = materialize(side)

@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import rows_of, sha
 from ruleweave.plans import models as mo
