@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,22 +17,24 @@ ROWS_PER_PIECE = 1_000_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a temporary one in local mode only."""
+    """Use the shared folder the cluster names; where none is named, one inside the warehouse, which is shared too."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="ruleweave-")
-    context.setCheckpointDir(folder)
+    context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging")
+
+
+# Folders written by this process and not yet deleted.
+_STAGED: set[str] = set()
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder for a table that is written and read again."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    _STAGED.add(path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -43,7 +44,27 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = staging_path(df.sparkSession, "stage")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.staged_path = path
+    return stored
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _STAGED.discard(path)
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete the files of a frame made by ``materialize``, once nothing reads it any more."""
+    _delete(stored.sparkSession, stored.staged_path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every staged folder of this process. Call it after the sink: frames that read the folders end here."""
+    for path in sorted(_STAGED):
+        _delete(spark, path)
 
 
 def measured_bytes(df: DataFrame) -> int:
