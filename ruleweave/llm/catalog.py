@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import mixing, packing
-from ruleweave.llm.common import documents
+from ruleweave.llm import mixing, packing, pii, quality, toxicity
+from ruleweave.llm.common import crc_fold, documents, text_or_empty
 from ruleweave.operators.stages import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,49 @@ def byte_bpe() -> dict[str, str]:
     return {"ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
+def labelled_texts(spark: SparkSession, folder: str, *, held_out: int, modulus: int) -> DataFrame:
+    """(_id, text, label) of labelled documents outside the held-out fold."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label"))
+    texts = documents(spark, folder).select(F.col("doc_id").alias("_id"), text_or_empty().alias("text"))
+    return texts.join(labels.filter(crc_fold("_id", modulus) != held_out), "_id")
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of documents whose id has crc32 remainder 1 modulo 3 are never read by the fit."""
+    docs = documents(spark, folder)
+    model = toxicity.fit_model(labelled_texts(spark, folder, held_out=1, modulus=3), key=F.col("_id"))
+    scored = toxicity.score_texts(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_find_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_spans(documents(spark, folder))
+    listed = found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *[F.size(f"spans.{kind.name}").cast("long").alias(f"n_{kind.name}") for kind in pii.BASE_KINDS],
+        pii.span_list(pii.BASE_KINDS).alias("base_spans"),
+        pii.span_list(pii.BASE_KINDS + pii.MORE_KINDS).alias("spans"),
+    )
+    return listed.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
+@query
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(quality.measure(documents(spark, folder))).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "failed_rules",
+    )
+
+
 @query
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_pack(packing.token_pieces(documents(spark, folder), **byte_bpe()))
