@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import mixing, packing, pii, quality, toxicity
+from ruleweave.llm import minhash, mixing, packing, pii, quality, toxicity
 from ruleweave.llm.common import crc_fold, documents, text_or_empty
 from ruleweave.operators.stages import materialize
 
@@ -78,6 +78,11 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_minhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.fingerprint_documents(documents(spark, folder))
+
+
 @query
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_pack(packing.token_pieces(documents(spark, folder), **byte_bpe()))

@@ -37,7 +37,7 @@ class Settings:
     sample_chars: int = 20_000
     buckets: int = 1 << 17
     dim: int = 8
-    window: int = 8
+    window: int = 2
     shortest: int = 3
     longest: int = 5
     # Of a long word only the n-grams of this many leading and trailing bytes are taken.
