@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import minhash, mixing, packing, pii, quality, toxicity
+from ruleweave.llm import chosen_path, minhash, mixing, packing, pii, quality, toxicity
 from ruleweave.llm.common import crc_fold, documents, text_or_empty
 from ruleweave.operators.stages import materialize
 
@@ -88,6 +88,11 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_pack(packing.token_pieces(documents(spark, folder), **byte_bpe()))
 
 
+@query
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.jaccard_classes(documents(spark, folder))
+
+
 @query
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     keys = mixing.document_keys()
