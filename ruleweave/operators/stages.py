@@ -70,15 +70,21 @@ def release(spark: SparkSession) -> None:
 def measured_bytes(df: DataFrame) -> int:
     """Size of the rows as counted by Spark, in one aggregate."""
 
-    def width(field: T.StructField) -> Column:
-        column = F.col(field.name)
-        if isinstance(field.dataType, T.StringType):
+    def width(kind: T.DataType, column: Column) -> Column:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
             return F.coalesce(F.octet_length(column), F.lit(0)) + 16
-        if isinstance(field.dataType, T.ArrayType):
+        if isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+                sizes = F.transform(column, lambda x: width(kind.elementType, x).cast("long"))
+                return F.coalesce(F.aggregate(sizes, F.lit(24).cast("long"), lambda a, x: a + x), F.lit(8))
             return F.coalesce(F.size(column), F.lit(0)) * 8 + 24
+        if isinstance(kind, T.StructType):
+            return sum((width(f.dataType, column[f.name]) for f in kind.fields), F.lit(16))
+        if isinstance(kind, (T.MapType, T.VariantType)):
+            raise TypeError(f"cannot measure {kind.simpleString()}")
         return F.lit(8)
 
-    row = sum((width(f) for f in df.schema.fields), F.lit(16))
+    row = sum((width(f.dataType, F.col(f.name)) for f in df.schema.fields), F.lit(16))
     return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
