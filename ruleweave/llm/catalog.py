@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import chosen_path, minhash, mixing, packing, pii, quality, toxicity
+from ruleweave.llm import chosen_path, minhash, mixing, packing, pii, quality, repeats, toxicity
 from ruleweave.llm.common import crc_fold, documents, text_or_empty
 from ruleweave.operators.stages import materialize
 
@@ -108,3 +108,8 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
         "target",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+@query
+def op10_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, folder))

@@ -14,10 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ruleweave.llm.common import text_or_empty
+from ruleweave.llm.common import checked_join, document_key, text_or_empty
 from ruleweave.llm.minhash import word_table
 from ruleweave.llm.shingles import hashes, shingle_hashes, text_words
-from ruleweave.operators.stages import lookup_join
+from ruleweave.operators.stages import materialize
 
 SIMILARITY = 0.8
 # Sets that one task compares with each other; larger buckets are cut and their parts compared two by two.
@@ -203,13 +203,12 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, *, id_col: str, text_col: str
 
     Ids may repeat: a text is taken only if its set has the wanted key, and once.
     """
-    texts = docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("_text")).withColumn(
-        "_doc", F.coalesce(F.concat(F.lit("i"), F.col("doc").cast("string")), F.lit("n"))
+    texts = docs.select(document_key(id_col).alias("_doc"), text_or_empty(text_col).alias("_text"))
+    # One row per document: ids may be shared by sets if they repeat.
+    named = materialize(
+        wanted.groupBy(document_key("doc").alias("_doc")).agg(F.collect_list(F.struct("key", "copies")).alias("_sets"))
     )
-    named = wanted.select(
-        "key", "copies", F.coalesce(F.concat(F.lit("i"), F.col("doc").cast("string")), F.lit("n")).alias("_doc")
-    )
-    joined = lookup_join(texts.select("_doc", "_text"), named, ["_doc"], "inner", spread_by="_text")
+    joined = checked_join(texts, named, ["_doc"]).select("_text", F.explode("_sets").alias("_set")).select("_set.*", "_text")
     found = joined.select("key", "copies", "_text").mapInArrow(_sets, "key long, copies long, data binary")
     return found
 
