@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import chosen_path, minhash, mixing, packing, pii, quality, repeats, toxicity
+from ruleweave.llm import chosen_path, maxent, minhash, mixing, packing, pii, quality, repeats, toxicity
 from ruleweave.llm.common import crc_fold, documents, text_or_empty
 from ruleweave.operators.stages import materialize
 
@@ -35,6 +35,11 @@ def byte_bpe() -> dict[str, str]:
     return {"ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
+@query
+def op1_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.score_texts(documents(spark, folder), crc_fold("doc_id", 7) == 2)
+
+
 def labelled_texts(spark: SparkSession, folder: str, *, held_out: int, modulus: int) -> DataFrame:
     """(_id, text, label) of labelled documents outside the held-out fold."""
     labels = spark.read.parquet(f"{folder}/labels.parquet").select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label"))
