@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import chosen_path, maxent, minhash, mixing, packing, pii, quality, repeats, toxicity
+from ruleweave.llm import chosen_path, maxent, minhash, mixing, packing, pii, quality, repeats, tool_calls, toxicity
 from ruleweave.llm.common import crc_fold, documents, text_or_empty
 from ruleweave.operators.stages import materialize
 
@@ -21,7 +21,9 @@ def query(fn: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    import corpus_pipeline
+
+    return _QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -56,6 +58,46 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+# Tools that the conversations are read as calls of.
+TOOLS = {
+    "ask": {
+        "type": "object",
+        "required": ["text", "turn"],
+        "properties": {"text": {"type": "string"}, "turn": {"type": "integer", "minimum": 0}},
+        "additionalProperties": False,
+    },
+    "instruct": {"type": "object", "required": ["text"], "properties": {"text": {"type": "string"}}},
+}
+
+
+@query
+def op3_link_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """User and system turns as calls, the assistant turn after one as its result.
+
+    Every fourth turn depends on the call two turns before it; the first turn, on the call two turns after it, which puts its
+    conversation out of order.
+    """
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    key = F.concat_ws("-", F.lit("call"), F.col("conv_id"), F.col("turn"))
+    near = F.concat_ws("-", F.lit("call"), F.col("conv_id"), F.when(F.col("turn") == 0, 2).otherwise(F.col("turn") - 2))
+    system = F.col("role") == "system"
+    depends = F.when(F.col("turn") % 4 == 0, F.array(near)).otherwise(F.array().cast("array<string>"))
+    calls = turns.filter(F.col("role") != "assistant").select(
+        F.col("conv_id").alias("conv"),
+        key.alias("call_id"),
+        F.col("turn").alias("position"),
+        F.when(system, "instruct").otherwise("ask").alias("name"),
+        F.to_json(F.struct("turn", "text")).alias("arguments"),
+        depends.alias("depends_on"),
+    )
+    asked = F.concat_ws("-", F.lit("call"), F.col("conv_id"), F.col("turn") - 1)
+    results = turns.filter(F.col("role") == "assistant").select(
+        F.col("conv_id").alias("conv"), asked.alias("call_id"), F.col("text").alias("content")
+    )
+    linked = tool_calls.link_tool_calls(calls, results, TOOLS)
+    return linked.withColumnRenamed("conv", "conv_id")
+
+
 @query
 def op4_find_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_spans(documents(spark, folder))
@@ -95,7 +137,7 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return chosen_path.jaccard_classes(documents(spark, folder))
+    return chosen_path.jaccard_classes(documents(spark, folder)).select("doc_id", "class_id", "n_links")
 
 
 @query

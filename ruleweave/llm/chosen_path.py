@@ -80,15 +80,15 @@ def next_paths(path: int, sketch: np.ndarray, p: Paths) -> np.ndarray:
 def _scan(batches: Iterator[pa.RecordBatch], p: Paths) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, paths, sketches = [], [], []
-        for text in batch.column(1):
+        for text in batch.column(2):
             shingles = jaccard.shingle_set(text.as_py())
             keys.append(jaccard.set_key(shingles))
             some = len(shingles) > 0
             paths.append(first_paths(shingles, p).astype(np.int64) if some else [])
             sketches.append(sketch_of(shingles, p).astype("<u4").tobytes() if some else b"")
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(keys, pa.int64()), pa.array(paths, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-            ["doc_id", "key", "paths", "sketch"],
+            [batch.column(0), batch.column(1), pa.array(keys, pa.int64()), pa.array(paths, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+            ["doc_id", "text_hash", "key", "paths", "sketch"],
         )
 
 
@@ -152,9 +152,9 @@ def candidate_units(sets: DataFrame, p: Paths) -> list[DataFrame]:
 def jaccard_classes(
     docs: DataFrame, p: Paths = Paths(), *, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True
 ) -> DataFrame:
-    """(doc_id, class_id, n_links): one row per document.
+    """(doc_id, text_hash, class_key, class_id, n_links): one row per document.
 
-    ``class_id`` is the least document id of the connected component, ``n_links`` the number of other documents whose set
+    ``class_key`` names the class, ``class_id`` is the least document id in it, ``n_links`` the number of other documents whose set
     has at least the given similarity, copies included (null if ``count_links`` is off). Words are lower-cased runs between
     ASCII white space; a text with fewer than five is one shingle. Missing texts count as empty, and empty texts are copies
     of each other. Null ids are kept; a class of null ids only has a null class id. Repeated rows count each.
@@ -163,12 +163,14 @@ def jaccard_classes(
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema[id_col].dataType),
+            T.StructField("text_hash", T.LongType()),
             T.StructField("key", T.LongType()),
             T.StructField("paths", T.ArrayType(T.LongType())),
             T.StructField("sketch", T.BinaryType()),
         ]
     )
-    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("_text"))
+    text = text_or_empty(text_col)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("_text"))
     scanned = materialize(texts.mapInArrow(partial(_scan, p=p), schema))
     sets = materialize(
         scanned.groupBy("key").agg(
@@ -191,7 +193,9 @@ def jaccard_classes(
         sets.select("key", "copies", "doc").join(linked, "key", "left").select("key", "copies", "doc", F.coalesce("root", "key").alias("root"))
     )
     named = classes.groupBy("root").agg(F.min("doc").alias("class_id"))
-    summary = classes.join(named, "root").select("key", "class_id", (F.col("copies") - 1).alias("_own"))
+    summary = classes.join(named, "root").select(
+        "key", F.col("root").alias("class_key"), "class_id", (F.col("copies") - 1).alias("_own")
+    )
     if count_links:
         inside = linked.select(F.col("root").alias("bucket"), "key")
         class_sizes = materialize(inside.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
@@ -200,11 +204,12 @@ def jaccard_classes(
         )
         discard(class_sizes)
         summary = summary.join(links, "key", "left").select(
-            "key", "class_id", (F.col("_own") + F.coalesce("links", F.lit(0))).alias("n_links")
+            "key", "class_key", "class_id", (F.col("_own") + F.coalesce("links", F.lit(0))).alias("n_links")
         )
     else:
-        summary = summary.select("key", "class_id", F.lit(None).cast("long").alias("n_links"))
+        summary = summary.select("key", "class_key", "class_id", F.lit(None).cast("long").alias("n_links"))
     summary = materialize(summary)
     for stored in (data, sets, classes):
         discard(stored)
-    return scanned.select("doc_id", "key").join(summary, "key").select("doc_id", "class_id", "n_links")
+    rows = scanned.select("doc_id", "text_hash", "key").join(summary, "key")
+    return rows.select("doc_id", "text_hash", "class_key", "class_id", "n_links")

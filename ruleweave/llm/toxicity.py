@@ -194,7 +194,11 @@ def _fit_group(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
 def fit_model(labelled: DataFrame, s: Settings = Settings(), *, key: Column) -> tuple[np.ndarray, float]:
     """Fit on (text, label) rows, of which a bounded sample is drawn by ``key``. The model has ``buckets`` numbers."""
     sample = sample_rows(labelled, s, key=key).withColumn("_all", F.lit(0))
-    model = sample.groupBy("_all").applyInPandas(partial(_fit_group, s=s), "values binary, intercept double").first()
+
+    def fit_all(rows: pd.DataFrame) -> pd.DataFrame:
+        return _fit_group(rows, s)
+
+    model = sample.groupBy("_all").applyInPandas(fit_all, "values binary, intercept double").first()
     if model is None:
         return fit([], np.zeros(0, np.int64), s)
     return np.frombuffer(model["values"], "<f8"), model["intercept"]
