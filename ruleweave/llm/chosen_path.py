@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 
 from ruleweave.llm import jaccard
 from ruleweave.llm.common import text_or_empty
-from ruleweave.llm.components import connected
 from ruleweave.llm.shingles import stir
 from ruleweave.operators.stages import discard, materialize
 
@@ -36,7 +35,7 @@ class Paths:
 
     runs: int = 8
     picks: float = 2.0
-    small: int = 64
+    small: int = jaccard.SMALL
     alike: float = 0.5
     levels: int = 6
     sketch: int = 48
@@ -104,23 +103,13 @@ def _descend(batches: Iterator[pa.RecordBatch], p: Paths) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays(columns, ["parent", "bucket", "key"])
 
 
-def _small_buckets(members: DataFrame, sizes: DataFrame, p: Paths) -> DataFrame:
-    """(bucket, pair, key, part) of buckets with few members; buckets with the same members count once."""
-    small = sizes.filter(F.col("n") <= p.small)
-    gathered = members.join(small, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    once = gathered.groupBy("keys").agg(F.min("bucket").alias("bucket"))
-    return once.select("bucket", F.lit(0).alias("pair"), F.explode("keys").alias("key"), F.lit(0).alias("part"))
-
-
 def candidate_units(sets: DataFrame, p: Paths) -> list[DataFrame]:
     """Stored units of sets to compare, from stored (key, paths, sketch) rows."""
-    spark = sets.sparkSession
-    sizes_of = lambda members: members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     members = materialize(sets.select(F.explode("paths").alias("bucket"), "key"))
-    sizes = materialize(sizes_of(members))
+    sizes = materialize(jaccard.bucket_sizes(members))
     units = []
     for level in range(1, p.levels + 1):
-        units.append(materialize(_small_buckets(members, sizes, p)))
+        units.append(materialize(jaccard.small_units(members, sizes, p.small)))
         large = sizes.filter(F.col("n") > p.small)
         if large.isEmpty():
             break
@@ -152,14 +141,7 @@ def candidate_units(sets: DataFrame, p: Paths) -> list[DataFrame]:
 def jaccard_classes(
     docs: DataFrame, p: Paths = Paths(), *, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True
 ) -> DataFrame:
-    """(doc_id, text_hash, class_key, class_id, n_links): one row per document.
-
-    ``class_key`` names the class, ``class_id`` is the least document id in it, ``n_links`` the number of other documents whose set
-    has at least the given similarity, copies included (null if ``count_links`` is off). Words are lower-cased runs between
-    ASCII white space; a text with fewer than five is one shingle. Missing texts count as empty, and empty texts are copies
-    of each other. Null ids are kept; a class of null ids only has a null class id. Repeated rows count each.
-    """
-    spark = docs.sparkSession
+    """(doc_id, text_hash, class_key, class_id, n_links) by chosen paths; see ``jaccard.classes`` for the columns."""
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema[id_col].dataType),
@@ -172,44 +154,8 @@ def jaccard_classes(
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("_text"))
     scanned = materialize(texts.mapInArrow(partial(_scan, p=p), schema))
-    sets = materialize(
-        scanned.groupBy("key").agg(
-            F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc"), F.first("paths").alias("paths"), F.first("sketch").alias("sketch")
-        )
-    )
+    sets = materialize(jaccard.distinct_sets(scanned, ["paths", "sketch"]))
     units = candidate_units(sets, p)
-    every = units[0]
-    for more in units[1:]:
-        every = every.unionByName(more)
-    wanted = every.select("key").distinct().join(sets.select("key", "copies", "doc"), "key")
-    data = materialize(jaccard.fetch_sets(docs, wanted, id_col=id_col, text_col=text_col).dropDuplicates(["key"]))
-    edges = materialize(jaccard.linked_edges(every, data, similarity=p.similarity))
-    for unit in units:
-        discard(unit)
-    roots = materialize(connected(edges))
-    discard(edges)
-    linked = roots.union(roots.select("root", "root").distinct()).toDF("key", "root")
-    classes = materialize(
-        sets.select("key", "copies", "doc").join(linked, "key", "left").select("key", "copies", "doc", F.coalesce("root", "key").alias("root"))
+    return jaccard.classes(
+        docs, scanned, sets, units, similarity=p.similarity, id_col=id_col, text_col=text_col, count_links=count_links
     )
-    named = classes.groupBy("root").agg(F.min("doc").alias("class_id"))
-    summary = classes.join(named, "root").select(
-        "key", F.col("root").alias("class_key"), "class_id", (F.col("copies") - 1).alias("_own")
-    )
-    if count_links:
-        inside = linked.select(F.col("root").alias("bucket"), "key")
-        class_sizes = materialize(inside.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
-        links = materialize(
-            jaccard.link_counts(jaccard.parts_of(inside, class_sizes), data, similarity=p.similarity)
-        )
-        discard(class_sizes)
-        summary = summary.join(links, "key", "left").select(
-            "key", "class_key", "class_id", (F.col("_own") + F.coalesce("links", F.lit(0))).alias("n_links")
-        )
-    else:
-        summary = summary.select("key", "class_key", "class_id", F.lit(None).cast("long").alias("n_links"))
-    summary = materialize(summary)
-    for stored in (data, sets, classes):
-        discard(stored)
-    rows = scanned.select("doc_id", "text_hash", "key").join(summary, "key")
-    return rows.select("doc_id", "text_hash", "class_key", "class_id", "n_links")

@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ruleweave.llm.common import checked_join, document_key, text_or_empty
-from ruleweave.llm.minhash import word_table
-from ruleweave.llm.shingles import hashes, shingle_hashes, text_words
-from ruleweave.operators.stages import materialize
+from ruleweave.llm.components import connected
+from ruleweave.llm.shingles import hashes, shingle_hashes, text_words, word_table
+from ruleweave.operators.stages import discard, materialize
 
 SIMILARITY = 0.8
+# Sets in a bucket that is compared as it is.
+SMALL = 64
 # Sets that one task compares with each other; larger buckets are cut and their parts compared two by two.
 PART = 1024
 _COLUMNS = 4096
@@ -229,3 +231,81 @@ def link_counts(units: DataFrame, sets: DataFrame, *, similarity: float = SIMILA
     """(key, links): documents of other sets that a set is linked with, if each two sets share one unit."""
     counted = run_units(units, sets, _links, "key long, links long", similarity=similarity)
     return counted.groupBy("key").agg(F.sum("links").alias("links"))
+
+
+def distinct_sets(scanned: DataFrame, carried: list[str]) -> DataFrame:
+    """(key, copies, doc, ...) of (doc_id, key, ...) rows: equal sets once, with the least id and the carried columns."""
+    return scanned.groupBy("key").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in carried]
+    )
+
+
+def bucket_sizes(members: DataFrame) -> DataFrame:
+    """(bucket, n) of the buckets with more than one member."""
+    return members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def small_units(members: DataFrame, sizes: DataFrame, small: int = SMALL) -> DataFrame:
+    """(bucket, pair, key, part) of buckets with at most ``small`` members; buckets with the same members count once."""
+    within = members.join(sizes.filter(F.col("n") <= small), "bucket")
+    gathered = within.groupBy("bucket").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    once = gathered.groupBy("keys").agg(F.min("bucket").alias("bucket"))
+    return once.select("bucket", F.lit(0).alias("pair"), F.explode("keys").alias("key"), F.lit(0).alias("part"))
+
+
+def classes(
+    docs: DataFrame,
+    scanned: DataFrame,
+    sets: DataFrame,
+    units: list[DataFrame],
+    *,
+    similarity: float,
+    id_col: str,
+    text_col: str,
+    count_links: bool,
+) -> DataFrame:
+    """(doc_id, text_hash, class_key, class_id, n_links): one row per document, from stored units of sets to compare.
+
+    ``class_key`` names the class, a connected component of links; ``class_id`` is the least document id in it and
+    ``n_links`` the number of other documents whose set has at least the given similarity, copies included (null if
+    ``count_links`` is off). Words are runs between ASCII white space with A-Z lowered; a text with fewer than five is one
+    shingle. Missing texts count as empty, and empty texts are copies of each other. Null ids are kept; a class of null ids only
+    has a null class id. Repeated rows count each.
+
+    Links are counted inside classes, where all of them lie: each two sets of a class are compared once, in parts.
+    """
+    every = units[0]
+    for more in units[1:]:
+        every = every.unionByName(more)
+    wanted = every.select("key").distinct().join(sets.select("key", "copies", "doc"), "key")
+    data = materialize(fetch_sets(docs, wanted, id_col=id_col, text_col=text_col).dropDuplicates(["key"]))
+    edges = materialize(linked_edges(every, data, similarity=similarity))
+    for unit in units:
+        discard(unit)
+    roots = materialize(connected(edges))
+    discard(edges)
+    linked = roots.union(roots.select("root", "root").distinct()).toDF("key", "root")
+    classes = materialize(
+        sets.select("key", "copies", "doc").join(linked, "key", "left").select("key", "copies", "doc", F.coalesce("root", "key").alias("root"))
+    )
+    named = classes.groupBy("root").agg(F.min("doc").alias("class_id"))
+    summary = classes.join(named, "root").select(
+        "key", F.col("root").alias("class_key"), "class_id", (F.col("copies") - 1).alias("_own")
+    )
+    if count_links:
+        inside = linked.select(F.col("root").alias("bucket"), "key")
+        class_sizes = materialize(inside.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+        links = materialize(
+            link_counts(parts_of(inside, class_sizes), data, similarity=similarity)
+        )
+        discard(class_sizes)
+        summary = summary.join(links, "key", "left").select(
+            "key", "class_key", "class_id", (F.col("_own") + F.coalesce("links", F.lit(0))).alias("n_links")
+        )
+    else:
+        summary = summary.select("key", "class_key", "class_id", F.lit(None).cast("long").alias("n_links"))
+    summary = materialize(summary)
+    for stored in (data, sets, classes):
+        discard(stored)
+    rows = scanned.select("doc_id", "text_hash", "key").join(summary, "key")
+    return rows.select("doc_id", "text_hash", "class_key", "class_id", "n_links")

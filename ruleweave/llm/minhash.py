@@ -1,8 +1,8 @@
 """Document fingerprints by MinHash, their edited texts, and near duplicates by signature bands.
 
 A signature holds, for each of a number of universal hash functions over 5-word shingles, the least value. Values are
-cut to 16 bits in a fingerprint. Near duplicates meet in a band of their signatures, are joined in Spark in the form of a
-star per band, and are kept if the exact Jaccard similarity of their shingles is high enough.
+cut to 16 bits in a fingerprint. Near duplicates meet in a band of their signatures, and those that meet are compared by the exact
+Jaccard similarity of their shingles.
 """
 
 from __future__ import annotations
@@ -18,28 +18,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ruleweave.llm import jaccard
 from ruleweave.llm.common import text_or_empty
-from ruleweave.llm.shingles import WORDS, WordHashes, hashes, shingle_hashes, text_words
+from ruleweave.llm.shingles import WORDS, WordHashes, hashes, shingle_hashes, stir, text_words, word_table
+from ruleweave.operators.stages import materialize
 
 PERMUTATIONS = 64
-# Bands of 4 rows: of pairs with similarity 0.8 all but one in 5,000 meet.
+# Bands of 4 values: of pairs with similarity 0.8 all but one in 5,000 meet in one.
 BAND_ROWS = 4
-SIMILARITY = 0.8
 # Documents in one range of ids at most, about; ranges to a shuffle partition at least; ids drawn per range to find its ends.
 RANGE_ROWS = 50_000
 RANGES_PER_PARTITION = 4
 DRAWN_PER_RANGE = 20
 
-_WORDS: list[WordHashes] = []
-
-
-def word_table() -> WordHashes:
-    """Hashes that the worker keeps between tasks."""
-    if not _WORDS:
-        _WORDS.append(WordHashes())
-    return _WORDS[0]
-
-
 class Signer:
     """Signatures: (a x + b) mod 2**64, of which the upper half counts, with odd a, over the shingle hashes x."""
 
@@ -172,3 +163,43 @@ def fingerprint_documents(
     rows = rows.repartition("range").sortWithinPartitions("range", "borrowed", *key)
     names = [field.split()[0] for field in schema.split(", ")]
     return rows.select("range", "borrowed", "_id", "_text").mapInArrow(partial(_chain, names=names), schema)
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    signer = Signer()
+    for batch in batches:
+        keys, bands = [], []
+        for text in batch.column(2):
+            shingles = jaccard.shingle_set(text.as_py())
+            keys.append(jaccard.set_key(shingles))
+            values = signer.sign(shingles).astype(np.uint64).reshape(-1, BAND_ROWS)
+            total = np.arange(len(values), dtype=np.uint64)
+            for i in range(BAND_ROWS):
+                total = stir(total * np.uint64(0x9E3779B97F4A7C15) + values[:, i])
+            bands.append(total.view(np.int64) if len(shingles) else [])
+        columns = [pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "text_hash", "key", "paths"])
+
+
+def near_duplicates(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similarity: float = jaccard.SIMILARITY,
+    count_links: bool = True,
+) -> DataFrame:
+    """(doc_id, text_hash, class_key, class_id, n_links) by signature bands; see ``jaccard.classes`` for the columns."""
+    text = text_or_empty(text_col)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("_text"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    scanned = materialize(texts.mapInArrow(_bands, f"doc_id {kind}, text_hash long, key long, paths array<long>"))
+    sets = materialize(jaccard.distinct_sets(scanned, ["paths"]))
+    members = materialize(sets.select(F.explode("paths").alias("bucket"), "key"))
+    sizes = materialize(jaccard.bucket_sizes(members))
+    large = sizes.filter(F.col("n") > jaccard.SMALL)
+    inside = members.join(large.select("bucket"), "bucket")
+    units = [materialize(jaccard.small_units(members, sizes)), materialize(jaccard.parts_of(inside, large))]
+    return jaccard.classes(
+        docs, scanned, sets, units, similarity=similarity, id_col=id_col, text_col=text_col, count_links=count_links
+    )

@@ -55,3 +55,13 @@ def shingle_hashes(words: np.ndarray, width: int = WORDS) -> np.ndarray:
     for i in range(width):
         total += words[i : i + n] * _MIX[i]
     return stir(total)
+
+
+_TABLE: list[WordHashes] = []
+
+
+def word_table() -> WordHashes:
+    """Hashes that a worker keeps between tasks."""
+    if not _TABLE:
+        _TABLE.append(WordHashes())
+    return _TABLE[0]
