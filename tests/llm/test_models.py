@@ -1,0 +1,138 @@
+"""Language model and toxicity: exact counts, probabilities that add up, held-out accuracy."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ruleweave.llm import maxent, toxicity
+from ruleweave.llm.common import crc_fold
+
+SMALL = maxent.Model(word_classes=2, width=4, ending_classes=4, rows=1 << 10, head=64, counted=50)
+
+
+def sentences(n, seed=1):
+    pick = random.Random(seed)
+    words = {"a": ["ana", "alo", "axi", "ato"], "b": ["bob", "bil", "bux", "bee"]}
+    out = []
+    for i in range(n):
+        kind = pick.choice("ab")
+        out.append((i, " ".join(pick.choice(words[kind]) + pick.choice(["", "", str(pick.randint(0, 60))]) for _ in range(pick.randint(0, 30)))))
+    return out
+
+
+def held(i):
+    return zlib.crc32(str(i).encode()) % 7 == 2
+
+
+def test_base_scores_are_exact_and_the_model_beats_them(spark):
+    rows = sentences(600)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in maxent.score_texts(df, crc_fold("doc_id", 7) == 2, SMALL).collect()}
+    counts = Counter(w for i, t in rows if not held(i) for w in maxent.tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    for i, t in rows:
+        words = maxent.tokens(t)
+        assert (got[i].n_tokens, got[i].n_known) == (len(words), sum(w in counts for w in words))
+        assert got[i].base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words))
+        assert got[i].train_tokens == n and got[i].held_out == held(i)
+    fresh = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in fresh) > sum(r.base_score for r in fresh)
+
+
+def test_probabilities_add_up(spark):
+    rows = sentences(200)
+    texts = spark.createDataFrame(rows, "doc_id long, text string").select("text")
+    counts = maxent.word_counts(texts, SMALL)
+    vocabulary = maxent.Vocabulary.read(counts, SMALL)
+    weights = maxent.train(texts, F.pmod(F.xxhash64("text"), F.lit(2)), vocabulary, SMALL)
+    tables, encoder = maxent.Tables(SMALL, *weights), maxent.Encoder(vocabulary, SMALL)
+    every = {bytes(r.word): r.c for r in counts.collect()}
+    for history in (b"", b"ana bob", b"bil bil unseen"):
+        total = 0.0
+        for word in [*every, None]:
+            words = [*history.split(), word or b"zzz"]
+            number, kinds, hashed = encoder.encode(words)
+            if word is None:
+                continue
+            features = maxent.Tables.features(hashed, np.array([0]))
+            slots = np.maximum(number, 0) % SMALL.width
+            log_p = tables.log_probabilities(kinds, slots, features)[-1]
+            if number[-1] < 0 or number[-1] >= SMALL.top:
+                e = kinds[-1] - SMALL.word_classes
+                log_p += math.log((every[word] + 1) / (vocabulary.class_totals[e] + vocabulary.class_words[e] + 1))
+            total += math.exp(log_p)
+        # What is left is one unknown word per ending class.
+        assert 0.8 < total <= 1 + 1e-6
+
+
+def test_long_texts_do_not_depend_on_their_neighbours(spark):
+    m = maxent.Model(word_classes=2, width=4, ending_classes=4, rows=1 << 10, head=64, batch=16)
+    df = spark.createDataFrame(sentences(60), "doc_id long, text string")
+    one = {r.doc_id: r.score for r in maxent.score_texts(df.coalesce(1), F.lit(False), m).collect()}
+    assert len(one) == 60 and all(math.isfinite(s) for s in one.values())
+
+
+def test_edge_rows_score(edge, empty):
+    rows = maxent.score_texts(edge, crc_fold("doc_id", 7) == 2, SMALL).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in edge.select("doc_id").collect())
+    assert {r.n_tokens for r in rows if r.doc_id in (3, 4, 6)} == {1}
+    twins = [r for r in rows if r.doc_id == 1]
+    assert twins[0] == twins[1]
+    assert maxent.score_texts(empty, F.lit(False), SMALL).count() == 0
+    nothing = maxent.score_texts(edge, F.lit(True), SMALL).collect()
+    assert all(r.n_known == 0 and r.train_tokens == 0 for r in nothing)
+
+
+TOXIC = toxicity.Settings(per_class=400, epochs=6, buckets=1 << 12)
+
+
+def comments(n, seed):
+    """Label 1 if a word with one of two stems occurs; the endings differ, so most such words are unseen."""
+    pick = random.Random(seed)
+    syllables = ["la", "mo", "ri", "ten", "us", "ka", "pel", "do"]
+    word = lambda k: "".join(pick.choice(syllables) for _ in range(k))
+    out = []
+    for i in range(n):
+        words = [word(pick.randint(1, 3)) for _ in range(pick.randint(5, 120))]
+        label = int(pick.random() < 0.3)
+        if label:
+            for _ in range(pick.randint(1, 3)):
+                words[pick.randrange(len(words))] = pick.choice(["grumf", "snark"]) + word(2)
+        out.append((i, " ".join(words), label))
+    return out
+
+
+def test_unseen_misspellings_are_found(spark):
+    train, test = comments(500, 1), comments(300, 2)
+    labelled = spark.createDataFrame([(i, t, y) for i, t, y in train], "_id long, text string, label int")
+    model = toxicity.fit_model(labelled, TOXIC, key=F.col("_id"))
+    df = spark.createDataFrame(test, "doc_id long, text string, label int")
+    got = {r.doc_id: r for r in toxicity.score_texts(df, model, TOXIC, keep=["doc_id"]).collect()}
+    hit = sum(got[i].predicted == y for i, _, y in test)
+    assert hit >= 0.95 * len(test)
+    assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in got.values())
+
+
+def test_sample_is_bounded_and_repeatable(spark):
+    labelled = spark.createDataFrame(comments(80, 3), "_id long, text string, label int")
+    s = toxicity.Settings(per_class=7)
+    pick = lambda df: sorted(map(tuple, toxicity.sample_rows(df, s, key=F.col("_id")).collect()))
+    assert len(pick(labelled)) == 14 and pick(labelled) == pick(labelled.repartition(5))
+
+
+def test_toxicity_of_edge_rows(spark, edge, empty):
+    labelled = spark.createDataFrame(comments(60, 4) + [(None, None, None), (1, "x", 2)], "_id long, text string, label int")
+    model = toxicity.fit_model(labelled, TOXIC, key=F.col("_id"))
+    rows = toxicity.score_texts(edge.drop("score"), model, TOXIC, keep=["doc_id", "row"]).collect()
+    assert len(rows) == edge.count() and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (3, 4, 6)}) == 1
+    assert toxicity.score_texts(empty, model, TOXIC, keep=["doc_id"]).count() == 0
+    none = toxicity.fit_model(labelled.filter("false"), TOXIC, key=F.col("_id"))
+    assert {r.score for r in toxicity.score_texts(edge, none, TOXIC, keep=["doc_id"]).collect()} == {0.5}
+    one = toxicity.fit_model(labelled.filter("label = 0"), TOXIC, key=F.col("_id"))
+    assert {r.predicted for r in toxicity.score_texts(edge, one, TOXIC, keep=["doc_id"]).collect()} == {0}
