@@ -211,11 +211,11 @@ def span_list(kinds: tuple[Kind, ...]) -> Column:
 
 
 def mask(text: Column, kinds: tuple[Kind, ...] = BASE_KINDS + MORE_KINDS) -> Column:
-    """The text with every span replaced by its kind in angle brackets; where spans overlap the first one names it."""
+    """The text with every span replaced by its kind in angle brackets; where spans overlap the first one, of equal starts the longest, names it."""
 
     def tagged_spans(kind: Kind) -> Column:
         tag = F.lit(f"<{kind.name.upper()}>").alias("tag")
-        return F.transform(f"spans.{kind.name}", lambda span: F.struct(span["start"], span["end"], tag))
+        return F.transform(f"spans.{kind.name}", lambda span: F.struct(span["start"], (-span["end"]).alias("back"), tag))
 
     tagged = F.concat(*[tagged_spans(kind) for kind in kinds])
 
@@ -224,7 +224,7 @@ def mask(text: Column, kinds: tuple[Kind, ...] = BASE_KINDS + MORE_KINDS) -> Col
         piece = F.concat(F.substring(text, acc["at"] + 1, span["start"] - acc["at"]), span["tag"])
         return F.struct(
             F.when(fresh, F.concat(acc["pieces"], F.array(piece))).otherwise(acc["pieces"]).alias("pieces"),
-            F.greatest(acc["at"], span["end"]).alias("at"),
+            F.greatest(acc["at"], -span["back"]).alias("at"),
         )
 
     start = F.struct(F.array().cast("array<string>").alias("pieces"), F.lit(0).alias("at"))
