@@ -53,6 +53,10 @@ from conversations u join conversations a
 
 LINKED = "select page_id as row_id, concat('see ', url, ' now') as body from pages"
 
+TEXT_COLUMNS = (
+    "body", "rule", "subreddit", "positive_example_1", "positive_example_2", "negative_example_1", "negative_example_2",
+)
+
 LETTERS = r"[\p{L}\p{N}]+"
 
 
@@ -264,17 +268,20 @@ def base_then(select: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     tokens = ", ".join(quoted(t) for t in MISSING_TOKENS)
-    cells = f"[{tokens}, 'na', 'NAN', 'none', '0', lang]"
+    cells = f"[{tokens}, 'na', 'NAN', 'none', '0']"
     drawn = f"select *, {DRAWN_POSITIVE} as positive_example, {DRAWN_NEGATIVE} as negative_example from comments"
     pseudo_source = "(select * from comments where rule_violation is null)"
     scores = "round(sv, 6) as violating_score, round(sn, 6) as non_violating_score"
     loss = "avg(greatest(0.0, {p} - {n} + 0.25::double))"
     hashed_members = HASHED.replace("SOURCE", "select distinct text from candidate_texts where text is not null")
     return {
-        "scan_comments": COMMENTS,
+        "scan_comments": comments_then(f"""
+            select row_id, rule_violation, {", ".join(f"case when {c} not in ({tokens}) then {c} end as {c}" for c in TEXT_COLUMNS)}
+            from comments"""),
         "normalize_missing": f"""
-            select doc_id as row_id, case when cell not in ({tokens}) then cell end as cell
-            from (select doc_id, {cells}[doc_id % {len(MISSING_TOKENS) + 5} + 1] as cell from documents)""",
+            select row_id, {", ".join(f"case when {c} not in ({tokens}) then {c} end as {c}" for c in ("text", "lang", "source"))}
+            from (select doc_id as row_id, text, lang, source from documents
+                  union all select -i, {cells}[i], {cells}[i], {cells}[i] from range(1, {len(MISSING_TOKENS) + 5}) r(i))""",
         "write_submission": base_then(
             "select row_id, rule_violation::double as rule_violation from base where rule_violation is not null"
         ),
@@ -284,7 +291,8 @@ def oracle_sql() -> dict[str, str]:
             from l a join l b on a.row_id is not distinct from b.row_id""",
         "load_clean": f"""
             select row_id, {clean('body')} as body
-            from (select row_id, case when row_id % 10 != 0 then body end as body from ({LINKED}))""",
+            from (select row_id, body from ({LINKED})
+                  union all select -1 - row_id, null from ({LINKED}) where row_id % 10 = 0)""",
         "clean_urls": f"select row_id, {clean('body')} as body from ({LINKED})",
         "build_prompt": comments_then(f"select row_id, {prompt()} as prompt from ({drawn})"),
         "label_to_token": base_then(f"select row_id, {TOKEN} as token from base"),
@@ -317,13 +325,20 @@ def oracle_sql() -> dict[str, str]:
             f"select row_id from base where body in (select text from ({VECTORS}))"
         ),
         "filter_nonempty_pool": base_then("""
-            , t as (select * from base where rule_violation = 1)
+            , seen as (select rule, subreddit from base where rule_violation is not null),
+            t as (select * from seen union all
+                  select 'solo rule', 'one community' from base where rule_violation is not null and row_id % 11 = 0),
+            a as (select row_id, rule, subreddit from base where rule_violation is null
+                  union all select -1 - row_id, 'no such rule', subreddit from base
+                    where rule_violation is null and row_id % 7 = 0
+                  union all select -1 - row_id, 'solo rule', 'one community' from base
+                    where rule_violation is null and row_id % 7 = 1)
             select * from (
               select a.row_id,
                 (select count(*) from t where t.rule = a.rule)
                   - (select count(*) from t where t.rule = a.rule and t.subreddit = a.subreddit) as positive_pool,
                 (select count(*) from t) - (select count(*) from t where t.rule = a.rule) as negative_pool
-              from base a where a.rule_violation is null)
+              from a)
             where positive_pool > 0 and negative_pool > 0"""),
         "join_predictions": """
             with l as (select nullif(doc_id, 0) as row_id, toxic, quality from labels)
@@ -337,8 +352,8 @@ def oracle_sql() -> dict[str, str]:
             select row_id, {vector_text('v.embedding')} as embedding from base left join v on v.text = base.body"""),
         "join_rule_centroid": f"""
             with comments as ({COMMENTS}), {centroids(VECTORS)}
-            select row_id, rule_key, round(violating_centroid[1], 6) as violating_first,
-                   round(non_violating_centroid[1], 6) as non_violating_first
+            select row_id, rule_key, {vector_text('violating_centroid')} as violating_centroid,
+                   {vector_text('non_violating_centroid')} as non_violating_centroid
             from comments left join centroids on rule_key = rule""",
         "align_predictions": base_then(f"""
             select base.row_id, {TOKEN} as reply, l.toxic as label from base join labels l on l.doc_id = base.row_id"""),
@@ -355,32 +370,42 @@ def oracle_sql() -> dict[str, str]:
                    {vector_text('non_violating_centroid')} as non_violating_centroid
             from centroids""",
         "drop_duplicates": comments_then(f"select distinct * from ({unpivot('comments')})"),
-        "stage_counts": base_then(f"""
+        "stage_counts": f"""
+            {TRIPLETS}, base as ({BASE}), comments as ({COMMENTS}),
+            chosen as ({ranked(pseudo_source, 'pseudo', '0.05')}),
+            pseudo as (select distinct * from ({unpivot('chosen')}))
             select 'loaded' as stage, count(*) as n_rows from base
             union all select 'train', count(*) from base where rule_violation is not null
             union all select 'sampled', count(*) from ({ranked('base', 'pseudo', '0.05')})
-            union all select 'distinct_texts', count(distinct body) from base"""),
+            union all select 'pseudo', count(*) from pseudo
+            union all select 'total', count(*) from (
+              select 1 from base where rule_violation is not null union all select 1 from pseudo)
+            union all select 'triplets', count(*) from triplets
+            union all select 'distinct_texts', count(distinct body) from base""",
         "union_with_missing": base_then("""
             select row_id, body, rule_violation from base where rule_violation is not null
             union all by name
             select row_id, subreddit, body from base where rule_violation is null"""),
         "union_slices": comments_then("""
             select row_id, positive_example_1 as body, 1 as rule_violation from comments
-            union all select row_id, negative_example_1, 0 from comments"""),
+            union all select row_id, positive_example_2, 1 from comments
+            union all select row_id, negative_example_1, 0 from comments
+            union all select row_id, negative_example_2, 0 from comments"""),
         "sample_stratified": base_then(f"select row_id, rule from ({ranked('base', 'pseudo', '0.05')})"),
         "sample_n": base_then(
             f"select row_id, rule from base order by {draw('subsample', 'row_id')}, row_id limit 100"
         ),
         "head_n": base_then("select row_id, rule from base order by row_id limit 100"),
         "shuffle_batches": f"""
-            select row_id, ix // 32 as batch_id, cast(ix % 32 as integer) as batch_pos from (
-              select doc_id as row_id,
-                     row_number() over (order by {draw('batches', 'doc_id')}, doc_id) - 1 as ix from documents)""",
-        "batch_plan": """
+            {TRIPLETS}
+            select row_id, 0 as draw_no, ix // 32 as batch_id, cast(ix % 32 as integer) as batch_pos from (
+              select row_id,
+                     row_number() over (order by {draw('batches', 'row_id', '0')}, row_id) - 1 as ix from triplets)""",
+        "batch_plan": f"""
+            {TRIPLETS}
             select n_rows, n_batches, cast(floor(n_batches::double * 0.1::double) as bigint) as warmup_steps from (
               select n_rows, cast(ceil(n_rows / 32) as bigint) as n_batches from (
-                select count(*) as n_rows from documents d join labels l on l.doc_id = d.doc_id
-                where l.toxic is not null))""",
+                select count(*) as n_rows from triplets))""",
         "pseudo_training_set": comments_then(f"""
             , sampled as ({ranked('comments', 'pseudo', '0.05')})
             select distinct * from ({unpivot('sampled')})"""),
@@ -395,7 +420,7 @@ def oracle_sql() -> dict[str, str]:
         "ensemble_weighted": f"""
             {CLASSIFIED}
             select row_id, cast(toxic * 0.6::double + rule_violation * 0.4::double > 0.5 as integer) as rule_violation
-            from scored join labels on nullif(doc_id, 0) = row_id""",
+            from scored join labels on doc_id = row_id""",
         "ensemble_override": f"""
             {CLASSIFIED}
             select row_id, case when toxic = 1 then 1 else rule_violation end as rule_violation

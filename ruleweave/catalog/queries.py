@@ -15,7 +15,7 @@ from ruleweave.operators import indexing as ix
 from ruleweave.operators import joins as jn
 from ruleweave.operators import sampling as sa
 from ruleweave.operators import sets as st
-from ruleweave.operators.stages import staging_path
+from ruleweave.operators.stages import materialize, staging_path
 from ruleweave.plans import ensemble as en
 from ruleweave.plans import inference as inf
 from ruleweave.plans import models as mo
@@ -76,10 +76,10 @@ def label_replies(spark: SparkSession, folder: str) -> DataFrame:
     return base_comments(spark, folder).select("row_id", tx.label_to_token("rule_violation").alias("reply"))
 
 
-def label_scores(spark: SparkSession, folder: str, column: str) -> DataFrame:
-    return table(spark, folder, "labels").select(
-        F.nullif(F.col("doc_id"), F.lit(0)).alias("row_id"), F.col(column).cast("int").alias("rule_violation")
-    )
+def label_scores(spark: SparkSession, folder: str, column: str, *, null_key: bool = False) -> DataFrame:
+    """A label as a prediction table. With ``null_key`` document 0 has a missing key."""
+    key = F.nullif(F.col("doc_id"), F.lit(0)) if null_key else F.col("doc_id")
+    return table(spark, folder, "labels").select(key.alias("row_id"), F.col(column).cast("int").alias("rule_violation"))
 
 
 def paired_vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,16 +101,20 @@ def drawn_comments(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def scan_comments(spark: SparkSession, folder: str) -> DataFrame:
-    return full_comments(spark, folder, labelled=True)
+    """The comment table written as CSV files by many tasks and read back."""
+    path = staging_path(spark, "comments")
+    fi.write_comments(full_comments(spark, folder, labelled=True).repartition("subreddit"), path)
+    return fi.scan_comments(spark, path, labelled=True)
 
 
 @query
 def normalize_missing(spark: SparkSession, folder: str) -> DataFrame:
-    cells = F.array(*[F.lit(t) for t in (*tx.MISSING_TOKENS, "na", "NAN", "none", "0")], F.col("lang"))
-    cell = F.element_at(cells, (F.col("doc_id") % F.size(cells) + 1).cast("int"))
-    return table(spark, folder, "documents").select(
-        F.col("doc_id").alias("row_id"), tx.normalize_missing(cell).alias("cell")
-    )
+    """The text cells of all documents, and one more row per missing-value token and near miss."""
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("row_id"), "text", "lang", "source")
+    tokens = F.array(*[F.lit(t) for t in (*tx.MISSING_TOKENS, "na", "NAN", "none", "0")])
+    near = docs.filter(F.col("row_id") == 0).select(F.posexplode(tokens).alias("at", "token"))
+    more = near.select((-1 - F.col("at")).cast("long").alias("row_id"), *[F.col("token").alias(c) for c in ("text", "lang", "source")])
+    return docs.union(more).select("row_id", *[tx.normalize_missing(c).alias(c) for c in ("text", "lang", "source")])
 
 
 @query
@@ -127,7 +131,7 @@ def read_predictions_pair(spark: SparkSession, folder: str) -> DataFrame:
     paths = []
     for column in ("toxic", "quality"):
         paths.append(staging_path(spark, f"predictions-{column}"))
-        fi.write_submission(label_scores(spark, folder, column), paths[-1])
+        fi.write_submission(label_scores(spark, folder, column, null_key=True), paths[-1])
     return jn.join_predictions(*fi.read_predictions_pair(spark, *paths))
 
 
@@ -135,7 +139,8 @@ def read_predictions_pair(spark: SparkSession, folder: str) -> DataFrame:
 def load_clean(spark: SparkSession, folder: str) -> DataFrame:
     pages = linked_text(spark, folder)
     # A missing text must stay missing.
-    return fi.load_clean(pages.withColumn("body", F.when(F.col("row_id") % 10 != 0, F.col("body"))))
+    missing = pages.filter(F.col("row_id") % 10 == 0).select((-1 - F.col("row_id")).alias("row_id"), F.lit(None).cast("string").alias("body"))
+    return fi.load_clean(pages.union(missing))
 
 
 # Projections
@@ -267,8 +272,13 @@ def filter_known_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def filter_nonempty_pool(spark: SparkSession, folder: str) -> DataFrame:
-    violating = train_rows(spark, folder).filter(F.col("rule_violation") == 1)
-    kept = ix.filter_nonempty_pool(test_rows(spark, folder), violating)
+    """Anchors also come with a rule that no row has, and with one that only their own community has."""
+    train, test = train_rows(spark, folder), test_rows(spark, folder)
+    solo = {"rule": F.lit("solo rule"), "subreddit": F.lit("one community")}
+    pool = train.unionByName(train.filter(F.col("row_id") % 11 == 0).withColumns(solo))
+    absent = test.filter(F.col("row_id") % 7 == 0).withColumns({"row_id": -1 - F.col("row_id"), "rule": F.lit("no such rule")})
+    alone = test.filter(F.col("row_id") % 7 == 1).withColumns({"row_id": -1 - F.col("row_id"), **solo})
+    kept = ix.filter_nonempty_pool(test.unionByName(absent).unionByName(alone), pool)
     return kept.select("row_id", "positive_pool", "negative_pool")
 
 
@@ -277,7 +287,7 @@ def filter_nonempty_pool(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def join_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return jn.join_predictions(label_scores(spark, folder, "toxic"), label_scores(spark, folder, "quality"))
+    return jn.join_predictions(*[label_scores(spark, folder, c, null_key=True) for c in ("toxic", "quality")])
 
 
 def _partners(spark: SparkSession, folder: str, role: str) -> DataFrame:
@@ -316,8 +326,8 @@ def join_rule_centroid(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "row_id",
         "rule_key",
-        F.round(F.col("violating_centroid")[0], 6).alias("violating_first"),
-        F.round(F.col("non_violating_centroid")[0], 6).alias("non_violating_first"),
+        vector_text("violating_centroid").alias("violating_centroid"),
+        vector_text("non_violating_centroid").alias("non_violating_centroid"),
     )
 
 
@@ -362,12 +372,19 @@ def drop_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stage_counts(spark: SparkSession, folder: str) -> DataFrame:
-    comments = plain_comments(spark, folder)
+    comments = full_comments(spark, folder, labelled=True)
+    train = comments.filter(F.col("rule_violation").isNotNull())
+    test = comments.filter(F.col("rule_violation").isNull()).drop("rule_violation")
+    pseudo = materialize(tr.pseudo_training_set(test))
+    shared = ["body", "rule", "subreddit", "rule_violation"]
     return st.stage_counts(
-        loaded=comments,
+        loaded=plain_comments(spark, folder),
         train=train_rows(spark, folder),
-        sampled=sa.stratified_sample(comments),
-        distinct_texts=st.distinct_texts(comments, ["body"]),
+        sampled=sa.stratified_sample(plain_comments(spark, folder)),
+        pseudo=pseudo,
+        total=train.select(*shared).unionByName(pseudo.select(*shared)),
+        triplets=tr.triplet_rows(test_rows(spark, folder), train_rows(spark, folder)),
+        distinct_texts=st.distinct_texts(plain_comments(spark, folder), ["body"]),
     )
 
 
@@ -380,9 +397,13 @@ def union_with_missing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def union_slices(spark: SparkSession, folder: str) -> DataFrame:
     comments = full_comments(spark, folder)
-    first = comments.select("row_id", F.col("positive_example_1").alias("body"), F.lit(1).alias("rule_violation"))
-    second = comments.select(F.lit(0).alias("rule_violation"), F.col("negative_example_1").alias("body"), "row_id")
-    return first.unionByName(second)
+    slices = []
+    for side, label in (("positive", 1), ("negative", 0)):
+        for i in (1, 2):
+            columns = ["row_id", F.col(f"{side}_example_{i}").alias("body"), F.lit(label).alias("rule_violation")]
+            # The columns of the slices are in different orders.
+            slices.append(comments.select(*columns[i:], *columns[:i]))
+    return st.union_slices(*slices)
 
 
 @query
@@ -402,13 +423,14 @@ def head_n(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def shuffle_batches(spark: SparkSession, folder: str) -> DataFrame:
-    rows = plain_comments(spark, folder).select("row_id")
-    return sa.shuffle_batches(rows, id_cols=["row_id"])
+    triplets = tr.triplet_rows(test_rows(spark, folder), train_rows(spark, folder))
+    batches = sa.shuffle_batches(triplets.select("row_id", "draw_no"), id_cols=["row_id", "draw_no"])
+    return batches.select("row_id", "draw_no", "batch_id", "batch_pos")
 
 
 @query
 def batch_plan(spark: SparkSession, folder: str) -> DataFrame:
-    return sa.batch_plan(train_rows(spark, folder))
+    return sa.batch_plan(tr.triplet_rows(test_rows(spark, folder), train_rows(spark, folder)))
 
 
 # Composites
@@ -482,13 +504,10 @@ def score_text_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def triplet_margin_loss(spark: SparkSession, folder: str) -> DataFrame:
     triplets = tr.triplet_rows(test_rows(spark, folder), train_rows(spark, folder))
     vectors = document_vectors(spark, folder)
-    losses = [
-        mo.triplet_margin_loss(triplets, vectors, id_cols=["row_id", "draw_no"], metric=metric).select(
-            F.lit(metric).alias("metric"), "n_triplets", F.round("mean_loss", 6).alias("mean_loss")
-        )
-        for metric in ("cosine", "euclidean")
-    ]
-    return losses[0].union(losses[1])
+    losses = mo.triplet_margin_loss(
+        triplets, vectors, id_cols=["row_id", "draw_no"], metrics=("cosine", "euclidean")
+    )
+    return losses.withColumn("mean_loss", F.round("mean_loss", 6))
 
 
 @query

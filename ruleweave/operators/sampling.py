@@ -1,8 +1,8 @@
 """Exact samples, head, and shuffled batches, without a sort or a window over a whole group.
 
-A sample keeps the rows with the smallest keyed draws of their stratum. The cut is found in two narrow passes:
-counts per (stratum, high bits of the draw) tell which bucket holds the last kept row, and only that bucket is
-ranked. The wide rows are then filtered against one cut per stratum, which needs no shuffle of theirs.
+A sample keeps the rows with the smallest keyed draws of their stratum. Counts per (stratum, high bits of the draw) tell which
+bucket holds the last kept row. Rows of buckets before it are kept by a filter, without a shuffle; only the rows of that
+bucket are ranked. Ranks count rows, so null and repeated ids neither lose rows nor add any.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from ruleweave.defaults import PSEUDO_FRACTION, SEED, TRAIN_BATCH_SIZE, WARMUP_SHARE
@@ -21,43 +22,50 @@ from ruleweave.operators.stages import lookup_join
 STRATUM_BITS = 12
 # One stratum only, so more buckets; their count table holds at most 65,536 rows whatever the data.
 SINGLE_BITS = 16
-# A direct top-k is cheaper up to here.
-TOP_K_ROWS = 10_000
+# Rows among which the end of a head is sorted out; ranges of the id are narrowed to about so many.
+HEAD_ROWS = 1_000_000
+HEAD_RANGES = 64
+
+
+def _tie_break(df: DataFrame) -> Column:
+    """A digest of the whole row, so that rows with equal ids have an order of their own."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)])
 
 
 def _keep_lowest(
     df: DataFrame,
-    stratum: Column,
+    stratum: Column | None,
     order: Column,
     id_col: str,
-    bucket: Callable[[Column], Column],
+    bits: int,
     quota: Callable[[Column], Column],
 ) -> DataFrame:
-    """Rows whose (order, id) is among the first ``quota(n)`` of their stratum of ``n`` rows."""
-    narrow = df.select(stratum.alias("_stratum"), order.alias("_order"), F.col(id_col).alias("_id")).withColumn(
-        "_bucket", bucket(F.col("_order"))
-    )
-    counts = narrow.groupBy("_stratum", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    """The first ``quota(n)`` rows of each stratum of ``n`` rows, by (draw, id with nulls last, digest of the row)."""
+    one = stratum is None
+    marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), order.alias("_order"), F.col(id_col).alias("_id"), _tie_break(df).alias("_tie"), (F.lit(0) if one else stratum).alias("_stratum"))
+    marked = marked.withColumn("_bucket", draw_bucket(F.col("_order"), bits))
+    counts = marked.groupBy("_stratum", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy("_stratum")
     upto = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut_bucket = (
+    cuts = (
         counts.withColumn("_last", F.sum("_n").over(upto))
         .withColumn("_quota", quota(F.sum("_n").over(whole)))
         .withColumn("_before", F.col("_last") - F.col("_n"))
         .filter((F.col("_before") < F.col("_quota")) & (F.col("_last") >= F.col("_quota")))
-        .select("_stratum", "_bucket", (F.col("_quota") - F.col("_before")).alias("_need"))
+        .select("_stratum", F.col("_bucket").alias("_cut"), (F.col("_quota") - F.col("_before")).alias("_need"))
     )
-    ranked = lookup_join(narrow, cut_bucket, ["_stratum", "_bucket"], "inner", spread_by="_id").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_stratum").orderBy("_order", "_id"))
+    if one:
+        cut = cuts.first()
+        if cut is None:
+            return df.filter("false")
+        found = marked.withColumn("_cut", F.lit(cut["_cut"])).withColumn("_need", F.lit(cut["_need"]))
+    else:
+        found = lookup_join(marked, cuts, ["_stratum"], "inner", spread_by="_order")
+    below = found.filter(F.col("_bucket") < F.col("_cut"))
+    ranked = found.filter(F.col("_bucket") == F.col("_cut")).withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("_stratum").orderBy("_order", F.col("_id").asc_nulls_last(), "_tie"))
     )
-    cut = ranked.filter(F.col("_rank") == F.col("_need")).select(
-        "_stratum", F.col("_order").alias("_cut_order"), F.col("_id").alias("_cut_id")
-    )
-    marked = df.withColumn("_stratum", stratum).withColumn("_order", order)
-    inside = (F.col("_order") < F.col("_cut_order")) | (
-        (F.col("_order") == F.col("_cut_order")) & (F.col(id_col) <= F.col("_cut_id"))
-    )
-    return lookup_join(marked, cut, ["_stratum"], "inner", spread_by=id_col).filter(inside).select(*df.columns)
+    return below.select("_row").union(ranked.filter(F.col("_rank") <= F.col("_need")).select("_row")).select("_row.*")
 
 
 def stratified_sample(
@@ -76,7 +84,7 @@ def stratified_sample(
         F.col(stratum_col),
         draw(tag, id_col, seed=seed),
         id_col,
-        lambda order: draw_bucket(order, bits),
+        bits,
         lambda n: F.bround(F.lit(float(frac)) * n, 0).cast("long"),
     )
 
@@ -87,10 +95,10 @@ def sample_n(
     """``n`` rows without replacement; all rows if there are no more than that."""
     return _keep_lowest(
         df,
-        F.lit(0),
+        None,
         draw(tag, id_col, seed=seed),
         id_col,
-        lambda order: draw_bucket(order, SINGLE_BITS),
+        SINGLE_BITS,
         lambda rows: F.least(F.lit(n).cast("long"), rows),
     )
 
@@ -101,29 +109,47 @@ def sample_fraction(
     """Exactly ``round(fraction * n)`` of ``n`` rows, half to even."""
     return _keep_lowest(
         df,
-        F.lit(0),
+        None,
         draw(tag, id_col, seed=seed),
         id_col,
-        lambda order: draw_bucket(order, SINGLE_BITS),
+        SINGLE_BITS,
         lambda rows: F.bround(F.lit(float(fraction)) * rows, 0).cast("long"),
     )
 
 
 def head_n(df: DataFrame, n: int | None, *, id_col: str = "row_id") -> DataFrame:
-    """The ``n`` rows with the smallest ids; no limit if ``n`` is 0 or None."""
+    """The ``n`` rows with the smallest ids of any orderable type, nulls last; no limit if ``n`` is 0 or None.
+
+    Of rows with equal ids those with the smaller digest come first. Drawn ids cut the table into ranges; counts per range tell
+    which one holds the last row, and it is cut again until it is small. Rows before it are kept by a filter.
+    """
     if not n:
         return df
-    if n <= TOP_K_ROWS:
-        return df.orderBy(id_col).limit(n)
-    return _keep_lowest(
-        df,
-        F.lit(0),
-        F.col(id_col),
-        id_col,
-        # Ids are unique, so a bucket never holds more than 65,536 rows.
-        lambda order: F.shiftright(order.cast("long"), 16),
-        lambda rows: F.least(F.lit(n).cast("long"), rows),
-    )
+    key = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("v"))
+    inside, need = F.lit(True), n
+    below = F.lit(False)
+    while (rows := df.filter(inside).count()) > max(HEAD_ROWS, 1) and need < rows:
+        part = df.filter(inside).select(key.alias("k"))
+        drawn = part.sample(min(1.0, 40.0 * HEAD_RANGES / rows), seed=SEED).distinct().sort("k").collect()
+        ends = [r["k"]["v"] for r in drawn[:: max(1, len(drawn) // HEAD_RANGES)] if not r["k"]["n"]]
+        kind = df.schema[id_col].dataType
+        # Range i holds the ids above end i - 1 up to end i; the last one also holds the nulls.
+        place = F.coalesce(F.size(F.filter(F.array(*[F.lit(e).cast(kind) for e in ends]), lambda e: e < F.col(id_col))), F.lit(len(ends)))
+        place = F.when(F.col(id_col).isNull(), F.lit(len(ends))).otherwise(place)
+        counts = dict(sorted((r["p"], r["n"]) for r in df.filter(inside).groupBy(place.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()))
+        at = before = 0
+        for at, size in counts.items():
+            if before + size >= need:
+                break
+            before += size
+        if counts[at] == rows:
+            break
+        below = below | (inside & (place < at))
+        inside, need = inside & (place == at), need - before
+    if need >= rows:
+        return df.filter(below | inside)
+    last = df.filter(inside).withColumn("_tie", _tie_break(df)).orderBy(F.col(id_col).asc_nulls_last(), "_tie").limit(need)
+    return df.filter(below).unionByName(last.drop("_tie"))
 
 
 def shuffle_batches(

@@ -79,3 +79,11 @@ def stage_counts(**stages: DataFrame) -> DataFrame:
     for more in counted[1:]:
         result = result.union(more)
     return result
+
+
+def union_slices(*slices: DataFrame) -> DataFrame:
+    """All rows of frames with the same columns, by name."""
+    whole = slices[0]
+    for part in slices[1:]:
+        whole = whole.unionByName(part)
+    return whole

@@ -74,10 +74,12 @@ def full_inference(
 ) -> DataFrame:
     """(row_id, rule_violation): centroid labels, overridden where the reply is the positive token.
 
-    Without ``vectors`` the built-in embedder is used. The result is what ``write_submission`` writes.
+    Without ``vectors`` the built-in embedder is used. A comment without a reply keeps its centroid label. The result is
+    what ``write_submission`` writes.
     """
     if vectors is None:
         labels = centroid_classify_builtin(comments, dim=dim, metric=metric)
     else:
         labels = centroid_classify(comments, vectors, dim=dim, metric=metric)
-    return ensemble_override(replies, labels, positive_token=positive_token)
+    every = labels.select("row_id").join(replies.select("row_id", "reply"), "row_id", "left")
+    return ensemble_override(every, labels, positive_token=positive_token)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -31,13 +34,18 @@ def score_texts(
 ) -> DataFrame:
     """(text_key, value) per distinct text, scored in batches.
 
-    ``load_scorer`` runs once per task and returns a function from a list of texts to a list of values. It is called
-    with at most ``batch_size`` texts at a time.
+    ``load_scorer`` runs once per worker, which lives through many tasks, and returns a function from a list of texts to a
+    list of values. It is called with at most ``batch_size`` texts at a time.
     """
     kind = value_type if isinstance(value_type, str) else value_type.simpleString()
+    name = uuid.uuid4().hex
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = load_scorer()
+        # The table of modules outlives a task in every worker, whether or not it can import this package.
+        loaded = sys.modules.setdefault("_ruleweave_scorers", types.ModuleType("_ruleweave_scorers")).__dict__
+        if name not in loaded:
+            loaded[name] = load_scorer()
+        scorer = loaded[name]
         for frame in frames:
             texts, values = frame["text"].tolist(), []
             for start in range(0, len(texts), batch_size):
@@ -86,13 +94,14 @@ def fit_text_classifier(
 ) -> PipelineModel:
     """Learn a 0/1 label from text.
 
-    The texts are read and tokenised once; term weights and coefficients are then fitted on the stored word counts.
+    The texts are read and tokenised once; term weights and coefficients are then fitted on the stored word counts. Rows
+    without a text or a label are left out.
     """
     words = RegexTokenizer(inputCol=text_col, outputCol="_words", gaps=False, pattern=WORD_PATTERN)
     hashing = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=num_features)
     label = F.col(label_col).cast("double").alias(label_col)
     counted = materialize(
-        hashing.transform(words.transform(labelled.select(text_col, label))).select(label_col, "_counts")
+        hashing.transform(words.transform(labelled.select(text_col, label).dropna())).select(label_col, "_counts")
     )
     weights = IDF(inputCol="_counts", outputCol="_features").fit(counted)
     regression = LogisticRegression(
@@ -108,9 +117,14 @@ def score_text_classifier(
     positive_token: str = POSITIVE_TOKEN,
     negative_token: str = NEGATIVE_TOKEN,
 ) -> DataFrame:
-    """Add ``score`` (probability of label 1) and ``reply`` (the answer token)."""
-    scored = model.transform(df).withColumn("score", vector_to_array("probability")[1])
-    reply = F.when(F.col("score") > 0.5, positive_token).otherwise(negative_token)
+    """Add ``score`` (probability of label 1) and ``reply`` (the answer token); a missing text has neither."""
+    text_col = model.stages[0].getInputCol()
+    # The tokenizer takes no missing text, so it reads a filled copy.
+    filled = df.withColumns({"_missing": F.col(text_col).isNull(), "_original": F.col(text_col)})
+    filled = filled.withColumn(text_col, F.coalesce(text_col, F.lit("")))
+    score = F.when(~F.col("_missing"), vector_to_array("probability")[1])
+    scored = model.transform(filled).withColumn("score", score).withColumn(text_col, F.col("_original"))
+    reply = F.when(F.col("score") > 0.5, positive_token).when(F.col("score").isNotNull(), negative_token)
     return scored.select(*df.columns, "score", reply.alias("reply"))
 
 
@@ -119,10 +133,16 @@ def cosine_distance(a: Column | str, b: Column | str) -> Column:
 
 
 def triplet_margin_loss(
-    triplets: DataFrame, vectors: DataFrame, *, id_cols: list[str], metric: str = "cosine", margin: float = TRIPLET_MARGIN
+    triplets: DataFrame,
+    vectors: DataFrame,
+    *,
+    id_cols: list[str],
+    metrics: tuple[str, ...] = ("cosine",),
+    margin: float = TRIPLET_MARGIN,
 ) -> DataFrame:
-    """One row: number of triplets whose texts all have vectors, and their mean ``max(0, d(a,p) - d(a,n) + margin)``."""
-    distance = {"cosine": cosine_distance, "euclidean": euclidean_distance}[metric]
+    """(metric, n_triplets, mean_loss), one row per metric: the number of triplets whose texts all have vectors, and their
+    mean ``max(0, d(a,p) - d(a,n) + margin)``. The vectors are joined once for all metrics."""
+    distances = {"cosine": cosine_distance, "euclidean": euclidean_distance}
     roles = ("anchor", "positive", "negative")
     # Long form: the vectors are joined once for the three texts of a triplet.
     long = triplets.select(
@@ -134,5 +154,11 @@ def triplet_margin_loss(
         *[F.first(F.when(F.col("role") == r, F.col("embedding")), ignorenulls=True).alias(r) for r in roles]
     )
     complete = wide.filter(" and ".join(f"{r} is not null" for r in roles))
-    loss = F.greatest(F.lit(0.0), distance("anchor", "positive") - distance("anchor", "negative") + F.lit(margin))
-    return complete.agg(F.count(F.lit(1)).alias("n_triplets"), F.avg(loss).alias("mean_loss"))
+
+    def loss(metric: str) -> Column:
+        distance = distances[metric]
+        return F.greatest(F.lit(0.0), distance("anchor", "positive") - distance("anchor", "negative") + F.lit(margin))
+
+    sums = complete.agg(F.count(F.lit(1)).alias("n_triplets"), *[F.avg(loss(m)).alias(m) for m in metrics])
+    rows = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("mean_loss")) for m in metrics]))
+    return sums.select("n_triplets", rows.alias("r")).select("r.metric", "n_triplets", "r.mean_loss")

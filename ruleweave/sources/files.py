@@ -22,14 +22,21 @@ PREDICTION_SCHEMA = T.StructType(
 def _typed(name: str, kind: T.DataType) -> Column:
     text = normalize_missing(F.col(f"`{name}`"))
     if isinstance(kind, (T.LongType, T.IntegerType)):
-        # Whole numbers may be written as 1.0. Anything else that is not a number is an error.
-        return F.coalesce(text.try_cast(kind), text.cast("double").cast(kind)).alias(name)
+        # Whole numbers may be written as 1.0. A fraction, or what is not a number, is an error.
+        number = text.cast("double")
+        problem = F.raise_error(F.concat(F.lit(f"not a whole number in {name}: "), text))
+        whole = F.when(number == F.floor(number), number.cast(kind)).otherwise(problem.cast(kind))
+        return F.when(text.isNull(), F.lit(None).cast(kind)).otherwise(F.coalesce(text.try_cast(kind), whole)).alias(name)
     return text.cast(kind).alias(name)
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
-    # Cells come as text under the names in the header, so the column order of a file is free.
-    raw = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
+    # Cells come as text under the names in the header, so the column order is free. It is the same for all files of a
+    # folder: Spark maps cells by position, so a file with another header is refused.
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"'}
+    header = spark.read.csv(path, **options).columns
+    names = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    raw = spark.read.csv(path, schema=names, enforceSchema=False, **options)
     return raw.select(*[_typed(f.name, f.dataType) for f in schema.fields])
 
 
@@ -59,6 +66,13 @@ def scan_comments(
     return raw.select(*[column(f) for f in schema.fields])
 
 
+def write_comments(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
+    """Write a comment table as a folder of CSV files that ``scan_comments`` reads; missing cells are left empty."""
+    df.write.mode(mode).csv(
+        path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
 def load_clean(df: DataFrame, *, text_col: str = "body") -> DataFrame:
     """Comments with URLs cleaned in their text; a missing text stays missing."""
     return df.withColumn(text_col, clean_urls(text_col))

@@ -71,5 +71,6 @@ def test_triplet_margin_loss(spark, metric):
         return 1 - sum(p * q for p, q in zip(x, y)) if metric == "cosine" else math.dist(x, y)
 
     losses = [max(0.0, distance(a, p) - distance(a, n) + 0.25) for a, p, n in triplets[:4]]
-    n, mean = mo.triplet_margin_loss(df, vectors, id_cols=["id"], metric=metric).first()
+    name, n, mean = mo.triplet_margin_loss(df, vectors, id_cols=["id"], metrics=(metric,)).first()
+    assert name == metric
     assert n == 4 and mean == pytest.approx(sum(losses) / 4, abs=1e-6)

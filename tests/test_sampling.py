@@ -79,7 +79,7 @@ def test_head(spark, monkeypatch):
     df = spark.range(0, 400000, 37).withColumnRenamed("id", "row_id")
     expected = list(range(0, 5000 * 37, 37))
     assert sorted(r.row_id for r in sa.head_n(df, 5000).collect()) == expected
-    monkeypatch.setattr(sa, "TOP_K_ROWS", 10)
+    monkeypatch.setattr(sa, "HEAD_ROWS", 10)
     assert sorted(r.row_id for r in sa.head_n(df, 5000).collect()) == expected
     assert sa.head_n(df, 10**9).count() == df.count()
 
@@ -97,7 +97,37 @@ def test_batch_plan(spark, n, batches, warmup):
 
 
 def test_no_window_sees_a_whole_stratum(spark):
-    """The only ranking window runs over the boundary bucket."""
+    """Only the rows of the boundary bucket are moved and ranked."""
     df = spark.range(20000).select(F.col("id").alias("row_id"), F.lit("hot").alias("rule"))
-    plan = sa.stratified_sample(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+    plan = sa.stratified_sample(df)
+    assert plan.count() == 1000
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Window") <= 2 and "(_bucket" in text
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("ids", [[None, 1, 2, 3, 4], ["b", "a", None, "c", "a"], [7, 7, 7, 7, 7], [None] * 5])
+@pytest.mark.parametrize("n", [1, 3, 5, 9])
+def test_head_of_any_ids(spark, monkeypatch, ids, n, small):
+    if small:
+        monkeypatch.setattr(sa, "HEAD_ROWS", 1)
+    kind = "string" if "b" in ids else "long"
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(ids)], f"row_id {kind}, other int")
+    expected = sorted(ids, key=lambda x: (x is None, x or 0))[:n]
+    got = [r.row_id for r in sa.head_n(df, n).collect()]
+    assert sorted(got, key=lambda x: (x is None, x or 0)) == expected
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 6])
+def test_sample_sizes_with_null_and_repeated_ids(spark, n):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (2, "d"), (2, "d"), (2, "e")], "row_id long, body string")
+    rows = sa.sample_n(df, n).collect()
+    assert len(rows) == n and Counter(map(tuple, rows)) <= Counter(map(tuple, df.collect()))
+    assert sorted(map(repr, rows)) == sorted(map(repr, sa.sample_n(df.repartition(3), n).collect()))
+
+
+def test_samplers_join_without_nested_loops(spark):
+    df = frame(spark, SIZES)
+    for sample in (sa.sample_n(df, 50), sa.sample_fraction(df, 0.1), sa.stratified_sample(df), sa.head_n(df, 50)):
+        plan = sample._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
