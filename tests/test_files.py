@@ -63,3 +63,26 @@ def test_predictions_pair(spark, tmp_path):
     assert rows_of(a) == [(1, 0.7), (2, None)] and rows_of(b) == [(1, 1.0)]
     with pytest.raises(AnalysisException):
         fi.read_predictions_pair(spark, first, str(tmp_path / "absent.csv"))
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("row_id,rule_violation\n1,0\n2,1\n")
+    (tmp_path / "b.csv").write_text("rule_violation,row_id\n0,3\n1,4\n")
+    with pytest.raises(Exception, match="header"):
+        fi.read_predictions(spark, str(tmp_path)).collect()
+
+
+def test_fractions_are_no_whole_numbers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("row_id,rule_violation\n1.0,0.6\n")
+    assert [tuple(r) for r in fi.read_predictions(spark, str(tmp_path)).collect()] == [(1, 0.6)]
+    (tmp_path / "a.csv").write_text("row_id,rule_violation\n1.7,0\n")
+    with pytest.raises(Exception, match="not a whole number in row_id: 1.7"):
+        fi.read_predictions(spark, str(tmp_path)).collect()
+
+
+def test_comments_survive_a_round_trip(spark, tmp_path):
+    rows = [(1, ' two\nlines, "quoted" ', "r", None, "a", "", "NA", "x", 1), (2, None, "r", "s", "b", "c", "d", "e", None)]
+    df = spark.createDataFrame(rows, fi.TRAIN_SCHEMA)
+    fi.write_comments(df.repartition(2), str(tmp_path / "c"))
+    got = sorted(map(tuple, fi.scan_comments(spark, str(tmp_path / "c"), labelled=True).collect()))
+    assert got == [(1, ' two\nlines, "quoted" ', "r", None, "a", None, None, "x", 1), rows[1]]

@@ -147,3 +147,10 @@ def test_union_with_missing(spark):
     a = spark.createDataFrame([(1, "x")], "id int, only_a string")
     b = spark.createDataFrame([("y", 2)], "only_b string, id int")
     assert rows_of(st.union_with_missing(a, b), "id", "only_a", "only_b") == [(1, "x", None), (2, None, "y")]
+
+
+def test_comments_without_a_reply_keep_their_label(spark):
+    rows = [{"row_id": i, "body": "same words", "rule": "r", "positive_example_1": "same words"} for i in (1, 2)]
+    replies = spark.createDataFrame([(1, "No")], "row_id long, reply string")
+    got = inf.full_inference(comments(spark, rows), replies, dim=8).collect()
+    assert sorted(r.row_id for r in got) == [1, 2]

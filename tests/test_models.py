@@ -74,3 +74,31 @@ def test_triplet_margin_loss(spark, metric):
     name, n, mean = mo.triplet_margin_loss(df, vectors, id_cols=["id"], metrics=(metric,)).first()
     assert name == metric
     assert n == 4 and mean == pytest.approx(sum(losses) / 4, abs=1e-6)
+
+
+def test_classifier_without_a_text(spark):
+    rows = [("good day", 0), ("bad night", 1), (None, 1), ("no label", None)] * 3
+    df = spark.createDataFrame(rows, "prompt string, rule_violation int")
+    model = mo.fit_text_classifier(df, num_features=64, max_iter=5)
+    got = mo.score_text_classifier(model, df).collect()
+    assert len(got) == 12 and all((r.prompt is None) == (r.score is None) == (r.reply is None) for r in got)
+
+
+def test_scorer_is_loaded_once_per_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import os
+        import tempfile
+
+        tempfile.mkstemp(prefix=f"{os.getpid()}-", dir=folder)
+        return lambda texts: [1.0] * len(texts)
+
+    df = spark.range(200).selectExpr("cast(id as string) as text").repartition(16)
+    assert mo.score_texts(df, load, "double").count() >= 0
+    mo.score_texts(df, load, "double").agg({"value": "sum"}).collect()
+    import os
+
+    workers = [name.split("-")[0] for name in os.listdir(folder)]
+    # Two runs of many tasks each: a worker loads at most once per run.
+    assert workers and max(workers.count(w) for w in workers) <= 2
