@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,19 +47,22 @@ def rule_centroids(comments: DataFrame, vectors: DataFrame, *, dim: int) -> Data
 
 
 def centroids_of(members: DataFrame, *, dim: int) -> DataFrame:
-    """Both centroids per rule from (rule_key, violating, embedding)."""
-    entries = members.select("rule_key", "violating", F.posexplode_outer("embedding").alias("_pos", "_value"))
-    means = entries.groupBy("rule_key", "violating", "_pos").agg(F.avg(F.col("_value").cast("double")).alias("_mean"))
+    """Both centroids per rule from (rule_key, violating, embedding).
+
+    Vectors are added up whole, in the tasks first; a rule moves one partial sum per side and task.
+    """
+    known = members.filter(F.col("embedding").isNotNull())
+    vector = array_to_vector(F.transform("embedding", lambda x: x.cast("double")))
+    means = known.select("rule_key", "violating", vector.alias("_v")).groupBy("rule_key", "violating").agg(
+        vector_to_array(Summarizer.mean(F.col("_v"))).alias("_mean")
+    )
+    # Rules whose members all lack a vector stay in the result.
+    rows = means.unionByName(members.select("rule_key").distinct(), allowMissingColumns=True)
 
     def side(violating: bool) -> Column:
-        found = F.collect_list(
-            F.when((F.col("violating") == violating) & F.col("_pos").isNotNull(), F.struct("_pos", "_mean"))
-        )
-        vector = F.transform(F.sort_array(found), lambda e: e["_mean"])
-        return F.when(F.size(found) > 0, vector).otherwise(zero_vector(dim))
-
-    # At most 2 * dim + 2 rows per rule are left here.
-    return means.groupBy("rule_key").agg(
+        return F.coalesce(F.first(F.when(F.col("violating") == violating, F.col("_mean")), ignorenulls=True), zero_vector(dim))
+
+    return rows.groupBy("rule_key").agg(
         side(True).alias("violating_centroid"), side(False).alias("non_violating_centroid")
     )
 

@@ -122,7 +122,7 @@ def test_full_inference(spark):
         [(1, None), (2, "Yes"), (3, "yes"), (4, "No"), (5, "Yes"), (6, None)], "row_id long, reply string"
     )
     got = rows_of(inf.full_inference(sample(spark), replies, vectors(spark, VECTORS), dim=2))
-    assert got == [(1, 1), (2, 1), (3, 0), (4, 0), (5, 1), (6, 0)]
+    assert got == [(1, 1), (2, 1), (3, 0), (4, 0), (5, 1), (6, 0), (7, 0)]
 
 
 def test_distinct_texts_and_counts(spark):
