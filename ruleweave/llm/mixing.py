@@ -51,7 +51,7 @@ class Keys:
 def document_keys(id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, seed: int = SEED) -> Keys:
     text = text_or_empty(text_col)
     identity = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    uniform = (draw("mix", identity, F.xxhash64(text), seed=seed) + 0.5) / float(1 << DRAW_BITS)
+    uniform = (draw("mix", identity, F.md5(text.cast("binary")), seed=seed) + 0.5) / float(1 << DRAW_BITS)
     return Keys(F.col(source_col).cast("string"), word_count(text), -F.log(uniform) / quality(text))
 
 

@@ -45,3 +45,17 @@ def test_stages_take_edge_rows(spark, edge, empty):
 def test_one_row_of_each_class_stays(spark, edge):
     left = corpus_pipeline.drop_near_copies(spark, edge, "").collect()
     assert Counter(r.doc_id for r in left) == Counter([1, 2, 3, 5, 7, None])
+
+
+@needs_tables
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
+def test_query_matches_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    database = duckdb.connect()
+    database.execute(f"create view documents as select * from read_parquet('{FOLDER}/documents.parquet')")
+    cursor = database.execute(catalog.oracle_sql()[name])
+    columns = [c[0] for c in cursor.description]
+    df = catalog.queries()[name](spark, FOLDER)
+    assert sorted(columns) == sorted(df.columns)
+    got = [tuple(r) for r in df.select(*columns).collect()]
+    assert sorted(got, key=repr) == sorted(cursor.fetchall(), key=repr)
