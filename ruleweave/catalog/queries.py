@@ -500,6 +500,24 @@ def score_text_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return mo.score_text_classifier(model, prompts).select("row_id", "score", "reply")
 
 
+@query
+def train_infer_combine(spark: SparkSession, folder: str) -> DataFrame:
+    """From training rows to a submission: prompts, a fitted classifier, its replies, centroid labels, the weighted vote."""
+    comments = materialize(full_comments(spark, folder, labelled=True))
+    train = comments.filter(F.col("rule_violation").isNotNull())
+    test = comments.filter(F.col("rule_violation").isNull()).drop("rule_violation")
+    prompts = tr.prompt_dataset(train, test)
+    label = tx.reply_to_label("completion").cast("int").alias("rule_violation")
+    model = mo.fit_text_classifier(prompts.select("prompt", label))
+    asked = tr.with_drawn_examples(test).select("row_id", tx.build_prompt().alias("prompt"))
+    replies = mo.score_text_classifier(model, asked)
+    voted = replies.select("row_id", tx.reply_to_label("reply").cast("int").alias("rule_violation"))
+    combined = en.ensemble_weighted(voted, inf.centroid_classify_builtin(test, dim=DIM))
+    path = staging_path(spark, "submission")
+    fi.write_submission(combined, path)
+    return fi.read_predictions(spark, path)
+
+
 @query
 def triplet_margin_loss(spark: SparkSession, folder: str) -> DataFrame:
     triplets = tr.triplet_rows(test_rows(spark, folder), train_rows(spark, folder))

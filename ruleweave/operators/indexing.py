@@ -19,7 +19,7 @@ from pyspark.sql import Window
 from ruleweave.defaults import SEED
 from ruleweave.functions.draws import draw, draw_bucket
 from ruleweave.functions.text import digest
-from ruleweave.operators.stages import lookup_join, materialize
+from ruleweave.operators.stages import lookup_join, materialize, skew_join
 
 BLOCK_BITS = 12
 # Key of the block of rows whose rule or community is missing. No digest is empty.
@@ -188,11 +188,11 @@ def pick_partners(
         keep = keep & (size > 0)
         roles.append(F.struct(F.lit("negative").alias("role"), _skip(pick, start, own).alias("ix")))
     picks = placed.filter(keep).select(*id_cols, F.explode(F.array(*roles)).alias("_pick"))
-    return (
-        picks.select(*id_cols, "_pick.role", "_pick.ix")
-        .join(index.rows, "ix")
-        .select(*id_cols, "role", "pool_id")
+    # A small pool is picked from very often, so a number may have any share of the picks.
+    found = skew_join(
+        picks.select(*id_cols, "_pick.role", "_pick.ix"), index.rows, ["ix"], "inner", spread_by=id_cols[0]
     )
+    return found.select(*id_cols, "role", "pool_id")
 
 
 def with_pool_sizes(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,8 @@ from pyspark.sql import types as T
 
 # Above this many bytes a side table is no longer broadcast.
 BROADCAST_LIMIT = 64 * 1024 * 1024
-# Pieces a key is cut into when its side table is too big to broadcast.
-SALTS = 32
+# Pieces every key of a stream is cut into, as its rows cannot be counted beforehand.
+STREAM_PIECES = 32
 # Rows of one key that a single task may join.
 ROWS_PER_PIECE = 1_000_000
 
@@ -101,17 +102,19 @@ def lookup_join(
     """Join a large frame with a side table that holds one row per key.
 
     The side table is computed once and measured. Up to ``limit`` bytes (by default ``BROADCAST_LIMIT``) it is
-    broadcast, so ``left`` is not shuffled. Beyond that both sides are hashed on the key and a salt taken from
-    ``spread_by``, so a key that holds a third of the rows is still spread over many tasks. Pass ``stored=True`` if the
-    side table is cheap to read again.
+    broadcast, so ``left`` is not shuffled. Beyond that the rows of each key of ``left`` are counted, keys with too many for one
+    task are cut into pieces by a hash of ``spread_by``, and only their rows of the side table are repeated. On a stream every
+    key is cut into ``STREAM_PIECES``.
     """
     if not stored:
         side = materialize(side)
     if measured_bytes(side) <= (BROADCAST_LIMIT if limit is None else limit):
         return left.join(F.broadcast(side), on, how)
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    salted_side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted_left.join(salted_side, [*on, "_salt"], how).drop("_salt")
+    if left.isStreaming:
+        cut_left = left.withColumn("_piece", F.pmod(F.xxhash64(spread_by), F.lit(STREAM_PIECES)).cast("int"))
+        cut_side = side.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(STREAM_PIECES - 1))))
+        return cut_left.join(cut_side, [*on, "_piece"], how).drop("_piece")
+    return _cut_join(left, side, on, how, spread_by, ROWS_PER_PIECE)
 
 
 def skew_join(
@@ -126,13 +129,15 @@ def skew_join(
     """Join a narrow frame, in which a key may repeat without limit, with a large one that holds it once.
 
     Keys with more than ``rows_per_piece`` rows (by default ``ROWS_PER_PIECE``) are cut into pieces by a hash of
-    ``spread_by``, and only their rows on the right are repeated, once per piece. All other keys join as they are. The
-    table of such keys has at most one row per ``rows_per_piece`` rows of ``left``.
+    ``spread_by``, and only their rows on the right are repeated, once per piece; so are rows without a key. All other keys
+    join as they are. A stream goes by ``lookup_join``, with ``right`` as a stored table.
     """
     if left.isStreaming:
-        return left.join(right, on, how)
-    size = rows_per_piece or ROWS_PER_PIECE
-    left = materialize(left)
+        return lookup_join(left, right, on, how, spread_by=spread_by, stored=True)
+    return _cut_join(materialize(left), right, on, how, spread_by, rows_per_piece or ROWS_PER_PIECE)
+
+
+def _cut_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spread_by: str, size: int) -> DataFrame:
     hot = materialize(
         left.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -141,11 +146,12 @@ def skew_join(
     )
     if hot.isEmpty():
         return left.join(right, on, how)
+    # At most one row per ``size`` rows of ``left``. A missing key matches itself here, so its rows are cut as well.
+    hot = F.broadcast(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in on], "_pieces"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in on])
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
-    cut_left = lookup_join(left, hot, on, "left", spread_by=spread_by, stored=True).withColumn(
-        "_piece", F.pmod(F.xxhash64(spread_by), pieces).cast("int")
-    )
-    cut_right = lookup_join(right, hot, on, "left", spread_by=on[0], stored=True).withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), pieces - 1))
-    )
-    return cut_left.drop("_pieces").join(cut_right.drop("_pieces"), [*on, "_piece"], how).drop("_piece")
+    names = [f"_hot_{c}" for c in on]
+    cut_left = left.join(hot, same, "left").withColumn("_piece", F.pmod(F.xxhash64(spread_by), pieces).cast("int"))
+    cut_right = right.join(hot, same, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    joined = cut_left.drop("_pieces", *names).join(cut_right.drop("_pieces", *names), [*on, "_piece"], how)
+    return joined.drop("_piece")

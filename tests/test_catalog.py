@@ -30,7 +30,10 @@ def canonical(rows, columns):
 
 def test_names():
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
-    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"score_text_classifier"}
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {
+        "score_text_classifier",
+        "train_infer_combine",
+    }
 
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
@@ -45,3 +48,9 @@ def test_query_matches_sql(spark, database, name):
 def test_text_classifier(spark):
     rows = catalog.queries()["score_text_classifier"](spark, FOLDER).collect()
     assert len(rows) == 200 and {r.reply for r in rows} <= {"Yes", "No"}
+
+
+def test_train_infer_combine(spark):
+    rows = catalog.queries()["train_infer_combine"](spark, FOLDER).collect()
+    unlabelled = 200 - 87
+    assert len({r.row_id for r in rows}) == len(rows) == unlabelled and {r.rule_violation for r in rows} <= {0.0, 1.0}
