@@ -21,8 +21,7 @@ def _restored(df: DataFrame, columns: list[str], **changed) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Rows whose text scores at or above the threshold go; texts without words stay."""
-    labelled = catalog.labelled_texts(spark, folder, held_out=1, modulus=3)
-    model = toxicity.fit_model(labelled, key=F.col("_id"))
+    model = catalog.toxicity_model(spark, folder)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_or_empty().alias("text"))
     scored = toxicity.score_texts(rows, model, keep=["row"])
     return _restored(scored.filter(F.col("predicted") == 0), docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import chosen_path, maxent, minhash, mixing, packing, pii, quality, repeats, tool_calls, toxicity
+from ruleweave.llm import chosen_path, maxent, minhash, mixing, oracle, packing, pii, quality, repeats, tool_calls, toxicity
 from ruleweave.llm.common import crc_fold, documents, text_or_empty
 from ruleweave.operators.stages import materialize
 
@@ -27,7 +27,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
 
 
 def byte_bpe() -> dict[str, str]:
@@ -42,19 +42,16 @@ def op1_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
     return maxent.score_texts(documents(spark, folder), crc_fold("doc_id", 7) == 2)
 
 
-def labelled_texts(spark: SparkSession, folder: str, *, held_out: int, modulus: int) -> DataFrame:
-    """(_id, text, label) of labelled documents outside the held-out fold."""
+def toxicity_model(spark: SparkSession, folder: str):
+    """Fitted on labelled documents, but for those whose id has crc32 remainder 1 modulo 3."""
     labels = spark.read.parquet(f"{folder}/labels.parquet").select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label"))
     texts = documents(spark, folder).select(F.col("doc_id").alias("_id"), text_or_empty().alias("text"))
-    return texts.join(labels.filter(crc_fold("_id", modulus) != held_out), "_id")
+    return toxicity.fit_model(texts, labels.filter(crc_fold("_id", 3) != 1))
 
 
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    """Labels of documents whose id has crc32 remainder 1 modulo 3 are never read by the fit."""
-    docs = documents(spark, folder)
-    model = toxicity.fit_model(labelled_texts(spark, folder, held_out=1, modulus=3), key=F.col("_id"))
-    scored = toxicity.score_texts(docs, model, keep=["doc_id"])
+    scored = toxicity.score_texts(documents(spark, folder), toxicity_model(spark, folder), keep=["doc_id"])
     return scored.select("doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 

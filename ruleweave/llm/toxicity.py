@@ -1,6 +1,6 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word is the mean of the vectors of its character n-grams, a bag the mean of its words, and a softmax over the bag
+A word is the mean of the vectors of its n-grams, taken over the bytes of its characters, a bag the mean of its words, and a softmax over the bag
 gives two classes, so an unseen misspelling shares vectors with what it is made from. A bag is a window of words: a
 text is as toxic as its most toxic window, in training as in scoring, so a few words in a long text are not averaged
 away. The text alone is scored; no other column is read.
@@ -18,12 +18,14 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ruleweave.functions.draws import draw
 from ruleweave.llm.common import text_or_empty
+from ruleweave.llm.shingles import stir
+from ruleweave.operators.stages import materialize
 
 # Words a worker remembers the value of.
 REMEMBERED = 400_000
@@ -35,12 +37,12 @@ class Settings:
 
     per_class: int = 5_000
     sample_chars: int = 20_000
-    buckets: int = 1 << 17
+    buckets: int = 1 << 18
     dim: int = 8
     window: int = 2
-    shortest: int = 3
-    longest: int = 5
-    # Of a long word only the n-grams of this many leading and trailing bytes are taken.
+    shortest: int = 4
+    longest: int = 8
+    # Longer words lose their middle.
     word_bytes: int = 48
     epochs: int = 8
     batch: int = 64
@@ -49,16 +51,44 @@ class Settings:
     threshold: float = 0.7
 
 
+_PLACES = np.random.default_rng(21).integers(1, 1 << 62, 64, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def text_words(text: str) -> list[str]:
     return text.lower().split()
 
 
-def gram_buckets(word: str, s: Settings) -> list[int]:
-    """Buckets of the character n-grams of a word, and of the word itself."""
-    marked = f"<{word}>" if len(word) <= s.word_bytes else f"<{word[: s.word_bytes // 2]}{word[-s.word_bytes // 2 :]}>"
-    grams = {marked[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(marked) - n + 1)}
-    grams.add(marked)
-    return [zlib.crc32(g.encode()) % s.buckets for g in sorted(grams)]
+def word_grams(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the byte n-grams of the marked words and of the words themselves, word by word, and their numbers.
+
+    Of a long word the middle is left out.
+    """
+    half = s.word_bytes // 2
+    marked = [f"<{w}>".encode() for w in words]
+    marked = [m if len(m) <= s.word_bytes else m[:half] + m[-half:] for m in marked]
+    data = np.frombuffer(b"".join(marked) + bytes(s.longest), np.uint8).astype(np.uint64) + np.uint64(1)
+    lengths = np.array([len(m) for m in marked], np.int64)
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    owner = np.repeat(np.arange(len(marked)), lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    found, owners = [], []
+    rest = ends[owner] - np.arange(total)
+    for n in range(s.shortest, s.longest + 1):
+        fits = rest >= n
+        mixed = np.full(total, n, np.uint64)
+        for i in range(n):
+            mixed += data[i : i + total] * _PLACES[i]
+        found.append(stir(mixed[fits]))
+        owners.append(owner[fits])
+    if total:
+        places = _PLACES[np.minimum(np.arange(total) - starts[owner], len(_PLACES) - 1)]
+        found.append(stir(np.add.reduceat(data[:total] * places, starts)))
+        owners.append(np.arange(len(marked)))
+    owners = np.concatenate(owners)
+    order = np.argsort(owners, kind="stable")
+    buckets = (np.concatenate(found)[order] & np.uint64(s.buckets - 1)).astype(np.int32)
+    return buckets, np.bincount(owners, minlength=len(marked))
 
 
 def window_means(values: np.ndarray, window: int) -> np.ndarray:
@@ -76,9 +106,8 @@ class _Bags:
         self.texts = [
             np.fromiter((numbers.setdefault(w, len(numbers)) for w in text_words(t)), np.int32) for t in texts
         ]
-        grams = [np.array(gram_buckets(w, s), np.int32) for w in numbers]
-        self.ends = np.cumsum([0, *map(len, grams)])
-        self.grams = np.concatenate(grams) if grams else np.zeros(0, np.int32)
+        self.grams, counts = word_grams(list(numbers), s)
+        self.ends = np.concatenate(([0], np.cumsum(counts)))
 
     def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of the given words one after another, and the lengths of their runs."""
@@ -151,25 +180,29 @@ def fit(texts: list[str], labels: np.ndarray, s: Settings) -> tuple[np.ndarray,
     return (embed @ (weights[:, 1] - weights[:, 0])).astype(np.float64), float(bias[1] - bias[0])
 
 
-class _WordValues(dict):
-    def __init__(self, values: np.ndarray, s: Settings):
-        super().__init__()
-        self.values, self.settings = values, s
-
-    def __missing__(self, word: str) -> float:
-        value = float(self.values[gram_buckets(word, self.settings)].mean())
-        if len(self) < REMEMBERED and len(word) <= self.settings.word_bytes:
-            self[word] = value
-        return value
-
-
 class Scorer:
-    def __init__(self, values: np.ndarray, intercept: float, s: Settings):
-        self.words, self.intercept, self.settings = _WordValues(values, s), intercept, s
+    """Scores of texts; the values of words are kept from one batch of texts to the next."""
 
-    def score(self, text: str) -> float:
-        """Probability of label 1; an empty text scores by the intercept alone."""
-        words = text_words(text)
+    def __init__(self, values: np.ndarray, intercept: float, s: Settings):
+        self.values, self.intercept, self.settings = values, intercept, s
+        self.words: dict[str, float] = {}
+
+    def learn_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 50_000):
+            part = words[at : at + 50_000]
+            grams, counts = word_grams(part, self.settings)
+            starts = np.cumsum(counts) - counts
+            self.words.update(zip(part, (np.add.reduceat(self.values[grams], starts) / counts).tolist()))
+
+    def scores(self, texts: list[str]) -> list[float]:
+        """Probability of label 1 of each text; one without words scores by the intercept alone."""
+        split = [text_words(t) for t in texts]
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        self.learn_words(list({w for words in split for w in words if w not in self.words}))
+        return [self._score(words) for words in split]
+
+    def _score(self, words: list[str]) -> float:
         value = 0.0
         if words:
             found = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
@@ -177,12 +210,22 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(value + self.intercept, -40, 40))))
 
 
-def sample_rows(labelled: DataFrame, s: Settings, *, key: Column) -> DataFrame:
-    """At most ``per_class`` texts of each label that are no longer than ``sample_chars``, by lowest draw of ``key``."""
-    usable = labelled.filter((F.length("text") <= s.sample_chars) & F.col("label").isin(0, 1))
-    drawn = usable.withColumn("_draw", draw("toxicity", key, seed=s.seed))
-    parts = [drawn.filter(F.col("label") == c).orderBy("_draw", "text").limit(s.per_class) for c in (0, 1)]
-    return parts[0].unionByName(parts[1]).select("text", F.col("label").cast("int").alias("label"), "_draw")
+def sample_rows(texts: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
+    """At most ``per_class`` texts of each label that are no longer than ``sample_chars``, by lowest draw of the id.
+
+    ``texts`` has (_id, text), ``labels`` (_id, label). The ids are drawn from the labels, so of the texts only those of
+    the sample move. Of the rows of a repeated id the first by text count.
+    """
+
+    def lowest(rows: DataFrame, then: str) -> DataFrame:
+        parts = [rows.filter(F.col("label") == c).orderBy("_draw", then).limit(s.per_class) for c in (0, 1)]
+        return parts[0].unionByName(parts[1])
+
+    usable = labels.filter(F.col("label").isin(0, 1) & F.col("_id").isNotNull()).select("_id", F.col("label").cast("int").alias("label"))
+    chosen = lowest(usable.distinct().withColumn("_draw", draw("toxicity", "_id", seed=s.seed)), "_id")
+    # Twice ``per_class`` rows at most.
+    found = materialize(texts.join(F.broadcast(chosen), "_id").filter(F.length("text") <= s.sample_chars))
+    return lowest(found.select("text", "label", "_draw"), "text")
 
 
 def _fit_group(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
@@ -191,9 +234,9 @@ def _fit_group(rows: pd.DataFrame, s: Settings) -> pd.DataFrame:
     return pd.DataFrame({"values": [values.astype("<f8").tobytes()], "intercept": [intercept]})
 
 
-def fit_model(labelled: DataFrame, s: Settings = Settings(), *, key: Column) -> tuple[np.ndarray, float]:
-    """Fit on (text, label) rows, of which a bounded sample is drawn by ``key``. The model has ``buckets`` numbers."""
-    sample = sample_rows(labelled, s, key=key).withColumn("_all", F.lit(0))
+def fit_model(texts: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, float]:
+    """Fit on a bounded sample of (_id, text) rows with (_id, label). The model has ``buckets`` numbers and an intercept."""
+    sample = sample_rows(texts, labels, s).withColumn("_all", F.lit(0))
 
     def fit_all(rows: pd.DataFrame) -> pd.DataFrame:
         return _fit_group(rows, s)
@@ -214,7 +257,10 @@ def _score(batches: Iterator[pa.RecordBatch], model, s: Settings) -> Iterator[pa
         _SCORERS[model.id] = Scorer(*model.value[1], s)
     scorer = _SCORERS[model.id]
     for batch in batches:
-        scores = np.array([scorer.score(t.as_py()) for t in batch.column(batch.num_columns - 1)], np.float64)
+        texts = batch.column(batch.num_columns - 1)
+        scores = np.array(
+            [x for at in range(0, len(texts), 200) for x in scorer.scores(texts.slice(at, 200).to_pylist())], np.float64
+        )
         columns = [batch.column(i) for i in range(batch.num_columns - 1)]
         yield pa.RecordBatch.from_arrays(
             [*columns, pa.array(scores), pa.array((scores >= s.threshold).astype(np.int32))],

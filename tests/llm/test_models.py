@@ -91,6 +91,10 @@ def test_edge_rows_score(edge, empty):
 TOXIC = toxicity.Settings(per_class=400, epochs=6, buckets=1 << 12)
 
 
+def fitted(labelled):
+    return toxicity.fit_model(labelled.select("_id", "text"), labelled.select("_id", "label"), TOXIC)
+
+
 def comments(n, seed):
     """Label 1 if a word with one of two stems occurs; the endings differ, so most such words are unseen."""
     pick = random.Random(seed)
@@ -110,7 +114,7 @@ def comments(n, seed):
 def test_unseen_misspellings_are_found(spark):
     train, test = comments(500, 1), comments(300, 2)
     labelled = spark.createDataFrame([(i, t, y) for i, t, y in train], "_id long, text string, label int")
-    model = toxicity.fit_model(labelled, TOXIC, key=F.col("_id"))
+    model = fitted(labelled)
     df = spark.createDataFrame(test, "doc_id long, text string, label int")
     got = {r.doc_id: r for r in toxicity.score_texts(df, model, TOXIC, keep=["doc_id"]).collect()}
     hit = sum(got[i].predicted == y for i, _, y in test)
@@ -121,18 +125,18 @@ def test_unseen_misspellings_are_found(spark):
 def test_sample_is_bounded_and_repeatable(spark):
     labelled = spark.createDataFrame(comments(80, 3), "_id long, text string, label int")
     s = toxicity.Settings(per_class=7)
-    pick = lambda df: sorted(map(tuple, toxicity.sample_rows(df, s, key=F.col("_id")).collect()))
+    pick = lambda df: sorted(map(tuple, toxicity.sample_rows(df.drop("label"), df.drop("text"), s).collect()))
     assert len(pick(labelled)) == 14 and pick(labelled) == pick(labelled.repartition(5))
 
 
 def test_toxicity_of_edge_rows(spark, edge, empty):
     labelled = spark.createDataFrame(comments(60, 4) + [(None, None, None), (1, "x", 2)], "_id long, text string, label int")
-    model = toxicity.fit_model(labelled, TOXIC, key=F.col("_id"))
+    model = fitted(labelled)
     rows = toxicity.score_texts(edge.drop("score"), model, TOXIC, keep=["doc_id", "row"]).collect()
     assert len(rows) == edge.count() and all(0 <= r.score <= 1 for r in rows)
     assert len({r.score for r in rows if r.doc_id in (3, 4, 6)}) == 1
     assert toxicity.score_texts(empty, model, TOXIC, keep=["doc_id"]).count() == 0
-    none = toxicity.fit_model(labelled.filter("false"), TOXIC, key=F.col("_id"))
+    none = fitted(labelled.filter("false"))
     assert {r.score for r in toxicity.score_texts(edge, none, TOXIC, keep=["doc_id"]).collect()} == {0.5}
-    one = toxicity.fit_model(labelled.filter("label = 0"), TOXIC, key=F.col("_id"))
+    one = fitted(labelled.filter("label = 0"))
     assert {r.predicted for r in toxicity.score_texts(edge, one, TOXIC, keep=["doc_id"]).collect()} == {0}
