@@ -42,6 +42,7 @@ class Model:
     width: int = 16
     ending_classes: int = 16
     ending: int = 3
+    # At most 1 << 16.
     rows: int = 1 << 15
     head: int = 1 << 17
     rounds: int = 2
@@ -115,12 +116,17 @@ class Vocabulary:
         return cls(words, np.array([r["c"] for r in frequent], np.int64), whole["n"], whole["v"], totals, kinds)
 
 
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class Encoder:
     """Texts as arrays: number in the head (-1 if not in it), class, slot in the class and hash of each token."""
 
     def __init__(self, vocabulary: Vocabulary, m: Model):
         self.m, self.v = m, vocabulary
-        self.number = {w: i for i, w in enumerate(vocabulary.words)}
+        self.number = _Numbers((w, i) for i, w in enumerate(vocabulary.words))
         self.classes = np.array(
             [i // m.width if i < m.top else self.ending(w) for i, w in enumerate(vocabulary.words)], np.int64
         )
@@ -130,8 +136,7 @@ class Encoder:
         return self.m.word_classes + zlib.crc32(word[-self.m.ending :]) % self.m.ending_classes
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        get = self.number.get
-        number = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         kinds, hashed = (a[number] if len(a) else np.zeros(len(words), a.dtype) for a in (self.classes, self.hashes))
         for i in np.flatnonzero(number < 0).tolist():
             kinds[i], hashed[i] = self.ending(words[i]), zlib.crc32(words[i])
@@ -169,39 +174,55 @@ class Tables:
     def _rows(self, features: np.ndarray, kinds: np.ndarray | None = None) -> np.ndarray:
         mixed = features if kinds is None else features ^ ((kinds.astype(np.uint64) + np.uint64(1)) * _MIX[3])
         mixed = (mixed ^ (mixed >> np.uint64(31))) * _MIX[1]
-        return ((mixed >> np.uint64(40)) & np.uint64(self.m.rows - 1)).astype(np.int32)
+        return ((mixed >> np.uint64(40)) & np.uint64(self.m.rows - 1)).astype(np.int64)
 
     @staticmethod
-    def _log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        scores = weights[rows[0]]
+    def _exponentials(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials of the scores of all outcomes, and their sums."""
+        scores = weights.take(rows[0], axis=0, mode="clip")
         for k in range(1, FEATURES):
-            scores += weights[rows[k]]
-        scores -= scores.max(axis=1, keepdims=True)
-        scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
-        return scores
+            scores += weights.take(rows[k], axis=0, mode="clip")
+        # Far above any score that training gives, far below what overflows.
+        np.minimum(scores, np.float32(60), out=scores)
+        np.exp(scores, out=scores)
+        return scores, scores @ np.ones(scores.shape[1], np.float32)
 
     def log_probabilities(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> np.ndarray:
         """Natural log of class, and of word in class where it is a word class, for each token."""
-        found = self._log_softmax(self.by_class, self._rows(features))[np.arange(len(kinds)), kinds].astype(np.float64)
+        raised, total = self._exponentials(self.by_class, self._rows(features))
+        found = np.log((raised[np.arange(len(kinds)), kinds] / total).astype(np.float64))
         word = np.flatnonzero(kinds < self.m.word_classes)
         if len(word):
-            rows = self._rows(features[:, word], kinds[word])
-            found[word] += self._log_softmax(self.by_word, rows)[np.arange(len(word)), slots[word]]
+            raised, total = self._exponentials(self.by_word, self._rows(features[:, word], kinds[word]))
+            found[word] += np.log((raised[np.arange(len(word)), slots[word]] / total).astype(np.float64))
         return found
 
     def _step(self, which: int, rows: np.ndarray, target: np.ndarray) -> None:
         weights = (self.by_class, self.by_word)[which]
-        error = np.exp(self._log_softmax(weights, rows))
+        error, total = self._exponentials(weights, rows)
+        error /= total[:, None]
         error[np.arange(len(target)), target] -= 1
         for k in range(FEATURES):
-            order = np.argsort(rows[k], kind="stable")
+            if which == 0 and k == 0:
+                # The class scores have one row that all tokens share.
+                change = error.sum(axis=0, keepdims=True)
+                self._update(which, rows[0][:1], change, len(target))
+                continue
+            # Rows fit into 16 bits, which are sorted by counting.
+            order = np.argsort(rows[k].astype(np.uint16), kind="stable")
             ordered = rows[k][order]
             first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
             touched = ordered[first]
-            total = np.add.reduceat(error[order], first, axis=0)
-            self.squares[which][touched] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-            weights[touched] -= self.m.rate * total / np.sqrt(self.squares[which][touched])[:, None]
-            self.used[which][touched] += np.diff(np.append(first, len(order)))
+            change = np.add.reduceat(error.take(order, axis=0), first, axis=0)
+            self._update(which, touched, change, np.diff(np.append(first, len(order))))
+
+    def _update(self, which: int, touched: np.ndarray, change: np.ndarray, times) -> None:
+        """An AdaGrad step for the given rows."""
+        squares = self.squares[which]
+        squares[touched] += np.einsum("ij,ij->i", change, change) / change.shape[1]
+        change *= (self.m.rate / np.sqrt(squares[touched]))[:, None]
+        (self.by_class, self.by_word)[which][touched] -= change
+        self.used[which][touched] += times
 
     def learn(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> None:
         self._step(0, self._rows(features), kinds)
