@@ -30,7 +30,7 @@ def stir(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    def __init__(self, remembered: int = 400_000):
+    def __init__(self, remembered: int = 200_000):
         super().__init__()
         self.remembered = remembered
 

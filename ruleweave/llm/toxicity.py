@@ -28,7 +28,9 @@ from ruleweave.llm.shingles import stir
 from ruleweave.operators.stages import materialize
 
 # Words a worker remembers the value of.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+# Words whose n-grams are taken at once.
+_PART = 20_000
 
 
 @dataclass(frozen=True)
@@ -106,8 +108,13 @@ class _Bags:
         self.texts = [
             np.fromiter((numbers.setdefault(w, len(numbers)) for w in text_words(t)), np.int32) for t in texts
         ]
-        self.grams, counts = word_grams(list(numbers), s)
-        self.ends = np.concatenate(([0], np.cumsum(counts)))
+        grams, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        words = list(numbers)
+        for at in range(0, len(words), _PART):
+            for found, part in zip((grams, counts), word_grams(words[at : at + _PART], s)):
+                found.append(part)
+        self.grams = np.concatenate(grams)
+        self.ends = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
 
     def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of the given words one after another, and the lengths of their runs."""
@@ -188,8 +195,8 @@ class Scorer:
         self.words: dict[str, float] = {}
 
     def learn_words(self, words: list[str]) -> None:
-        for at in range(0, len(words), 50_000):
-            part = words[at : at + 50_000]
+        for at in range(0, len(words), _PART):
+            part = words[at : at + _PART]
             grams, counts = word_grams(part, self.settings)
             starts = np.cumsum(counts) - counts
             self.words.update(zip(part, (np.add.reduceat(self.values[grams], starts) / counts).tolist()))
