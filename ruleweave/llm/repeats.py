@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ruleweave.llm.common import checked_join, document_key, text_or_empty
+from ruleweave.llm.common import document_key, text_or_empty
 from ruleweave.llm.shingles import stir
 from ruleweave.operators.stages import discard, materialize
 
@@ -337,7 +337,7 @@ def repeated_windows(texts: DataFrame, r: Repeats) -> DataFrame:
     single = cells.join(several, "gram").select("one.*", "gram", "copies")
     wanted = materialize(single.groupBy("doc", "hash").agg(F.collect_list(F.struct(*fields)).alias("w")).select("doc", "hash", *[F.col(f"w.{f}").alias(f"{f}s") for f in fields]))
     discard(cells)
-    joined = checked_join(texts, wanted, ["doc", "hash"])
+    joined = texts.join(wanted, ["doc", "hash"])
     schema = "doc string, hash long, gram long, at long, low long, high long, copies long, left binary, right binary"
     contexts = joined.select("doc", "hash", "text", *[f"{f}s" for f in fields]).mapInArrow(partial(_contexts, r=r), schema)
     contexts = materialize(contexts)
@@ -376,6 +376,6 @@ def remove_repeats(docs: DataFrame, r: Repeats = Repeats(), *, id_col: str = "do
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).alias("doc_id"), document_key(id_col).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"))
     windows = repeated_windows(texts.select("doc", "hash", "text"), r)
-    joined = checked_join(texts, windows, ["doc", "hash"], "left").select("doc_id", "text", "lows", "highs")
+    joined = texts.join(windows, ["doc", "hash"], "left").select("doc_id", "text", "lows", "highs")
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return joined.mapInArrow(partial(_remove, r=r), schema)
