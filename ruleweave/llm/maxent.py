@@ -7,7 +7,7 @@ word, the pair and single words further back (skips), hashed into rows of two we
 
 Counts are exact and cover all training texts. Training is synchronous: in every round each task runs AdaGrad over its texts,
 beginning with the shared tables, and the changes are averaged row by row, weighed by how often a task used the row. Every
-training text is used in one round. Words frequent enough to matter, at most ``head`` of them, are looked up in the
+training text is used in one round. The most frequent words, at most ``head`` of them, are looked up in the
 task; the others are joined with the counts. An unknown word counts as one further word, as in the base score.
 """
 
@@ -91,6 +91,11 @@ def word_counts(texts: DataFrame, m: Model) -> DataFrame:
     return texts.mapInArrow(partial(_count, m=m), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequency_bin(count: Column | str) -> Column:
+    """Sixteen bins of counts to a doubling."""
+    return F.floor(F.log2(count) * 16).cast("int")
+
+
 @dataclass
 class Vocabulary:
     """The head of the counts, and totals: of all tokens, and of the words of each ending class."""
@@ -101,19 +106,28 @@ class Vocabulary:
     distinct: int
     class_totals: np.ndarray
     class_words: np.ndarray
+    # Words of lower frequency bins are not in the head.
+    least_bin: int = 0
 
     @classmethod
     def read(cls, counts: DataFrame, m: Model) -> Vocabulary:
         whole = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-        # No more than ``head`` words can have that share of all tokens.
-        frequent = counts.filter(F.col("c") * m.head >= whole["n"]).orderBy(F.col("c").desc(), "word").collect()
+        # As many of the highest bins as hold no more than ``head`` words; there are at most 16 bins per bit of a count.
+        bins = counts.groupBy(frequency_bin("c").alias("b")).agg(F.count(F.lit(1)).alias("v")).collect()
+        held, least = 0, 1 << 20
+        for row in sorted(bins, key=lambda r: -r["b"]):
+            held += row["v"]
+            if held > m.head:
+                break
+            least = row["b"]
+        frequent = counts.filter(frequency_bin("c") >= least).orderBy(F.col("c").desc(), "word").collect()
         words = [bytes(r["word"]) for r in frequent]
         ending = F.crc32(F.substring("word", -m.ending, m.ending)) % m.ending_classes
         rest = counts.filter(~F.col("word").isin([bytearray(w) for w in words[: m.top]])) if words else counts
         totals, kinds = np.zeros(m.ending_classes), np.zeros(m.ending_classes)
         for row in rest.groupBy(ending.alias("e")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():
             totals[row["e"]], kinds[row["e"]] = row["n"], row["v"]
-        return cls(words, np.array([r["c"] for r in frequent], np.int64), whole["n"], whole["v"], totals, kinds)
+        return cls(words, np.array([r["c"] for r in frequent], np.int64), whole["n"], whole["v"], totals, kinds, least)
 
 
 class _Numbers(dict):
@@ -421,7 +435,7 @@ def score_texts(
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
         "row", F.col("r.rare").alias("word"), F.col("r.times").alias("times")
     )
-    tail = counts.filter(F.col("c") * m.head < vocabulary.total)
+    tail = counts.filter(frequency_bin("c") < vocabulary.least_bin)
     found = rare.join(tail, "word").groupBy("row").agg(
         F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("log_count")
     )
