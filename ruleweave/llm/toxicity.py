@@ -5,6 +5,9 @@ gives two classes, so an unseen misspelling shares vectors with what it is made
 text is as toxic as its most toxic window, in training as in scoring, so a few words in a long text are not averaged
 away. The text alone is scored; no other column is read.
 
+A run of bytes without white space that is longer than ``word_bytes`` becomes several words that overlap, so that each of
+its n-grams lies whole in one of them.
+
 The model is fitted in one task on a bounded sample of labelled texts and is of fixed size. All texts are scored whole.
 """
 
@@ -44,8 +47,10 @@ class Settings:
     window: int = 2
     shortest: int = 4
     longest: int = 8
-    # Longer words lose their middle.
+    # Longer words are split into pieces, more than ``longest - 1`` long: as long as words are, so that what is in
+    # the middle weighs as much as a word.
     word_bytes: int = 48
+    piece_bytes: int = 12
     epochs: int = 8
     batch: int = 64
     rate: float = 0.5
@@ -56,18 +61,31 @@ class Settings:
 _PLACES = np.random.default_rng(21).integers(1, 1 << 62, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def text_words(text: str) -> list[str]:
-    return text.lower().split()
+def text_words(text: str, s: Settings) -> list[str | bytes]:
+    """Words between white space, lowered; those longer than ``word_bytes`` with their marks as pieces of their bytes."""
+    words = text.lower().split()
+    # No character has more than four bytes.
+    short = (s.word_bytes - 2) // 4
+    if not any(len(w) > short for w in words):
+        return words
+    found: list[str | bytes] = []
+    for w in words:
+        if len(w) > short and len(marked := _marked(w)) > s.word_bytes:
+            common = s.longest - 1
+            found.extend(marked[i : i + s.piece_bytes] for i in range(0, len(marked) - common, s.piece_bytes - common))
+        else:
+            found.append(w)
+    return found
 
 
-def word_grams(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the byte n-grams of the marked words and of the words themselves, word by word, and their numbers.
+def _marked(word: str | bytes) -> bytes:
+    """Bytes of a word between marks; pieces of long words have the marks they were cut with."""
+    return word if isinstance(word, bytes) else f"<{word}>".encode()
 
-    Of a long word the middle is left out.
-    """
-    half = s.word_bytes // 2
-    marked = [f"<{w}>".encode() for w in words]
-    marked = [m if len(m) <= s.word_bytes else m[:half] + m[-half:] for m in marked]
+
+def word_grams(words: list[str | bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the byte n-grams of the marked words and of the words themselves, word by word, and their numbers."""
+    marked = [_marked(w) for w in words]
     data = np.frombuffer(b"".join(marked) + bytes(s.longest), np.uint8).astype(np.uint64) + np.uint64(1)
     lengths = np.array([len(m) for m in marked], np.int64)
     ends = np.cumsum(lengths)
@@ -104,9 +122,9 @@ class _Bags:
     """Texts as word numbers, and words as n-gram buckets, in flat arrays."""
 
     def __init__(self, texts: list[str], s: Settings):
-        numbers: dict[str, int] = {}
+        numbers: dict[str | bytes, int] = {}
         self.texts = [
-            np.fromiter((numbers.setdefault(w, len(numbers)) for w in text_words(t)), np.int32) for t in texts
+            np.fromiter((numbers.setdefault(w, len(numbers)) for w in text_words(t, s)), np.int32) for t in texts
         ]
         grams, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         words = list(numbers)
@@ -192,9 +210,9 @@ class Scorer:
 
     def __init__(self, values: np.ndarray, intercept: float, s: Settings):
         self.values, self.intercept, self.settings = values, intercept, s
-        self.words: dict[str, float] = {}
+        self.words: dict[str | bytes, float] = {}
 
-    def learn_words(self, words: list[str]) -> None:
+    def learn_words(self, words: list[str | bytes]) -> None:
         for at in range(0, len(words), _PART):
             part = words[at : at + _PART]
             grams, counts = word_grams(part, self.settings)
@@ -203,13 +221,13 @@ class Scorer:
 
     def scores(self, texts: list[str]) -> list[float]:
         """Probability of label 1 of each text; one without words scores by the intercept alone."""
-        split = [text_words(t) for t in texts]
+        split = [text_words(t, self.settings) for t in texts]
         if len(self.words) > REMEMBERED:
             self.words.clear()
         self.learn_words(list({w for words in split for w in words if w not in self.words}))
         return [self._score(words) for words in split]
 
-    def _score(self, words: list[str]) -> float:
+    def _score(self, words: list[str | bytes]) -> float:
         value = 0.0
         if words:
             found = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))

@@ -122,6 +122,35 @@ def test_unseen_misspellings_are_found(spark):
     assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in got.values())
 
 
+def test_toxic_words_inside_long_runs_are_found(spark):
+    pick = random.Random(5)
+    labelled = spark.createDataFrame(comments(500, 1), "_id long, text string, label int")
+    model = fitted(labelled)
+    syllables = ["la", "mo", "ri", "ten", "us", "ka", "pel", "do"]
+    word = lambda k: "".join(pick.choice(syllables) for _ in range(k))
+    rows = []
+    for mark in (".", "_", "\u200b", ""):
+        for _ in range(10):
+            clean = [word(3) for _ in range(30)]
+            bad = [*clean[:15], "grumf" + word(2), *clean[15:]]
+            assert len(mark.join(clean).encode()) > 150
+            rows += [(0, mark.join(clean)), (1, mark.join(bad))]
+    df = spark.createDataFrame(rows, "toxic int, text string")
+    got = toxicity.score_texts(df, model, TOXIC, keep=["toxic"]).collect()
+    assert sum(r.predicted == r.toxic for r in got) >= 0.95 * len(rows)
+
+
+def test_every_gram_of_a_long_run_is_in_a_piece():
+    s = toxicity.Settings()
+    for n in (45, 46, 47, 48, 49, 200, 1001):
+        run = "".join(random.Random(n).choice("abcdé€🙂") for _ in range(n))
+        words = toxicity.text_words(f"a {run} b", s)
+        marked = f"<{run}>".encode()
+        pieces = [w if isinstance(w, bytes) else f"<{w}>".encode() for w in words[1:-1]]
+        for k in range(s.shortest, s.longest + 1):
+            assert {marked[i : i + k] for i in range(len(marked) - k + 1)} == {p[i : i + k] for p in pieces for i in range(len(p) - k + 1)}
+
+
 def test_sample_is_bounded_and_repeatable(spark):
     labelled = spark.createDataFrame(comments(80, 3), "_id long, text string, label int")
     s = toxicity.Settings(per_class=7)
