@@ -1,8 +1,10 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-The probability of a word is that of its class given the words before it, times that of the word in its class. The most
-frequent words form classes of their own, in order of frequency, and there the word given its class is a softmax over the same
-features; all other words fall into classes by their ending, in which they have their add-one share. Features are the previous
+The probability of a word is that of its class given the words before it, times that of the word in its class. The words of
+the head form classes of their own, in order of frequency, and there the word given its class is a softmax over the same
+features: one choice among ``width`` words for the most frequent, and for the others (``head_classes``, of equal counts) one
+choice after another down nested classes of ``width`` parts. Words outside the head fall into classes by their ending, in
+which they have their add-one share. Features are the previous
 word, the pair and single words further back (skips), hashed into rows of two weight tables.
 
 Counts are exact and cover all training texts. Training is synchronous: in every round each task runs AdaGrad over its texts,
@@ -36,12 +38,16 @@ _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 
 @dataclass(frozen=True)
 class Model:
-    """``word_classes`` of ``width`` frequent words each, and ``ending_classes`` by the last ``ending`` bytes."""
+    """``word_classes`` of ``width`` frequent words each, ``ending_classes`` by the last ``ending`` bytes, and ``head_classes``.
+
+    Without ``head_classes`` the words of the head behind the word classes fall into the ending classes.
+    """
 
     word_classes: int = 16
     width: int = 16
     ending_classes: int = 16
     ending: int = 3
+    head_classes: int = 0
     # At most 1 << 16.
     rows: int = 1 << 15
     head: int = 1 << 17
@@ -53,13 +59,19 @@ class Model:
 
     @property
     def classes(self) -> int:
-        return self.word_classes + self.ending_classes
+        return self.word_classes + self.ending_classes + self.head_classes
 
     @property
     def top(self) -> int:
         return self.word_classes * self.width
 
+    @property
+    def first_head_class(self) -> int:
+        return self.word_classes + self.ending_classes
+
 
+# All words of the head have a softmax.
+WHOLE_HEAD = Model(head_classes=8, rows=1 << 16)
 FEATURES = 5
 _BLOCK = 1024
 
@@ -108,6 +120,8 @@ class Vocabulary:
     class_words: np.ndarray
     # Words of lower frequency bins are not in the head.
     least_bin: int = 0
+    # Numbers at which the head classes begin, and the end of the last.
+    bounds: np.ndarray | None = None
 
     @classmethod
     def read(cls, counts: DataFrame, m: Model) -> Vocabulary:
@@ -123,11 +137,19 @@ class Vocabulary:
         frequent = counts.filter(frequency_bin("c") >= least).orderBy(F.col("c").desc(), "word").collect()
         words = [bytes(r["word"]) for r in frequent]
         ending = F.crc32(F.substring("word", -m.ending, m.ending)) % m.ending_classes
-        rest = counts.filter(~F.col("word").isin([bytearray(w) for w in words[: m.top]])) if words else counts
+        rest, bounds = counts, None
+        if m.head_classes:
+            rest = counts.filter(frequency_bin("c") < least)
+            added = np.cumsum([r["c"] for r in frequent[m.top :]], dtype=np.float64)
+            shares = np.arange(1, m.head_classes) / m.head_classes
+            inner = m.top + np.searchsorted(added, shares * added[-1]) if len(added) else np.full(len(shares), m.top)
+            bounds = np.array([m.top, *inner, max(m.top, len(words))], np.int64)
+        elif words:
+            rest = counts.filter(~F.col("word").isin([bytearray(w) for w in words[: m.top]]))
         totals, kinds = np.zeros(m.ending_classes), np.zeros(m.ending_classes)
         for row in rest.groupBy(ending.alias("e")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():
             totals[row["e"]], kinds[row["e"]] = row["n"], row["v"]
-        return cls(words, np.array([r["c"] for r in frequent], np.int64), whole["n"], whole["v"], totals, kinds, least)
+        return cls(words, np.array([r["c"] for r in frequent], np.int64), whole["n"], whole["v"], totals, kinds, least, bounds)
 
 
 class _Numbers(dict):
@@ -144,6 +166,13 @@ class Encoder:
         self.classes = np.array(
             [i // m.width if i < m.top else self.ending(w) for i, w in enumerate(vocabulary.words)], np.int64
         )
+        # The last slot is that of words outside the head.
+        self.slots = np.append(np.arange(len(vocabulary.words)) % m.width, 0)
+        if m.head_classes:
+            behind = np.arange(m.top, len(vocabulary.words))
+            part = np.searchsorted(vocabulary.bounds[1:], behind, side="right")
+            self.classes[m.top :] = m.first_head_class + part
+            self.slots[m.top : len(vocabulary.words)] = behind - vocabulary.bounds[part]
         self.hashes = np.array([zlib.crc32(w) for w in vocabulary.words], np.uint64)
 
     def ending(self, word: bytes) -> int:
@@ -160,8 +189,15 @@ class Encoder:
 class Tables:
     """Class and word weights of a hashed log-linear model."""
 
-    def __init__(self, m: Model, by_class: np.ndarray | None = None, by_word: np.ndarray | None = None):
+    def __init__(
+        self,
+        m: Model,
+        by_class: np.ndarray | None = None,
+        by_word: np.ndarray | None = None,
+        bounds: np.ndarray | None = None,
+    ):
         self.m = m
+        self.sizes = None if bounds is None else np.diff(bounds)
         self.by_class = np.zeros((m.rows, m.classes), np.float32) if by_class is None else by_class.copy()
         self.by_word = np.zeros((m.rows, m.width), np.float32) if by_word is None else by_word.copy()
         self.squares = [np.full(m.rows, 1e-3, np.float32) for _ in range(2)]
@@ -190,30 +226,54 @@ class Tables:
         mixed = (mixed ^ (mixed >> np.uint64(31))) * _MIX[1]
         return ((mixed >> np.uint64(40)) & np.uint64(self.m.rows - 1)).astype(np.int64)
 
+    def _choices(self, kinds: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Choices below the classes: token, name of the choice, outcome, and number of outcomes; none for ending classes."""
+        m = self.m
+        word = np.flatnonzero(kinds < m.word_classes)
+        found = [(word, kinds[word], slots[word], np.full(len(word), m.width))]
+        deep = np.flatnonzero(kinds >= m.first_head_class)
+        sizes = self.sizes[kinds[deep] - m.first_head_class] if len(deep) else deep
+        unit, level = 1, 1
+        while len(keep := np.flatnonzero(sizes > unit)):
+            deep, sizes = deep[keep], sizes[keep]
+            slot = slots[deep]
+            node = slot // (unit * m.width)
+            outcomes = np.minimum(m.width, -((node * unit * m.width - sizes) // unit))
+            # A head class has fewer levels than 64.
+            name = kinds[deep] + m.classes * (level + 64 * node)
+            found.append((deep, name, slot // unit % m.width, outcomes))
+            unit, level = unit * m.width, level + 1
+        return tuple(np.concatenate(part) for part in zip(*found))
+
     @staticmethod
-    def _exponentials(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exponentials of the scores of all outcomes, and their sums."""
+    def _exponentials(weights: np.ndarray, rows: np.ndarray, outcomes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials of the scores of all outcomes, zero for those behind ``outcomes``, and their sums."""
         scores = weights.take(rows[0], axis=0, mode="clip")
         for k in range(1, FEATURES):
             scores += weights.take(rows[k], axis=0, mode="clip")
         # Far above any score that training gives, far below what overflows.
         np.minimum(scores, np.float32(60), out=scores)
         np.exp(scores, out=scores)
-        return scores, scores @ np.ones(scores.shape[1], np.float32)
+        if outcomes is not None:
+            fewer = np.flatnonzero(outcomes < scores.shape[1])
+            scores[fewer] *= np.arange(scores.shape[1]) < outcomes[fewer, None]
+        # A product with ones would round by the place of the row.
+        return scores, np.einsum("ij->i", scores)
 
     def log_probabilities(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> np.ndarray:
-        """Natural log of class, and of word in class where it is a word class, for each token."""
+        """Natural log of class, and of word in class where it is a word or head class, for each token."""
         raised, total = self._exponentials(self.by_class, self._rows(features))
         found = np.log((raised[np.arange(len(kinds)), kinds] / total).astype(np.float64))
-        word = np.flatnonzero(kinds < self.m.word_classes)
+        word, names, chosen, outcomes = self._choices(kinds, slots)
         if len(word):
-            raised, total = self._exponentials(self.by_word, self._rows(features[:, word], kinds[word]))
-            found[word] += np.log((raised[np.arange(len(word)), slots[word]] / total).astype(np.float64))
+            raised, total = self._exponentials(self.by_word, self._rows(features[:, word], names), outcomes)
+            logs = np.log((raised[np.arange(len(word)), chosen] / total).astype(np.float64))
+            found += np.bincount(word, logs, len(kinds))
         return found
 
-    def _step(self, which: int, rows: np.ndarray, target: np.ndarray) -> None:
+    def _step(self, which: int, rows: np.ndarray, target: np.ndarray, outcomes: np.ndarray | None = None) -> None:
         weights = (self.by_class, self.by_word)[which]
-        error, total = self._exponentials(weights, rows)
+        error, total = self._exponentials(weights, rows, outcomes)
         error /= total[:, None]
         error[np.arange(len(target)), target] -= 1
         for k in range(FEATURES):
@@ -240,9 +300,9 @@ class Tables:
 
     def learn(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> None:
         self._step(0, self._rows(features), kinds)
-        word = np.flatnonzero(kinds < self.m.word_classes)
+        word, names, chosen, outcomes = self._choices(kinds, slots)
         if len(word):
-            self._step(1, self._rows(features[:, word], kinds[word]), slots[word])
+            self._step(1, self._rows(features[:, word], names), chosen, outcomes)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -257,10 +317,11 @@ class Shared:
 
     def encoder(self, m: Model) -> Encoder:
         # Workers outlive tasks.
-        if self.name not in _ENCODERS:
+        name = f"{self.name}-{m}"
+        if name not in _ENCODERS:
             _ENCODERS.clear()
-            _ENCODERS[self.name] = Encoder(self.broadcast.value[0], m)
-        return _ENCODERS[self.name]
+            _ENCODERS[name] = Encoder(self.broadcast.value[0], m)
+        return _ENCODERS[name]
 
 
 def _token_batches(texts: Iterator[str], encoder: Encoder, size: int) -> Iterator[tuple]:
@@ -271,7 +332,7 @@ def _token_batches(texts: Iterator[str], encoder: Encoder, size: int) -> Iterato
     def encoded():
         number, kinds, hashed = encoder.encode(words)
         begin = np.array(starts, np.int64)
-        return words, begin, number, kinds, np.maximum(number, 0) % encoder.m.width, Tables.features(hashed, begin)
+        return words, begin, number, kinds, encoder.slots[number], Tables.features(hashed, begin)
 
     for text in texts:
         starts.append(len(words))
@@ -287,7 +348,7 @@ def _learn(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Itera
     """One round over the texts of a task: changes of the used rows by blocks, and how often each was used."""
     encoder = shared.encoder(m)
     before = shared.broadcast.value[1:]
-    tables = Tables(m, *before)
+    tables = Tables(m, *before, encoder.v.bounds)
     texts = (t.as_py() for batch in batches for t in batch.column(0))
     for _, _, _, kinds, slots, features in _token_batches(texts, encoder, m.batch):
         # Long texts come in one piece; steps stay small.
@@ -351,12 +412,14 @@ def _name(vocabulary: Vocabulary) -> str:
 def _score(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Iterator[pa.RecordBatch]:
     encoder = shared.encoder(m)
     v = encoder.v
-    tables = Tables(m, *shared.broadcast.value[1:])
+    tables = Tables(m, *shared.broadcast.value[1:], v.bounds)
     log_count = np.append(np.log10(v.counts + 1.0), 0.0)
     base_log = np.log10(v.total + v.distinct + 1.0)
     class_log = np.append(np.zeros(m.word_classes), np.log10(v.class_totals + v.class_words + 1.0))
+    class_log = np.append(class_log, np.zeros(m.head_classes))
     # A head word in an ending class has its add-one share of it.
-    head_share = np.append(np.where(np.arange(len(v.words)) < m.top, 0.0, log_count[:-1]), 0.0)
+    softmax = len(v.words) if m.head_classes else m.top
+    head_share = np.append(np.where(np.arange(len(v.words)) < softmax, 0.0, log_count[:-1]), 0.0)
     for batch in batches:
         at = 0
         for words, starts, number, kinds, slots, features in _token_batches((t.as_py() for t in batch.column(3)), encoder, m.batch):
@@ -397,7 +460,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Itera
 def score_texts(
     docs: DataFrame,
     held_out: Column,
-    m: Model = Model(),
+    m: Model = WHOLE_HEAD,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",

@@ -70,6 +70,31 @@ def test_probabilities_add_up(spark):
         assert 0.8 < total <= 1 + 1e-6
 
 
+def test_context_tells_all_words_of_the_head_apart(spark):
+    """Words of equal count behind the word classes: each follows one word, and all probabilities add up to one."""
+    m = maxent.Model(word_classes=1, width=4, ending_classes=2, head_classes=2, rows=1 << 12, head=200, rate=0.5, batch=256)
+    pick = random.Random(3)
+    pairs = [(f"p{i}x", f"q{i}x") for i in range(40)]
+    rows = [(i, " ".join(w for _ in range(20) for w in pick.choice(pairs))) for i in range(600)]
+    follows = [(1000 + i, f"{p} {q}") for i, (p, q) in enumerate(pairs)]
+    crossed = [(2000 + i, f"{p} {pairs[(i + 1) % 40][1]}") for i, (p, _) in enumerate(pairs)]
+    df = spark.createDataFrame(rows + follows + crossed, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r.score for r in maxent.score_texts(df, F.col("doc_id") >= 1000, m).collect()}
+    assert all(got[1000 + i] > got[2000 + i] + 0.5 for i in range(40))
+
+    texts = df.filter("doc_id < 1000").select("text")
+    vocabulary = maxent.Vocabulary.read(maxent.word_counts(texts, m), m)
+    weights = maxent.train(texts, F.pmod(F.xxhash64("text"), F.lit(2)), vocabulary, m)
+    tables, encoder = maxent.Tables(m, *weights, vocabulary.bounds), maxent.Encoder(vocabulary, m)
+    assert len(vocabulary.words) == 81 and vocabulary.class_words.sum() == 0
+    _, _, hashed = encoder.encode([b"p3x", b"q3x"])
+    features = maxent.Tables.features(hashed, np.array([0]))[:, -1:]
+    log_p = [tables.log_probabilities(encoder.classes[[i]], encoder.slots[[i]], features)[0] for i in range(81)]
+    raised, total = tables._exponentials(tables.by_class, tables._rows(features))
+    endings = raised[0, 1:3].sum() / total[0]
+    assert sum(map(math.exp, log_p)) + endings == pytest.approx(1, abs=1e-4)
+
+
 def test_long_texts_do_not_depend_on_their_neighbours(spark):
     m = maxent.Model(word_classes=2, width=4, ending_classes=4, rows=1 << 10, head=64, batch=16)
     df = spark.createDataFrame(sentences(60), "doc_id long, text string")
