@@ -91,7 +91,7 @@ def op3_link_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     results = turns.filter(F.col("role") == "assistant").select(
         F.col("conv_id").alias("conv"), asked.alias("call_id"), F.col("text").alias("content")
     )
-    linked = tool_calls.link_tool_calls(calls, results, TOOLS)
+    linked = tool_calls.link_tool_calls(calls, results, TOOLS, orphans=True)
     return linked.withColumnRenamed("conv", "conv_id")
 
 

@@ -28,13 +28,42 @@ _TYPES = {
 }
 
 
+_CHECKED = {"type", "enum", "required", "properties", "additionalProperties", "items", "minimum"}
+# Keywords that describe and refuse nothing.
+_NOTES = {"title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "$schema", "$comment"}
+
+
+def check_schema(schema, at: str = "$") -> None:
+    """ValueError for a schema that ``violations`` does not check in full."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: a schema must be an object")
+    if unknown := sorted(set(schema) - _CHECKED - _NOTES):
+        raise ValueError(f"{at}: keywords not supported: {', '.join(unknown)}")
+    if unknown := [k for k in _kinds(schema) if k not in _TYPES]:
+        raise ValueError(f"{at}: types not supported: {unknown}")
+    for name, inner in schema.get("properties", {}).items():
+        check_schema(inner, f"{at}.{name}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        check_schema(schema["additionalProperties"], f"{at}.*")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}[]")
+
+
+def _kinds(schema: dict) -> list[str]:
+    kind = schema.get("type", [])
+    return kind if isinstance(kind, list) else [kind]
+
+
+def _fits(value, kind: str) -> bool:
+    return isinstance(value, _TYPES[kind]) and (kind == "boolean" or not isinstance(value, bool))
+
+
 def violations(value, schema: dict, at: str = "$") -> list[str]:
     """Where a value breaks a JSON schema of type, enum, required, properties, additionalProperties, items and minimum."""
-    kind = schema.get("type")
-    if kind is not None:
-        fits = isinstance(value, _TYPES[kind]) and (kind in ("boolean",) or not isinstance(value, bool))
-        if not fits:
-            return [f"{at}: not {kind}"]
+    if "type" in schema:
+        kinds = _kinds(schema)
+        if not any(_fits(value, kind) for kind in kinds):
+            return [f"{at}: not {' or '.join(kinds)}"]
     found = []
     if "enum" in schema and value not in schema["enum"]:
         found.append(f"{at}: not in enum")
@@ -48,6 +77,8 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
                 found += violations(value[name], known[name], f"{at}.{name}")
             elif schema.get("additionalProperties") is False:
                 found.append(f"{at}.{name}: unknown")
+            elif isinstance(schema.get("additionalProperties"), dict):
+                found += violations(value[name], schema["additionalProperties"], f"{at}.{name}")
     if isinstance(value, list) and "items" in schema:
         for i, item in enumerate(value):
             found += violations(item, schema["items"], f"{at}[{i}]")
@@ -120,15 +151,18 @@ def dependency_levels(calls: DataFrame, depends: DataFrame) -> DataFrame:
     return plain
 
 
-def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], *, orphans: bool = False) -> DataFrame:
     """(conv, call_id, position, level, copies, status, errors, json): one row per distinct call identifier of a conversation.
 
     ``calls``: conv, call_id, position, name, arguments (JSON text), depends_on (array of call ids). ``results``: conv, call_id,
     content. Of calls that share an identifier the first by position counts, ``copies`` says how many there are; of several
     results the least text counts. Calls without conversation or identifier are kept, never linked and have status
-    "unlinked"; results without a call are dropped. The first status that applies: "cycle", "invalid" (not JSON, unknown tool or
+    "unlinked". With ``orphans``, so have results without them, and a result whose call is absent is a row with status "no_call"
+    and no copies (of several under one identifier the least text counts); else such results are dropped. Schemas with keywords that are not checked are refused. The first status that applies: "cycle", "invalid" (not JSON, unknown tool or
     schema broken, listed in ``errors``), "no_result", "ambiguous" (several results), "ok". Extra columns are ignored.
     """
+    for schema in schemas.values():
+        check_schema(schema)
     named = F.col("conv").isNotNull() & F.col("call_id").isNotNull()
     fields = ["position", "name", "arguments", "depends_on"]
     keyed = calls.filter(named).groupBy("conv", "call_id").agg(
@@ -140,21 +174,32 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     )
     depends = keyed.select("conv", "call_id", F.explode("depends_on").alias("on")).filter(F.col("on").isNotNull())
     levels = dependency_levels(keyed.select("conv", "call_id", "position"), depends)
-    linked = keyed.join(found, ["conv", "call_id"], "left").join(levels, ["conv", "call_id"])
+    linked = keyed.join(found, ["conv", "call_id"], "full_outer").join(levels, ["conv", "call_id"], "left")
+    absent = F.col("copies").isNull()
+    linked = linked.withColumns(
+        {"_results": F.when(absent, -2).otherwise(F.col("_results")).cast("long"), "copies": F.coalesce("copies", F.lit(0).cast("long"))}
+    )
     columns = ["conv", "call_id", "position", "level", "copies", "_results", "name", "arguments", "result"]
     lost = calls.filter(~named).select(
         "conv", "call_id", "position", F.lit(None).cast("int").alias("level"), F.lit(1).cast("long").alias("copies"),
         F.lit(-1).cast("long").alias("_results"), "name", "arguments", F.lit(None).cast("string").alias("result"),
     )
-    rows = linked.select(*columns).unionByName(lost)
+    stray = results.filter(~named).select("conv", "call_id", F.lit(0).cast("long").alias("copies"), F.lit(-3).cast("long").alias("_results"), F.col("content").alias("result"))
+    missing = {c: F.lit(None).cast(linked.schema[c].dataType) for c in ("position", "level", "name", "arguments")}
+    rows = linked.select(*columns).unionByName(lost).unionByName(stray.withColumns(missing).select(*columns))
+    if not orphans:
+        rows = rows.filter(F.col("_results").isNull() | (F.col("_results") >= -1))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-3]) + ", errors string, json string"
     written = rows.mapInArrow(partial(_serialise, schemas=schemas), schema)
     status = (
-        F.when(F.col("_results") == -1, "unlinked")
+        F.when(F.col("_results").isin(-1, -3), "unlinked")
+        .when(F.col("_results") == -2, "no_call")
         .when(F.col("level").isNull(), "cycle")
         .when(F.col("errors") != "", "invalid")
         .when(F.col("_results").isNull(), "no_result")
         .when(F.col("_results") > 1, "ambiguous")
         .otherwise("ok")
     )
-    return written.select("conv", "call_id", "position", "level", "copies", status.alias("status"), "errors", "json")
+    # Results without a call have no arguments to check.
+    errors = F.when(F.col("_results") < -1, "").otherwise(F.col("errors"))
+    return written.select("conv", "call_id", "position", "level", "copies", status.alias("status"), errors.alias("errors"), "json")

@@ -33,6 +33,41 @@ def test_violations(value, errors):
     assert tool_calls.violations(value, SCHEMAS["add"]) == errors
 
 
+def test_type_lists_and_schemas_of_other_properties():
+    schema = {"type": ["object", "null"], "additionalProperties": {"type": ["string", "null"]}}
+    assert tool_calls.violations(None, schema) == tool_calls.violations({"a": None, "b": "x"}, schema) == []
+    assert tool_calls.violations({"a": 1}, schema) == ["$.a: not string or null"]
+    assert tool_calls.violations(1, schema) == ["$: not object or null"]
+
+
+@pytest.mark.parametrize(
+    "schema",
+    [
+        {"maximum": 3},
+        {"properties": {"a": {"pattern": "x"}}},
+        {"items": {"anyOf": []}},
+        {"additionalProperties": {"$ref": "#"}},
+        {"type": ["string", "text"]},
+        {"items": [{}]},
+    ],
+)
+def test_schemas_that_are_not_checked_in_full_are_refused(schema):
+    with pytest.raises(ValueError):
+        tool_calls.link_tool_calls(None, None, {"say": schema})
+
+
+def test_results_without_a_call_are_returned(spark):
+    calls = spark.createDataFrame([(1, "a", 0, "say", "{}", [], 0)], CALLS)
+    contents = [(1, "a", "r"), (1, "b", "y"), (1, "b", "x"), (9, "a", "z"), (None, "n", "w")]
+    results = spark.createDataFrame([(*r, "p") for r in contents], RESULTS)
+    rows = tool_calls.link_tool_calls(calls, results, SCHEMAS, orphans=True).collect()
+    got = {(r.conv, r.call_id): r for r in rows}
+    assert {k: (r.status, r.copies, r.errors) for k, r in got.items()} == {
+        (1, "a"): ("ok", 1, ""), (1, "b"): ("no_call", 0, ""), (9, "a"): ("no_call", 0, ""), (None, "n"): ("unlinked", 0, ""),
+    }
+    assert json.loads(got[1, "b"].json)["result"] == "x" and json.loads(got[None, "n"].json)["result"] == "w"
+
+
 def test_canonical_form_ignores_key_order():
     assert tool_calls.canonical({"b": [1, {"z": "é", "a": None}], "a": 1.5}) == '{"a":1.5,"b":[1,{"a":null,"z":"é"}]}'
 
