@@ -7,9 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import chosen_path, maxent, minhash, mixing, oracle, packing, pii, quality, repeats, tool_calls, toxicity
-from ruleweave.llm.common import crc_fold, documents, text_or_empty
-from ruleweave.operators.stages import materialize
+from ruleweave.llm import (
+    chosen_path,
+    manifest,
+    maxent,
+    minhash,
+    mixing,
+    oracle,
+    packing,
+    periods,
+    pii,
+    quality,
+    repeats,
+    tool_calls,
+    toxicity,
+    warc,
+)
+from ruleweave.llm.common import crc32_text, crc_fold, documents, let, text_or_empty, words
+from ruleweave.operators.stages import materialize, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -157,3 +172,83 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, folder))
+
+
+@query
+def op11_warc_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages written as archives into the shared folder, and read back from them."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    path = staging_path(spark, "archives")
+    warc.write_archives(warc.page_records(pages), path)
+    found = warc.follow_revisits(warc.read_archives(spark, path))
+    kind = pages.schema["page_id"].dataType
+    return found.select(
+        F.col("label").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to_label").cast(kind).alias("refers_to"),
+        "status",
+    )
+
+
+def manifest_leaves(docs: DataFrame) -> DataFrame:
+    """(source, doc_id, leaf, tampered): the digests of a row as it is and, for ids divisible by 5 by crc32, with its text lowered."""
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    text = F.col("text")
+    lowered = F.translate(text, oracle.UPPER, oracle.LOWER)
+    changed = F.when(crc_fold("doc_id", 5) == 0, manifest.leaf_digest(*fields, lowered))
+    leaf = manifest.leaf_digest(*fields, text)
+    return docs.select("source", "doc_id", leaf.alias("leaf"), F.coalesce(changed, leaf).alias("tampered"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    leaves = materialize(manifest_leaves(documents(spark, folder)))
+    stored = manifest.build(leaves, order=["doc_id"])
+    root = F.lit(stored.root)
+    proved = manifest.proofs(stored)
+    folded = proved.withColumn("folded_root", manifest.fold(F.col("tampered")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        manifest.proof_digest().alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in documents whose crc32 ends in 0 the words from a place on repeat with a period; both follow the crc32."""
+    crc = crc32_text("doc_id")
+    rest = F.floor(crc / 10)
+
+    def repeated(ws):
+        first = (rest % F.size(ws)).cast("int")
+        period = (F.floor((F.size(ws) - first) / (3 + rest % 8)) + 1).cast("int")
+        return F.when(F.size(ws) > 0, F.concat_ws(" ", periods.repeat_tail(ws, first, period))).otherwise("")
+
+    text = text_or_empty()
+    return docs.select("doc_id", F.when(crc % 10 == 0, let(words(text), repeated)).otherwise(text).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The runs of each document, the longest of them, and the document without their repeats."""
+    found = periods.find_runs(with_repeats(documents(spark, folder)), keep=["doc_id"], collapsed="sha256")
+    longest = F.array_min(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"])))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("_longest", longest)
+    length, period = -F.col("_longest.col1"), F.col("_longest.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("_longest.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", listed).cast("binary"), 256).alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )

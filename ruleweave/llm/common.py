@@ -26,10 +26,15 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN, -1))
 
 
-def crc_fold(key: Column | str, modulus: int) -> Column:
-    """crc32 of the key as text, modulo; a missing key counts as an empty text."""
+def crc32_text(key: Column | str) -> Column:
+    """crc32 of the key as text; a missing key counts as an empty text."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus
+    return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))
+
+
+def crc_fold(key: Column | str, modulus: int) -> Column:
+    """``crc32_text`` modulo a number."""
+    return crc32_text(key) % modulus
 
 
 def let(value: Column, body) -> Column:

@@ -107,5 +107,98 @@ from p
 """
 
 
+WARC = """
+with p as (
+  select row_number() over () as r, page_id, url, coalesce(html, '') as html from pages),
+o as (
+  select *, strlen(html) as n, first_value(page_id) over w as first, row_number() over w as place
+  from p window w as (partition by html order by page_id nulls last, url nulls first, r))
+select page_id, n as payload_bytes, sha256(html) as payload_digest,
+       case when n < 100 or place = 1 then 'response' else 'revisit' end as record_type,
+       case when n < 100 or place = 1 then null else first end as refers_to, 'ok' as status
+from o
+"""
+
+
+def _leaf(text: str) -> str:
+    fields = [f"cast({c} as varchar)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f})::varchar || ':' || {f}, '-')" for f in fields) + ")"
+
+
+_LOWERED = f"translate(text, '{UPPER}', '{LOWER}')"
+# crc32 of the id, digit by digit: DuckDB has no function for it.
+_CRC_STEP = "case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end"
+
+# Heights are unrolled by recursion: a level holds (tree, rank, n, digest), the tree of the sources being number -1.
+MANIFEST = f"""
+with recursive crc(id, t, i, b, c) as (
+  select doc_id, coalesce(cast(doc_id as varchar), ''), 0, 0, 4294967295::bigint from (select distinct doc_id from documents)
+  union all
+  select id, t, case when b = 8 then i + 1 else i end, case when b = 8 then 0 else b + 1 end,
+         case when b = 0 then xor(c, ascii(t[i + 1])::bigint)
+              else {_CRC_STEP} end
+  from crc where i < length(t)),
+tampered as (select id from crc where i = length(t) and xor(c, 4294967295::bigint) % 5 = 0),
+d as (
+  select doc_id, source, {_leaf('text')} as leaf,
+         case when exists (select 1 from tampered where id is not distinct from doc_id) then {_leaf(_LOWERED)} else {_leaf('text')} end
+           as changed
+  from documents),
+leaves as (
+  select *, dense_rank() over (order by source nulls first) - 1 as tree,
+         row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as rank,
+         count(*) over (partition by source) as n
+  from d),
+nodes(tree, level, rank, n, digest) as (
+  select tree, 0, rank, n, leaf from leaves
+  union all
+  select tree, level + 1, rank // 16, (n + 15) // 16, sha256(string_agg(digest, '' order by rank))
+  from nodes where n > 1 group by tree, level, rank // 16, n),
+subroots as (select tree, level as height, digest, count(*) over () as n from nodes where n = 1),
+upper(level, rank, n, digest) as (
+  select 0, tree, n, digest from subroots
+  union all
+  select level + 1, rank // 16, (n + 15) // 16, sha256(string_agg(digest, '' order by rank))
+  from upper where n > 1 group by level, rank // 16, n),
+root as (select digest as root from upper where n = 1),
+segments as (
+  select a.tree, a.level, a.rank, coalesce(string_agg(b.digest, '' order by b.rank) filter (b.rank < a.rank), '') as before,
+         coalesce(string_agg(b.digest, '' order by b.rank) filter (b.rank > a.rank), '') as after
+  from nodes a join nodes b on a.tree = b.tree and a.level = b.level and a.rank // 16 = b.rank // 16
+  where a.n > 1 group by all),
+upper_segments as (
+  select a.level, a.rank, coalesce(string_agg(b.digest, '' order by b.rank) filter (b.rank < a.rank), '') as before,
+         coalesce(string_agg(b.digest, '' order by b.rank) filter (b.rank > a.rank), '') as after
+  from upper a join upper b on a.level = b.level and a.rank // 16 = b.rank // 16
+  where a.n > 1 group by all),
+powers as (select unnest(range(0, 16)) as level),
+steps as (
+  select l.tree, l.rank, s.level as step, s.before, s.after
+  from leaves l join powers p on true join segments s on s.tree = l.tree and s.level = p.level
+    and s.rank = l.rank // power(16, p.level)::bigint
+  union all
+  select l.tree, l.rank, t.height + u.level, u.before, u.after
+  from leaves l join subroots t on t.tree = l.tree join powers p on true
+    join upper_segments u on u.level = p.level and u.rank = l.tree // power(16, p.level)::bigint),
+proofs as (select tree, rank, sha256(string_agg(before || after, '' order by step)) as proof from steps group by tree, rank),
+fold(tree, rank, step, digest) as (
+  select tree, rank, 0, changed from leaves
+  union all
+  select f.tree, f.rank, f.step + 1, sha256(s.before || f.digest || s.after)
+  from fold f join steps s on s.tree = f.tree and s.rank = f.rank and s.step = f.step),
+folded as (select tree, rank, arg_max(digest, step) as digest from fold group by tree, rank)
+select l.doc_id, l.leaf, t.digest as subroot, root, coalesce(p.proof, sha256('')) as proof_sha256, f.digest as folded_root,
+       f.digest = root as verified
+from leaves l join subroots t on t.tree = l.tree join folded f on f.tree = l.tree and f.rank = l.rank
+  left join proofs p on p.tree = l.tree and p.rank = l.rank, root
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": QUALITY, "op8_jaccard_join": JACCARD, "op9_mix_sources": MIX}
+    return {
+        "op5_quality_rules": QUALITY,
+        "op8_jaccard_join": JACCARD,
+        "op9_mix_sources": MIX,
+        "op11_warc_pages": WARC,
+        "op12_merkle_manifest": MANIFEST,
+    }

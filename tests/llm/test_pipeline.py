@@ -15,7 +15,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="shared tabl
 
 def test_every_operator_is_registered_once():
     names = [n for n in catalog.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in catalog.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in catalog.queries()
 
 
 @needs_tables
@@ -52,7 +52,8 @@ def test_one_row_of_each_class_stays(spark, edge):
 def test_query_matches_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     database = duckdb.connect()
-    database.execute(f"create view documents as select * from read_parquet('{FOLDER}/documents.parquet')")
+    for table in ("documents", "pages"):
+        database.execute(f"create view {table} as select * from read_parquet('{FOLDER}/{table}.parquet')")
     cursor = database.execute(catalog.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
     df = catalog.queries()[name](spark, FOLDER)

@@ -1,0 +1,179 @@
+"""Archives: exact round trips, and archives that are damaged, compressed otherwise, or written by others."""
+
+import gzip
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ruleweave.llm import catalog, warc
+
+
+def sha(data):
+    return hashlib.sha256(data).hexdigest()
+
+
+def round_trip(spark, pages, path, **sizes):
+    warc.write_archives(warc.page_records(pages), str(path), **sizes)
+    return warc.read_archives(spark, str(path))
+
+
+def plain_rows(rows):
+    """(page_id, bytes, digest, type, refers_to) of (page_id, url, html) rows."""
+    payloads = [(r[2] or "").encode() for r in rows]
+    first = {}
+    for r, p in sorted(zip(rows, payloads), key=lambda x: (x[0][0] is None, x[0][0] or 0, x[0][1] or "")):
+        first.setdefault(p, r)
+    out, held = [], set()
+    for r, p in zip(rows, payloads):
+        origin = first[p]
+        alone = len(p) < 100 or (r[0] == origin[0] and p not in held)
+        if len(p) >= 100 and alone:
+            held.add(p)
+        out.append((r[0], len(p), sha(p), "response" if alone else "revisit", None if alone else origin[0]))
+    return sorted(out, key=str)
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+ROWS = [
+    (3, "http://a/", "x" * 100),
+    (1, "http://b/ c\r\nWARC-Type: evil", "x" * 100),
+    (2, None, "x" * 99),
+    (4, "http://d", "x" * 99),
+    (5, "http://e", None),
+    (6, "", ""),
+    (None, "http://f", "é" * 9_000 + "\r\n\r\nWARC/1.1\r\n"),
+    (8, "http://g", "é" * 9_000 + "\r\n\r\nWARC/1.1\r\n"),
+    (9, "http://g", "0\r\n\r\n" * 4_000),
+    (9, "http://g", "0\r\n\r\n" * 4_000),
+    (10, "http://h", "🙂" * 50_000),
+    (None, None, None),
+]
+
+
+@pytest.mark.parametrize("segment_bytes, chunk_bytes", [(16_384, 4_096), (100, 7), (1, 1_000_000)])
+def test_payloads_come_back(spark, tmp_path, segment_bytes, chunk_bytes):
+    rows = ROWS if segment_bytes > 1 else [r for r in ROWS if len(r[2] or "") < 1_000]
+    records = round_trip(spark, pages_of(spark, rows), tmp_path / "w", segment_bytes=segment_bytes, chunk_bytes=chunk_bytes).collect()
+    assert {r["status"] for r in records} == {"ok"} and len(records) == len(rows)
+    want = {(r[2] or "").encode() for r in rows}
+    assert {bytes(r["payload"]) for r in records if r["record_type"] == "response"} == want
+    assert all(r["payload"] is None for r in records if r["record_type"] == "revisit")
+    assert len({r["record_id"] for r in records}) == len(rows)
+
+
+def test_query_matches_plain_version(spark, tmp_path):
+    draw = random.Random(1)
+    bodies = ["b" * draw.randrange(50, 300) for _ in range(8)] + ["big " * draw.randrange(20_000) for _ in range(4)]
+    rows = ROWS + [(100 + i, f"http://x/{i}", draw.choice(bodies)) for i in range(120)]
+    pages_of(spark, rows).repartition(4).write.parquet(f"{tmp_path}/pages.parquet")
+    got = catalog.op11_warc_pages(spark, str(tmp_path)).collect()
+    assert {r["status"] for r in got} == {"ok"}
+    assert sorted((tuple(r)[:5] for r in got), key=str) == plain_rows(rows)
+
+
+def test_no_pages(spark, tmp_path):
+    pages_of(spark, ROWS).filter("false").write.parquet(f"{tmp_path}/pages.parquet")
+    assert catalog.op11_warc_pages(spark, str(tmp_path)).count() == 0
+
+
+def test_extra_columns_are_ignored(spark, tmp_path):
+    pages = pages_of(spark, ROWS).selectExpr("*", "1 as payload", "2 as _key", "3 as _id", "4 as label", "5 as _n")
+    assert round_trip(spark, pages, tmp_path / "w").count() == len(ROWS)
+
+
+def test_many_revisits_of_one_page(spark, tmp_path):
+    pages = spark.range(400).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 3 == 0, "hot" * 50).otherwise(F.col("id").cast("string")).alias("html")
+    )
+    found = warc.follow_revisits(round_trip(spark, pages, tmp_path / "w"))
+    revisits = found.filter("record_type = 'revisit'")
+    assert revisits.count() == 133
+    assert [tuple(r) for r in revisits.select("refers_to_label", "payload_bytes", "status").distinct().collect()] == [("0", 150, "ok")]
+
+
+def response(name, block, **more):
+    fields = {"WARC-Type": "response", "WARC-Record-ID": f"<{name}>", **more}
+    return warc._record(fields, block)
+
+
+def continuation(origin, number, block, total=None):
+    more = {"WARC-Type": "continuation", "WARC-Segment-Origin-ID": f"<{origin}>", "WARC-Segment-Number": str(number)}
+    return warc._record(more | {"WARC-Segment-Total-Length": total and str(total)}, block)
+
+
+BLOCK = warc.http_block(b"hello world, hello world", 5)
+
+
+def read_files(spark, folder, *files):
+    folder.mkdir()
+    for i, content in enumerate(files):
+        (folder / f"{i}.warc").write_bytes(content)
+    return {r["record_id"]: r for r in warc.read_archives(spark, str(folder)).collect()}
+
+
+def test_segments_from_several_archives_in_any_order(spark, tmp_path):
+    n = len(BLOCK)
+    parts = [BLOCK[:30], BLOCK[30:31], BLOCK[31:]]
+    files = [
+        continuation("a", 3, parts[2], n) + gzip.compress(b"")[:0],
+        continuation("a", 2, parts[1]) + response("b", BLOCK),
+        response("a", parts[0], **{"WARC-Segment-Number": "1"}),
+        continuation("a", 2, parts[1]),
+    ]
+    found = read_files(spark, tmp_path / "w", *files)
+    assert {k: (r["status"], bytes(r["payload"])) for k, r in found.items()} == dict.fromkeys("ab", ("ok", b"hello world, hello world"))
+
+
+def test_record_wise_compression(spark, tmp_path):
+    packed = b"".join(gzip.compress(response(x, BLOCK)) for x in "abc")
+    found = read_files(spark, tmp_path / "w", packed)
+    assert {k: r["status"] for k, r in found.items()} == dict.fromkeys("abc", "ok")
+
+
+def test_damage_is_reported_and_ends_nothing(spark, tmp_path):
+    n, one = len(BLOCK), {"WARC-Segment-Number": "1"}
+    good = response("good", BLOCK)
+    files = [
+        response("gap", BLOCK[:10], **one) + continuation("gap", 3, BLOCK[10:], n),
+        response("open", BLOCK[:10], **one) + continuation("open", 2, BLOCK[10:]),
+        continuation("headless", 2, BLOCK[10:], n),
+        response("long", BLOCK[:10], **one) + continuation("long", 2, BLOCK[10:], n + 1),
+        response("two", BLOCK[:10], **one) + continuation("two", 2, BLOCK[10:], n) + continuation("two", 2, b"other", n),
+        response("frame", BLOCK[:-7]) + response("digest", BLOCK, **{"WARC-Payload-Digest": "sha256:00"}),
+        good + response("cut", BLOCK)[:-20],
+        gzip.compress(response("packed", BLOCK))[:-30],
+        response("size", b"").replace(b"Content-Length: 0", b"Content-Length: x"),
+        b"no archive",
+        warc._record({"WARC-Type": "warcinfo", "WARC-Record-ID": "<info>"}, b"software: x"),
+        b"",
+    ]
+    found = read_files(spark, tmp_path / "w", *files)
+    assert {k: r["status"] for k, r in found.items() if k} == {
+        "gap": "missing_segment", "open": "missing_segment", "headless": "missing_segment", "long": "wrong_length", "two": "conflict",
+        "frame": "bad_framing", "digest": "bad_digest", "good": "ok", "cut": "truncated", "size": "truncated",
+    }
+    assert bytes(found["digest"]["payload"]) == b"hello world, hello world" and found["long"]["payload"] is None
+    assert found[None]["status"] in ("not_warc", "truncated")
+
+
+def test_revisit_without_origin(spark, tmp_path):
+    lost = warc._record({"WARC-Type": "revisit", "WARC-Record-ID": "<r>", "WARC-Refers-To": "<gone>"}, b"")
+    bare = warc._record({"WARC-Type": "revisit", "WARC-Record-ID": "<s>"}, b"")
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "x.warc").write_bytes(lost + bare)
+    found = warc.follow_revisits(warc.read_archives(spark, str(tmp_path / "w"))).collect()
+    assert {(r["record_id"], r["status"], r["payload_bytes"]) for r in found} == {("r", "no_origin", None), ("s", "no_origin", None)}
+
+
+def test_chunked_framing():
+    for n in (0, 1, 5, 6, 100):
+        for size in (1, 5, 1000):
+            assert warc.unchunked(warc.chunked(b"\r\n0" * n, size)) == b"\r\n0" * n
+    assert warc.unchunked(b"3;name=value\r\nabc\r\n0\r\nTrailer: x\r\n\r\n") == b"abc"
+    for broken in (b"", b"3\r\nabc", b"3\r\nabcd\r\n0\r\n\r\n", b"zz\r\n", b"-1\r\n\r\n", b"3\r\nabc\r\n0\r\n", b"0x3\r\nabc\r\n0\r\n\r\n"):
+        assert warc.unchunked(broken) is None
