@@ -266,6 +266,49 @@ def base_then(select: str) -> str:
     return f"with base as ({BASE}) {select}"
 
 
+def classifier(train: str, asked: str) -> str:
+    """CTEs ``replies`` (row_id, score, reply) from SQL giving (text, label) and (row_id, text)."""
+    buckets = f"list_distinct([('0x' || substr(md5(w), 1, 8))::bigint % 65536 for w in regexp_extract_all(lower(text), '{LETTERS}')])"
+    return f"""
+texts as (
+  select row_number() over () as r, null as row_id, label, text from ({train}) where text is not null and label is not null
+  union all select -row_number() over (), row_id, null, text from ({asked}) where text is not null),
+sizes as (select count(*) filter (label = 1)::double as n1, count(*) filter (label = 0)::double as n0 from texts),
+found as (select r, label, unnest({buckets}) as b from texts),
+seen as (select b, count(*) as d from found where label is not null group by b),
+raised as (
+  select r, label, found.b, ln((n1 + n0 + 1) / (coalesce(d, 0) + 1)) as z
+  from found left join seen on seen.b = found.b, sizes),
+lengths as (select r, sqrt(sum(z * z)) as len from raised group by r),
+units as (
+  select raised.r, label, b, case when len > 0 then z / len else 0 end as v from raised join lengths on lengths.r = raised.r),
+weights as (
+  select b, (coalesce(sum(v) filter (label = 1), 0) / n1 - coalesce(sum(v) filter (label = 0), 0) / n0)
+            / (sum(v * v) / (n1 + n0) + 0.00001::double) as w
+  from units, sizes where label is not null group by b, n1, n0),
+raw as (
+  select t.r, t.row_id, t.label, coalesce(sum(v * coalesce(w, 0)), 0) as s
+  from texts t left join units u on u.r = t.r left join weights k on k.b = u.b group by t.r, t.row_id, t.label),
+line as (
+  select (m1 - m0) / greatest((n1 * v1 + n0 * v0) / (n1 + n0), 1e-12) as slope, (m1 + m0) / 2 as middle, ln(n1 / n0) as prior
+  from sizes, (select avg(s) filter (label = 1) as m1, avg(s) filter (label = 0) as m0,
+                      var_pop(s) filter (label = 1) as v1, var_pop(s) filter (label = 0) as v0 from raw)),
+replies as (
+  select row_id, score, case when score > 0.5 then 'Yes' else 'No' end as reply
+  from (select row_id, 1 / (1 + exp(-(slope * (s - middle) + prior))) as score from raw, line where r < 0))"""
+
+
+def half_rounds(x: str, source: str, keys: str) -> str:
+    """The network of one step on ``x``, as nested selects that add ``y``; rows carry ``low`` and ``high``."""
+    inner = f"select *, {x} // low as a0, {x} % low as b0 from {source}"
+    for r in range(4):
+        size = "high" if r % 2 == 0 else "low"
+        inner = (
+            f"select *, b{r} as a{r + 1}, (a{r} + {draw('batches-epoch', str(r), keys, f'b{r}')}) % {size} as b{r + 1} from ({inner})"
+        )
+    return f"select *, a4 * low + b4 as y from ({inner})"
+
+
 def oracle_sql() -> dict[str, str]:
     tokens = ", ".join(quoted(t) for t in MISSING_TOKENS)
     cells = f"[{tokens}, 'na', 'NAN', 'none', '0']"
@@ -376,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
             pseudo as (select distinct * from ({unpivot('chosen')}))
             select 'loaded' as stage, count(*) as n_rows from base
             union all select 'train', count(*) from base where rule_violation is not null
-            union all select 'sampled', count(*) from ({ranked('base', 'pseudo', '0.05')})
+            union all select 'sampled', count(*) from chosen
             union all select 'pseudo', count(*) from pseudo
             union all select 'total', count(*) from (
               select 1 from base where rule_violation is not null union all select 1 from pseudo)
@@ -401,6 +444,23 @@ def oracle_sql() -> dict[str, str]:
             select row_id, 0 as draw_no, ix // 32 as batch_id, cast(ix % 32 as integer) as batch_pos from (
               select row_id,
                      row_number() over (order by {draw('batches', 'row_id', '0')}, row_id) - 1 as ix from triplets)""",
+        "shuffle_epochs": f"""
+            {TRIPLETS.replace("with", "with recursive", 1)},
+            numbered as (
+              select row_id, row_number() over (order by {draw('batches', 'row_id', '0')}, row_id) - 1 as ix,
+                     count(*) over () as n from triplets),
+            sized as (
+              select *, cast(ceil(sqrt(n::double)) as bigint) as low from numbered),
+            spread as (select *, (n + low - 1) // low as high, unnest([1, 2]) as epoch from sized),
+            walk as (
+              select row_id, epoch, n, low, high, y from ({half_rounds('ix', 'spread', 'epoch')})
+              union all
+              select row_id, epoch, n, low, high, z from (
+                select row_id, epoch, n, low, high, y as z from ({half_rounds('x', '(select row_id, epoch, n, low, high, y as x from walk where y >= n)', 'epoch')}))),
+            placed as (
+              select row_id, 0 as epoch, ix as place from numbered
+              union all select row_id, epoch, y from walk where y < n)
+            select row_id, 0 as draw_no, epoch, place // 32 as batch_id, cast(place % 32 as integer) as batch_pos from placed""",
         "batch_plan": f"""
             {TRIPLETS}
             select n_rows, n_batches, cast(floor(n_batches::double * 0.1::double) as bigint) as warmup_steps from (
@@ -441,6 +501,28 @@ def oracle_sql() -> dict[str, str]:
         "embed_texts": f"""
             select sha256(text) as text_key, {vector_text('embedding')} as embedding
             from ({HASHED.replace('SOURCE', 'select distinct text from documents where text is not null')})""",
+        "score_text_classifier": f"""
+            with comments as ({COMMENTS}),
+            prompts as (select row_id, rule_violation as label, {prompt()} as text from ({drawn})),
+            {classifier("select text, label from prompts", "select row_id, text from prompts")}
+            select row_id, round(score, 6) as score, reply from replies""",
+        "train_infer_combine": f"""
+            with every as ({COMMENTS}),
+            comments as (select * exclude (rule_violation) from every where rule_violation is null),
+            sampled as ({ranked('comments', 'pseudo', '0.05')}),
+            pseudo as (select distinct * from ({unpivot('sampled')})),
+            train as (select * from ({drawn.replace('from comments', 'from every')}) where rule_violation is not null),
+            {classifier(
+                f"select {prompt()} as text, rule_violation as label from train union all select {prompt()}, rule_violation from pseudo",
+                f"select row_id, {prompt()} as text from ({drawn})")},
+            candidate_texts as (
+              select unnest([body, rule, positive_example_1, positive_example_2, negative_example_1,
+                             negative_example_2]) as text from comments),
+            {centroids(hashed_members)}, {scored()}
+            select s.row_id,
+                   cast((case when reply = 'Yes' then 1 else 0 end) * 0.6::double + s.rule_violation * 0.4::double > 0.5 as double)
+                     as rule_violation
+            from scored s join replies r on r.row_id = s.row_id""",
         "triplet_margin_loss": f"""
             {TRIPLETS}, vectors as ({VECTORS}),
             found as (

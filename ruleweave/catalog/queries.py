@@ -15,7 +15,7 @@ from ruleweave.operators import indexing as ix
 from ruleweave.operators import joins as jn
 from ruleweave.operators import sampling as sa
 from ruleweave.operators import sets as st
-from ruleweave.operators.stages import materialize, staging_path
+from ruleweave.operators.stages import materialize, staging_path, store_bucketed
 from ruleweave.plans import ensemble as en
 from ruleweave.plans import inference as inf
 from ruleweave.plans import models as mo
@@ -231,7 +231,7 @@ def euclidean_distance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, folder: str, metric: str) -> DataFrame:
-    comments, vectors = full_comments(spark, folder), document_vectors(spark, folder)
+    comments, vectors = full_comments(spark, folder), store_bucketed(document_vectors(spark, folder), "text_key")
     centroids = ce.rule_centroids(comments, vectors, dim=DIM)
     return inf.score_comments(comments, vectors, centroids, metric=metric).select(
         "row_id",
@@ -266,8 +266,8 @@ def filter_rule(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def filter_known_text(spark: SparkSession, folder: str) -> DataFrame:
-    known = st.filter_known_text(plain_comments(spark, folder), document_vectors(spark, folder), text_col="body")
-    return known.select("row_id")
+    vectors = document_vectors(spark, folder)
+    return st.filter_known_text(plain_comments(spark, folder), vectors, text_col="body", keep=["row_id"])
 
 
 @query
@@ -372,20 +372,10 @@ def drop_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stage_counts(spark: SparkSession, folder: str) -> DataFrame:
-    comments = full_comments(spark, folder, labelled=True)
-    train = comments.filter(F.col("rule_violation").isNotNull())
-    test = comments.filter(F.col("rule_violation").isNull()).drop("rule_violation")
-    pseudo = materialize(tr.pseudo_training_set(test))
-    shared = ["body", "rule", "subreddit", "rule_violation"]
-    return st.stage_counts(
-        loaded=plain_comments(spark, folder),
-        train=train_rows(spark, folder),
-        sampled=sa.stratified_sample(plain_comments(spark, folder)),
-        pseudo=pseudo,
-        total=train.select(*shared).unionByName(pseudo.select(*shared)),
-        triplets=tr.triplet_rows(test_rows(spark, folder), train_rows(spark, folder)),
-        distinct_texts=st.distinct_texts(plain_comments(spark, folder), ["body"]),
-    )
+    """Rows of each stage of one run that makes the training tables, counted by that run."""
+    counts = st.StageCounts()
+    tr.training_tables(full_comments(spark, folder, labelled=True), counts)
+    return counts.frame(spark)
 
 
 @query
@@ -428,6 +418,13 @@ def shuffle_batches(spark: SparkSession, folder: str) -> DataFrame:
     return batches.select("row_id", "draw_no", "batch_id", "batch_pos")
 
 
+@query
+def shuffle_epochs(spark: SparkSession, folder: str) -> DataFrame:
+    """Three epochs over all triplets, each in an order of its own."""
+    triplets = tr.triplet_rows(test_rows(spark, folder), train_rows(spark, folder))
+    return sa.shuffle_batches(triplets.select("row_id", "draw_no"), id_cols=["row_id", "draw_no"], epochs=3)
+
+
 @query
 def batch_plan(spark: SparkSession, folder: str) -> DataFrame:
     return sa.batch_plan(tr.triplet_rows(test_rows(spark, folder), train_rows(spark, folder)))
@@ -494,10 +491,11 @@ def embed_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def score_text_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Learnt from the prompts of labelled comments, applied to those of all; the prompts are made once."""
     comments = tr.with_drawn_examples(full_comments(spark, folder, labelled=True))
-    prompts = comments.select("row_id", "rule_violation", tx.build_prompt().alias("prompt"))
-    model = mo.fit_text_classifier(prompts.filter(F.col("rule_violation").isNotNull()))
-    return mo.score_text_classifier(model, prompts).select("row_id", "score", "reply")
+    prompts = materialize(comments.select("row_id", "rule_violation", tx.build_prompt().alias("prompt")))
+    model = mo.fit_text_classifier(prompts)
+    return mo.score_text_classifier(model, prompts).select("row_id", F.round("score", 6).alias("score"), "reply")
 
 
 @query

@@ -23,7 +23,7 @@ def _dot(a: Column, b: Column) -> Column:
     return _total(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body``, which may use it inside lambdas."""
     return F.transform(F.array(value), body)[0]
 
@@ -35,7 +35,7 @@ def zero_vector(dim: int) -> Column:
 def l2_normalize(vector: Column | str) -> Column:
     """Unit-length vector; the zero vector stays zero."""
     vector = _col(vector)
-    return _bind(
+    return let(
         F.sqrt(_dot(vector, vector)),
         # try_divide gives null for a zero norm only; the entries are then zero already.
         lambda norm: F.transform(
@@ -74,6 +74,11 @@ def nearest_side(violating: Column | str, non_violating: Column | str, *, metric
     return F.when(nearer, 1).otherwise(0)
 
 
+def word_bucket(word: Column, buckets: int) -> Column:
+    """Hash bucket of a word: the first 32 bits of its md5, modulo."""
+    return (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
+
+
 def hashed_embedding(text: Column | str, dim: int = 64, max_tokens: int | None = None) -> Column:
     """Unit vector of hashed word counts, computed within the row.
 
@@ -83,12 +88,9 @@ def hashed_embedding(text: Column | str, dim: int = 64, max_tokens: int | None =
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
     if max_tokens is not None:
         words = F.slice(words, 1, max_tokens)
-    buckets = F.transform(
-        words,
-        lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim).cast("int"),
-    )
-    counts = _bind(F.sort_array(buckets), lambda ordered: _run_lengths(ordered, dim))
-    return F.when(text.isNotNull(), _bind(counts, l2_normalize))
+    buckets = F.transform(words, lambda w: word_bucket(w, dim))
+    counts = let(F.sort_array(buckets), lambda ordered: _run_lengths(ordered, dim))
+    return F.when(text.isNotNull(), let(counts, l2_normalize))
 
 
 def _run_lengths(ordered: Column, dim: int) -> Column:
@@ -108,9 +110,9 @@ def _run_lengths(ordered: Column, dim: int) -> Column:
             return F.when(place > 0, F.get(ends, (place - 1).cast("int")) - before).otherwise(0).cast("double")
 
         return F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)), lambda bucket: _bind(F.array_position(found, bucket), length)
+            F.sequence(F.lit(0), F.lit(dim - 1)), lambda bucket: let(F.array_position(found, bucket), length)
         )
 
-    return _bind(
-        ends, lambda e: _bind(F.transform(e, lambda k: F.get(ordered, k - 1)), lambda found: spread(e, found))
+    return let(
+        ends, lambda e: let(F.transform(e, lambda k: F.get(ordered, k - 1)), lambda found: spread(e, found))
     )

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ruleweave.operators.stages import pair_join
+
 
 def join_predictions(
     first: DataFrame, second: DataFrame, *, on: str = "row_id", suffixes: tuple[str, str] = ("_llm", "_gte")
 ) -> DataFrame:
     """Inner join of two prediction tables on their key; columns they share get the suffixes.
 
-    Missing keys match each other, and a key that occurs several times gives all combinations.
+    Missing keys match each other, and a key that occurs several times gives all combinations. A key that is frequent on
+    both sides is cut into a grid of tasks.
     """
     shared = (set(first.columns) & set(second.columns)) - {on}
 
@@ -20,7 +23,7 @@ def join_predictions(
 
     left = renamed(first, suffixes[0])
     right = renamed(second, suffixes[1]).withColumnRenamed(on, "_key")
-    return left.join(right, F.col(on).eqNullSafe(F.col("_key")), "inner").drop("_key")
+    return pair_join(left, right, on, "_key").drop("_key")
 
 
 def align_predictions(first: DataFrame, second: DataFrame, *, on: str = "row_id") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from ruleweave.defaults import PSEUDO_FRACTION, SEED, TRAIN_BATCH_SIZE, WARMUP_SHARE
-from ruleweave.functions.draws import draw, draw_bucket
+from ruleweave.functions.draws import draw, draw_bucket, permuted
 from ruleweave.operators.stages import lookup_join
 
 # 4,096 buckets per stratum: a stratum of ten billion rows ranks 2.4 million narrow ones.
@@ -157,25 +157,38 @@ def shuffle_batches(
     *,
     id_cols: list[str],
     batch_size: int = TRAIN_BATCH_SIZE,
+    epochs: int | None = None,
     tag: str = "batches",
     seed: int = SEED,
 ) -> DataFrame:
-    """Add ``batch_id`` and ``batch_pos``: a random order of all rows, cut into batches of ``batch_size``."""
-    drawn = df.withColumn("_draw", draw(tag, *id_cols, seed=seed)).withColumn(
-        "_bucket", draw_bucket(F.col("_draw"), SINGLE_BITS)
-    )
-    counts = drawn.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    """Add ``batch_id`` and ``batch_pos``: a random order of all rows, cut into batches of ``batch_size``.
+
+    With ``epochs`` each row comes that many times, told apart by ``epoch`` (from 0), in another order each time. The rows are
+    numbered once, by the order of the first epoch; later ones permute the numbers, without a sort or a shuffle.
+    """
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), draw(tag, *id_cols, seed=seed).alias("_draw")
+    ).withColumn("_bucket", draw_bucket(F.col("_draw"), SINGLE_BITS))
+    counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 2**SINGLE_BITS rows of 12 bytes, so both the window and the broadcast are bounded.
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_bucket").orderBy("_draw", *id_cols)
-    position = F.col("_offset") + F.row_number().over(within) - 1
-    return (
-        drawn.join(F.broadcast(offsets), "_bucket")
-        .withColumn("_ix", position)
-        .withColumn("batch_id", F.floor(F.col("_ix") / batch_size).cast("long"))
-        .withColumn("batch_pos", (F.col("_ix") % batch_size).cast("int"))
-        .drop("_draw", "_bucket", "_offset", "_ix")
+    # At most 2**SINGLE_BITS narrow rows, so both the windows and the broadcast are bounded.
+    offsets = counts.select(
+        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"), F.sum("_n").over(Window.partitionBy()).alias("_all")
+    )
+    order = [F.col("_draw"), *[F.col("_row").getField(c) for c in id_cols]]
+    within = Window.partitionBy("_bucket").orderBy(*order)
+    placed = rows.join(F.broadcast(offsets), "_bucket").withColumn("_ix", F.col("_offset") + F.row_number().over(within) - 1)
+    place, more = F.col("_ix"), []
+    if epochs is not None:
+        placed = placed.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+        again = permuted(F.col("_ix"), F.col("_all"), f"{tag}-epoch", "_epoch", seed=seed)
+        placed = placed.withColumn("_ix", F.when(F.col("_epoch") == 0, F.col("_ix")).otherwise(again))
+        more = [F.col("_epoch").alias("epoch")]
+    return placed.select(
+        *[F.col("_row").getField(c).alias(c) for c in df.columns],
+        *more,
+        F.floor(place / batch_size).cast("long").alias("batch_id"),
+        (place % batch_size).cast("int").alias("batch_pos"),
     )
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ruleweave.defaults import EXAMPLE_COLUMNS
 from ruleweave.functions.text import clean_urls, digest, str_or_nan
-from ruleweave.operators.stages import materialize
+from ruleweave.operators.stages import skew_join
 
 
 def filter_not_missing(df: DataFrame, column: str) -> DataFrame:
@@ -18,13 +18,18 @@ def filter_rule(df: DataFrame, rule: str, *, rule_col: str = "rule") -> DataFram
     return df.filter(F.col(rule_col) == rule)
 
 
-def filter_known_text(df: DataFrame, vectors: DataFrame, *, text_col: str) -> DataFrame:
-    """Rows whose text has a vector. ``vectors`` has a ``text_key`` column."""
-    keyed = df.withColumn("text_key", digest(text_col))
-    # With the keys stored, both inputs are shuffled for this join alone, and the adaptive planner can split a text
-    # with very many copies.
-    known = materialize(vectors.select("text_key"))
-    return keyed.join(known, "text_key", "left_semi").drop("text_key")
+def filter_known_text(
+    df: DataFrame, vectors: DataFrame, *, text_col: str, keep: list[str] | None = None, spread_by: str | None = None
+) -> DataFrame:
+    """Rows whose text has a vector. ``vectors`` has a ``text_key`` column that holds a text's digest once.
+
+    The semi-join moves the digest and the columns to ``keep`` (by default all), so name the row keys alone where the text is not
+    wanted. A text with very many copies is compared where its rows lie. ``spread_by``: by default the first column kept.
+    """
+    keep = keep or df.columns
+    keyed = df.select(digest(text_col).alias("_text_key"), *[F.col(f"`{c}`") for c in keep])
+    known = vectors.select(F.col("text_key").alias("_text_key"))
+    return skew_join(keyed, known, ["_text_key"], "left_semi", spread_by=spread_by or keep[0]).drop("_text_key")
 
 
 def clean_text_columns(df: DataFrame, columns: list[str]) -> Column:
@@ -69,8 +74,40 @@ def union_with_missing(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second, allowMissingColumns=True)
 
 
+class StageCounts:
+    """Row counts of the stages of a flow, taken by the tasks that run it.
+
+    Call it with a name and a frame and go on with the frame it returns; once the actions that run the frames are done,
+    ``frame`` holds the counts. Nothing is run for the counts alone. A stage that runs again after an executor is lost is counted
+    again, so put a stage that must be exact right before a sink. A frame is run by one action; one that no action has run
+    by then has no row.
+    """
+
+    def __init__(self):
+        self._watched: dict[str, Observation] = {}
+        self._done: dict[str, int] = {}
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        if name in self._watched or name in self._done:
+            raise ValueError(f"stage {name!r} is counted already")
+        self._watched[name] = Observation(f"rows-{name}")
+        return df.observe(self._watched[name], F.count(F.lit(1)).alias("n_rows"))
+
+    def add(self, name: str, n_rows: int) -> None:
+        """A count that follows from others."""
+        self._done[name] = n_rows
+
+    def __getitem__(self, name: str) -> int:
+        return self._done[name] if name in self._done else self._watched[name].get["n_rows"]
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """(stage, n_rows), in the order in which the stages were named."""
+        rows = [(name, self[name]) for name in (*self._watched, *self._done)]
+        return spark.createDataFrame(rows, "stage string, n_rows long")
+
+
 def stage_counts(**stages: DataFrame) -> DataFrame:
-    """One row (stage, n_rows) per named frame."""
+    """One row (stage, n_rows) per named frame, each of them run to be counted; see ``StageCounts`` for counts on the way."""
     counted = [
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
         for name, df in stages.items()

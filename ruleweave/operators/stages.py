@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from functools import reduce
 
@@ -11,10 +12,12 @@ from pyspark.sql import types as T
 
 # Above this many bytes a side table is no longer broadcast.
 BROADCAST_LIMIT = 64 * 1024 * 1024
-# Pieces every key of a stream is cut into, as its rows cannot be counted beforehand.
-STREAM_PIECES = 32
 # Rows of one key that a single task may join.
 ROWS_PER_PIECE = 1_000_000
+# Pairs of rows of one key that a single task may form.
+PAIRS_PER_CELL = 10_000_000
+# Buckets by which rows are counted before any key is.
+KEY_BUCKETS = 1 << 16
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -26,15 +29,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staging")
 
 
-# Folders written by this process and not yet deleted.
-_STAGED: set[str] = set()
+# Folders written by this process and not yet deleted, with the name of the table over them, if there is one.
+_STAGED: dict[str, str | None] = {}
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder for a table that is written and read again."""
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-    _STAGED.add(path)
+    _STAGED[path] = None
     return path
 
 
@@ -50,11 +53,31 @@ def materialize(df: DataFrame) -> DataFrame:
     return stored
 
 
+def store_bucketed(df: DataFrame, key: str, *, buckets: int | None = None) -> DataFrame:
+    """Compute once, as a table bucketed and sorted by ``key``: no join or aggregate on the key shuffles it again.
+
+    There are as many buckets as shuffle partitions, so the other side of a join is shuffled to the buckets. The files lie in
+    the shared folder; the table's name is known to the session's catalog until ``release``.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, name = staging_path(spark, "buckets"), f"ruleweave_{uuid.uuid4().hex}"
+    _STAGED[path] = name
+    # One task per bucket, so a bucket is one file.
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer.option("path", path).format("parquet").saveAsTable(name)
+    stored = spark.table(name)
+    stored.staged_path = path
+    return stored
+
+
 def _delete(spark: SparkSession, path: str) -> None:
+    if name := _STAGED.get(path):
+        spark.sql(f"drop table if exists {name}")
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    _STAGED.discard(path)
+    _STAGED.pop(path, None)
 
 
 def discard(stored: DataFrame) -> None:
@@ -102,19 +125,34 @@ def lookup_join(
     """Join a large frame with a side table that holds one row per key.
 
     The side table is computed once and measured. Up to ``limit`` bytes (by default ``BROADCAST_LIMIT``) it is
-    broadcast, so ``left`` is not shuffled. Beyond that the rows of each key of ``left`` are counted, keys with too many for one
-    task are cut into pieces by a hash of ``spread_by``, and only their rows of the side table are repeated. On a stream every
-    key is cut into ``STREAM_PIECES``.
+    broadcast, so ``left`` is not shuffled. Beyond that keys with too many rows of ``left`` for one task are cut into pieces
+    by a hash of ``spread_by``, and only their rows of the side table are repeated. The keys of a stream cannot be
+    counted: hand over its micro-batches (``foreachBatch``) where a key may be hot.
     """
     if not stored:
         side = materialize(side)
     if measured_bytes(side) <= (BROADCAST_LIMIT if limit is None else limit):
         return left.join(F.broadcast(side), on, how)
-    if left.isStreaming:
-        cut_left = left.withColumn("_piece", F.pmod(F.xxhash64(spread_by), F.lit(STREAM_PIECES)).cast("int"))
-        cut_side = side.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(STREAM_PIECES - 1))))
-        return cut_left.join(cut_side, [*on, "_piece"], how).drop("_piece")
-    return _cut_join(left, side, on, how, spread_by, ROWS_PER_PIECE)
+    hot = None if left.isStreaming else hot_keys(left, on, ROWS_PER_PIECE)
+    return left.join(side, on, how) if hot is None else _piece_join(left, side, on, how, spread_by, hot, ROWS_PER_PIECE)
+
+
+def hot_keys(df: DataFrame, on: list[str], size: int) -> DataFrame | None:
+    """(on, _n): keys with more than ``size`` rows, a missing key like any other; stored. None if there are none.
+
+    Rows are counted by buckets of the key's hash first, in the tasks that read them. Only keys of buckets with more than
+    ``size`` rows are counted one by one, so where no key is hot no key is shuffled.
+    """
+    keys = df.select(*on, F.pmod(F.xxhash64(*on), F.lit(KEY_BUCKETS)).cast("int").alias("_bucket"))
+    counts = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # At most KEY_BUCKETS numbers.
+    full = [r["_bucket"] for r in counts.filter(F.col("_n") > size).collect()]
+    if not full:
+        return None
+    full = F.broadcast(df.sparkSession.createDataFrame([(b,) for b in full], "_bucket int"))
+    counted = keys.join(full, "_bucket").groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = materialize(counted.filter(F.col("_n") > size))
+    return None if hot.isEmpty() else hot
 
 
 def skew_join(
@@ -126,32 +164,94 @@ def skew_join(
     spread_by: str,
     rows_per_piece: int | None = None,
 ) -> DataFrame:
-    """Join a narrow frame, in which a key may repeat without limit, with a large one that holds it once.
+    """Join a frame, in which a key may repeat without limit, with a large one that holds it once.
 
-    Keys with more than ``rows_per_piece`` rows (by default ``ROWS_PER_PIECE``) are cut into pieces by a hash of
-    ``spread_by``, and only their rows on the right are repeated, once per piece; so are rows without a key. All other keys
-    join as they are. A stream goes by ``lookup_join``, with ``right`` as a stored table.
+    If some keys have more than ``rows_per_piece`` rows (by default ``ROWS_PER_PIECE``), ``left`` is stored and parted: the hot
+    keys' rows of ``right``, at most one per so many rows of ``left``, are broadcast to theirs, if their measured size allows;
+    else the hot keys are cut into pieces by a hash of ``spread_by``. All other rows join as they are, so a bucketed
+    ``right`` is never shuffled. A missing key counts as one too. ``how``: left, inner or left_semi.
     """
     if left.isStreaming:
         return lookup_join(left, right, on, how, spread_by=spread_by, stored=True)
-    return _cut_join(materialize(left), right, on, how, spread_by, rows_per_piece or ROWS_PER_PIECE)
+    size = rows_per_piece or ROWS_PER_PIECE
+    hot = hot_keys(left, on, size)
+    if hot is None:
+        return left.join(right, on, how)
+    left = materialize(left)
+    keys, same = _named(hot, on)
+    few = materialize(right.join(F.broadcast(keys), same, "left_semi"))
+    if measured_bytes(few) > BROADCAST_LIMIT:
+        return _piece_join(left, right, on, how, spread_by, hot, size)
+    cold = left.join(F.broadcast(keys), same, "left_anti").join(right, on, how)
+    return cold.unionByName(left.join(F.broadcast(keys), same, "left_semi").join(F.broadcast(few), on, how))
 
 
-def _cut_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spread_by: str, size: int) -> DataFrame:
-    hot = materialize(
-        left.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > size)
-        .select(*on, F.ceil(F.col("_n") / size).cast("int").alias("_pieces"))
-    )
-    if hot.isEmpty():
-        return left.join(right, on, how)
+def _named(keys: DataFrame, on: list[str], *more: Column | str) -> tuple[DataFrame, Column]:
+    """Keys under names of their own, and the condition that a row has one of them; a missing key matches itself."""
+    renamed = keys.select(*[F.col(c).alias(f"_hot_{c}") for c in on], *more)
+    return renamed, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in on])
+
+
+def _piece_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, spread_by: str, hot: DataFrame, size: int
+) -> DataFrame:
     # At most one row per ``size`` rows of ``left``. A missing key matches itself here, so its rows are cut as well.
-    hot = F.broadcast(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in on], "_pieces"))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in on])
+    keys, same = _named(hot, on, F.ceil(F.col("_n") / size).cast("int").alias("_pieces"))
+    keys = F.broadcast(keys)
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     names = [f"_hot_{c}" for c in on]
-    cut_left = left.join(hot, same, "left").withColumn("_piece", F.pmod(F.xxhash64(spread_by), pieces).cast("int"))
-    cut_right = right.join(hot, same, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    cut_left = left.join(keys, same, "left").withColumn("_piece", F.pmod(F.xxhash64(spread_by), pieces).cast("int"))
+    cut_right = right.join(keys, same, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
     joined = cut_left.drop("_pieces", *names).join(cut_right.drop("_pieces", *names), [*on, "_piece"], how)
     return joined.drop("_piece")
+
+
+def pair_join(left: DataFrame, right: DataFrame, on: str, right_on: str, *, pairs: int | None = None) -> DataFrame:
+    """Inner join of two frames in either of which a key may repeat without limit; missing keys match each other.
+
+    A key that forms more than ``pairs`` pairs (by default ``PAIRS_PER_CELL``) is cut on both sides: its rows on the left are
+    dealt to the rows of a grid and its rows on the right to the columns, each repeated along its line, so that a task forms the
+    pairs of a cell. Rows are dealt by their place in the stored frame, so equal rows part as well.
+    """
+    pairs = pairs or PAIRS_PER_CELL
+    side = max(1, math.isqrt(pairs))
+    keyed = left.select(F.col(on).alias("_key")), right.select(F.col(right_on).alias("_key"))
+    # More than ``pairs`` pairs need more than ``side`` rows on one side.
+    found = [hot for df in keyed if (hot := hot_keys(df, ["_key"], side)) is not None]
+    plain = F.col(on).eqNullSafe(F.col(right_on))
+    if not found:
+        return left.join(right, plain, "inner")
+    both = reduce(lambda a, b: a.unionByName(b), [h.select("_key") for h in found]).distinct()
+    names, same = _named(both, ["_key"])
+    names = F.broadcast(names)
+    rows, columns = (
+        df.join(names, same, "left_semi").groupBy("_key").agg(F.count(F.lit(1)).cast("double").alias(n))
+        for df, n in zip(keyed, ("_l", "_r"))
+    )
+    # A short side is not cut, and the other one the more.
+    high, wide = F.ceil(F.col("_l") / side), F.ceil(F.col("_r") / side)
+    cells = F.ceil(F.col("_l") * F.col("_r") / pairs)
+    grid = rows.join(columns.withColumnRenamed("_key", "_other"), F.col("_key").eqNullSafe(F.col("_other")))
+    grid = grid.filter(F.col("_l") * F.col("_r") > pairs).select(
+        F.col("_key").alias("_cut"),
+        F.when(wide == 1, cells).when(high == 1, 1).otherwise(high).cast("int").alias("_rows"),
+        F.when(high == 1, cells).when(wide == 1, 1).otherwise(wide).cast("int").alias("_columns"),
+    )
+    grid = materialize(grid)
+    if grid.isEmpty():
+        return left.join(right, plain, "inner")
+    # At most one row per ``pairs`` rows of the result.
+    grid = F.broadcast(grid)
+
+    def dealt(df: DataFrame, key: str, mine: str, other: str) -> DataFrame:
+        placed = materialize(df.withColumn("_place", F.monotonically_increasing_id()))
+        placed = placed.join(grid, F.col(key).eqNullSafe(F.col("_cut")), "left")
+        own = F.pmod(F.xxhash64("_place"), F.coalesce(F.col(mine), F.lit(1))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
+        placed = placed.withColumn(f"_own{mine}", own).withColumn(f"_all{other}", every)
+        return placed.drop("_place", "_cut", "_rows", "_columns")
+
+    cut_left = dealt(left, on, "_rows", "_columns")
+    cut_right = dealt(right, right_on, "_columns", "_rows")
+    meet = plain & (F.col("_own_rows") == F.col("_all_rows")) & (F.col("_all_columns") == F.col("_own_columns"))
+    return cut_left.join(cut_right, meet, "inner").drop("_own_rows", "_all_rows", "_own_columns", "_all_columns")

@@ -30,14 +30,17 @@ def ensemble_weighted(
     return joined.select("row_id", binarize_score(blended).alias("rule_violation"))
 
 
+def overridden(
+    reply: Column | str = "reply", label: Column | str = "rule_violation", *, positive_token: str = POSITIVE_TOKEN
+) -> Column:
+    """1 where the reply is the positive token, else the label."""
+    label = F.col(label) if isinstance(label, str) else label
+    return F.when(reply_to_label(reply, positive_token=positive_token), 1).otherwise(label).cast("int")
+
+
 def ensemble_override(
     replies: DataFrame, predictions: DataFrame, *, positive_token: str = POSITIVE_TOKEN
 ) -> DataFrame:
     """(row_id, rule_violation): 1 where the reply is the positive token, else the given prediction."""
-    return align_predictions(replies.select("row_id", "reply"), predictions.select("row_id", "rule_violation")).select(
-        "row_id",
-        F.when(reply_to_label("reply", positive_token=positive_token), 1)
-        .otherwise(F.col("rule_violation"))
-        .cast("int")
-        .alias("rule_violation"),
-    )
+    aligned = align_predictions(replies.select("row_id", "reply"), predictions.select("row_id", "rule_violation"))
+    return aligned.select("row_id", overridden(positive_token=positive_token).alias("rule_violation"))

@@ -17,8 +17,8 @@ from ruleweave.operators.centroids import (
     predict_side,
     rule_centroids,
 )
-from ruleweave.operators.stages import materialize
-from ruleweave.plans.ensemble import ensemble_override
+from ruleweave.operators.stages import store_bucketed
+from ruleweave.plans.ensemble import overridden
 from ruleweave.plans.models import embed_texts
 
 
@@ -38,10 +38,11 @@ def centroid_classify(
     """(row_id, rule_violation): one label per comment by the nearer centroid of its rule.
 
     ``vectors`` is (text_key, embedding), one row per text. It is used twice, for the centroids and for the comments,
-    so it is computed once and stored; pass ``stored=True`` if it is a table already.
+    so it is computed once and stored in buckets of the key, and neither use shuffles it. Pass ``stored=True`` if it is
+    such a table already (``store_bucketed``).
     """
     if not stored:
-        vectors = materialize(vectors)
+        vectors = store_bucketed(vectors, "text_key")
     centroids = rule_centroids(comments, vectors, dim=dim)
     return score_comments(comments, vectors, centroids, metric=metric).select("row_id", "rule_violation")
 
@@ -81,5 +82,5 @@ def full_inference(
         labels = centroid_classify_builtin(comments, dim=dim, metric=metric)
     else:
         labels = centroid_classify(comments, vectors, dim=dim, metric=metric)
-    every = labels.select("row_id").join(replies.select("row_id", "reply"), "row_id", "left")
-    return ensemble_override(every, labels, positive_token=positive_token)
+    joined = labels.join(replies.select("row_id", "reply"), "row_id", "left")
+    return joined.select("row_id", overridden(positive_token=positive_token).alias("rule_violation"))

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+import math
 import sys
 import types
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ruleweave.defaults import EMBED_BATCH_SIZE, NEGATIVE_TOKEN, POSITIVE_TOKEN, TRIPLET_MARGIN
 from ruleweave.functions.text import digest
-from ruleweave.functions.vectors import WORD_PATTERN, cosine_similarity, euclidean_distance, hashed_embedding
-from ruleweave.operators.stages import materialize, skew_join
+from ruleweave.functions.vectors import (
+    WORD_PATTERN,
+    cosine_similarity,
+    euclidean_distance,
+    hashed_embedding,
+    let,
+    word_bucket,
+)
+from ruleweave.operators.stages import materialize, skew_join, store_bucketed
 
 Scorer = Callable[[Sequence[str]], Sequence]
+# Models that a worker holds at a time.
+SCORERS_PER_WORKER = 1
 
 
 def score_texts(
@@ -31,11 +38,13 @@ def score_texts(
     *,
     text_col: str = "text",
     batch_size: int = EMBED_BATCH_SIZE,
+    kept: int = SCORERS_PER_WORKER,
 ) -> DataFrame:
     """(text_key, value) per distinct text, scored in batches.
 
     ``load_scorer`` runs once per worker, which lives through many tasks, and returns a function from a list of texts to a
-    list of values. It is called with at most ``batch_size`` texts at a time.
+    list of values. It is called with ``batch_size`` texts at a time, and with fewer only at the end of a task. A worker
+    holds ``kept`` scorers at most: before it loads another it drops the one loaded first.
     """
     kind = value_type if isinstance(value_type, str) else value_type.simpleString()
     name = uuid.uuid4().hex
@@ -43,14 +52,30 @@ def score_texts(
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The table of modules outlives a task in every worker, whether or not it can import this package.
         loaded = sys.modules.setdefault("_ruleweave_scorers", types.ModuleType("_ruleweave_scorers")).__dict__
-        if name not in loaded:
-            loaded[name] = load_scorer()
-        scorer = loaded[name]
+        held = loaded.setdefault("scorers", {})
+        if name not in held:
+            # Room for the new one first, so that a worker never holds more than it may.
+            while len(held) >= max(1, kept):
+                del held[next(iter(held))]
+            held[name] = load_scorer()
+        scorer = held[name]
+        keys, texts = [], []
+
+        def scored(n: int) -> pd.DataFrame:
+            values = []
+            for start in range(0, n, batch_size):
+                values.extend(scorer(texts[start : min(start + batch_size, n)]))
+            out = pd.DataFrame({"text_key": keys[:n], "value": values})
+            del keys[:n], texts[:n]
+            return out
+
         for frame in frames:
-            texts, values = frame["text"].tolist(), []
-            for start in range(0, len(texts), batch_size):
-                values.extend(scorer(texts[start : start + batch_size]))
-            yield pd.DataFrame({"text_key": frame["text_key"], "value": values})
+            keys += frame["text_key"].tolist()
+            texts += frame["text"].tolist()
+            if full := len(texts) // batch_size * batch_size:
+                yield scored(full)
+        if texts:
+            yield scored(len(texts))
 
     distinct = texts.select(F.col(text_col).alias("text")).filter(F.col("text").isNotNull()).distinct()
     keyed = distinct.select(digest("text").alias("text_key"), "text")
@@ -68,9 +93,13 @@ def score_batches(
 ) -> DataFrame:
     """Add a scorer's value to each row. Every distinct text is scored once; a missing text has no value."""
     values = score_texts(df, load_scorer, value_type, text_col=text_col, batch_size=batch_size)
-    keyed = df.withColumn("text_key", digest(text_col))
+    kind = values.schema["value"].dataType
+    # Missing texts would all meet in one task of the join.
+    missing = df.filter(F.col(text_col).isNull()).withColumn(value_col, F.lit(None).cast(kind))
+    keyed = df.filter(F.col(text_col).isNotNull()).withColumn("text_key", digest(text_col))
     # Both inputs are shuffled for this join alone, so the adaptive planner can split a text with very many copies.
-    return keyed.join(values.withColumnRenamed("value", value_col), "text_key", "left").drop("text_key")
+    joined = keyed.join(values.withColumnRenamed("value", value_col), "text_key", "left").drop("text_key")
+    return joined.unionByName(missing)
 
 
 def embed_texts(
@@ -83,49 +112,120 @@ def embed_texts(
     )
 
 
+def word_buckets(text: Column | str, num_features: int) -> Column:
+    """The distinct hash buckets of a text's words, in the hash of the built-in embedder."""
+    text = F.col(text) if isinstance(text, str) else text
+    words = F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
+    return F.array_distinct(F.transform(words, lambda w: word_bucket(w, num_features)))
+
+
+@dataclass
+class TextClassifier:
+    """A linear model of words. ``coefficients`` is a stored table (bucket, idf, weight) with one row per hash bucket.
+
+    A text has for each of its buckets the idf, brought to unit length over the text; their sum by weight is its raw score, and
+    ``slope`` and ``intercept`` turn it into the log odds of label 1.
+    """
+
+    coefficients: DataFrame
+    num_features: int
+    slope: float
+    intercept: float
+    text_col: str
+
+
+# One row, which the join below gives to every row; as many numbers as the model has buckets.
+_MODEL_KEY = 0
+
+
+def _table_as_row(table: DataFrame, *columns: str) -> DataFrame:
+    """Columns of a (bucket, ...) table that holds every bucket, as arrays in one row."""
+    listed = table.agg(F.sort_array(F.collect_list(F.struct("bucket", *columns))).alias("_t"))
+    return listed.select(F.lit(_MODEL_KEY).alias("_model"), *[F.col(f"_t.{c}").alias(f"_{c}s") for c in columns])
+
+
+def _with_model(df: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumn("_model", F.lit(_MODEL_KEY)).join(F.broadcast(_table_as_row(table, *columns)), "_model").drop("_model")
+
+
+def _unit(buckets: Column, idfs: Column) -> Column:
+    """(bucket, value) of a text's buckets; values have unit length, or are zero where all idfs are."""
+    raw = F.transform(buckets, lambda b: F.get(idfs, b))
+    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda acc, x: acc + x * x))
+    scaled = let(norm, lambda n: F.transform(raw, lambda x: F.coalesce(F.try_divide(x, n), F.lit(0.0))))
+    return F.arrays_zip(buckets.alias("bucket"), scaled.alias("value"))
+
+
+def _weighted(unit: Column, weights: Column) -> Column:
+    return F.aggregate(unit, F.lit(0.0), lambda acc, x: acc + x["value"] * F.get(weights, x["bucket"]))
+
+
 def fit_text_classifier(
     labelled: DataFrame,
     *,
     text_col: str = "prompt",
     label_col: str = "rule_violation",
     num_features: int = 1 << 16,
-    max_iter: int = 20,
-    reg: float = 0.01,
-) -> PipelineModel:
-    """Learn a 0/1 label from text.
+    reg: float = 1e-5,
+) -> TextClassifier:
+    """Learn a 0/1 label from the words of a text: a diagonal linear discriminant, in three aggregates over all rows.
 
-    The texts are read and tokenised once; term weights and coefficients are then fitted on the stored word counts. Rows
-    without a text or a label are left out.
+    The texts are read and hashed once. A bucket's weight is the difference of its means under both labels over its mean
+    square plus ``reg``; slope and intercept follow from the means and the variance of the raw scores, and the shares of the
+    labels. Rows without a text or a label are left out. With rows of one label only, every score is that label; with none
+    there is no score.
     """
-    words = RegexTokenizer(inputCol=text_col, outputCol="_words", gaps=False, pattern=WORD_PATTERN)
-    hashing = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=num_features)
-    label = F.col(label_col).cast("double").alias(label_col)
-    counted = materialize(
-        hashing.transform(words.transform(labelled.select(text_col, label).dropna())).select(label_col, "_counts")
-    )
-    weights = IDF(inputCol="_counts", outputCol="_features").fit(counted)
-    regression = LogisticRegression(
-        featuresCol="_features", labelCol=label_col, maxIter=max_iter, regParam=reg
-    ).fit(weights.transform(counted))
-    return PipelineModel([words, hashing, weights, regression])
+    label = F.col(label_col).cast("int").alias("label")
+    rows = labelled.select(label, F.col(text_col).alias("_text")).filter("_text is not null and label in (0, 1)")
+    rows = materialize(rows.select("label", word_buckets("_text", num_features).alias("buckets")))
+    ones, zeros = (F.count(F.when(F.col("label") == k, 1)) for k in (1, 0))
+    n1, n0 = rows.agg(ones, zeros).first()
+    found = rows.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
+    every = labelled.sparkSession.range(num_features).select(F.col("id").cast("int").alias("bucket"))
+    idf = F.log(F.lit(n1 + n0 + 1.0) / (F.coalesce(F.col("_n"), F.lit(0)) + 1))
+    table = materialize(every.join(found, "bucket", "left").select("bucket", idf.alias("idf")))
+    if not n1 or not n0:
+        odds = float("nan") if n1 == n0 else float("inf") if n1 else float("-inf")
+        nothing = table.withColumn("weight", F.lit(0.0))
+        return TextClassifier(nothing, num_features, 0.0, odds, text_col)
+
+    unit = _with_model(rows, table, "idf").select("label", _unit(F.col("buckets"), F.col("_idfs")).alias("unit"))
+    values = unit.select("label", F.explode("unit").alias("u")).select("label", "u.bucket", "u.value")
+
+    def total(k: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("label") == k, F.col("value"))), F.lit(0.0))
+
+    square = F.sum(F.col("value") * F.col("value")) / (n1 + n0) + F.lit(float(reg))
+    weights = values.groupBy("bucket").agg(((total(1) / n1 - total(0) / n0) / square).alias("weight"))
+    table = materialize(table.join(weights, "bucket", "left").fillna(0.0, ["weight"]))
+    raw = _with_model(rows, table, "idf", "weight")
+    raw = raw.select("label", _weighted(_unit(F.col("buckets"), F.col("_idfs")), F.col("_weights")).alias("raw"))
+    means = {r["label"]: r for r in raw.groupBy("label").agg(F.avg("raw").alias("m"), F.var_pop("raw").alias("v")).collect()}
+    m1, m0 = means[1]["m"], means[0]["m"]
+    spread = max((n1 * means[1]["v"] + n0 * means[0]["v"]) / (n1 + n0), 1e-12)
+    slope = (m1 - m0) / spread
+    return TextClassifier(table, num_features, slope, math.log(n1 / n0) - slope * (m1 + m0) / 2, text_col)
 
 
 def score_text_classifier(
-    model: PipelineModel,
+    model: TextClassifier,
     df: DataFrame,
     *,
     positive_token: str = POSITIVE_TOKEN,
     negative_token: str = NEGATIVE_TOKEN,
 ) -> DataFrame:
-    """Add ``score`` (probability of label 1) and ``reply`` (the answer token); a missing text has neither."""
-    text_col = model.stages[0].getInputCol()
-    # The tokenizer takes no missing text, so it reads a filled copy.
-    filled = df.withColumns({"_missing": F.col(text_col).isNull(), "_original": F.col(text_col)})
-    filled = filled.withColumn(text_col, F.coalesce(text_col, F.lit("")))
-    score = F.when(~F.col("_missing"), vector_to_array("probability")[1])
-    scored = model.transform(filled).withColumn("score", score).withColumn(text_col, F.col("_original"))
+    """Add ``score`` (probability of label 1) and ``reply`` (the answer token); a missing text has neither.
+
+    Each row is scored where it lies, against one broadcast row that is as large as the model has buckets.
+    """
+    carried = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(model.text_col).alias("_text"))
+    joined = _with_model(carried, model.coefficients, "idf", "weight")
+    unit = _unit(word_buckets("_text", model.num_features), F.col("_idfs"))
+    odds = _weighted(unit, F.col("_weights")) * F.lit(model.slope) + F.lit(model.intercept)
+    known = F.col("_text").isNotNull() & ~F.isnan(F.lit(model.intercept))
+    scored = joined.select("_row", F.when(known, 1 / (1 + F.exp(-odds))).alias("score"))
     reply = F.when(F.col("score") > 0.5, positive_token).when(F.col("score").isNotNull(), negative_token)
-    return scored.select(*df.columns, "score", reply.alias("reply"))
+    return scored.select(*[F.col("_row").getField(c).alias(c) for c in df.columns], "score", reply.alias("reply"))
 
 
 def cosine_distance(a: Column | str, b: Column | str) -> Column:
@@ -139,9 +239,13 @@ def triplet_margin_loss(
     id_cols: list[str],
     metrics: tuple[str, ...] = ("cosine",),
     margin: float = TRIPLET_MARGIN,
+    stored: bool = False,
 ) -> DataFrame:
     """(metric, n_triplets, mean_loss), one row per metric: the number of triplets whose texts all have vectors, and their
-    mean ``max(0, d(a,p) - d(a,n) + margin)``. The vectors are joined once for all metrics."""
+    mean ``max(0, d(a,p) - d(a,n) + margin)``. The vectors are joined once for all metrics. Pass ``stored=True`` if they are
+    a table in buckets of the key already (``store_bucketed``); it is not shuffled."""
+    if not stored:
+        vectors = store_bucketed(vectors, "text_key")
     distances = {"cosine": cosine_distance, "euclidean": euclidean_distance}
     roles = ("anchor", "positive", "negative")
     # Long form: the vectors are joined once for the three texts of a triplet.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,15 @@ from ruleweave.defaults import EXAMPLE_COLUMNS, NEGATIVE_TOKEN, POSITIVE_TOKEN,
 from ruleweave.functions.text import build_prompt, clean_urls, digest, label_to_token, pick_example
 from ruleweave.operators.indexing import build_pool_index, pick_partners
 from ruleweave.operators.sampling import head_n, sample_fraction, sample_n, stratified_sample
-from ruleweave.operators.sets import union_with_missing
-from ruleweave.operators.stages import skew_join
+from ruleweave.operators.sets import distinct_texts, union_with_missing
+from ruleweave.operators.stages import materialize, skew_join
+
+Watch = Callable[[str, DataFrame], DataFrame]
+
+
+def unwatched(stage: str, df: DataFrame) -> DataFrame:
+    return df
+
 
 PSEUDO_COLUMNS = ["rule", "subreddit", "body", "positive_example", "negative_example", "rule_violation"]
 
@@ -40,11 +49,20 @@ def unpivot_examples(comments: DataFrame, *, id_col: str = "row_id", seed: int =
 
 
 def pseudo_training_set(
-    comments: DataFrame, *, frac: float = PSEUDO_FRACTION, id_col: str = "row_id", seed: int = SEED
+    comments: DataFrame,
+    *,
+    frac: float = PSEUDO_FRACTION,
+    id_col: str = "row_id",
+    seed: int = SEED,
+    watch: Watch = unwatched,
 ) -> DataFrame:
-    """Labelled rows made of the worked examples of a stratified sample of the comments."""
-    sampled = stratified_sample(comments, "rule", frac, id_col=id_col, tag="pseudo", seed=seed)
-    return unpivot_examples(sampled, id_col=id_col, seed=seed).select(*PSEUDO_COLUMNS).dropDuplicates()
+    """Labelled rows made of the worked examples of a stratified sample of the comments.
+
+    ``watch`` is given the stages "sampled" and "pseudo", for instance to count their rows (``StageCounts``).
+    """
+    sampled = watch("sampled", stratified_sample(comments, "rule", frac, id_col=id_col, tag="pseudo", seed=seed))
+    rows = unpivot_examples(sampled, id_col=id_col, seed=seed).select(*PSEUDO_COLUMNS).dropDuplicates()
+    return watch("pseudo", rows)
 
 
 def with_drawn_examples(df: DataFrame, *, id_col: str = "row_id", seed: int = SEED) -> DataFrame:
@@ -65,10 +83,12 @@ def prompt_dataset(
     positive_token: str = POSITIVE_TOKEN,
     negative_token: str = NEGATIVE_TOKEN,
     seed: int = SEED,
+    watch: Watch = unwatched,
 ) -> DataFrame:
     """(prompt, completion) from the train rows and, if ``comments`` is given, its pseudo-labelled rows.
 
     ``sample_size`` keeps the first rows: train rows by id, then pseudo rows, which have none, in a random order.
+    ``watch`` is given the stages of ``pseudo_training_set``, "train" and "total"; not with ``sample_size``.
     """
     completion = label_to_token("rule_violation", positive_token=positive_token, negative_token=negative_token)
 
@@ -79,9 +99,11 @@ def prompt_dataset(
 
     if comments is None:
         return head_n(prompts(train), sample_size).select("prompt", "completion")
-    pseudo = pseudo_training_set(comments, frac=frac, seed=seed)
     if not sample_size:
-        return prompts(union_with_missing(train, pseudo)).select("prompt", "completion")
+        pseudo = pseudo_training_set(comments, frac=frac, seed=seed, watch=watch)
+        rows = watch("total", union_with_missing(watch("train", train), pseudo))
+        return prompts(rows).select("prompt", "completion")
+    pseudo = pseudo_training_set(comments, frac=frac, seed=seed)
     first = head_n(prompts(train), sample_size).select("prompt", "completion")
     left = sample_size - train.count()
     if left <= 0:
@@ -141,3 +163,19 @@ def triplet_rows(
 def triplet_dataset(anchors: DataFrame, train: DataFrame, **options) -> DataFrame:
     """(anchor, positive, negative); see :func:`triplet_rows` for the options. Duplicates are kept."""
     return triplet_rows(anchors, train, **options).select("anchor", "positive", "negative")
+
+
+def training_tables(comments: DataFrame, watch: Watch = unwatched, **options) -> dict[str, DataFrame]:
+    """``prompts``, ``triplets`` and ``texts`` made of one table of labelled and unlabelled comments, each stored.
+
+    The comments are stored first, so their source is read once. ``watch`` is given each stage on the way: loaded, train, sampled,
+    pseudo, total, triplets and distinct_texts. Options go to ``triplet_rows``.
+    """
+    comments = materialize(watch("loaded", comments))
+    labelled = F.col("rule_violation").isNotNull()
+    train, test = comments.filter(labelled), comments.filter(~labelled).drop("rule_violation")
+    return {
+        "prompts": materialize(prompt_dataset(train, test, watch=watch)),
+        "triplets": materialize(watch("triplets", triplet_rows(test, train, **options))),
+        "texts": materialize(watch("distinct_texts", distinct_texts(comments, ["body"]))),
+    }

@@ -30,3 +30,15 @@ def small_pieces(monkeypatch):
     from ruleweave.operators import stages
 
     monkeypatch.setattr(stages, "ROWS_PER_PIECE", 1)
+
+
+@pytest.fixture
+def fixed_plans(spark):
+    """Plans without broadcasts and without changes while they run."""
+    wanted = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)

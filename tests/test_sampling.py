@@ -131,3 +131,33 @@ def test_samplers_join_without_nested_loops(spark):
     for sample in (sa.sample_n(df, 50), sa.sample_fraction(df, 0.1), sa.stratified_sample(df), sa.head_n(df, 50)):
         plan = sample._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 9, 10, 62, 101, 1000, 4001])
+def test_permuted_is_a_bijection(spark, n):
+    from ruleweave.functions.draws import permuted
+
+    places = spark.range(n).select(*[permuted(F.col("id"), F.lit(n), "t", F.lit(e)).alias(f"e{e}") for e in range(3)]).collect()
+    for e in range(3):
+        assert sorted(r[e] for r in places) == list(range(n))
+    if n > 50:
+        orders = {tuple(r[e] for r in places) for e in range(3)}
+        assert len(orders) == 3 and sum(r[0] == i for i, r in enumerate(places)) < n // 4
+
+
+def test_epochs_are_permutations(spark):
+    from ruleweave.operators.sampling import shuffle_batches
+
+    df = spark.range(103).selectExpr("id", "1 as _draw", "2 as _ix", "3 as _bucket", "4 as _epoch")
+    out = shuffle_batches(df, id_cols=["id"], batch_size=10, epochs=4)
+    assert out.columns == [*df.columns, "epoch", "batch_id", "batch_pos"]
+    orders = {}
+    for r in out.collect():
+        assert (r["_draw"], r["_ix"], r["_bucket"], r["_epoch"]) == (1, 2, 3, 4)
+        orders.setdefault(r["epoch"], {})[r["batch_id"] * 10 + r["batch_pos"]] = r["id"]
+    assert sorted(orders) == [0, 1, 2, 3]
+    for places in orders.values():
+        assert sorted(places) == list(range(103)) == sorted(places.values())
+    assert len({tuple(p[i] for i in range(103)) for p in orders.values()}) == 4
+    plain = {r["batch_id"] * 10 + r["batch_pos"]: r["id"] for r in shuffle_batches(df, id_cols=["id"], batch_size=10).collect()}
+    assert plain == orders[0], "the first epoch has the order without epochs"

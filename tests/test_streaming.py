@@ -1,3 +1,5 @@
+import pytest
+
 from helpers import comments, rows_of
 from test_inference import VECTORS, sample, vectors
 
@@ -22,7 +24,11 @@ def test_cleaning_on_a_stream(spark, tmp_path):
     assert rows_of(got) == sorted(((i, f"at <url>: (a.org/{i}/x)") for i in range(50)), key=repr)
 
 
-def test_scoring_a_stream(spark, tmp_path):
+@pytest.mark.parametrize("pieces", [False, True])
+def test_scoring_a_stream(spark, tmp_path, pieces, request):
+    """Also with every repeated text taken as a hot one."""
+    if pieces:
+        request.getfixturevalue("small_pieces")
     batch = sample(spark)
     batch.repartition(2).write.parquet(str(tmp_path / "in"))
     table = vectors(spark, VECTORS)
@@ -36,4 +42,4 @@ def test_scoring_a_stream(spark, tmp_path):
     )
     query.awaitTermination(120)
     got = spark.read.schema("row_id long, rule_violation int").parquet(str(tmp_path / "out"))
-    assert rows_of(got) == rows_of(centroid_classify(batch, table, dim=2))
+    assert rows_of(got, "row_id", "rule_violation") == rows_of(centroid_classify(batch, table, dim=2))
