@@ -1,13 +1,15 @@
 """Tool-call linking: calls and results joined by identifier, ordered by dependency, validated, and written as canonical JSON.
 
-Every step works on call rows; no conversation is gathered in one place, so one that holds a third of all rows is no
-different from others. A conversation whose calls depend on earlier ones only is in order as it is. The others are ordered
+Every step works on call rows; no conversation is gathered in one place. Joins on a conversation alone, or on a call that
+others depend on, cut keys with very many rows. A conversation whose calls depend on earlier ones only is in order as it is. The others are ordered
 level by level: a call gets its level when all it depends on have one.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -15,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ruleweave.operators.stages import discard, materialize
+from ruleweave.operators.stages import discard, materialize, skew_join
 
 _TYPES = {
     "string": str,
@@ -59,15 +61,18 @@ def _fits(value, kind: str) -> bool:
 
 
 def violations(value, schema: dict, at: str = "$") -> list[str]:
-    """Where a value breaks a JSON schema of type, enum, required, properties, additionalProperties, items and minimum."""
+    """Where a value breaks a JSON schema of type, enum, required, properties, additionalProperties, items and minimum.
+
+    Values come from ``parse``: 1.0 and 1e0 are the integer 1, and true is no number.
+    """
     if "type" in schema:
         kinds = _kinds(schema)
         if not any(_fits(value, kind) for kind in kinds):
             return [f"{at}: not {' or '.join(kinds)}"]
     found = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in {canonical(parse(json.dumps(item))) for item in schema["enum"]}:
         found.append(f"{at}: not in enum")
-    if "minimum" in schema and isinstance(value, (int, float)) and value < schema["minimum"]:
+    if "minimum" in schema and _fits(value, "number") and value < schema["minimum"]:
         found.append(f"{at}: below minimum")
     if isinstance(value, dict):
         known = schema.get("properties", {})
@@ -85,9 +90,37 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
     return found
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def _writable(text: str) -> str:
+    """Halves of surrogate pairs, which no UTF-8 text can hold, as JSON escapes."""
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value) -> str:
-    """JSON with sorted keys, no spaces, and characters as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """JSON with sorted keys, no spaces, and characters as they are, but for lone surrogates, which are escaped."""
+    return _writable(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
+def _number(text: str) -> int | float:
+    """A number with a fraction or an exponent: equal numbers get one form. What exceeds a double is refused."""
+    value = float(text)
+    if math.isinf(value):
+        raise ValueError("number out of range")
+    return int(value) if value.is_integer() and abs(value) < 1 << 53 else value
+
+
+def _whole(text: str) -> int:
+    """An integer of any length as written, -0 as 0; thousands of digits are refused."""
+    if len(text) > 1_000:
+        raise ValueError("number out of range")
+    return int(text)
+
+
+def parse(text: str):
+    """The value of a JSON text. ValueError for NaN, infinities and numbers out of range, RecursionError for deep nesting."""
+    return json.loads(text, parse_constant=_no_constant, parse_float=_number, parse_int=_whole)
 
 
 def _no_constant(name: str):
@@ -100,14 +133,15 @@ def _serialise(batches: Iterator[pa.RecordBatch], schemas: dict) -> Iterator[pa.
         columns = {name: batch.column(name).to_pylist() for name in ("call_id", "name", "arguments", "result")}
         for call_id, name, arguments, result in zip(*columns.values()):
             call = {"id": call_id, "name": name, "result": result}
+            text = canonical(call)
             try:
-                value = json.loads(arguments or "", parse_constant=_no_constant)
+                value = parse(arguments or "")
                 broken = violations(value, schemas[name]) if name in schemas else ["$: unknown tool"]
-                call["arguments"] = value
-                text = canonical(call)
+                text = canonical(call | {"arguments": value})
             except (ValueError, RecursionError):
-                broken, text = ["$: not JSON"], canonical(call)
-            errors.append(";".join(broken))
+                # The call is written without its arguments.
+                broken = ["$: not JSON"]
+            errors.append(_writable(";".join(broken)))
             texts.append(text)
         kept = [n for n in batch.schema.names if n not in ("name", "arguments", "result")]
         yield pa.RecordBatch.from_arrays(
@@ -124,18 +158,20 @@ def dependency_levels(calls: DataFrame, depends: DataFrame) -> DataFrame:
     as many as the longest chain among conversations that are out of order.
     """
     places = calls.select("conv", F.col("call_id").alias("on"), F.col("position").alias("_at"))
+    placed = depends.join(calls.select("conv", "call_id", "position"), ["conv", "call_id"])
     edges = materialize(
-        depends.join(calls.select("conv", "call_id", "position"), ["conv", "call_id"])
-        .join(places, ["conv", "on"])
+        skew_join(placed, places, ["conv", "on"], "inner", spread_by="call_id")
         .select("conv", "call_id", "on", (F.col("_at") >= F.col("position")).alias("_late"))
         .distinct()
     )
     tangled = edges.filter("_late").select("conv").distinct()
-    todo = materialize(calls.join(tangled, "conv", "left_semi").select("conv", "call_id"))
-    edges_todo = edges.join(tangled, "conv", "left_semi").select("conv", "call_id", "on")
+    tangled = materialize(tangled)
+    todo = materialize(skew_join(calls, tangled, ["conv"], "left_semi", spread_by="call_id").select("conv", "call_id"))
+    edges_todo = skew_join(edges, tangled, ["conv"], "left_semi", spread_by="call_id").select("conv", "call_id", "on")
     level, done = 0, []
     while not todo.isEmpty():
-        waiting = edges_todo.join(todo.select("conv", F.col("call_id").alias("on")), ["conv", "on"], "left_semi")
+        open_calls = todo.select("conv", F.col("call_id").alias("on"))
+        waiting = skew_join(edges_todo, open_calls, ["conv", "on"], "left_semi", spread_by="call_id")
         blocked = waiting.select("conv", "call_id").distinct()
         free = materialize(todo.join(blocked, ["conv", "call_id"], "left_anti").withColumn("level", F.lit(level)))
         if free.isEmpty():
@@ -145,7 +181,8 @@ def dependency_levels(calls: DataFrame, depends: DataFrame) -> DataFrame:
         left = materialize(todo.join(free.select("conv", "call_id"), ["conv", "call_id"], "left_anti"))
         discard(todo)
         todo, level = left, level + 1
-    plain = calls.join(tangled, "conv", "left_anti").select("conv", "call_id", F.lit(0).alias("level"))
+    plain = skew_join(calls, tangled, ["conv"], "left_anti", spread_by="call_id")
+    plain = plain.select("conv", "call_id", F.lit(0).alias("level"))
     for levels in done:
         plain = plain.unionByName(levels)
     return plain
@@ -159,7 +196,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     results the least text counts. Calls without conversation or identifier are kept, never linked and have status
     "unlinked". With ``orphans``, so have results without them, and a result whose call is absent is a row with status "no_call"
     and no copies (of several under one identifier the least text counts); else such results are dropped. Schemas with keywords that are not checked are refused. The first status that applies: "cycle", "invalid" (not JSON, unknown tool or
-    schema broken, listed in ``errors``), "no_result", "ambiguous" (several results), "ok". Extra columns are ignored.
+    schema broken, listed in ``errors``; ``json`` then lacks what is not JSON), "no_result", "ambiguous" (several results), "ok". Extra columns are ignored.
     """
     for schema in schemas.values():
         check_schema(schema)

@@ -131,3 +131,56 @@ def test_order_is_topological(spark):
 def test_empty_tables(spark):
     assert linked(spark, [], []) == {}
     assert linked(spark, [], [(1, "a", "r")]) == {}
+
+
+@pytest.mark.parametrize(
+    "arguments, status, text",
+    [
+        ('{"a":"\\ud800"}', "ok", '"arguments":{"a":"\\ud800"}'),
+        ('{"\\udfff":1}', "ok", '"arguments":{"\\udfff":1}'),
+        ('{"a":"\\ud83d\\ude00"}', "ok", '"arguments":{"a":"\U0001f600"}'),
+        ('{"a":1e999}', "invalid", None),
+        ('{"a":NaN}', "invalid", None),
+        ('{"a":' + "9" * 2_000 + "}", "invalid", None),
+        ("[" * 100_000, "invalid", None),
+        ('{"a":1e2,"b":100.0,"c":100,"d":-0.0,"e":1.50}', "ok", '"arguments":{"a":100,"b":100,"c":100,"d":0,"e":1.5}'),
+        ('{"mood":"\\ud800"}', "invalid", '"arguments":{"mood":"\\ud800"}'),
+        (None, "invalid", None),
+    ],
+)
+def test_odd_arguments_end_no_job(spark, arguments, status, text):
+    calls = spark.createDataFrame([(1, "a", 0, "say", arguments, [], 0), (1, "b", 1, "say", "{}", [], 0)], CALLS)
+    results = spark.createDataFrame([(1, "a", "done", ""), (1, "b", "done", "")], RESULTS)
+    rows = {r.call_id: r for r in tool_calls.link_tool_calls(calls, results, SCHEMAS).collect()}
+    assert rows["b"].status == "ok" and rows["a"].status == status
+    assert text in rows["a"].json if text else "arguments" not in rows["a"].json
+    json.loads(rows["a"].json)
+
+
+def test_numbers_and_truth_values():
+    assert tool_calls.violations(tool_calls.parse("1.0"), {"type": "integer"}) == []
+    assert tool_calls.violations(tool_calls.parse("1.5"), {"type": "integer"}) == ["$: not integer"]
+    assert tool_calls.violations(True, {"enum": [1]}) == ["$: not in enum"]
+    assert tool_calls.violations(tool_calls.parse("1e0"), {"enum": [1.0]}) == []
+    assert tool_calls.violations(False, {"minimum": 1}) == []
+
+
+def test_columns_with_clashing_names(spark):
+    calls = spark.createDataFrame([(1, "a", 0, "say", "{}", ["a0"], 0), (1, "a0", 1, "say", "{}", [], 0)], CALLS)
+    calls = calls.selectExpr("*", "1 as level", "2 as status", "3 as copies", "4 as _results", "5 as result", "6 as json")
+    results = spark.createDataFrame([(1, "a", "done", "")], RESULTS).selectExpr("*", "1 as copies", "2 as name")
+    rows = {r.call_id: (r.status, r.level) for r in tool_calls.link_tool_calls(calls, results, SCHEMAS).collect()}
+    assert rows == {"a": ("ok", 1), "a0": ("no_result", 0)}
+
+
+@pytest.mark.parametrize("size", [10**6, 3])
+def test_a_hot_conversation_and_a_call_that_many_need(spark, monkeypatch, size):
+    from ruleweave.operators import stages
+
+    monkeypatch.setattr(stages, "ROWS_PER_PIECE", size)
+    rows = [(1, f"c{i}", i, "say", "{}", ["c59"] if i < 40 else [], 0) for i in range(60)]
+    rows += [(2, f"c{i}", i, "say", "{}", [f"c{i - 1}"] if i else [], 0) for i in range(20)]
+    found = tool_calls.link_tool_calls(spark.createDataFrame(rows, CALLS), spark.createDataFrame([], RESULTS), SCHEMAS).collect()
+    levels = {(r.conv, r.call_id): r.level for r in found}
+    assert len(found) == 80 and all(levels[1, f"c{i}"] == (1 if i < 40 else 0) for i in range(60))
+    assert all(levels[2, f"c{i}"] == 0 for i in range(20))
