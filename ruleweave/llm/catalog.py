@@ -45,11 +45,15 @@ def oracle_sql() -> dict[str, str]:
     return oracle.oracle_sql()
 
 
-def byte_bpe() -> dict[str, str]:
-    """Vocabulary and pre-token pattern of the byte-level tokenizer with 50,257 ids."""
+def byte_bpe() -> dict:
+    """Vocabulary, pre-token pattern and added tokens of the byte-level tokenizer with 50,257 ids."""
     import public_tokenizers
 
-    return {"ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+    return {
+        "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+        "added": packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")),
+    }
 
 
 @query

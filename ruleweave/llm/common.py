@@ -42,6 +42,17 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, build):
+    """What a worker keeps between its tasks: the state of one operator at a time, so that those of a long job do not add up."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = build()
+    return _HELD[name]
+
+
 # Bytes up to which the smaller side of ``checked_join`` is broadcast.
 BROADCAST_BYTES = 32 * 1024 * 1024
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ruleweave.llm.common import text_or_empty
+from ruleweave.llm.common import held, text_or_empty
 from ruleweave.operators.stages import discard, materialize
 
 # The end of a text, as a token. It holds white space, so no word is equal to it.
@@ -305,9 +305,6 @@ class Tables:
             self._step(1, self._rows(features[:, word], names), chosen, outcomes)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 @dataclass
 class Shared:
     """What tasks need: a broadcast (vocabulary, class weights, word weights), and a name of the vocabulary."""
@@ -316,12 +313,7 @@ class Shared:
     broadcast: object
 
     def encoder(self, m: Model) -> Encoder:
-        # Workers outlive tasks.
-        name = f"{self.name}-{m}"
-        if name not in _ENCODERS:
-            _ENCODERS.clear()
-            _ENCODERS[name] = Encoder(self.broadcast.value[0], m)
-        return _ENCODERS[name]
+        return held(f"maxent-{self.name}-{m}", lambda: Encoder(self.broadcast.value[0], m))
 
 
 def _token_batches(texts: Iterator[str], encoder: Encoder, size: int) -> Iterator[tuple]:
@@ -402,6 +394,7 @@ def train(texts: DataFrame, fold: Column, vocabulary: Vocabulary, m: Model) -> t
             at = row["block"] % m.rows
             change = np.frombuffer(row["change"], "<f4").reshape(-1, table.shape[1])
             table[at : at + len(change)] += change
+        shared.broadcast.destroy()
     return weights[0], weights[1]
 
 

@@ -11,10 +11,12 @@ over all rows; the ranks of a size are cut into hash buckets, so no task gets al
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ruleweave.llm.common import text_or_empty
+from ruleweave.llm.common import held, text_or_empty
 from ruleweave.operators.stages import materialize
 
 CAPACITY = 1024
@@ -30,7 +32,7 @@ END_ID = 2
 # Rows of one size that one task ranks.
 RANK_ROWS = 50_000
 # Chunks a worker remembers, about 250 bytes each; more are encoded again each time.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 REMEMBERED_CHARS = 48
 
 
@@ -51,11 +53,12 @@ class _ChunkIds(dict):
 class ByteBpe:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
-    The vocabulary file is that of the byte-level tokenizer, in its form as ranks. The tokenizer never joins a
-    single space to what stands before it, so texts without double spaces are encoded by chunks, each remembered.
+    The vocabulary file is that of the byte-level tokenizer, in its form as ranks; ``added`` are the (token, id) pairs that
+    the tokenizer finds in a text before all else, the longer first. It never joins a single space to what stands before
+    it, so texts without double spaces are encoded by chunks, each remembered.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()):
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
@@ -63,8 +66,20 @@ class ByteBpe:
         encoding = tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._encode = encoding.encode_ordinary
         self._chunks = _ChunkIds(self._encode)
+        self._added = {token: np.array([i], "<u4").tobytes() for token, i in added}
+        longer_first = sorted(self._added, key=len, reverse=True)
+        self._parted = re.compile(f"({'|'.join(map(re.escape, longer_first))})") if added else None
 
     def ids(self, text: str) -> bytes:
+        if self._parted is None:
+            return self._plain(text)
+        parts = self._parted.split(text)
+        if len(parts) == 1:
+            return self._plain(text)
+        # Every second part is an added token.
+        return b"".join(self._added[part] if i % 2 else self._plain(part) for i, part in enumerate(parts) if part)
+
+    def _plain(self, text: str) -> bytes:
         if "  " in text:
             return np.array(self._encode(text), "<u4").tobytes()
         first, *rest = text.split(" ")
@@ -72,13 +87,17 @@ class ByteBpe:
         return start + b"".join(map(self._chunks.__getitem__, rest))
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(ranks_path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(ranks_path, pattern)
+def added_tokens(json_path: str) -> tuple[tuple[str, int], ...]:
+    """The (token, id) pairs that a tokenizer file adds to its vocabulary. Ones that take spaces or words with them are refused."""
+    with open(json_path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    if odd := [a["content"] for a in added if a.get("lstrip") or a.get("rstrip") or a.get("single_word")]:
+        raise ValueError(f"added tokens not supported: {odd}")
+    return tuple((a["content"], a["id"]) for a in added)
 
 
-def _cut(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str, capacity: int, end_id: int):
-    tokenizer = _tokenizer(ranks_path, pattern)
+def _cut(batches: Iterator[pa.RecordBatch], ranks_path: str, pattern: str, added: tuple, capacity: int, end_id: int):
+    tokenizer = held(f"packing-{ranks_path}-{pattern}-{added}", lambda: ByteBpe(ranks_path, pattern, added))
     end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
         row, piece, start, length, crc = [], [], [], [], []
@@ -109,6 +128,7 @@ def token_pieces(
     *,
     ranks_path: str,
     pattern: str,
+    added: tuple[tuple[str, int], ...] = (),
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     id_col: str = "doc_id",
@@ -127,7 +147,7 @@ def token_pieces(
             *(T.StructField(name, T.LongType()) for name in ("start", "length", "ids_crc32")),
         ]
     )
-    cut = partial(_cut, ranks_path=ranks_path, pattern=pattern, capacity=capacity, end_id=end_id)
+    cut = partial(_cut, ranks_path=ranks_path, pattern=pattern, added=added, capacity=capacity, end_id=end_id)
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(cut, schema)
 
 
@@ -228,7 +248,7 @@ def best_fit_pack(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan, _ = plan_runs(counts, capacity)
     plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))].T.copy()
-    # At most one row per size and round, whatever the number of pieces.
+    # Rows are bounded by the capacity, whatever the number of pieces: a size has one for each run of gaps that it fills.
     runs = spark.sparkContext.broadcast(plan)
 
     buckets = max(1, -(-max(counts.values(), default=1) // RANK_ROWS))

@@ -7,6 +7,8 @@ import re
 
 import numpy as np
 
+from ruleweave.llm.common import held
+
 WORDS = 5
 _SEPARATORS = bytes(range(0x09, 0x0E)) + b" "
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -57,11 +59,6 @@ def shingle_hashes(words: np.ndarray, width: int = WORDS) -> np.ndarray:
     return stir(total)
 
 
-_TABLE: list[WordHashes] = []
-
-
 def word_table() -> WordHashes:
     """Hashes that a worker keeps between tasks."""
-    if not _TABLE:
-        _TABLE.append(WordHashes())
-    return _TABLE[0]
+    return held("word hashes", WordHashes)

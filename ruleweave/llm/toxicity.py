@@ -16,7 +16,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -26,12 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ruleweave.functions.draws import draw
-from ruleweave.llm.common import text_or_empty
+from ruleweave.llm.common import held, text_or_empty
 from ruleweave.llm.shingles import stir
 from ruleweave.operators.stages import materialize
 
 # Words a worker remembers the value of.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 # Words whose n-grams are taken at once.
 _PART = 20_000
 
@@ -272,51 +271,26 @@ def fit_model(texts: DataFrame, labels: DataFrame, s: Settings = Settings()) ->
     return np.frombuffer(model["values"], "<f8"), model["intercept"]
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
-def _score(batches: Iterator[pa.RecordBatch], model, s: Settings) -> Iterator[pa.RecordBatch]:
-    # Workers outlive tasks; the last model's word values are kept.
-    if model.id not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.id] = Scorer(*model.value[1], s)
-    scorer = _SCORERS[model.id]
-    for batch in batches:
-        texts = batch.column(batch.num_columns - 1)
-        scores = np.array(
-            [x for at in range(0, len(texts), 200) for x in scorer.scores(texts.slice(at, 200).to_pylist())], np.float64
-        )
-        columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(scores), pa.array((scores >= s.threshold).astype(np.int32))],
-            [*batch.schema.names[:-1], "score", "predicted"],
-        )
-
-
-@dataclass
-class _Model:
-    """A broadcast model with an id that workers can compare."""
-
-    id: str
-    broadcast: object
-
-    @property
-    def value(self):
-        return self.broadcast.value
-
-
 def score_texts(
     docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), *, text_col: str = "text", keep: list[str]
 ) -> DataFrame:
     """The kept columns, the score (0 to 1) and predicted (1 from ``threshold`` up) of every row's whole text.
 
-    Missing texts count as empty. Kept columns named score or predicted are not allowed.
+    Missing texts count as empty. Kept columns named score or predicted are refused. Only the texts go to the Python workers.
     """
+    if clash := {"score", "predicted"} & set(keep):
+        raise ValueError(f"columns to keep clash with the result: {', '.join(sorted(clash))}")
     spark = docs.sparkSession
     crc = zlib.crc32(model[0].tobytes(), zlib.crc32(np.float64(model[1]).tobytes()))
-    shared = _Model(f"{crc}-{s}", spark.sparkContext.broadcast((0, model)))
-    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(text_col).alias("_text"))
-    schema = T.StructType(
-        [*narrow.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    )
-    return narrow.mapInArrow(partial(_score, model=shared, s=s), schema)
+    name, shared = f"toxicity-{crc}-{s}", spark.sparkContext.broadcast(model)
+
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = held(name, lambda: Scorer(*shared.value, s))
+        for texts in columns:
+            parts = (texts.slice(at, 200).to_pylist() for at in range(0, len(texts), 200))
+            yield pa.array([x for part in parts for x in scorer.scores(part)], pa.float64())
+
+    # Named nondeterministic, so that a filter on the score does not score again.
+    scorer = F.arrow_udf(score, T.DoubleType()).asNondeterministic()
+    scored = docs.select(*[F.col(f"`{c}`") for c in keep], scorer(text_or_empty(text_col)).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= s.threshold).cast("int"))

@@ -28,6 +28,19 @@ def test_chunked_ids_equal_those_of_the_tokenizer():
         assert np.frombuffer(bpe.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_added_tokens_are_found_as_the_tokenizer_finds_them():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, added = Tokenizer.from_file(path), packing.added_tokens(path)
+    assert dict(added)["<|endoftext|>"] == plain.token_to_id("<|endoftext|>")
+    parts = ["a", " word", "Wörter", " ", "  ", "\n", "<|endoftext|>", "<|endoftext|", "|>", "<", "🙂"]
+    pick, bpe = random.Random(3), packing.ByteBpe(**BPE, added=added)
+    for _ in range(400):
+        text = "".join(pick.choice(parts) for _ in range(pick.randint(0, 12)))
+        assert np.frombuffer(bpe.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def plain_best_fit(counts, capacity):
     """Sequences of one-by-one best fit, largest first."""
     gaps = [0] * (capacity + 1)
