@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ruleweave.llm import catalog, chosen_path, mixing, packing, pii, toxicity
-from ruleweave.llm.common import checked_join, text_or_empty
+from ruleweave.llm.common import checked_join, document_key, text_or_empty
 from ruleweave.operators.stages import materialize
 
 
@@ -22,7 +22,7 @@ def _restored(df: DataFrame, columns: list[str], **changed) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Rows whose text scores at or above the threshold go; texts without words stay."""
     model = catalog.toxicity_model(spark, folder)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_or_empty().alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
     scored = toxicity.score_texts(rows, model, keep=["row"])
     return _restored(scored.filter(F.col("predicted") == 0), docs.columns)
 
@@ -32,15 +32,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     classes = chosen_path.jaccard_classes(docs, count_links=False)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     kept = classes.groupBy("class_key").agg(F.min(order).alias("k"))
-    kept = materialize(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash")))
-    named = docs.withColumns({"_id": F.col("doc_id"), "_hash": F.xxhash64(text_or_empty())})
-    null_safe = kept.withColumns({"_null": F.col("_id").isNull(), "_id": F.coalesce("_id", F.lit(0))})
-    named = named.withColumns({"_null": F.col("_id").isNull(), "_id": F.coalesce("_id", F.lit(0))})
-    left = checked_join(named, null_safe, ["_id", "_hash", "_null"], "left_semi")
+    kept = materialize(kept.select(document_key("k.doc_id").alias("_doc"), F.col("k.text_hash").alias("_hash")))
+    # The row travels as a whole, so its columns may have any name.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    named = docs.select(row, document_key("doc_id").alias("_doc"), F.xxhash64(text_or_empty()).alias("_hash"))
+    left = checked_join(named, kept, ["_doc", "_hash"], "left_semi")
     if classes.groupBy("doc_id", "text_hash").count().filter("count > 1").limit(1).count():
         # Rows that repeat in full are one document.
-        left = left.dropDuplicates(["_id", "_hash", "_null"])
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+        left = left.dropDuplicates(["_doc", "_hash"])
+    return _restored(left, docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
