@@ -31,71 +31,137 @@ from ruleweave.operators.stages import discard, materialize
 @dataclass(frozen=True)
 class Paths:
     """``small``: sets in a bucket that is compared as it is. ``alike``: share of a bucket that may meet again below it
-    before it counts as one of alike sets. ``sketch``: sampled shingles per set for the lower levels."""
+    before it counts as one of alike sets. ``sketch``: sampled shingles per set, ``sketch / runs`` for the lower levels of each
+    run. ``agree``: share of places in which near sets of ``asked`` shingles at least must agree."""
 
     runs: int = 8
     picks: float = 2.0
     small: int = jaccard.SMALL
     alike: float = 0.5
     levels: int = 6
-    sketch: int = 48
+    sketch: int = 128
+    agree: float = 0.5
+    asked: int = 128
     similarity: float = jaccard.SIMILARITY
 
 
-def _seed(*parts: int) -> np.uint64:
-    value = np.uint64(0)
-    for part in parts:
-        value = stir(np.array([value + np.uint64(part + 1)], np.uint64))[0]
-    return value
+# Odd factors: multiplied shingles, themselves hashes, are independent enough draws. The last one is that of the sketch.
+_FACTORS = np.random.default_rng(8).integers(1, 1 << 62, 65, np.uint64) * np.uint64(2) + np.uint64(1)
+# Runs are told by the low bits of a path.
+_RUN_BITS = 6
 
 
 def first_paths(shingles: np.ndarray, p: Paths) -> np.ndarray:
     """The first-level path hashes of a set: each run takes each shingle with probability picks / size."""
+    limit = np.uint64(min(1.0, p.picks / len(shingles)) * float((1 << 64) - 1025))
     found = []
     for run in range(p.runs):
-        drawn = stir(shingles ^ _seed(run))
-        limit = np.uint64(min(1.0, p.picks / len(shingles)) * float((1 << 64) - 1025))
-        found.append(stir(drawn[drawn <= limit] + np.uint64(run)))
+        drawn = shingles * _FACTORS[run]
+        found.append(_named(stir(drawn[drawn <= limit]), run))
     return np.concatenate(found)
 
 
+def _named(paths: np.ndarray, run: int) -> np.ndarray:
+    return (paths << np.uint64(_RUN_BITS)) | np.uint64(run)
+
+
 def sketch_of(shingles: np.ndarray, p: Paths) -> np.ndarray:
-    """Least hashes of a set under ``sketch`` functions: a sample of shingles that alike sets mostly share."""
-    seeds = np.array([_seed(1000 + i) for i in range(p.sketch)], np.uint64)
-    least = np.full(p.sketch, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 4096):
-        least = np.minimum(least, stir(shingles[None, at : at + 4096] ^ seeds[:, None]).min(axis=1))
-    return (least >> np.uint64(32)).astype(np.uint32)
+    """Least hash in each of ``sketch`` equal ranges of hashes, 16 bits of it; an empty range takes that of the next one.
+
+    Two sets agree in a place about as often as their similarity says.
+    """
+    drawn = np.sort(shingles * _FACTORS[-1])
+    width = np.uint64((1 << 64) // p.sketch)
+    ends = np.searchsorted(drawn, np.arange(1, p.sketch, dtype=np.uint64) * width)
+    starts = np.concatenate(([0], ends))
+    full = np.flatnonzero(np.append(ends, len(drawn)) > starts)
+    places = np.arange(p.sketch)
+    after = np.searchsorted(full, places)
+    taken = full[after % len(full)]
+    away = (taken - places) % p.sketch
+    return ((drawn[starts[taken]] >> np.uint64(8)) + away.astype(np.uint64) * np.uint64(0x9E37)).astype(np.uint16)
 
 
 def next_paths(path: int, sketch: np.ndarray, p: Paths) -> np.ndarray:
-    """The paths below ``path`` that a sketch picks, each place with probability picks / places."""
-    tokens = (np.arange(len(sketch), dtype=np.uint64) << np.uint64(32)) | sketch.astype(np.uint64)
+    """The paths below ``path`` that its run's part of a sketch picks, each place with probability picks / places."""
+    run = path & ((1 << _RUN_BITS) - 1)
+    own = sketch[run :: p.runs].astype(np.uint64)
+    tokens = (np.arange(len(own), dtype=np.uint64) << np.uint64(16)) | own
     drawn = stir(tokens ^ np.array([path], np.int64).astype(np.uint64))
-    limit = np.uint64(p.picks / len(sketch) * float((1 << 64) - 1025))
-    return stir(drawn[drawn <= limit] + np.uint64(77))
+    limit = np.uint64(min(1.0, p.picks / len(own)) * float((1 << 64) - 1025))
+    return _named(stir(drawn[drawn <= limit] + np.uint64(77)), run)
 
 
 def _scan(batches: Iterator[pa.RecordBatch], p: Paths) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, paths, sketches = [], [], []
+        keys, sizes, paths, sketches = [], [], [], []
         for text in batch.column(2):
             shingles = jaccard.shingle_set(text.as_py())
             keys.append(jaccard.set_key(shingles))
+            sizes.append(len(shingles))
             some = len(shingles) > 0
             paths.append(first_paths(shingles, p).astype(np.int64) if some else [])
-            sketches.append(sketch_of(shingles, p).astype("<u4").tobytes() if some else b"")
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(keys, pa.int64()), pa.array(paths, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-            ["doc_id", "text_hash", "key", "paths", "sketch"],
-        )
+            sketches.append(sketch_of(shingles, p).astype("<u2").tobytes() if some else b"")
+        made = [
+            pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(paths, pa.list_(pa.int64())), pa.array(sketches, pa.binary())
+        ]
+        names = ["doc_id", "text_hash", "key", "size", "paths", "sketch"]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names)
+
+
+def near_members(sizes: np.ndarray, sketches: np.ndarray, p: Paths) -> np.ndarray:
+    """Which sets have another one that may be linked with them."""
+    found = np.zeros(len(sizes), bool)
+    for at in range(0, len(sizes), 64):
+        rows = slice(at, at + 64)
+        less = np.minimum.outer(sizes[rows], sizes)
+        near = less >= p.similarity * np.maximum.outer(sizes[rows], sizes) - 1e-9
+        near[np.arange(len(near)), np.arange(at, at + len(near))] = False
+        a, b = np.nonzero(near)
+        for part in range(0, len(a), 4096):
+            i, j = a[part : part + 4096], b[part : part + 4096]
+            agreed = (sketches[at + i] == sketches[j]).mean(axis=1)
+            keep = (agreed >= p.agree) | (less[i, j] < p.asked)
+            found[at + i[keep]] = True
+            found[j[keep]] = True
+    return found
+
+
+def _near(batches: Iterator[pa.RecordBatch], least: float, p: Paths) -> Iterator[pa.RecordBatch]:
+    """Units of (key, part, size, sketch) rows, cut down to near members and named by them."""
+    names = ["bucket", "key"]
+    buckets, keys = [], []
+    for _, rows in jaccard._groups(batches):
+        sizes = np.array([r[2] for r in rows], np.int64)
+        sketches = np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(len(rows), p.sketch)
+        kept = np.array([r[0] for r in rows], np.int64)[near_members(sizes, sketches, p)]
+        if len(kept) < 2:
+            continue
+        kept = np.unique(kept)
+        keys.append(kept)
+        buckets.append(np.full(len(kept), jaccard.set_key(kept.astype(np.uint64)), np.int64))
+        if sum(map(len, keys)) > 50_000:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (buckets, keys)], names)
+            buckets, keys = [], []
+    if keys:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (buckets, keys)], names)
+
+
+def near_units(units: list[DataFrame], sets: DataFrame, p: Paths) -> DataFrame:
+    """Units (bucket, pair, key, part) of the sets that may be linked; units of the same sets are one."""
+    every = units[0]
+    for more in units[1:]:
+        every = every.unionByName(more)
+    known = sets.select("key", F.col("size").alias("copies"), F.col("sketch").alias("data"))
+    kept = jaccard.run_units(every, known, partial(_near, p=p), "bucket long, key long", similarity=p.similarity).distinct()
+    return kept.select("bucket", F.lit(0).alias("pair"), "key", F.lit(0).alias("part"))
 
 
 def _descend(batches: Iterator[pa.RecordBatch], p: Paths) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parents, paths, keys = [], [], []
         for path, key, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            for below in next_paths(path, np.frombuffer(data, "<u4"), p).astype(np.int64).tolist():
+            for below in next_paths(path, np.frombuffer(data, "<u2"), p).astype(np.int64).tolist():
                 parents.append(path)
                 paths.append(below)
                 keys.append(key)
@@ -147,6 +213,7 @@ def jaccard_classes(
             T.StructField("doc_id", docs.schema[id_col].dataType),
             T.StructField("text_hash", T.LongType()),
             T.StructField("key", T.LongType()),
+            T.StructField("size", T.LongType()),
             T.StructField("paths", T.ArrayType(T.LongType())),
             T.StructField("sketch", T.BinaryType()),
         ]
@@ -154,8 +221,11 @@ def jaccard_classes(
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("_text"))
     scanned = materialize(texts.mapInArrow(partial(_scan, p=p), schema))
-    sets = materialize(jaccard.distinct_sets(scanned, ["paths", "sketch"]))
-    units = candidate_units(sets, p)
+    sets = materialize(jaccard.distinct_sets(scanned, ["size", "paths", "sketch"]))
+    candidates = candidate_units(sets, p)
+    units = materialize(near_units(candidates, sets, p))
+    for stored in candidates:
+        discard(stored)
     return jaccard.classes(
-        docs, scanned, sets, units, similarity=p.similarity, id_col=id_col, text_col=text_col, count_links=count_links
+        docs, scanned, sets, [units], similarity=p.similarity, id_col=id_col, text_col=text_col, count_links=count_links
     )

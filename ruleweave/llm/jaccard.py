@@ -201,18 +201,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
-    """(key, copies, data) for the wanted (key, copies, doc) sets, from the texts of their documents ``doc``.
+    """(key, copies, data) for the wanted (key, copies, doc, text_hash) sets, from the texts of their documents ``doc``.
 
-    Ids may repeat: a text is taken only if its set has the wanted key, and once.
+    Ids may repeat, so a text is named by its hash as well, and taken only if its set has the wanted key.
     """
-    texts = docs.select(document_key(id_col).alias("_doc"), text_or_empty(text_col).alias("_text"))
-    # One row per document: ids may be shared by sets if they repeat.
-    named = materialize(
-        wanted.groupBy(document_key("doc").alias("_doc")).agg(F.collect_list(F.struct("key", "copies")).alias("_sets"))
-    )
-    joined = checked_join(texts, named, ["_doc"]).select("_text", F.explode("_sets").alias("_set")).select("_set.*", "_text")
-    found = joined.select("key", "copies", "_text").mapInArrow(_sets, "key long, copies long, data binary")
-    return found
+    text = text_or_empty(text_col)
+    texts = docs.select(document_key(id_col).alias("_doc"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
+    named = wanted.select("key", "copies", document_key("doc").alias("_doc"), F.col("text_hash").alias("_hash"))
+    joined = checked_join(texts, materialize(named), ["_doc", "_hash"])
+    return joined.select("key", "copies", "_text").mapInArrow(_sets, "key long, copies long, data binary")
 
 
 def run_units(units: DataFrame, sets: DataFrame, task: Callable, schema: str, *, similarity: float = SIMILARITY) -> DataFrame:
@@ -234,10 +231,12 @@ def link_counts(units: DataFrame, sets: DataFrame, *, similarity: float = SIMILA
 
 
 def distinct_sets(scanned: DataFrame, carried: list[str]) -> DataFrame:
-    """(key, copies, doc, ...) of (doc_id, key, ...) rows: equal sets once, with the least id and the carried columns."""
-    return scanned.groupBy("key").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in carried]
-    )
+    """(key, copies, doc, text_hash, ...) of (doc_id, text_hash, key, ...) rows: equal sets once, with the least id, the hash of a
+    text under it, and the carried columns."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("_least")
+    found = scanned.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), least, *[F.first(c).alias(c) for c in carried])
+    doc, text_hash = F.col("_least.doc_id").alias("doc"), F.col("_least.text_hash").alias("text_hash")
+    return found.select("key", "copies", doc, text_hash, *carried)
 
 
 def bucket_sizes(members: DataFrame) -> DataFrame:
@@ -277,7 +276,7 @@ def classes(
     every = units[0]
     for more in units[1:]:
         every = every.unionByName(more)
-    wanted = every.select("key").distinct().join(sets.select("key", "copies", "doc"), "key")
+    wanted = every.select("key").distinct().join(sets.select("key", "copies", "doc", "text_hash"), "key")
     data = materialize(fetch_sets(docs, wanted, id_col=id_col, text_col=text_col).dropDuplicates(["key"]))
     edges = materialize(linked_edges(every, data, similarity=similarity))
     for unit in units:

@@ -207,3 +207,52 @@ def test_interval_tree_has_every_group():
     assert found == {(3, 0, 3), (4, 0, 1), (1, 4, 5)}
     groups = list(repeats.repeat_groups([b"xxq", b"yxq", b"zzz"], [b"abcd", b"abcd", b"abcd"], 6))
     assert groups == [(4, [0, 1], [2, 2])] or groups == [(4, [1, 0], [2, 2])]
+
+
+def test_near_members_keep_every_link():
+    """Pairs at the threshold or above stay, sets that share a passage only go."""
+    p, pick = chosen_path.Paths(), random.Random(5)
+    new = lambda n: np.array(pick.sample(range(1 << 48), n), np.uint64)
+    lost = kept = 0
+    for _ in range(400):
+        n = pick.choice([3, 20, 127, 128, 130, 300, 2_000])
+        common = new(-(-n * 8 // 9) if pick.random() < 0.7 else n)
+        sets = [np.unique(np.concatenate((common, new(max(0, n - len(common)))))) for _ in range(2)]
+        both = len(np.intersect1d(*sets))
+        linked = both >= 0.8 * (len(sets[0]) + len(sets[1]) - both) - 1e-9
+        sketches = np.stack([chosen_path.sketch_of(x, p) for x in sets])
+        lost += linked and not chosen_path.near_members(np.array([len(x) for x in sets]), sketches, p).all()
+    assert lost == 0
+    for _ in range(300):
+        passage = new(60)
+        sets = [np.unique(np.concatenate((passage, new(pick.choice([200, 210, 400]))))) for _ in range(5)]
+        sketches = np.stack([chosen_path.sketch_of(x, p) for x in sets])
+        kept += chosen_path.near_members(np.array([len(x) for x in sets]), sketches, p).sum()
+    assert kept < 15
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs just above the threshold in the midst of texts that share passages: found are 0.99 at least."""
+    pick = random.Random(9)
+    word = lambda: "".join(pick.choice("abcdefghijkl") for _ in range(6))
+    passages = [[word() for _ in range(40)] for _ in range(5)]
+    texts = []
+    for _ in range(400):
+        base = [word() for _ in range(300)] + pick.choice(passages)
+        other = list(base)
+        for at in range(15, 330, 55):
+            other[at] = word()
+        texts += [" ".join(base), " ".join(other)]
+    sets = [shingles(t) for t in texts]
+    alike = [i for i in range(0, len(texts), 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
+    assert len(alike) > 350
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in chosen_path.jaccard_classes(df, chosen_path.Paths(small=8), count_links=False).collect()}
+    assert sum(got[i + 1] == i for i in alike) >= 0.99 * len(alike)
+
+
+def test_a_third_of_ids_missing(spark):
+    rows = [(None if i % 3 == 0 else i, f"text of number {i // 2} with words {i // 2} and more of them {i // 2}") for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = chosen_path.jaccard_classes(df).collect()
+    assert len(got) == 240 and all(r.n_links == 1 for r in got)

@@ -36,12 +36,18 @@ def test_stages_keep_the_columns_and_take_effect(spark):
 def test_stages_take_edge_rows(spark, edge, empty):
     for docs in (edge, empty):
         columns = docs.columns
-        for name, stage in corpus_pipeline.STAGES[1:-1]:
+        for name, stage in corpus_pipeline.STAGES[:-1]:
             docs = materialize(stage(spark, docs, FOLDER))
             assert docs.columns == columns, name
         corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count()
 
 
+def test_columns_of_any_name_keep_their_values(spark):
+    rows = [(1, "some words of a text here", 77, 99, 5), (3, "another text with other words", 98, 11, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id long, _hash long, _null long")
+    assert sorted(map(tuple, corpus_pipeline.drop_near_copies(spark, docs, "").collect())) == rows
+
+
 def test_one_row_of_each_class_stays(spark, edge):
     left = corpus_pipeline.drop_near_copies(spark, edge, "").collect()
     assert Counter(r.doc_id for r in left) == Counter([1, 2, 3, 5, 7, None])
