@@ -9,7 +9,7 @@ word, the pair and single words further back (skips), hashed into rows of two we
 
 Counts are exact and cover all training texts. Training is synchronous: in every round each task runs AdaGrad over its texts,
 beginning with the shared tables, and the changes are averaged row by row, weighed by how often a task used the row. Every
-training text is used in one round. The most frequent words, at most ``head`` of them, are looked up in the
+training text is used in one round. Scores follow the dealing of texts to tasks: the same files and settings give the same. The most frequent words, at most ``head`` of them, are looked up in the
 task; the others are joined with the counts. An unknown word counts as one further word, as in the base score.
 """
 
@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,8 @@ class Model:
     rounds: int = 2
     rate: float = 0.15
     batch: int = 16_384
+    # Tokens that a task learns from at least, if there are as many: a task hands on the rows it used, 8 MB at most.
+    task_tokens: int = 1_000_000
     # Distinct words a task counts before it hands them on.
     counted: int = 300_000
 
@@ -71,9 +74,13 @@ class Model:
 
 
 # All words of the head have a softmax.
-WHOLE_HEAD = Model(head_classes=8, rows=1 << 16)
+WHOLE_HEAD = Model(word_classes=8, ending_classes=8, head_classes=8, rows=1 << 16, batch=32_768)
 FEATURES = 5
+# Features of the nodes further down a head class: none, and the previous word.
+DEEP_FEATURES = 2
 _BLOCK = 1024
+# Rows met this often in a batch are not worth a run of their own.
+_FEW = 4
 
 
 def tokens(text: str) -> list[bytes]:
@@ -152,17 +159,12 @@ class Vocabulary:
         return cls(words, np.array([r["c"] for r in frequent], np.int64), whole["n"], whole["v"], totals, kinds, least, bounds)
 
 
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 class Encoder:
     """Texts as arrays: number in the head (-1 if not in it), class, slot in the class and hash of each token."""
 
     def __init__(self, vocabulary: Vocabulary, m: Model):
         self.m, self.v = m, vocabulary
-        self.number = _Numbers((w, i) for i, w in enumerate(vocabulary.words))
+        self.number = {w: i for i, w in enumerate(vocabulary.words)}
         self.classes = np.array(
             [i // m.width if i < m.top else self.ending(w) for i, w in enumerate(vocabulary.words)], np.int64
         )
@@ -179,10 +181,12 @@ class Encoder:
         return self.m.word_classes + zlib.crc32(word[-self.m.ending :]) % self.m.ending_classes
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        number = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
         kinds, hashed = (a[number] if len(a) else np.zeros(len(words), a.dtype) for a in (self.classes, self.hashes))
-        for i in np.flatnonzero(number < 0).tolist():
-            kinds[i], hashed[i] = self.ending(words[i]), zlib.crc32(words[i])
+        behind = np.flatnonzero(number < 0)
+        rare = [words[i] for i in behind.tolist()]
+        kinds[behind] = np.fromiter(map(self.ending, rare), np.int64, len(rare))
+        hashed[behind] = np.fromiter(map(zlib.crc32, rare), np.uint64, len(rare))
         return number, kinds, hashed
 
 
@@ -246,11 +250,16 @@ class Tables:
         return tuple(np.concatenate(part) for part in zip(*found))
 
     @staticmethod
-    def _exponentials(weights: np.ndarray, rows: np.ndarray, outcomes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def _scores(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+        """Sum of the weight rows of each feature; a feature with one row is the same for all."""
+        scores = weights.take(rows[-1], axis=0, mode="clip")
+        for k in rows[:-1]:
+            scores += weights[k] if len(k) == 1 else weights.take(k, axis=0, mode="clip")
+        return scores
+
+    @staticmethod
+    def _exponentials(scores: np.ndarray, outcomes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Exponentials of the scores of all outcomes, zero for those behind ``outcomes``, and their sums."""
-        scores = weights.take(rows[0], axis=0, mode="clip")
-        for k in range(1, FEATURES):
-            scores += weights.take(rows[k], axis=0, mode="clip")
         # Far above any score that training gives, far below what overflows.
         np.minimum(scores, np.float32(60), out=scores)
         np.exp(scores, out=scores)
@@ -260,35 +269,58 @@ class Tables:
         # A product with ones would round by the place of the row.
         return scores, np.einsum("ij->i", scores)
 
+    def _class_rows(self, features: np.ndarray) -> list[np.ndarray]:
+        rows = self._rows(features[1:])
+        return [self._rows(features[:1, :1])[0], *rows]
+
+    def _word_steps(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> Iterator[tuple]:
+        """(token, chosen, outcomes, rows): the choices below the classes, by the number of features that tell them.
+
+        The first choice in a class has all features. The nodes further down a head class, each of which is seldom met, are told
+        by themselves and the previous word.
+        """
+        word, names, chosen, outcomes = self._choices(kinds, slots)
+        # Names of nodes behind the first of their level begin here; see ``_choices``.
+        deep = names >= 64 * self.m.classes
+        for part, used in ((np.flatnonzero(~deep), FEATURES), (np.flatnonzero(deep), DEEP_FEATURES)):
+            if len(part):
+                rows = self._rows(features[:used, word[part]], names[part])
+                yield word[part], chosen[part], outcomes[part], list(rows)
+
     def log_probabilities(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> np.ndarray:
         """Natural log of class, and of word in class where it is a word or head class, for each token."""
-        raised, total = self._exponentials(self.by_class, self._rows(features))
+        raised, total = self._exponentials(self._scores(self.by_class, self._class_rows(features)))
         found = np.log((raised[np.arange(len(kinds)), kinds] / total).astype(np.float64))
-        word, names, chosen, outcomes = self._choices(kinds, slots)
-        if len(word):
-            raised, total = self._exponentials(self.by_word, self._rows(features[:, word], names), outcomes)
+        for word, chosen, outcomes, rows in self._word_steps(kinds, slots, features):
+            raised, total = self._exponentials(self._scores(self.by_word, rows), outcomes)
             logs = np.log((raised[np.arange(len(word)), chosen] / total).astype(np.float64))
             found += np.bincount(word, logs, len(kinds))
         return found
 
-    def _step(self, which: int, rows: np.ndarray, target: np.ndarray, outcomes: np.ndarray | None = None) -> None:
-        weights = (self.by_class, self.by_word)[which]
-        error, total = self._exponentials(weights, rows, outcomes)
+    def _step(self, which: int, rows: list[np.ndarray], target: np.ndarray, outcomes: np.ndarray | None = None) -> None:
+        error, total = self._exponentials(self._scores((self.by_class, self.by_word)[which], rows), outcomes)
         error /= total[:, None]
         error[np.arange(len(target)), target] -= 1
-        for k in range(FEATURES):
-            if which == 0 and k == 0:
-                # The class scores have one row that all tokens share.
-                change = error.sum(axis=0, keepdims=True)
-                self._update(which, rows[0][:1], change, len(target))
+        for k in rows:
+            if len(k) == 1:
+                self._update(which, k, error.sum(axis=0, keepdims=True), len(target))
                 continue
             # Rows fit into 16 bits, which are sorted by counting.
-            order = np.argsort(rows[k].astype(np.uint16), kind="stable")
-            ordered = rows[k][order]
+            order = np.argsort(k.astype(np.uint16), kind="stable")
+            ordered = k[order]
             first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-            touched = ordered[first]
-            change = np.add.reduceat(error.take(order, axis=0), first, axis=0)
-            self._update(which, touched, change, np.diff(np.append(first, len(order))))
+            times = np.diff(np.append(first, len(order)))
+            # Most rows are met a few times in a batch: their changes are added one by one, and only those of others in runs.
+            change = error.take(order[first], axis=0)
+            for more in range(1, _FEW):
+                again = np.flatnonzero((times > more) & (times <= _FEW))
+                change[again] += error.take(order[first[again] + more], axis=0)
+            many = np.flatnonzero(times > _FEW)
+            if len(many):
+                inside = np.repeat(times > _FEW, times)
+                starts = np.cumsum(times[many]) - times[many]
+                change[many] = np.add.reduceat(error.take(order[inside], axis=0), starts, axis=0)
+            self._update(which, ordered[first], change, times)
 
     def _update(self, which: int, touched: np.ndarray, change: np.ndarray, times) -> None:
         """An AdaGrad step for the given rows."""
@@ -299,10 +331,9 @@ class Tables:
         self.used[which][touched] += times
 
     def learn(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> None:
-        self._step(0, self._rows(features), kinds)
-        word, names, chosen, outcomes = self._choices(kinds, slots)
-        if len(word):
-            self._step(1, self._rows(features[:, word], names), chosen, outcomes)
+        self._step(0, self._class_rows(features), kinds)
+        for _, chosen, outcomes, rows in self._word_steps(kinds, slots, features):
+            self._step(1, rows, chosen, outcomes)
 
 
 @dataclass
@@ -384,7 +415,8 @@ def train(texts: DataFrame, fold: Column, vocabulary: Vocabulary, m: Model) -> t
     weights = [tables.by_class, tables.by_word]
     for turn in range(m.rounds):
         shared = Shared(_name(vocabulary), spark.sparkContext.broadcast((vocabulary, *weights)))
-        part = texts.filter(fold == turn).select("text")
+        # Few tasks for few tokens, whatever the number of files.
+        part = texts.filter(fold == turn).select("text").coalesce(max(1, -(-vocabulary.total // (m.rounds * m.task_tokens))))
         changes = part.mapInArrow(partial(_learn, shared=shared, m=m), "block long, used binary, change binary")
         averaged = changes.repartition("block").mapInArrow(
             partial(_average, widths=(m.classes, m.width), rows=m.rows), "block long, change binary"

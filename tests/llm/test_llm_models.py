@@ -90,7 +90,7 @@ def test_context_tells_all_words_of_the_head_apart(spark):
     _, _, hashed = encoder.encode([b"p3x", b"q3x"])
     features = maxent.Tables.features(hashed, np.array([0]))[:, -1:]
     log_p = [tables.log_probabilities(encoder.classes[[i]], encoder.slots[[i]], features)[0] for i in range(81)]
-    raised, total = tables._exponentials(tables.by_class, tables._rows(features))
+    raised, total = tables._exponentials(tables._scores(tables.by_class, tables._class_rows(features)))
     endings = raised[0, 1:3].sum() / total[0]
     assert sum(map(math.exp, log_p)) + endings == pytest.approx(1, abs=1e-4)
 
