@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ruleweave.llm.common import checked_join, document_key, text_or_empty
@@ -142,24 +143,19 @@ def _unit(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[n
     return keys, parts, copies, [unpack(r[3]) for r in rows]
 
 
-def _batches(found: Iterator[tuple[int, int]], names: tuple[str, str]) -> Iterator[pa.RecordBatch]:
-    left, right = [], []
-    for a, b in found:
-        left.append(a)
-        right.append(b)
-        if len(left) == 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], list(names))
-            left, right = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], list(names))
+def _batches(found: Iterator[tuple[int, ...]], names: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    while rows := list(islice(found, 50_000)):
+        yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in zip(*rows)], list(names))
 
 
 def _edges(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     def found():
         for _, rows in _groups(batches):
-            keys, _, _, sets = _unit(rows)
-            yield from forest(keys, sets, least)
+            keys, parts, _, sets = _unit(rows)
+            for u, v in forest(keys, sets, least):
+                yield u, v, int(parts[0])
 
-    yield from _batches(found(), ("u", "v"))
+    yield from _batches(found(), ("u", "v", "part"))
 
 
 def _links(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -220,8 +216,8 @@ def run_units(units: DataFrame, sets: DataFrame, task: Callable, schema: str, *,
 
 
 def linked_edges(units: DataFrame, sets: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:
-    """(u, v): edges that connect all sets of a bucket that links connect."""
-    return run_units(units, sets, _edges, "u long, v long", similarity=similarity)
+    """(u, v, part): edges that connect all sets of a bucket that links connect, with a part of their unit."""
+    return run_units(units, sets, _edges, "u long, v long, part long", similarity=similarity)
 
 
 def link_counts(units: DataFrame, sets: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:
@@ -244,12 +240,22 @@ def bucket_sizes(members: DataFrame) -> DataFrame:
     return members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def small_units(members: DataFrame, sizes: DataFrame, small: int = SMALL) -> DataFrame:
-    """(bucket, pair, key, part) of buckets with at most ``small`` members; buckets with the same members count once."""
+def small_units(members: DataFrame, sizes: DataFrame, small: int = SMALL, *, marks: Column | None = None) -> DataFrame:
+    """(bucket, pair, key, part) of buckets with at most ``small`` members; buckets with the same members count once.
+
+    ``part`` is 0, or the marks of those buckets, combined by their bits.
+    """
+    marks = F.lit(0) if marks is None else marks
     within = members.join(sizes.filter(F.col("n") <= small), "bucket")
     gathered = within.groupBy("bucket").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    once = gathered.groupBy("keys").agg(F.min("bucket").alias("bucket"))
-    return once.select("bucket", F.lit(0).alias("pair"), F.explode("keys").alias("key"), F.lit(0).alias("part"))
+    once = gathered.groupBy("keys").agg(F.min("bucket").alias("bucket"), F.bit_or(marks).alias("part"))
+    return once.select("bucket", F.lit(0).alias("pair"), F.explode("keys").alias("key"), "part")
+
+
+def fetch_members(docs: DataFrame, units: DataFrame, sets: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """(key, copies, data) of the sets in units."""
+    wanted = units.select("key").distinct().join(sets.select("key", "copies", "doc", "text_hash"), "key")
+    return fetch_sets(docs, wanted, id_col=id_col, text_col=text_col).dropDuplicates(["key"])
 
 
 def classes(
@@ -263,7 +269,23 @@ def classes(
     text_col: str,
     count_links: bool,
 ) -> DataFrame:
-    """(doc_id, text_hash, class_key, class_id, n_links): one row per document, from stored units of sets to compare.
+    """The rows of ``class_rows``, from stored units of sets to compare."""
+    every = units[0]
+    for more in units[1:]:
+        every = every.unionByName(more)
+    data = materialize(fetch_members(docs, every, sets, id_col=id_col, text_col=text_col))
+    edges = materialize(linked_edges(every, data, similarity=similarity))
+    for unit in units:
+        discard(unit)
+    roots = materialize(connected(edges))
+    discard(edges)
+    return class_rows(scanned, sets, roots, data, similarity=similarity, count_links=count_links)
+
+
+def class_rows(
+    scanned: DataFrame, sets: DataFrame, roots: DataFrame, data: DataFrame, *, similarity: float, count_links: bool
+) -> DataFrame:
+    """(doc_id, text_hash, class_key, class_id, n_links): one row per document, from the stored roots of linked sets.
 
     ``class_key`` names the class, a connected component of links; ``class_id`` is the least document id in it and
     ``n_links`` the number of other documents whose set has at least the given similarity, copies included (null if
@@ -273,16 +295,6 @@ def classes(
 
     Links are counted inside classes, where all of them lie: each two sets of a class are compared once, in parts.
     """
-    every = units[0]
-    for more in units[1:]:
-        every = every.unionByName(more)
-    wanted = every.select("key").distinct().join(sets.select("key", "copies", "doc", "text_hash"), "key")
-    data = materialize(fetch_sets(docs, wanted, id_col=id_col, text_col=text_col).dropDuplicates(["key"]))
-    edges = materialize(linked_edges(every, data, similarity=similarity))
-    for unit in units:
-        discard(unit)
-    roots = materialize(connected(edges))
-    discard(edges)
     linked = roots.union(roots.select("root", "root").distinct()).toDF("key", "root")
     classes = materialize(
         sets.select("key", "copies", "doc").join(linked, "key", "left").select("key", "copies", "doc", F.coalesce("root", "key").alias("root"))

@@ -251,6 +251,40 @@ def test_recall_at_the_threshold(spark):
     assert sum(got[i + 1] == i for i in alike) >= 0.99 * len(alike)
 
 
+def test_rounds_are_repeated_until_the_recall(spark, caplog):
+    """With few picks one round misses links; the target brings further rounds, and all of them."""
+    pick = random.Random(11)
+    texts = []
+    for _ in range(150):
+        base = ["".join(pick.choice("abcdefgh") for _ in range(6)) for _ in range(80)]
+        texts += [" ".join(base), " ".join(base[:-2] + ["x", "y"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def found(recall):
+        caplog.clear()
+        p = chosen_path.Paths(picks=0.5, recall=recall)
+        with caplog.at_level("INFO", logger="ruleweave.llm.chosen_path"):
+            rows = chosen_path.jaccard_classes(df, p).collect()
+        pairs = sum(r.doc_id == r.class_id + 1 for r in rows)
+        assert sum(r.n_links for r in rows) == 2 * pairs
+        return len(caplog.records), pairs
+
+    rounds, pairs = found(0.0)
+    assert rounds == 1 and pairs < 150
+    rounds, pairs = found(0.99)
+    assert rounds > 1 and pairs >= 149
+
+
+def test_links_are_added_to_roots(spark):
+    links = lambda rows: spark.createDataFrame(rows, "u long, v long")
+    roots, missed = chosen_path.add_links(None, links([(1, 2), (2, 3), (7, 8), (5, 6)]))
+    assert missed == 1.0
+    roots, missed = chosen_path.add_links(roots, links([(3, 1), (8, 6), (9, 3), (1, 3)]))
+    assert missed == 2 / 4
+    assert {tuple(r) for r in roots.collect()} == {(2, 1), (3, 1), (9, 1), (6, 5), (7, 5), (8, 5)}
+    assert chosen_path.add_links(roots, links([]))[1] == 0.0
+
+
 def test_a_third_of_ids_missing(spark):
     rows = [(None if i % 3 == 0 else i, f"text of number {i // 2} with words {i // 2} and more of them {i // 2}") for i in range(240)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
