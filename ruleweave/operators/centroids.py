@@ -23,15 +23,17 @@ def one_vector_per_text(df: DataFrame, *, key: str) -> DataFrame:
     return known.groupBy("text_key").agg(F.min_by("embedding", key).alias("embedding"))
 
 
+def rule_keys(comments: DataFrame) -> DataFrame:
+    """(rule_key): every rule of the comments once."""
+    return comments.filter(F.col("rule").isNotNull()).select(clean_urls(str_or_nan("rule")).alias("rule_key")).distinct()
+
+
 def centroid_members(comments: DataFrame, *, with_text: bool = False) -> DataFrame:
     """(rule_key, violating, text_key and, if asked, text): what is averaged per rule and side.
 
     The rule's own text is appended to the non-violating side, so it counts twice if it is an example as well.
     """
-    rules = (
-        comments.filter(F.col("rule").isNotNull()).select(clean_urls(str_or_nan("rule")).alias("rule_key")).distinct()
-    )
-    own = rules.select("rule_key", F.lit(False).alias("violating"), F.col("rule_key").alias("text"))
+    own = rule_keys(comments).select("rule_key", F.lit(False).alias("violating"), F.col("rule_key").alias("text"))
     if with_text:
         return side_texts(comments).unionAll(own).withColumn("text_key", digest("text"))
     # Without the text the digest is taken before the distinct, which then shuffles keys only.
@@ -42,22 +44,25 @@ def centroid_members(comments: DataFrame, *, with_text: bool = False) -> DataFra
 def rule_centroids(comments: DataFrame, vectors: DataFrame, *, dim: int) -> DataFrame:
     """(rule_key, violating_centroid, non_violating_centroid); a side without vectors is the zero vector."""
     members = centroid_members(comments).join(vectors.select("text_key", "embedding"), "text_key", "left")
-    # A member without a vector yields no entries, but keeps its rule in the result.
-    return centroids_of(members, dim=dim)
+    # A member without a vector yields no entries, but each rule is a member, so the members need not be read again for them.
+    return centroids_of(members, dim=dim, rules=rule_keys(comments))
 
 
-def centroids_of(members: DataFrame, *, dim: int) -> DataFrame:
+def centroids_of(members: DataFrame, *, dim: int, rules: DataFrame | None = None) -> DataFrame:
     """Both centroids per rule from (rule_key, violating, embedding).
 
-    Vectors are added up whole, in the tasks first; a rule moves one partial sum per side and task.
+    Vectors are added up whole, in the tasks first; a rule moves one partial sum per side and task. ``rules`` holds the rule
+    keys of the result, by default those of the members, which are then read twice.
     """
+    if rules is None:
+        rules = members.select("rule_key").distinct()
     known = members.filter(F.col("embedding").isNotNull())
     vector = array_to_vector(F.transform("embedding", lambda x: x.cast("double")))
     means = known.select("rule_key", "violating", vector.alias("_v")).groupBy("rule_key", "violating").agg(
         vector_to_array(Summarizer.mean(F.col("_v"))).alias("_mean")
     )
     # Rules whose members all lack a vector stay in the result.
-    rows = means.unionByName(members.select("rule_key").distinct(), allowMissingColumns=True)
+    rows = means.unionByName(rules, allowMissingColumns=True)
 
     def side(violating: bool) -> Column:
         return F.coalesce(F.first(F.when(F.col("violating") == violating, F.col("_mean")), ignorenulls=True), zero_vector(dim))

@@ -17,9 +17,8 @@ from ruleweave.operators.centroids import (
     predict_side,
     rule_centroids,
 )
-from ruleweave.operators.stages import store_bucketed
+from ruleweave.operators.stages import materialize, store_bucketed
 from ruleweave.plans.ensemble import overridden
-from ruleweave.plans.models import embed_texts
 
 
 def score_comments(
@@ -50,12 +49,12 @@ def centroid_classify(
 def centroid_classify_builtin(comments: DataFrame, *, dim: int = 64, metric: str = "cosine") -> DataFrame:
     """The same with the built-in embedder.
 
-    Only examples and rules go through a distinct: a comment's own vector is computed in its row, so the comments
-    are never shuffled.
+    Only examples go through a distinct, by rule and side, and are stored once. All vectors are computed in their rows, so
+    neither they nor the comments are shuffled.
     """
-    members = centroid_members(comments, with_text=True)
-    vectors = embed_texts(members.select("text"), dim=dim)
-    centroids = centroids_of(members.join(vectors, "text_key", "left"), dim=dim)
+    members = materialize(centroid_members(comments, with_text=True).select("rule_key", "violating", "text"))
+    vectors = members.select("rule_key", "violating", hashed_embedding("text", dim).alias("embedding"))
+    centroids = centroids_of(vectors, dim=dim, rules=members.select("rule_key").distinct())
     rows = comments.select(
         "row_id",
         F.when(F.col("rule").isNotNull(), clean_urls(str_or_nan("rule"))).alias("rule_key"),
