@@ -117,6 +117,11 @@ def test_builtin_embedder_agrees_with_its_vectors(spark):
     assert {label for _, label in builtin} == {0, 1}
 
 
+def test_examples_are_read_once_for_centroids(spark):
+    plan = ce.rule_centroids(sample(spark), vectors(spark, VECTORS), dim=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
+
+
 def test_full_inference(spark):
     replies = spark.createDataFrame(
         [(1, None), (2, "Yes"), (3, "yes"), (4, "No"), (5, "Yes"), (6, None)], "row_id long, reply string"
