@@ -80,3 +80,10 @@ def test_files_of_one_community_are_many(spark, folder, tmp_path):
     names = [n for n in os.listdir(f"{tmp_path}/csv") if n.endswith(".csv")]
     assert len(names) == -(-comments.count() // 50)
     assert rows_of(fi.scan_comments(spark, f"{tmp_path}/csv", labelled=True)) == rows_of(comments.select(fi.TRAIN_SCHEMA.names))
+
+
+def test_training_tables_are_stored_dense(spark, folder):
+    stored = tr.training_tables(tb.full_comments(spark, folder, labelled=True))
+    for frame in stored.values():
+        names = [os.path.basename(f) for f in frame.inputFiles()]
+        assert names and all(".zstd." in n for n in names)
