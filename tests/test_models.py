@@ -227,3 +227,13 @@ def _with(table, asked):
     connection.register("table_", table)
     connection.register("asked", asked)
     return connection
+
+
+def test_a_scored_text_is_taken_apart_once(spark):
+    table = spark.createDataFrame([(b, 1.0, 0.5) for b in range(8)], "bucket int, idf double, weight double")
+    model = mo.TextClassifier(table, 8, 1.0, 0.0, "prompt")
+    df = spark.createDataFrame([(1, "a b a"), (2, None), (3, "")], "row_id int, prompt string")
+    scored = mo.score_text_classifier(model, df)
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    got = {r["row_id"]: r["score"] for r in scored.collect()}
+    assert got[1] > 0.5 and got[2] is None and got[3] == 0.5
