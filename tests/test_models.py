@@ -237,3 +237,13 @@ def test_a_scored_text_is_taken_apart_once(spark):
     assert scored._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
     got = {r["row_id"]: r["score"] for r in scored.collect()}
     assert got[1] > 0.5 and got[2] is None and got[3] == 0.5
+
+
+def test_the_model_is_not_joined_to_rows(spark):
+    """A joined row held the whole model: a megabyte for each text."""
+    rows = [(i, "good day" if i % 2 else "bad night", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id int, prompt string, rule_violation int")
+    model = mo.fit_text_classifier(df, num_features=64)
+    scored = mo.score_text_classifier(model, df)
+    assert "Join" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.rule_violation, r.reply) for r in scored.collect()} == {(1, "Yes"), (0, "No")}
