@@ -81,6 +81,8 @@ DEEP_FEATURES = 2
 _BLOCK = 1024
 # Rows met this often in a batch are not worth a run of their own.
 _FEW = 4
+# Rows taken together at a time, so that what is computed of them stays in the cache of a core.
+_PIECE = 2048
 
 
 def tokens(text: str) -> list[bytes]:
@@ -190,6 +192,12 @@ class Encoder:
         return number, kinds, hashed
 
 
+def _put(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """``table[rows] = values``, a row being one item, which is copied as a whole."""
+    item = f"V{table.shape[1] * table.itemsize}"
+    table.view(item)[rows, 0] = values.view(item)[:, 0]
+
+
 class Tables:
     """Class and word weights of a hashed log-linear model."""
 
@@ -206,6 +214,9 @@ class Tables:
         self.by_word = np.zeros((m.rows, m.width), np.float32) if by_word is None else by_word.copy()
         self.squares = [np.full(m.rows, 1e-3, np.float32) for _ in range(2)]
         self.used = [np.zeros(m.rows, np.int64) for _ in range(2)]
+        # Room that is used again and again.
+        self.spare = np.empty(2 * _PIECE * max(m.classes, m.width), np.float32)
+        self.errors = np.empty(0, np.float32)
 
     @staticmethod
     def features(hashed: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -226,9 +237,12 @@ class Tables:
         return rows
 
     def _rows(self, features: np.ndarray, kinds: np.ndarray | None = None) -> np.ndarray:
-        mixed = features if kinds is None else features ^ ((kinds.astype(np.uint64) + np.uint64(1)) * _MIX[3])
-        mixed = (mixed ^ (mixed >> np.uint64(31))) * _MIX[1]
-        return ((mixed >> np.uint64(40)) & np.uint64(self.m.rows - 1)).astype(np.int64)
+        mixed = features.copy() if kinds is None else features ^ ((kinds.astype(np.uint64) + np.uint64(1)) * _MIX[3])
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= _MIX[1]
+        mixed >>= np.uint64(40)
+        mixed &= np.uint64(self.m.rows - 1)
+        return mixed.view(np.int64)
 
     def _choices(self, kinds: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, ...]:
         """Choices below the classes: token, name of the choice, outcome, and number of outcomes; none for ending classes."""
@@ -250,22 +264,34 @@ class Tables:
         return tuple(np.concatenate(part) for part in zip(*found))
 
     @staticmethod
-    def _scores(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-        """Sum of the weight rows of each feature; a feature with one row is the same for all."""
-        scores = weights.take(rows[-1], axis=0, mode="clip")
+    def _scores(weights: np.ndarray, rows: list[np.ndarray], out: np.ndarray | None = None) -> np.ndarray:
+        """Sum of the weight rows of each feature; a feature with one row is the same for all. ``out`` has room for two pieces."""
+        n = len(rows[-1])
+        scores, more = (None, None) if out is None else (out[:n], out[_PIECE : _PIECE + n])
+        scores = weights.take(rows[-1], axis=0, mode="clip", out=scores)
         for k in rows[:-1]:
-            scores += weights[k] if len(k) == 1 else weights.take(k, axis=0, mode="clip")
+            scores += weights[k] if len(k) == 1 else weights.take(k, axis=0, mode="clip", out=more)
         return scores
 
+    def _pieces(self, which: int, rows: list[np.ndarray], outcomes: np.ndarray | None = None) -> Iterator[tuple]:
+        """(piece, exponentials, sums) of all rows, piece by piece; the exponentials are overwritten by the next."""
+        weights = (self.by_class, self.by_word)[which]
+        out = self.spare[: 2 * _PIECE * weights.shape[1]].reshape(2 * _PIECE, -1)
+        for at in range(0, len(rows[-1]), _PIECE):
+            piece = slice(at, at + _PIECE)
+            scores = self._scores(weights, [k if len(k) == 1 else k[piece] for k in rows], out)
+            yield piece, *self._exponentials(scores, None if outcomes is None else outcomes[piece])
+
     @staticmethod
     def _exponentials(scores: np.ndarray, outcomes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Exponentials of the scores of all outcomes, zero for those behind ``outcomes``, and their sums."""
         # Far above any score that training gives, far below what overflows.
-        np.minimum(scores, np.float32(60), out=scores)
+        if scores.max(initial=0) > 60:
+            np.minimum(scores, np.float32(60), out=scores)
         np.exp(scores, out=scores)
         if outcomes is not None:
-            fewer = np.flatnonzero(outcomes < scores.shape[1])
-            scores[fewer] *= np.arange(scores.shape[1]) < outcomes[fewer, None]
+            width = scores.shape[1]
+            scores *= np.tri(width + 1, width, -1, np.float32).take(outcomes, axis=0, mode="clip")
         # A product with ones would round by the place of the row.
         return scores, np.einsum("ij->i", scores)
 
@@ -284,23 +310,31 @@ class Tables:
         deep = names >= 64 * self.m.classes
         for part, used in ((np.flatnonzero(~deep), FEATURES), (np.flatnonzero(deep), DEEP_FEATURES)):
             if len(part):
-                rows = self._rows(features[:used, word[part]], names[part])
-                yield word[part], chosen[part], outcomes[part], list(rows)
+                told = word[part]
+                yield told, chosen[part], outcomes[part], list(self._rows(features[:used].take(told, axis=1), names[part]))
 
     def log_probabilities(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> np.ndarray:
         """Natural log of class, and of word in class where it is a word or head class, for each token."""
-        raised, total = self._exponentials(self._scores(self.by_class, self._class_rows(features)))
-        found = np.log((raised[np.arange(len(kinds)), kinds] / total).astype(np.float64))
+        found = self._logs(0, self._class_rows(features), kinds)
         for word, chosen, outcomes, rows in self._word_steps(kinds, slots, features):
-            raised, total = self._exponentials(self._scores(self.by_word, rows), outcomes)
-            logs = np.log((raised[np.arange(len(word)), chosen] / total).astype(np.float64))
-            found += np.bincount(word, logs, len(kinds))
+            found += np.bincount(word, self._logs(1, rows, chosen, outcomes), len(kinds))
+        return found
+
+    def _logs(self, which: int, rows: list[np.ndarray], target: np.ndarray, outcomes: np.ndarray | None = None) -> np.ndarray:
+        found = np.empty(len(target))
+        for piece, raised, total in self._pieces(which, rows, outcomes):
+            found[piece] = np.log((raised[np.arange(len(total)), target[piece]] / total).astype(np.float64))
         return found
 
     def _step(self, which: int, rows: list[np.ndarray], target: np.ndarray, outcomes: np.ndarray | None = None) -> None:
-        error, total = self._exponentials(self._scores((self.by_class, self.by_word)[which], rows), outcomes)
-        error /= total[:, None]
-        error[np.arange(len(target)), target] -= 1
+        width = (self.by_class, self.by_word)[which].shape[1]
+        if len(self.errors) < len(target) * width:
+            self.errors = np.empty(len(target) * width, np.float32)
+        error = self.errors[: len(target) * width].reshape(-1, width)
+        for piece, raised, total in self._pieces(which, rows, outcomes):
+            raised /= total[:, None]
+            raised[np.arange(len(total)), target[piece]] -= 1
+            error[piece] = raised
         for k in rows:
             if len(k) == 1:
                 self._update(which, k, error.sum(axis=0, keepdims=True), len(target))
@@ -310,24 +344,36 @@ class Tables:
             ordered = k[order]
             first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
             times = np.diff(np.append(first, len(order)))
-            # Most rows are met a few times in a batch: their changes are added one by one, and only those of others in runs.
-            change = error.take(order[first], axis=0)
-            for more in range(1, _FEW):
-                again = np.flatnonzero((times > more) & (times <= _FEW))
-                change[again] += error.take(order[first[again] + more], axis=0)
-            many = np.flatnonzero(times > _FEW)
-            if len(many):
-                inside = np.repeat(times > _FEW, times)
-                starts = np.cumsum(times[many]) - times[many]
-                change[many] = np.add.reduceat(error.take(order[inside], axis=0), starts, axis=0)
-            self._update(which, ordered[first], change, times)
+            touched = ordered[first]
+            for at in range(0, len(first), _PIECE):
+                piece = slice(at, at + _PIECE)
+                change = self._added(error, order, first[piece], times[piece])
+                self._update(which, touched[piece], change, times[piece])
+
+    def _added(self, error: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Errors added up in runs, each of which begins at ``first`` of ``order``."""
+        # Most rows are met a few times in a batch: their changes are added one by one, and only those of others in runs.
+        out = self.spare[: 2 * _PIECE * error.shape[1]].reshape(2 * _PIECE, -1)
+        change = error.take(order[first], axis=0, mode="clip", out=out[: len(first)])
+        for more in range(1, _FEW):
+            again = np.flatnonzero((times > more) & (times <= _FEW))
+            _put(change, again, change.take(again, axis=0) + error.take(order[first[again] + more], axis=0))
+        many = np.flatnonzero(times > _FEW)
+        if len(many):
+            at = slice(first[0], first[-1] + times[-1])
+            inside = order[at][np.repeat(times > _FEW, times)]
+            starts = np.cumsum(times[many]) - times[many]
+            change[many] = np.add.reduceat(error.take(inside, axis=0), starts, axis=0)
+        return change
 
     def _update(self, which: int, touched: np.ndarray, change: np.ndarray, times) -> None:
         """An AdaGrad step for the given rows."""
-        squares = self.squares[which]
-        squares[touched] += np.einsum("ij,ij->i", change, change) / change.shape[1]
-        change *= (self.m.rate / np.sqrt(squares[touched]))[:, None]
-        (self.by_class, self.by_word)[which][touched] -= change
+        squares = self.squares[which][touched]
+        squares += np.einsum("ij,ij->i", change, change) / change.shape[1]
+        self.squares[which][touched] = squares
+        change *= (self.m.rate / np.sqrt(squares))[:, None]
+        weights = (self.by_class, self.by_word)[which]
+        _put(weights, touched, weights.take(touched, axis=0) - change)
         self.used[which][touched] += times
 
     def learn(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> None:

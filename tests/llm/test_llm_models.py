@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -194,3 +195,37 @@ def test_toxicity_of_edge_rows(spark, edge, empty):
     assert {r.score for r in toxicity.score_texts(edge, none, TOXIC, keep=["doc_id"]).collect()} == {0.5}
     one = fitted(labelled.filter("label = 0"))
     assert {r.predicted for r in toxicity.score_texts(edge, one, TOXIC, keep=["doc_id"]).collect()} == {0}
+
+
+def _steps(rows=1 << 12, n=20_000):
+    m = maxent.Model(word_classes=8, ending_classes=8, head_classes=8, rows=rows, batch=n)
+    draw = np.random.default_rng(5)
+    bounds = m.top + np.array([0, 5, 21, 40, 80, 160, 320, 640, 1300])
+    kinds = draw.integers(0, m.classes, n)
+    sizes = np.append(np.full(m.word_classes, m.width), np.append(np.ones(m.ending_classes, int), np.diff(bounds)))
+    slots = draw.integers(0, sizes[kinds])
+    return m, bounds, kinds, slots, maxent.Tables.features(draw.integers(0, 3_000, n).astype(np.uint64), np.arange(0, n, 500))
+
+
+def test_pieces_of_a_batch_give_the_same_model(monkeypatch):
+    m, bounds, kinds, slots, features = _steps()
+    found = []
+    for piece in (97, 1 << 16):
+        monkeypatch.setattr(maxent, "_PIECE", piece)
+        tables = maxent.Tables(m, bounds=bounds)
+        for _ in range(2):
+            tables.learn(kinds, slots, features)
+        found.append((tables.by_class, tables.by_word, *tables.used, tables.log_probabilities(kinds, slots, features)))
+    assert all(np.array_equal(a, b) for a, b in zip(*found)) and found[0][0].any()
+
+
+def test_scores_of_a_batch_are_not_held_whole():
+    m, bounds, kinds, slots, features = _steps()
+    tables = maxent.Tables(m, bounds=bounds)
+    # As large as the class weights of a batch; one feature's beside their sum are twice that.
+    whole = len(kinds) * m.classes * 4
+    tracemalloc.start()
+    tables.log_probabilities(kinds, slots, features)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * whole, (peak, whole)
