@@ -18,7 +18,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, partial
+from functools import lru_cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from ruleweave.llm import jaccard
 from ruleweave.llm.common import checked_join, text_or_empty
 from ruleweave.llm.components import connected
 from ruleweave.llm.shingles import stir
-from ruleweave.operators.stages import discard, materialize
+from ruleweave.operators.stages import discard, materialize, store_bucketed
 
 
 log = logging.getLogger(__name__)
@@ -193,8 +193,10 @@ def _descend(batches: Iterator[pa.RecordBatch], p: Paths) -> Iterator[pa.RecordB
 def candidate_units(sets: DataFrame, p: Paths) -> list[DataFrame]:
     """Stored units (bucket, pair, key, part) of sets to compare, from stored (key, paths, sketch) rows; ``part`` is their mark."""
     mark = half_mark("bucket")
-    members = materialize(sets.select(F.explode("paths").alias("bucket"), "key"))
-    sizes = materialize(jaccard.bucket_sizes(members))
+    drawn = sets.select(F.explode("paths").alias("bucket"), "key")
+    sizes = materialize(jaccard.bucket_sizes(drawn))
+    # Most paths are those of one set alone; these rows move once and are not kept.
+    members = materialize(drawn.join(sizes.select("bucket"), "bucket", "left_semi"))
     units = []
     for level in range(1, p.levels + 1):
         units.append(materialize(jaccard.small_units(members, sizes, p.small, marks=mark)))
@@ -270,32 +272,33 @@ def jaccard_classes(
     )
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("_text"))
-    scans, sets_of, data, roots, missed, number = [], [], [], None, 1.0, 0
+    data, roots, missed, number = [], None, 1.0, 0
     while number == 0 or missed > 1 - p.recall:
         scanned = materialize(texts.mapInArrow(partial(_scan, p=p, number=number), schema))
-        sets = materialize(jaccard.distinct_sets(scanned, ["size", "paths", "sketch"]))
+        sets = jaccard.stored_sets(scanned, ["size", "paths", "sketch"])
+        if number == 0:
+            first, rows = sets, materialize(scanned.select("doc_id", "text_hash", "key"))
+        discard(scanned)
         candidates = candidate_units(sets, p)
         units = materialize(near_units(candidates, sets, p))
         for stored in candidates:
             discard(stored)
-        members = materialize(jaccard.fetch_members(docs, units, sets, id_col=id_col, text_col=text_col))
+        members = jaccard.stored_members(docs, units, sets, id_col=id_col, text_col=text_col)
         edges = materialize(jaccard.linked_edges(units, members, similarity=p.similarity))
         discard(units)
         for mark in (1, 2):
             roots, missed = add_links(roots, edges.filter(F.col("part").bitwiseAND(mark) > 0))
         discard(edges)
         log.info("round %d: %.5f of the links of its second half were unknown", number, missed)
-        scans.append(scanned)
-        sets_of.append(sets)
+        if number:
+            discard(sets)
         data.append(members)
         number += 1
-    for stored in scans[1:] + sets_of[1:]:
-        discard(stored)
     every = data[0]
     if len(data) > 1:
-        for more in data[1:]:
-            every = every.unionByName(more)
-        every = materialize(every.dropDuplicates(["key"]))
+        # The files are read as they are: Spark takes a union of bucketed tables as dealt by the key, but need not read it so.
+        plain = [docs.sparkSession.read.schema(stored.schema).parquet(stored.staged_path) for stored in data]
+        every = store_bucketed(reduce(DataFrame.unionByName, plain).dropDuplicates(["key"]), "key", dealt=True)
         for stored in data:
             discard(stored)
-    return jaccard.class_rows(scans[0], sets_of[0], roots, every, similarity=p.similarity, count_links=count_links)
+    return jaccard.class_rows(rows, first, roots, every, similarity=p.similarity, count_links=count_links)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ruleweave.llm.common import checked_join, document_key, text_or_empty
 from ruleweave.llm.components import connected
 from ruleweave.llm.shingles import hashes, shingle_hashes, text_words, word_table
-from ruleweave.operators.stages import discard, materialize
+from ruleweave.operators.stages import discard, materialize, store_bucketed
 
 SIMILARITY = 0.8
 # Sets in a bucket that is compared as it is.
@@ -235,6 +235,11 @@ def distinct_sets(scanned: DataFrame, carried: list[str]) -> DataFrame:
     return found.select("key", "copies", doc, text_hash, *carried)
 
 
+def stored_sets(scanned: DataFrame, carried: list[str]) -> DataFrame:
+    """``distinct_sets``, stored in buckets of the key: what joins them moves to the sets, and the sets stay where they are."""
+    return store_bucketed(distinct_sets(scanned, carried), "key", dealt=True)
+
+
 def bucket_sizes(members: DataFrame) -> DataFrame:
     """(bucket, n) of the buckets with more than one member."""
     return members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
@@ -258,6 +263,11 @@ def fetch_members(docs: DataFrame, units: DataFrame, sets: DataFrame, *, id_col:
     return fetch_sets(docs, wanted, id_col=id_col, text_col=text_col).dropDuplicates(["key"])
 
 
+def stored_members(docs: DataFrame, units: DataFrame, sets: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """``fetch_members``, stored in buckets of the key like the sets."""
+    return store_bucketed(fetch_members(docs, units, sets, id_col=id_col, text_col=text_col), "key", dealt=True)
+
+
 def classes(
     docs: DataFrame,
     scanned: DataFrame,
@@ -273,7 +283,7 @@ def classes(
     every = units[0]
     for more in units[1:]:
         every = every.unionByName(more)
-    data = materialize(fetch_members(docs, every, sets, id_col=id_col, text_col=text_col))
+    data = stored_members(docs, every, sets, id_col=id_col, text_col=text_col)
     edges = materialize(linked_edges(every, data, similarity=similarity))
     for unit in units:
         discard(unit)

@@ -194,7 +194,7 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
     scanned = materialize(texts.mapInArrow(_bands, f"doc_id {kind}, text_hash long, key long, paths array<long>"))
-    sets = materialize(jaccard.distinct_sets(scanned, ["paths"]))
+    sets = jaccard.stored_sets(scanned, ["paths"])
     members = materialize(sets.select(F.explode("paths").alias("bucket"), "key"))
     sizes = materialize(jaccard.bucket_sizes(members))
     large = sizes.filter(F.col("n") > jaccard.SMALL)

@@ -4,12 +4,16 @@ import hashlib
 import random
 import re
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pytest
+from helpers import ancestors
+from pyspark.sql import functions as F
 
 from ruleweave.llm import chosen_path, jaccard, minhash, repeats
 from ruleweave.llm.components import connected
+from ruleweave.operators.stages import materialize
 
 
 def shingles(text):
@@ -290,3 +294,36 @@ def test_a_third_of_ids_missing(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = chosen_path.jaccard_classes(df).collect()
     assert len(got) == 240 and all(r.n_links == 1 for r in got)
+
+
+def test_joins_leave_the_sets_where_they_are(spark, fixed_plans):
+    """The sketches and shingles of all sets lie in buckets of the key; only units move to them."""
+    texts = [t for t in near_texts(5) if t]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = jaccard.stored_sets(scanned_sets(df), ["size", "paths", "sketch"])
+    units = chosen_path.candidate_units(sets, chosen_path.Paths())
+    near = materialize(chosen_path.near_units(units, sets, chosen_path.Paths()))
+    members = jaccard.stored_members(df, near, sets, id_col="doc_id", text_col="text")
+    for made in (chosen_path.near_units(units, sets, chosen_path.Paths()), jaccard.linked_edges(near, members)):
+        above = ancestors(made, "Bucketed: true")
+        assert above and not [line for lines in above for line in lines if "Exchange" in line]
+    assert members.count() == near.select("key").distinct().count()
+
+
+def test_paths_of_one_set_alone_are_not_kept(spark, monkeypatch):
+    """Stored rows of the first level are those that share their path."""
+    stored = []
+    monkeypatch.setattr(chosen_path, "materialize", lambda df: stored.append(materialize(df)) or stored[-1])
+    monkeypatch.setattr(chosen_path, "discard", lambda df: None)
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(50)] + ["a b c d e f g h", "a b c d e f g h i"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    chosen_path.candidate_units(jaccard.stored_sets(scanned_sets(df), ["size", "paths", "sketch"]), chosen_path.Paths(picks=8.0))
+    first = next(x for x in stored if x.columns == ["bucket", "key"])
+    counts = Counter(r.bucket for r in first.collect())
+    assert counts and min(counts.values()) > 1
+
+
+def scanned_sets(df):
+    schema = "doc_id long, text_hash long, key long, size long, paths array<long>, sketch binary"
+    texts = df.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return texts.mapInArrow(partial(chosen_path._scan, p=chosen_path.Paths(picks=8.0), number=0), schema)
