@@ -20,10 +20,10 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +81,8 @@ DEEP_FEATURES = 2
 _BLOCK = 1024
 # Rows met this often in a batch are not worth a run of their own.
 _FEW = 4
+# Bytes of texts whose words are looked up together.
+_CHUNK = 1 << 22
 # Rows taken together at a time, so that what is computed of them stays in the cache of a core.
 _PIECE = 2048
 
@@ -90,21 +92,53 @@ def tokens(text: str) -> list[bytes]:
     return [*text.encode().translate(_LOWER).split(), END]
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``tokens`` without the ends, one text after another, and their number in each text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
+    words, lengths = lists.flatten().cast(pa.binary()), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    # A text without words is split into one empty word.
+    empty = pc.binary_length(words).to_numpy() == 0
+    if empty.any():
+        lengths -= np.bincount(np.repeat(np.arange(len(lengths)), lengths)[empty], minlength=len(lengths))
+        words = words.filter(pa.array(~empty))
+    return words, lengths
+
+
+def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts in runs of ``_CHUNK`` bytes; a longer one is a run of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + _CHUNK, side="right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def _count(batches: Iterator[pa.RecordBatch], m: Model) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+    schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
+    parts: list[pa.Table] = []
+    texts = held_rows = 0
 
-    def flush() -> pa.RecordBatch:
-        batch = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
-        counts.clear()
-        return pa.RecordBatch.from_arrays(batch, ["word", "c"])
+    def added() -> pa.Table:
+        every = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        return pa.Table.from_arrays([every["word"], every["c_sum"]], schema=schema)
 
     for batch in batches:
-        for text in batch.column(0):
-            counts.update(tokens(text.as_py()))
-            if len(counts) > m.counted:
-                yield flush()
-    if counts:
-        yield flush()
+        for chunk in _chunks(batch.column(0)):
+            texts += len(chunk)
+            found = split_words(chunk)[0].value_counts()
+            parts.append(pa.Table.from_arrays([found.field("values"), found.field("counts")], schema=schema))
+            held_rows += len(found)
+            if held_rows > 2 * m.counted:
+                parts = [added()]
+                held_rows = parts[0].num_rows
+                if held_rows > m.counted:
+                    yield from parts[0].to_batches()
+                    parts, held_rows = [], 0
+    if texts:
+        parts.append(pa.Table.from_arrays([pa.array([END]), pa.array([texts])], schema=schema))
+        yield from added().to_batches()
 
 
 def word_counts(texts: DataFrame, m: Model) -> DataFrame:
@@ -166,7 +200,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, m: Model):
         self.m, self.v = m, vocabulary
-        self.number = {w: i for i, w in enumerate(vocabulary.words)}
+        self.words = pa.array(vocabulary.words, pa.binary())
         self.classes = np.array(
             [i // m.width if i < m.top else self.ending(w) for i, w in enumerate(vocabulary.words)], np.int64
         )
@@ -183,13 +217,27 @@ class Encoder:
         return self.m.word_classes + zlib.crc32(word[-self.m.ending :]) % self.m.ending_classes
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        number = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
-        kinds, hashed = (a[number] if len(a) else np.zeros(len(words), a.dtype) for a in (self.classes, self.hashes))
+        return self._encoded(pa.array(words, pa.binary()), np.arange(len(words)))[:3]
+
+    def _encoded(self, words: pa.Array, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number, class and hash of the words in the given order, and those that are not in the head."""
+        number = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)[order]
+        kinds, hashed = (a[number] if len(a) else np.zeros(len(number), a.dtype) for a in (self.classes, self.hashes))
         behind = np.flatnonzero(number < 0)
-        rare = [words[i] for i in behind.tolist()]
+        rare = np.empty(len(behind), object)
+        rare[:] = words.take(pa.array(order[behind])).to_pylist()
         kinds[behind] = np.fromiter(map(self.ending, rare), np.int64, len(rare))
         hashed[behind] = np.fromiter(map(zlib.crc32, rare), np.uint64, len(rare))
-        return number, kinds, hashed
+        return number, kinds, hashed, rare
+
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """Tokens of each text, and of all tokens number, class and hash, and those that are not in the head."""
+        words, lengths = split_words(texts)
+        sizes = lengths + 1
+        # The end stands behind the words.
+        order = np.full(sizes.sum(), len(words))
+        order[np.arange(len(words)) + np.repeat(np.arange(len(lengths)), lengths)] = np.arange(len(words))
+        return sizes, *self._encoded(pa.concat_arrays([words, pa.array([END], pa.binary())]), order)
 
 
 def _put(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
@@ -344,36 +392,54 @@ class Tables:
             ordered = k[order]
             first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
             times = np.diff(np.append(first, len(order)))
+            # Those met most often come first, so that in a piece the ones with a further change are a run.
+            ranked = np.argsort((_FEW + 1 - np.minimum(times, _FEW + 1)).astype(np.uint8), kind="stable")
+            first, times = first[ranked], times[ranked]
             touched = ordered[first]
-            for at in range(0, len(first), _PIECE):
+            many = int(np.count_nonzero(times > _FEW))
+            for piece, change in self._added_runs(error, order, first[:many], times[:many]):
+                self._update(which, touched[piece], change, times[piece])
+            for at in range(many, len(first), _PIECE):
                 piece = slice(at, at + _PIECE)
                 change = self._added(error, order, first[piece], times[piece])
                 self._update(which, touched[piece], change, times[piece])
 
     def _added(self, error: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
-        """Errors added up in runs, each of which begins at ``first`` of ``order``."""
-        # Most rows are met a few times in a batch: their changes are added one by one, and only those of others in runs.
+        """Errors of rows that are met a few times, one by one; ``times`` falls, and row i has those from ``first[i]`` of ``order`` on."""
         out = self.spare[: 2 * _PIECE * error.shape[1]].reshape(2 * _PIECE, -1)
         change = error.take(order[first], axis=0, mode="clip", out=out[: len(first)])
         for more in range(1, _FEW):
-            again = np.flatnonzero((times > more) & (times <= _FEW))
-            _put(change, again, change.take(again, axis=0) + error.take(order[first[again] + more], axis=0))
-        many = np.flatnonzero(times > _FEW)
-        if len(many):
-            at = slice(first[0], first[-1] + times[-1])
-            inside = order[at][np.repeat(times > _FEW, times)]
-            starts = np.cumsum(times[many]) - times[many]
-            change[many] = np.add.reduceat(error.take(inside, axis=0), starts, axis=0)
+            again = int(np.count_nonzero(times > more))
+            if not again:
+                break
+            change[:again] += error.take(order[first[:again] + more], axis=0, mode="clip", out=out[_PIECE : _PIECE + again])
         return change
 
+    @staticmethod
+    def _added_runs(error: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> Iterator[tuple]:
+        """(piece, errors added up) of rows that are met often."""
+        ends = np.cumsum(times)
+        at = 0
+        while at < len(first):
+            before = ends[at] - times[at]
+            end = max(at + 1, int(np.searchsorted(ends, before + _PIECE, side="right")))
+            piece = slice(at, end)
+            starts = ends[piece] - times[piece] - before
+            inside = order[np.arange(ends[end - 1] - before) + np.repeat(first[piece] - starts, times[piece])]
+            yield piece, np.add.reduceat(error.take(inside, axis=0), starts, axis=0)
+            at = end
+
     def _update(self, which: int, touched: np.ndarray, change: np.ndarray, times) -> None:
         """An AdaGrad step for the given rows."""
-        squares = self.squares[which][touched]
+        squares = self.squares[which].take(touched)
         squares += np.einsum("ij,ij->i", change, change) / change.shape[1]
         self.squares[which][touched] = squares
         change *= (self.m.rate / np.sqrt(squares))[:, None]
         weights = (self.by_class, self.by_word)[which]
-        _put(weights, touched, weights.take(touched, axis=0) - change)
+        room = self.spare[_PIECE * change.shape[1] : 2 * _PIECE * change.shape[1]].reshape(_PIECE, -1)
+        now = weights.take(touched, axis=0, mode="clip", out=room[: len(touched)])
+        now -= change
+        _put(weights, touched, now)
         self.used[which][touched] += times
 
     def learn(self, kinds: np.ndarray, slots: np.ndarray, features: np.ndarray) -> None:
@@ -393,24 +459,31 @@ class Shared:
         return held(f"maxent-{self.name}-{m}", lambda: Encoder(self.broadcast.value[0], m))
 
 
-def _token_batches(texts: Iterator[str], encoder: Encoder, size: int) -> Iterator[tuple]:
-    """(words, starts, number, kinds, slots, features) of texts taken together until they have ``size`` tokens."""
-    words: list[bytes] = []
-    starts: list[int] = []
-
-    def encoded():
-        number, kinds, hashed = encoder.encode(words)
-        begin = np.array(starts, np.int64)
-        return words, begin, number, kinds, encoder.slots[number], Tables.features(hashed, begin)
-
-    for text in texts:
-        starts.append(len(words))
-        words.extend(tokens(text))
-        if len(words) >= size:
-            yield encoded()
-            words, starts = [], []
-    if starts:
-        yield encoded()
+def _token_batches(columns: Iterator[pa.Array], encoder: Encoder, size: int) -> Iterator[tuple]:
+    """(rare, starts, number, kinds, slots, features) of texts taken together until they have ``size`` tokens."""
+    rest = None
+    for column in columns:
+        for chunk in _chunks(column):
+            every = encoder.encode_texts(chunk)
+            if rest is not None:
+                every = tuple(map(np.concatenate, zip(rest, every)))
+            sizes, number, _, _, rare = every
+            ends = np.cumsum(sizes)
+            behind = np.cumsum(number < 0)
+            text = token = known = 0
+            while (last := int(np.searchsorted(ends, token + size))) < len(ends):
+                end = int(ends[last])
+                unknown = int(behind[end - 1])
+                yield _batch(encoder, sizes[text : last + 1], *(a[token:end] for a in every[1:4]), rare[known:unknown])
+                text, token, known = last + 1, end, unknown
+            rest = (sizes[text:], *(a[token:] for a in every[1:4]), rare[known:])
+    if rest is not None and len(rest[0]):
+        yield _batch(encoder, *rest)
+
+
+def _batch(encoder: Encoder, sizes: np.ndarray, number: np.ndarray, kinds: np.ndarray, hashed: np.ndarray, rare: np.ndarray) -> tuple:
+    starts = np.cumsum(sizes) - sizes
+    return rare, starts, number, kinds, encoder.slots[number], Tables.features(hashed, starts)
 
 
 def _learn(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Iterator[pa.RecordBatch]:
@@ -418,7 +491,7 @@ def _learn(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Itera
     encoder = shared.encoder(m)
     before = shared.broadcast.value[1:]
     tables = Tables(m, *before, encoder.v.bounds)
-    texts = (t.as_py() for batch in batches for t in batch.column(0))
+    texts = (batch.column(0) for batch in batches)
     for _, _, _, kinds, slots, features in _token_batches(texts, encoder, m.batch):
         # Long texts come in one piece; steps stay small.
         for at in range(0, len(kinds), m.batch):
@@ -493,7 +566,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Itera
     head_share = np.append(np.where(np.arange(len(v.words)) < softmax, 0.0, log_count[:-1]), 0.0)
     for batch in batches:
         at = 0
-        for words, starts, number, kinds, slots, features in _token_batches((t.as_py() for t in batch.column(3)), encoder, m.batch):
+        for rare, starts, number, kinds, slots, features in _token_batches(iter([batch.column(3)]), encoder, m.batch):
             token = np.concatenate(
                 [
                     tables.log_probabilities(kinds[i : i + m.batch], slots[i : i + m.batch], features[:, i : i + m.batch])
@@ -501,15 +574,14 @@ def _score(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Itera
                 ]
             ) / np.log(10)
             token += head_share[number] - class_log[kinds]
-            ends = np.append(starts[1:], len(words))
+            ends = np.append(starts[1:], len(number))
             score = np.add.reduceat(token, starts)
             known = np.add.reduceat((number >= 0).astype(np.int64), starts)
             base = np.add.reduceat(log_count[number] - base_log, starts)
-            rare = np.flatnonzero(number < 0)
-            cuts = np.searchsorted(rare, np.append(starts, len(words)))
+            cuts = np.searchsorted(np.flatnonzero(number < 0), np.append(starts, len(number)))
             lists, times = [], []
             for i in range(len(starts)):
-                found = Counter(words[j] for j in rare[cuts[i] : cuts[i + 1]])
+                found = Counter(rare[cuts[i] : cuts[i + 1]])
                 lists.append(list(found))
                 times.append(list(found.values()))
             n = len(starts)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,3 +230,79 @@ def test_scores_of_a_batch_are_not_held_whole():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 2 * whole, (peak, whole)
+
+
+ODD = ["", " ", "A b\tC\n\x0bd\x0ce\rf  ", "\x1c\x1d a\x1e\x1fb\x85c\xa0d \u2003 É é", "x " * 700 + "long", "\x00 \x00a", "a", " a", "b "] * 3
+
+
+def test_words_are_taken_as_columns(monkeypatch):
+    """Counts come without a Python object for each word, whatever the runs of texts that are split together."""
+    batch = lambda texts: pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    plain = Counter(w for t in ODD for w in maxent.tokens(t))
+    each = [maxent.tokens(t)[:-1] for t in ODD]
+    words, lengths = maxent.split_words(pa.array(ODD, pa.string()))
+    assert words.to_pylist() == [w for t in each for w in t] and lengths.tolist() == list(map(len, each))
+    monkeypatch.setattr(maxent, "tokens", None)
+    for chunk, counted in ((1, 1), (50, 3), (1 << 22, 300_000)):
+        monkeypatch.setattr(maxent, "_CHUNK", chunk)
+        got = Counter()
+        for found in maxent._count(iter([batch(ODD[:10]), batch([]), batch(ODD[10:])]), maxent.Model(counted=counted)):
+            for word, c in zip(*(found.column(i).to_pylist() for i in range(2))):
+                got[word] += c
+        assert got == plain
+    assert not list(maxent._count(iter([batch([])]), maxent.Model()))
+
+
+def test_batches_of_tokens_do_not_depend_on_how_texts_are_read(monkeypatch):
+    head = [b"a", b"x", maxent.END, b"long"]
+    vocabulary = maxent.Vocabulary(head, np.array([4, 3, 2, 1]), 10, 6, np.zeros(4), np.zeros(4))
+    encoder = maxent.Encoder(vocabulary, maxent.Model(word_classes=1, width=2, ending_classes=4))
+    plain, now = [], []
+    for t in ODD:
+        now.append(maxent.tokens(t))
+        if sum(map(len, now)) >= 20:
+            plain, now = [*plain, now], []
+    plain += [now] if now else []
+    for chunk, cut in ((1, 5), (60, 11), (1 << 22, 27)):
+        monkeypatch.setattr(maxent, "_CHUNK", chunk)
+        columns = (pa.array(part, pa.string()) for part in (ODD[:cut], [], ODD[cut:]))
+        found = list(maxent._token_batches(columns, encoder, 20))
+        assert len(found) == len(plain)
+        for texts, (rare, starts, number, kinds, _, _) in zip(plain, found):
+            words = [w for t in texts for w in t]
+            assert number.tolist() == [head.index(w) if w in head else -1 for w in words]
+            assert list(rare) == [w for w in words if w not in head]
+            assert starts.tolist() == [sum(map(len, texts[:i])) for i in range(len(texts))]
+            assert all(np.array_equal(a, b) for a, b in zip(encoder.encode(words), (number, kinds)))
+
+
+def test_steps_add_up_the_errors_of_a_row(monkeypatch):
+    """Rows met once, a few times and often, against a plain sum row by row."""
+    m, bounds, kinds, slots, features = _steps()
+    tables, plain = maxent.Tables(m, bounds=bounds), maxent.Tables(m, bounds=bounds)
+    seen = set()
+
+    def step(which, rows, target, outcomes=None):
+        if not len(rows[-1]):
+            return
+        pieces = [(e / t[:, None]).copy() for _, e, t in plain._pieces(which, rows, outcomes)]
+        error = np.concatenate(pieces)
+        error[np.arange(len(target)), target] -= 1
+        for k in rows:
+            sums = error.sum(axis=0, keepdims=True)
+            for row in k if len(k) == 1 else np.unique(k):
+                met = np.flatnonzero(k == row)
+                if len(k) > 1:
+                    seen.add(min(len(met), 6))
+                    sums = error[met[:1]].copy()
+                    for i in met[1:]:
+                        sums[0] += error[i]
+                plain._update(which, np.array([row]), sums, len(target) if len(k) == 1 else len(met))
+
+    monkeypatch.setattr(plain, "_step", step)
+    part = slice(0, 400)
+    for t in (tables, plain):
+        t.learn(kinds[part], slots[part], features[:, part])
+    assert seen == {1, 2, 3, 4, 5, 6}
+    assert np.allclose(tables.by_class, plain.by_class, atol=1e-6) and np.allclose(tables.by_word, plain.by_word, atol=1e-6)
+    assert all(np.array_equal(a, b) for a, b in zip(tables.used, plain.used))
