@@ -16,10 +16,9 @@ task; the others are joined with the counts. An unknown word counts as one furth
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +84,10 @@ _FEW = 4
 _CHUNK = 1 << 22
 # Rows taken together at a time, so that what is computed of them stays in the cache of a core.
 _PIECE = 2048
+# Bytes of the longest words whose checksums are taken together.
+_SHORT = 64
+# Checksums of single bytes, without the inversions before and behind.
+_CRC = np.array([zlib.crc32(bytes([i]), 0xFFFFFFFF) ^ 0xFFFFFFFF for i in range(256)], np.uint32)
 
 
 def tokens(text: str) -> list[bytes]:
@@ -104,6 +107,33 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, lengths
 
 
+def crc32_words(words: pa.Array, last: int | None = None) -> np.ndarray:
+    """``zlib.crc32`` of each word, or of its ``last`` bytes, as columns: the words' first bytes, then their second ones, and so on."""
+    _, offsets, data = words.buffers()
+    found = np.zeros(len(words), np.uint64)
+    if not len(words) or data is None:
+        return found
+    bounds = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(data, np.uint8)
+    starts, sizes = bounds[:-1], np.diff(bounds)
+    if last is not None:
+        starts, sizes = starts + np.maximum(sizes - last, 0), np.minimum(sizes, last)
+    long = np.flatnonzero(sizes > _SHORT)
+    # Longer words first, so that those with a further byte are a run.
+    order = np.argsort((_SHORT + 1 - np.minimum(sizes, _SHORT + 1)).astype(np.uint8), kind="stable")[len(long) :]
+    starts, left = starts[order], np.cumsum(np.bincount(sizes[order], minlength=_SHORT + 1)[::-1])[::-1]
+    crc = np.full(len(order), 0xFFFFFFFF, np.uint32)
+    for at, n in enumerate(left[1:].tolist()):
+        if not n:
+            break
+        now = crc[:n]
+        crc[:n] = _CRC.take((now ^ data.take(starts[:n] + at)) & np.uint32(0xFF)) ^ (now >> np.uint32(8))
+    found[order] = ~crc
+    for i in long.tolist():
+        found[i] = zlib.crc32(data[bounds[i + 1] - sizes[i] : bounds[i + 1]])
+    return found
+
+
 def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
     """Texts in runs of ``_CHUNK`` bytes; a longer one is a run of its own."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -224,11 +254,10 @@ class Encoder:
         number = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)[order]
         kinds, hashed = (a[number] if len(a) else np.zeros(len(number), a.dtype) for a in (self.classes, self.hashes))
         behind = np.flatnonzero(number < 0)
-        rare = np.empty(len(behind), object)
-        rare[:] = words.take(pa.array(order[behind])).to_pylist()
-        kinds[behind] = np.fromiter(map(self.ending, rare), np.int64, len(rare))
-        hashed[behind] = np.fromiter(map(zlib.crc32, rare), np.uint64, len(rare))
-        return number, kinds, hashed, rare
+        rare = words.take(pa.array(order[behind]))
+        kinds[behind] = self.m.word_classes + crc32_words(rare, self.m.ending).astype(np.int64) % self.m.ending_classes
+        hashed[behind] = crc32_words(rare)
+        return number, kinds, hashed, rare.to_numpy(zero_copy_only=False)
 
     def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
         """Tokens of each text, and of all tokens number, class and hash, and those that are not in the head."""
@@ -240,6 +269,17 @@ class Encoder:
         return sizes, *self._encoded(pa.concat_arrays([words, pa.array([END], pa.binary())]), order)
 
 
+@cache
+def _outcome_mask(width: int) -> np.ndarray:
+    """Row i has ones for the first i of ``width`` outcomes."""
+    return np.tri(width + 1, width, -1, np.float32)
+
+
+def _per_row(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """A value for each row of a table as an array of its shape; arithmetic of both is one run, without a start for each row."""
+    return np.repeat(values, table.shape[1]).reshape(table.shape)
+
+
 def _put(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """``table[rows] = values``, a row being one item, which is copied as a whole."""
     item = f"V{table.shape[1] * table.itemsize}"
@@ -298,36 +338,42 @@ class Tables:
         word = np.flatnonzero(kinds < m.word_classes)
         found = [(word, kinds[word], slots[word], np.full(len(word), m.width))]
         deep = np.flatnonzero(kinds >= m.first_head_class)
-        sizes = self.sizes[kinds[deep] - m.first_head_class] if len(deep) else deep
-        unit, level = 1, 1
-        while len(keep := np.flatnonzero(sizes > unit)):
-            deep, sizes = deep[keep], sizes[keep]
-            slot = slots[deep]
-            node = slot // (unit * m.width)
-            outcomes = np.minimum(m.width, -((node * unit * m.width - sizes) // unit))
+        kind, slot = kinds[deep], slots[deep]
+        # The parts of a class at a level, and of them that of the word.
+        parts = self.sizes[kind - m.first_head_class] if len(deep) else deep
+        level = 1
+        while len(keep := np.flatnonzero(parts > 1)):
+            if len(keep) < len(deep):
+                deep, kind, slot, parts = deep[keep], kind[keep], slot[keep], parts[keep]
+            node = slot // m.width
+            before = node * m.width
             # A head class has fewer levels than 64.
-            name = kinds[deep] + m.classes * (level + 64 * node)
-            found.append((deep, name, slot // unit % m.width, outcomes))
-            unit, level = unit * m.width, level + 1
+            found.append((deep, kind + m.classes * (level + 64 * node), slot - before, np.minimum(m.width, parts - before)))
+            slot, parts, level = node, -(-parts // m.width), level + 1
         return tuple(np.concatenate(part) for part in zip(*found))
 
     @staticmethod
-    def _scores(weights: np.ndarray, rows: list[np.ndarray], out: np.ndarray | None = None) -> np.ndarray:
-        """Sum of the weight rows of each feature; a feature with one row is the same for all. ``out`` has room for two pieces."""
-        n = len(rows[-1])
-        scores, more = (None, None) if out is None else (out[:n], out[_PIECE : _PIECE + n])
-        scores = weights.take(rows[-1], axis=0, mode="clip", out=scores)
+    def _scores(
+        weights: np.ndarray, rows: list[np.ndarray], out: np.ndarray | None = None, more: np.ndarray | None = None
+    ) -> np.ndarray:
+        """Sum of the weight rows of each feature, in ``out``; a feature with one row is the same for all. ``more`` is room."""
+        scores = weights.take(rows[-1], axis=0, mode="clip", out=out)
         for k in rows[:-1]:
-            scores += weights[k] if len(k) == 1 else weights.take(k, axis=0, mode="clip", out=more)
+            every = k if len(k) == len(scores) else np.repeat(k, len(scores))
+            scores += weights.take(every, axis=0, mode="clip", out=more)
         return scores
 
-    def _pieces(self, which: int, rows: list[np.ndarray], outcomes: np.ndarray | None = None) -> Iterator[tuple]:
-        """(piece, exponentials, sums) of all rows, piece by piece; the exponentials are overwritten by the next."""
+    def _pieces(
+        self, which: int, rows: list[np.ndarray], outcomes: np.ndarray | None = None, into: np.ndarray | None = None
+    ) -> Iterator[tuple]:
+        """(piece, exponentials, sums) of all rows, piece by piece; the exponentials lie ``into``, or are overwritten by the next."""
         weights = (self.by_class, self.by_word)[which]
-        out = self.spare[: 2 * _PIECE * weights.shape[1]].reshape(2 * _PIECE, -1)
+        room = self.spare[: 2 * _PIECE * weights.shape[1]].reshape(2 * _PIECE, -1)
         for at in range(0, len(rows[-1]), _PIECE):
-            piece = slice(at, at + _PIECE)
-            scores = self._scores(weights, [k if len(k) == 1 else k[piece] for k in rows], out)
+            piece = slice(at, min(at + _PIECE, len(rows[-1])))
+            n = piece.stop - at
+            out = room[:n] if into is None else into[piece]
+            scores = self._scores(weights, [k if len(k) == 1 else k[piece] for k in rows], out, room[_PIECE : _PIECE + n])
             yield piece, *self._exponentials(scores, None if outcomes is None else outcomes[piece])
 
     @staticmethod
@@ -337,9 +383,8 @@ class Tables:
         if scores.max(initial=0) > 60:
             np.minimum(scores, np.float32(60), out=scores)
         np.exp(scores, out=scores)
-        if outcomes is not None:
-            width = scores.shape[1]
-            scores *= np.tri(width + 1, width, -1, np.float32).take(outcomes, axis=0, mode="clip")
+        if outcomes is not None and outcomes.min(initial=scores.shape[1]) < scores.shape[1]:
+            scores *= _outcome_mask(scores.shape[1]).take(outcomes, axis=0, mode="clip")
         # A product with ones would round by the place of the row.
         return scores, np.einsum("ij->i", scores)
 
@@ -371,34 +416,39 @@ class Tables:
     def _logs(self, which: int, rows: list[np.ndarray], target: np.ndarray, outcomes: np.ndarray | None = None) -> np.ndarray:
         found = np.empty(len(target))
         for piece, raised, total in self._pieces(which, rows, outcomes):
-            found[piece] = np.log((raised[np.arange(len(total)), target[piece]] / total).astype(np.float64))
+            chosen = np.arange(0, raised.size, raised.shape[1]) + target[piece]
+            found[piece] = np.log((raised.reshape(-1).take(chosen) / total).astype(np.float64))
         return found
 
     def _step(self, which: int, rows: list[np.ndarray], target: np.ndarray, outcomes: np.ndarray | None = None) -> None:
         width = (self.by_class, self.by_word)[which].shape[1]
         if len(self.errors) < len(target) * width:
             self.errors = np.empty(len(target) * width, np.float32)
-        error = self.errors[: len(target) * width].reshape(-1, width)
-        for piece, raised, total in self._pieces(which, rows, outcomes):
-            raised /= total[:, None]
-            raised[np.arange(len(total)), target[piece]] -= 1
-            error[piece] = raised
+        errors = self.errors[: len(target) * width]
+        error = errors.reshape(-1, width)
+        chosen = np.arange(0, len(errors), width) + target
+        for piece, raised, total in self._pieces(which, rows, outcomes, error):
+            raised /= _per_row(total, raised)
+            errors[chosen[piece]] -= 1
         for k in rows:
             if len(k) == 1:
                 self._update(which, k, error.sum(axis=0, keepdims=True), len(target))
                 continue
             # Rows fit into 16 bits, which are sorted by counting.
-            order = np.argsort(k.astype(np.uint16), kind="stable")
-            ordered = k[order]
+            short = k.astype(np.uint16)
+            order = np.argsort(short, kind="stable")
+            ordered = short.take(order)
             first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
             times = np.diff(np.append(first, len(order)))
             # Those met most often come first, so that in a piece the ones with a further change are a run.
             ranked = np.argsort((_FEW + 1 - np.minimum(times, _FEW + 1)).astype(np.uint8), kind="stable")
             first, times = first[ranked], times[ranked]
-            touched = ordered[first]
+            touched = ordered[first].astype(np.int64)
             many = int(np.count_nonzero(times > _FEW))
-            for piece, change in self._added_runs(error, order, first[:many], times[:many]):
-                self._update(which, touched[piece], change, times[piece])
+            change = self._added_runs(error, order, first[:many], times[:many])
+            for at in range(0, many, _PIECE):
+                piece = slice(at, min(at + _PIECE, many))
+                self._update(which, touched[piece], change[piece], times[piece])
             for at in range(many, len(first), _PIECE):
                 piece = slice(at, at + _PIECE)
                 change = self._added(error, order, first[piece], times[piece])
@@ -407,17 +457,18 @@ class Tables:
     def _added(self, error: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
         """Errors of rows that are met a few times, one by one; ``times`` falls, and row i has those from ``first[i]`` of ``order`` on."""
         out = self.spare[: 2 * _PIECE * error.shape[1]].reshape(2 * _PIECE, -1)
-        change = error.take(order[first], axis=0, mode="clip", out=out[: len(first)])
+        change = error.take(order.take(first), axis=0, mode="clip", out=out[: len(first)])
         for more in range(1, _FEW):
             again = int(np.count_nonzero(times > more))
             if not again:
                 break
-            change[:again] += error.take(order[first[:again] + more], axis=0, mode="clip", out=out[_PIECE : _PIECE + again])
+            change[:again] += error.take(order.take(first[:again] + more), axis=0, mode="clip", out=out[_PIECE : _PIECE + again])
         return change
 
     @staticmethod
-    def _added_runs(error: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> Iterator[tuple]:
-        """(piece, errors added up) of rows that are met often."""
+    def _added_runs(error: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Errors of rows that are met often."""
+        change = np.empty((len(first), error.shape[1]), np.float32)
         ends = np.cumsum(times)
         at = 0
         while at < len(first):
@@ -425,16 +476,17 @@ class Tables:
             end = max(at + 1, int(np.searchsorted(ends, before + _PIECE, side="right")))
             piece = slice(at, end)
             starts = ends[piece] - times[piece] - before
-            inside = order[np.arange(ends[end - 1] - before) + np.repeat(first[piece] - starts, times[piece])]
-            yield piece, np.add.reduceat(error.take(inside, axis=0), starts, axis=0)
+            inside = order.take(np.arange(ends[end - 1] - before) + np.repeat(first[piece] - starts, times[piece]))
+            np.add.reduceat(error.take(inside, axis=0), starts, axis=0, out=change[piece])
             at = end
+        return change
 
     def _update(self, which: int, touched: np.ndarray, change: np.ndarray, times) -> None:
         """An AdaGrad step for the given rows."""
         squares = self.squares[which].take(touched)
         squares += np.einsum("ij,ij->i", change, change) / change.shape[1]
         self.squares[which][touched] = squares
-        change *= (self.m.rate / np.sqrt(squares))[:, None]
+        change *= _per_row(self.m.rate / np.sqrt(squares), change)
         weights = (self.by_class, self.by_word)[which]
         room = self.spare[_PIECE * change.shape[1] : 2 * _PIECE * change.shape[1]].reshape(_PIECE, -1)
         now = weights.take(touched, axis=0, mode="clip", out=room[: len(touched)])
@@ -553,6 +605,16 @@ def _name(vocabulary: Vocabulary) -> str:
     return f"{vocabulary.total}-{vocabulary.distinct}-{zlib.crc32(b' '.join(vocabulary.words))}"
 
 
+def _counted_by_text(words: np.ndarray, text: np.ndarray, texts: int) -> tuple[pa.Array, pa.Array]:
+    """The different words of each of ``texts`` texts and how often it holds them, as lists; ``text`` is that of each word."""
+    coded = pa.array(words, pa.binary()).dictionary_encode()
+    kinds = len(coded.dictionary)
+    pairs, times = np.unique(text * kinds + coded.indices.to_numpy(), return_counts=True)
+    ends = pa.array(np.searchsorted(pairs, np.arange(texts + 1) * kinds), pa.int32())
+    different = coded.dictionary.take(pa.array(pairs % max(kinds, 1)))
+    return pa.ListArray.from_arrays(ends, different), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))
+
+
 def _score(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Iterator[pa.RecordBatch]:
     encoder = shared.encoder(m)
     v = encoder.v
@@ -578,13 +640,8 @@ def _score(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Itera
             score = np.add.reduceat(token, starts)
             known = np.add.reduceat((number >= 0).astype(np.int64), starts)
             base = np.add.reduceat(log_count[number] - base_log, starts)
-            cuts = np.searchsorted(np.flatnonzero(number < 0), np.append(starts, len(number)))
-            lists, times = [], []
-            for i in range(len(starts)):
-                found = Counter(rare[cuts[i] : cuts[i + 1]])
-                lists.append(list(found))
-                times.append(list(found.values()))
             n = len(starts)
+            lists, times = _counted_by_text(rare, np.repeat(np.arange(n), ends - starts)[number < 0], n)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(i).slice(at, n) for i in range(3)),
@@ -592,8 +649,8 @@ def _score(batches: Iterator[pa.RecordBatch], shared: Shared, m: Model) -> Itera
                     pa.array(known),
                     pa.array(base),
                     pa.array(score),
-                    pa.array(lists, pa.list_(pa.binary())),
-                    pa.array(times, pa.list_(pa.int32())),
+                    lists,
+                    times,
                 ],
                 ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "times"],
             )

@@ -306,3 +306,52 @@ def test_steps_add_up_the_errors_of_a_row(monkeypatch):
     assert seen == {1, 2, 3, 4, 5, 6}
     assert np.allclose(tables.by_class, plain.by_class, atol=1e-6) and np.allclose(tables.by_word, plain.by_word, atol=1e-6)
     assert all(np.array_equal(a, b) for a, b in zip(tables.used, plain.used))
+
+
+def test_checksums_of_words_are_taken_as_columns(monkeypatch):
+    """Words outside the head get class and hash without a call for each of them; long ones and slices have zlib's checksum too."""
+    pick = random.Random(9)
+    words = [bytes(pick.randrange(256) for _ in range(k)) for k in [*range(130), 0, 1, 2, 3, 63, 64, 64, 65, 70_000] for _ in range(2)]
+    pick.shuffle(words)
+    for part in (pa.array(words, pa.binary()), pa.array(words, pa.binary()).slice(7, 150), pa.array([b"", b""]), pa.array([], pa.binary())):
+        plain = part.to_pylist()
+        assert maxent.crc32_words(part).tolist() == [zlib.crc32(w) for w in plain]
+        for last in (1, 3, 80):
+            assert maxent.crc32_words(part, last).tolist() == [zlib.crc32(w[-last:]) for w in plain]
+
+    vocabulary = maxent.Vocabulary([b"a", maxent.END], np.array([4, 3]), 10, 6, np.zeros(4), np.zeros(4))
+    encoder = maxent.Encoder(vocabulary, maxent.Model(word_classes=1, width=2, ending_classes=4))
+    each = [w for t in ODD for w in maxent.tokens(t)]
+    hashes, endings = [zlib.crc32(w) for w in each], [0 if w in vocabulary.words else encoder.ending(w) for w in each]
+    monkeypatch.setattr(maxent.Encoder, "ending", None)
+    _, _, kinds, hashed, _ = encoder.encode_texts(pa.array(ODD, pa.string()))
+    assert hashed.tolist() == hashes and kinds.tolist() == endings
+
+
+def test_rare_words_are_counted_by_text():
+    texts = [[], [b"a", b"b", b"a"], [], [b"b"], [b"\x00", b"", b"a", b""], []]
+    words = np.array([w for t in texts for w in t], object)
+    of = np.repeat(np.arange(len(texts)), list(map(len, texts)))
+    lists, times = maxent._counted_by_text(words, of, len(texts))
+    assert [dict(zip(*pair)) for pair in zip(lists.to_pylist(), times.to_pylist())] == [dict(Counter(t)) for t in texts]
+    lists, times = maxent._counted_by_text(words[:0], of[:0], 2)
+    assert lists.to_pylist() == times.to_pylist() == [[], []] and lists.type == pa.list_(pa.binary())
+
+
+def test_rows_met_often_are_changed_together(monkeypatch):
+    """A feature of few rows takes one change for all of them, however many tokens a batch has."""
+    m, bounds, _, _, features = _steps()
+    n = len(features[0])
+    kinds, slots = np.arange(n) % m.word_classes, np.arange(n) % m.width
+    calls = Counter()
+    tables = maxent.Tables(m, bounds=bounds)
+    update = tables._update
+
+    def counted(which, touched, change, times):
+        calls[which] += 1
+        update(which, touched, change, times)
+
+    monkeypatch.setattr(tables, "_update", counted)
+    # Five words in turn: the features other than none have a few rows each.
+    tables.learn(kinds, slots, maxent.Tables.features(np.arange(n).astype(np.uint64) % np.uint64(5), np.array([0])))
+    assert n > 4 * maxent._PIECE and calls[0] <= 2 * maxent.FEATURES and calls[1] <= 2 * maxent.FEATURES
