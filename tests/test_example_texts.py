@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows_of
 from ruleweave.catalog import queries
+from ruleweave.operators import stages
 from ruleweave.operators.sets import distinct_rows
 from ruleweave.plans import training as tr
 from ruleweave.sources import files as fi
@@ -82,6 +83,30 @@ def test_files_of_one_community_are_many(spark, folder, tmp_path):
     assert rows_of(fi.scan_comments(spark, f"{tmp_path}/csv", labelled=True)) == rows_of(comments.select(fi.TRAIN_SCHEMA.names))
 
 
+def test_written_comments_are_compressed(spark, folder, tmp_path):
+    got = queries()["scan_comments"](spark, folder)
+    names = got.inputFiles()
+    assert names and all(n.endswith(".csv.gz") for n in names)
+    comments = tb.full_comments(spark, folder, labelled=True).select(fi.TRAIN_SCHEMA.names)
+    assert rows_of(got) == rows_of(comments)
+    sizes = []
+    for codec in (None, "gzip"):
+        fi.write_comments(comments, f"{tmp_path}/{codec}", codec=codec)
+        sizes.append(sum(e.stat().st_size for e in os.scandir(f"{tmp_path}/{codec}") if ".csv" in e.name))
+    assert sizes[1] < sizes[0] / 2
+
+
+def test_labels_do_not_move_texts(spark, folder, fixed_plans, no_broadcast, monkeypatch):
+    def by_id():
+        dealt = [line for line in plan(tb.full_comments(spark, folder, labelled=True)).splitlines() if "Exchange hashpartitioning" in line]
+        return [line for line in dealt if "hashpartitioning(doc_id" in line or "hashpartitioning(row_id" in line]
+
+    # Above the limit texts meet their labels by id; below it only examples move by id, to the blocks that take them.
+    many = len(by_id())
+    monkeypatch.setattr(stages, "BROADCAST_LIMIT", 64 << 20)
+    assert len(by_id()) < many
+
+
 def test_training_tables_are_stored_dense(spark, folder):
     stored = tr.training_tables(tb.full_comments(spark, folder, labelled=True))
     for frame in stored.values():
