@@ -154,29 +154,31 @@ def pick_partners(
     id_cols: list[str],
     rule_col: str = "rule",
     community_col: str = "subreddit",
+    keep: list[str] | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """(id_cols, role, pool_id): one random pool row per anchor and role.
+    """(id_cols, role, pool_id): one random pool row per anchor and role. Columns to ``keep`` follow the ids.
 
     Role ``positive`` has the anchor's rule and another community, role ``negative`` another rule. An anchor with
     an empty pool in any of the asked roles gets no row at all.
     """
+    carried = [*id_cols, *(keep or [])]
     keyed = anchors.select(
-        *id_cols, digest(rule_col).alias("rule_key"), digest(community_col).alias("community_key")
+        *carried, digest(rule_col).alias("rule_key"), digest(community_col).alias("community_key")
     )
     # With a positive role an anchor whose rule the pool lacks can be dropped at once.
     placed = _blocks_of(
         keyed, index, id_col=id_cols[0], communities=positive, how="inner" if positive else "left"
     )
     roles = []
-    keep = F.lit(True)
+    possible = F.lit(True)
     if positive:
         own = F.coalesce(F.col("community_rows"), F.lit(0))
         size = F.col("rule_rows") - own
         pick = draw("positive", *id_cols, seed=seed) % size
         # The community's range relative to its rule; without one the skip never applies.
         start = F.coalesce(F.col("community_start") - F.col("rule_start"), F.col("rule_rows"))
-        keep = keep & (size > 0)
+        possible = possible & (size > 0)
         roles.append(
             F.struct(F.lit("positive").alias("role"), (F.col("rule_start") + _skip(pick, start, own)).alias("ix"))
         )
@@ -185,14 +187,14 @@ def pick_partners(
         size = F.lit(index.total) - own
         pick = draw("negative", *id_cols, seed=seed) % size
         start = F.coalesce(F.col("rule_start"), F.lit(index.total))
-        keep = keep & (size > 0)
+        possible = possible & (size > 0)
         roles.append(F.struct(F.lit("negative").alias("role"), _skip(pick, start, own).alias("ix")))
-    picks = placed.filter(keep).select(*id_cols, F.explode(F.array(*roles)).alias("_pick"))
+    picks = placed.filter(possible).select(*carried, F.explode(F.array(*roles)).alias("_pick"))
     # A small pool is picked from very often, so a number may have any share of the picks.
     found = skew_join(
-        picks.select(*id_cols, "_pick.role", "_pick.ix"), index.rows, ["ix"], "inner", spread_by=id_cols[0]
+        picks.select(*carried, "_pick.role", "_pick.ix"), index.rows, ["ix"], "inner", spread_by=id_cols[0]
     )
-    return found.select(*id_cols, "role", "pool_id")
+    return found.select(*carried, "role", "pool_id")
 
 
 def with_pool_sizes(

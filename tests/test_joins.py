@@ -147,6 +147,49 @@ def test_stage_counts_come_from_the_run_itself(spark):
     }
 
 
+def exchanges(df):
+    return [line.split("Exchange ")[1] for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange " in line]
+
+
+def odd_labelled(spark):
+    """Rows that come twice, and missing ids, texts, rules and examples."""
+    rows = labelled(spark)
+    for c, n in (("row_id", 41), ("body", 13), ("rule", 17), ("positive_example_1", 11), ("negative_example_2", 7)):
+        rows = rows.withColumn(c, F.when(F.col("row_id") % n != 0, F.col(c)))
+    return rows.union(rows.filter("row_id < 90"))
+
+
+def test_texts_stay_at_home(spark, fixed_plans):
+    rows = odd_labelled(spark)
+    stored = stages.store_in_place(rows.repartition(3), 4)
+    assert rows_of(stored.select(*rows.columns)) == rows_of(rows)
+    assert stored.select(stages.HOME, stages.PLACE).distinct().count() == rows.count()
+    assert stored.select(stages.HOME).distinct().count() == 3
+    train, test = (stored.filter(f"rule_violation is {s} null") for s in ("not", ""))
+    plain_train, plain_test = (rows.filter(f"rule_violation is {s} null") for s in ("not", ""))
+    with stages._setting(spark, stages.ALL_KEYS, "false"):
+        got = st.distinct_texts(stored, ["body", "rule"], homes=4)
+        assert rows_of(got) == rows_of(st.distinct_texts(rows, ["body", "rule"]))
+        # Digests are dealt, and then places; no table with texts.
+        assert len(exchanges(got)) == 2 and all(e.startswith(("hashpartitioning(_digest", "hashpartitioning(_home")) for e in exchanges(got))
+        got = tr.pseudo_training_set(test.drop("rule_violation", stages.HOME, stages.PLACE), frac=0.5, homes=4)
+        assert rows_of(got) == rows_of(tr.pseudo_training_set(plain_test.drop("rule_violation"), frac=0.5)) and len(exchanges(got)) == 2
+        got = tr.triplet_rows(test, train, draws_per_anchor=2, homes=4)
+        assert rows_of(got) == rows_of(tr.triplet_rows(plain_test, plain_train, draws_per_anchor=2))
+        # Picks meet the pool's texts by id; then they go to the anchors.
+        assert [e for e in exchanges(got) if not e.startswith("hashpartitioning(pool_id")] == [e for e in exchanges(got) if ", 4), REPARTITION" in e]
+
+
+def test_training_tables_are_those_of_plain_frames(spark):
+    rows = odd_labelled(spark)
+    train, test = rows.filter("rule_violation is not null"), rows.filter("rule_violation is null").drop("rule_violation")
+    got = tr.training_tables(rows)
+    assert rows_of(got["prompts"]) == rows_of(tr.prompt_dataset(train, test))
+    assert rows_of(got["triplets"]) == rows_of(tr.triplet_rows(test, train))
+    assert rows_of(got["texts"]) == rows_of(st.distinct_texts(rows, ["body"]))
+    assert {k: v.count() for k, v in tr.training_tables(rows.limit(0)).items()} == {"prompts": 0, "triplets": 0, "texts": 0}
+
+
 def test_a_stage_is_counted_once(spark):
     counts = st.StageCounts()
     counts("a", spark.range(3)).count()
